@@ -13,6 +13,8 @@ from autolake.functions.joins import bounded_broadcast, dense_index
 from autolake.schemas import CATEGORICAL, FEATURE_COLUMNS, TARGET
 
 NUMERIC_FEATURES = ["anio", "antiguedad", "km", "km_valido", "km_por_anio", "dolar_blue_venta"]
+MISSING = -1.0
+# Fixed value: warning text of an estimate for a car of the run year.
 AGE_ZERO_WARNING = "Auto del año actual — estimación menos confiable"
 
 
@@ -24,7 +26,8 @@ def estimate_columns(df: DataFrame, prediction: str = "prediction", price: str =
     An estimate of 0 gives a null score (the reference would produce inf/NaN)."""
     est = F.bround(F.col(prediction), 0)
     est_int = est.cast("bigint")
-    score = F.bround((est_int - F.col(price)) / F.nullif(est, F.lit(0.0)).cast("double"), 4)
+    # "+ 0.0" turns a signed zero into +0.0
+    score = F.bround((est_int - F.col(price)) / F.nullif(est, F.lit(0.0)).cast("double"), 4) + F.lit(0.0)
     return df.withColumn("precio_estimado", est_int).withColumn("oportunidad_score", score)
 
 
@@ -62,9 +65,12 @@ def feature_pipeline(gold_train: DataFrame):
 
     idx = StringIndexer(inputCols=CATEGORICAL, outputCols=[f"{c}_idx" for c in CATEGORICAL],
                         handleInvalid="keep", stringOrderType="alphabetAsc")
-    num = [F.col(c).cast("double").alias(c) for c in NUMERIC_FEATURES]
+    # Spark trees take no NaN: a missing number becomes the sentinel -1, which a split
+    # separates from every real value (the reference's library routes missing values
+    # to one side of each split natively)
+    num = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in NUMERIC_FEATURES]
     asm = VectorAssembler(inputCols=[f"{c}_idx" for c in CATEGORICAL] + NUMERIC_FEATURES,
-                          outputCol="features", handleInvalid="keep")
+                          outputCol="features", handleInvalid="error")
     return Pipeline(stages=[idx, asm]), num
 
 

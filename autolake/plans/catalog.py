@@ -102,3 +102,364 @@ def g_age_ratio(spark, d):
 @query("g_features", with_views(["gold"], "select * from gold"))
 def g_features(spark, d):
     return V.gold(spark, d)
+
+
+# ---------------------------------------------------------------- F: exchange rates
+
+from autolake.operators import fx as fxo  # noqa: E402
+
+
+@query("f_normalize", with_views(["fx_silver"], "select * from fx_silver"))
+def f_normalize(spark, d):
+    return V.fx_silver(spark, d)
+
+
+@query("f_latest_panel", with_views(["fx_silver"], """
+select *, casa in ('blue', 'oficial') as featured from fx_silver
+where fecha = (select max(fecha) from fx_silver)"""))
+def f_latest_panel(spark, d):
+    return fxo.latest_panel(V.fx_silver(spark, d))
+
+
+@query("f_rate_on_day", with_views(["silver", "blue"], """
+select s.cod, s.scraped_day, b.venta as dolar_blue_venta
+from silver s left join blue b on s.scraped_day = b.fecha"""))
+def f_rate_on_day(spark, d):
+    s = V.silver(spark, d).select("cod", "scraped_day")
+    return fxo.rate_on_day(s, V.fx(spark, d), "scraped_day")
+
+
+@query("f_latest_rate", with_views(["blue"], """
+select max(fecha) as fecha, arg_max(venta, fecha) as venta from blue"""))
+def f_latest_rate(spark, d):
+    return fxo.latest_rate(V.fx(spark, d))
+
+
+@query("f_asof_rate", with_views(["silver", "blue"], """
+select s.cod, s.scraped_day, b.venta as dolar_blue_venta_asof
+from silver s asof left join blue b on s.scraped_day >= b.fecha"""))
+def f_asof_rate(spark, d):
+    s = V.silver(spark, d).select("cod", "scraped_day")
+    return fxo.asof_rate(s, V.fx(spark, d), "scraped_day")
+
+
+@query("f_usd_estimate", with_views(["scored", "blue"], """
+select s.cod, s.precio_estimado, b.venta as dolar_blue_venta,
+       cast(floor(s.precio_estimado / nullif(b.venta, 0) + 0.5) as bigint) as precio_usd
+from scored s left join blue b on s.scraped_day = b.fecha"""))
+def f_usd_estimate(spark, d):
+    s = V.scored(spark, d).select("cod", "precio_estimado", "scraped_day")
+    r = fxo.rate_on_day(s, V.fx(spark, d), "scraped_day")
+    return r.select("cod", "precio_estimado", "dolar_blue_venta",
+                    fxo.usd_price(F.col("precio_estimado"), F.col("dolar_blue_venta")).alias("precio_usd"))
+
+
+@query("f_usd_to_ars_bound", with_views(["blue"], """
+select c_custkey, cast(floor(abs(c_acctbal)) as bigint) as usd,
+       cast(trunc((select arg_max(venta, fecha) from blue) * cast(floor(abs(c_acctbal)) as bigint)) as bigint)
+         as precio_max
+from customer"""))
+def f_usd_to_ars_bound(spark, d):
+    from autolake.plans.fixtures import table
+    rate = fxo.latest_rate(V.fx(spark, d)).select(F.col("venta").alias("_rate"))
+    cust = table(spark, d, "customer").select(
+        "c_custkey", F.floor(F.abs("c_acctbal")).cast("bigint").alias("usd"))
+    # one-row rate table: a proven broadcast bound
+    return (cust.crossJoin(F.broadcast(rate))
+                .select("c_custkey", "usd", fxo.ars_bound(F.col("_rate"), F.col("usd")).alias("precio_max")))
+
+
+# ---------------------------------------------------------------- M: model and scores
+
+from autolake.operators import model as mo  # noqa: E402
+from autolake.plans.fixtures import REQUEST_RUN_YEAR  # noqa: E402
+
+_SPLIT_SQL = "case when substr(md5('42:' || cod), 1, 2) < '33' then 'test' else 'train' end"
+
+_METRICS_SQL = """
+select {by} count(*) as n,
+       round(cast(sum(abs(e)) as double) / count(*), 2) as mae,
+       round(sqrt(sum(cast(e as double) * cast(e as double)) / count(*)), 2) as rmse,
+       round(1.0 - sum(cast(e as double) * cast(e as double)) / (count(*) * var_pop(cast(y as double))), 6) as r2,
+       round(avg(abs(cast(e as double) / cast(y as double))) * 100, 4) as mape
+from (select *, precio_estimado - precio_ars as e, precio_ars as y from {src}) t {where} {group}"""
+
+
+def _metrics_sql(src: str, by: str | None = None, where: str = "") -> str:
+    return _METRICS_SQL.format(by=f"{by}, " if by else "", src=src, where=where,
+                               group=f"group by {by}" if by else "")
+
+
+@query("m_split_counts", with_views(["gold"], f"select {_SPLIT_SQL} as split, count(*) as n from gold group by 1"))
+def m_split_counts(spark, d):
+    return mo.split_counts(V.gold(spark, d))
+
+
+@query("m_metrics", with_views(["scored"], _metrics_sql(f"(select *, {_SPLIT_SQL} as split from scored)", "split")))
+def m_metrics(spark, d):
+    return mo.regression_metrics(mo.with_split(V.scored(spark, d)), "precio_ars", "precio_estimado", ["split"])
+
+
+@query("m_overfit_gap", with_views(["scored"], f"""
+select train_mae, test_mae, round(test_mae - train_mae, 2) as gap_mae,
+       round(test_mae - train_mae, 2) > train_mae * 0.5 as overfit
+from (select max(case when split = 'train' then mae end) as train_mae,
+             max(case when split = 'test' then mae end) as test_mae
+      from ({_metrics_sql(f"(select *, {_SPLIT_SQL} as split from scored)", "split")}))"""))
+def m_overfit_gap(spark, d):
+    return mo.overfit_gap(m_metrics(spark, d))
+
+
+@query("m_label_encode", with_views(["gold"], """
+select 'marca' as "column", marca as value, dense_rank() over (order by marca) - 1 as code
+from (select distinct marca from gold where marca is not null)
+union all
+select 'modelo', modelo, dense_rank() over (order by modelo) - 1 from (select distinct modelo from gold where modelo is not null)
+union all
+select 'provincia', provincia, dense_rank() over (order by provincia) - 1
+from (select distinct provincia from gold where provincia is not null)"""))
+def m_label_encode(spark, d):
+    return mo.label_encode(V.gold(spark, d))
+
+
+_STD_COLS = ["anio", "km", "km_por_anio"]
+
+
+def _std_sql() -> str:
+    stats = ", ".join([f"avg({c}) as {c}__mu, stddev_pop({c}) as {c}__sd" for c in _STD_COLS])
+    outs = []
+    for c in _STD_COLS:
+        sd = f"(case when {c}__sd = 0 then 1.0 else {c}__sd end)"
+        z = f"(({c} - {c}__mu) / {sd})"
+        outs.append(f"round({z}, 6) as {c}_z, round({z} * {sd} + {c}__mu, 4) as {c}_inv")
+    return f"select cod, {', '.join(outs)} from gold cross join (select {stats} from gold)"
+
+
+@query("m_standardize", with_views(["gold"], _std_sql()))
+def m_standardize(spark, d):
+    return mo.standardize(V.gold(spark, d), _STD_COLS)
+
+
+def _model_b(scored_test):
+    """Second model for the comparison: median price of the brand (test rows)."""
+    return mo.score_by_group_median(scored_test.drop("precio_estimado", "oportunidad_score"), ["marca"])
+
+
+_COMPARE_CTES = [
+    ("t", f"select * from (select *, {_SPLIT_SQL} as split from scored) where split = 'test'"),
+    ("b", """select t.cod, t.precio_ars, cast(round_even(m.med, 0) as bigint) as precio_estimado
+             from t join (select marca, median(precio_ars) as med from t group by marca) m on t.marca = m.marca"""),
+    ("ma", _metrics_sql("t")), ("mb", _metrics_sql("b")),
+    ("la", "unpivot ma on mae, rmse, r2, mape into name metric value value_a"),
+    ("lb", "unpivot mb on mae, rmse, r2, mape into name metric value value_b"),
+    ("per", """select upper(la.metric) as metric, value_a, value_b,
+                      case when (la.metric = 'r2' and value_a > value_b) or (la.metric <> 'r2' and value_a < value_b)
+                           then 'a' else 'b' end as winner
+               from la join lb on la.metric = lb.metric"""),
+]
+
+
+@query("m_compare", with_views(["scored"], """
+select * from per
+union all
+select 'OVERALL', cast(count(*) filter (where winner = 'a') as double),
+       cast(count(*) filter (where winner = 'b') as double),
+       case when count(*) filter (where winner = 'a') >= 3 then 'a' else 'b' end from per""", _COMPARE_CTES))
+def m_compare(spark, d):
+    test = mo.with_split(V.scored(spark, d)).where(F.col("split") == "test")
+    ma = mo.regression_metrics(test, "precio_ars", "precio_estimado")
+    mb = mo.regression_metrics(_model_b(test), "precio_ars", "precio_estimado")
+    return mo.compare_models(ma, mb)
+
+
+@query("m_score", with_views(["scored"], "select cod, precio_ars, precio_estimado, oportunidad_score from scored"))
+def m_score(spark, d):
+    return V.scored(spark, d).select("cod", "precio_ars", "precio_estimado", "oportunidad_score")
+
+
+@query("m_opportunity_count", with_views(["scored"], """
+select count(*) filter (where oportunidad_score > 0.1) as oportunidades, count(*) as total from scored"""))
+def m_opportunity_count(spark, d):
+    return mo.count_opportunities(V.scored(spark, d))
+
+
+@query("m_top5", with_views(["scored"], """
+select cod, marca, modelo, anio, precio_ars, precio_estimado, oportunidad_score from scored
+where oportunidad_score is not null order by oportunidad_score desc, cod limit 5"""))
+def m_top5(spark, d):
+    return mo.top_scores(V.scored(spark, d), 5)
+
+
+@query("m_gbt_score")
+def m_gbt_score(spark, d):
+    """Train boosted trees on the gold training split and score every gold row
+    (few iterations here; the job uses the full 300). Rows-only check."""
+    g = V.gold(spark, d)
+    model = mo.train_gbt(g, max_iter=10)
+    return mo.model_scores(model, g)
+
+
+_REQ_RATE_SQL = "(select arg_max(venta, fecha) from blue)"
+
+
+@query("m_request_features", with_views(["requests", "blue"], f"""
+select req_id, marca, modelo, provincia, anio, km, {REQUEST_RUN_YEAR} - anio as antiguedad, km > 1 as km_valido,
+       km / greatest({REQUEST_RUN_YEAR} - anio, 1) as km_por_anio, {_REQ_RATE_SQL} as dolar_blue_venta,
+       case when {REQUEST_RUN_YEAR} - anio = 0 then '{mo.AGE_ZERO_WARNING}' end as advertencia
+from requests"""))
+def m_request_features(spark, d):
+    rate = fxo.latest_rate(V.fx(spark, d)).select(F.col("venta").alias("_rate"))
+    req = V.requests(spark, d).crossJoin(F.broadcast(rate))
+    return mo.request_features(req, REQUEST_RUN_YEAR, F.col("_rate")).drop("_rate")
+
+
+@query("m_request_validation", with_views(["requests"], f"""
+select req_id, nullif(concat_ws('; ',
+         case when marca is null then 'marca missing' end,
+         case when modelo is null then 'modelo missing' end,
+         case when provincia is null then 'provincia missing' end,
+         case when anio is null then 'anio missing' end,
+         case when km is null then 'km missing' end,
+         case when anio < 1990 or anio > {REQUEST_RUN_YEAR} then 'anio out of range' end,
+         case when km < 0 then 'km negative' end), '') as reasons,
+       nullif(concat_ws('; ',
+         case when marca is null then 'marca missing' end,
+         case when modelo is null then 'modelo missing' end,
+         case when provincia is null then 'provincia missing' end,
+         case when anio is null then 'anio missing' end,
+         case when km is null then 'km missing' end,
+         case when anio < 1990 or anio > {REQUEST_RUN_YEAR} then 'anio out of range' end,
+         case when km < 0 then 'km negative' end), '') is null as valid
+from requests"""))
+def m_request_validation(spark, d):
+    return mo.validate_requests(V.requests(spark, d)).select("req_id", "reasons", "valid")
+
+
+_MODEL_KEYS_SQL = """
+select distinct case when substr(o_orderpriority, 1, 1) = '1'
+                     then 'models/gbt/fecha=' || cast(cast(o_orderdate as date) as varchar)
+                     else 'models/gbt/run-' || cast(o_orderkey as varchar) end as key
+from orders"""
+
+
+@query("m_model_date", f"""
+select key, try_cast(nullif(regexp_extract(key, '(\\d{{4}}-\\d{{2}}-\\d{{2}})', 1), '') as date) as model_date
+from ({_MODEL_KEYS_SQL})""")
+def m_model_date(spark, d):
+    from autolake.plans.fixtures import model_keys
+    return model_keys(spark, d).select("key", mo.model_date(F.col("key")).alias("model_date"))
+
+
+# ---------------------------------------------------------------- Q: market queries
+
+from autolake.operators import market as mk  # noqa: E402
+
+_SEARCH = mk.SearchFilter(marca="brand#1", provincia="nation_1", anio_min=1996, anio_max=2000,
+                          km_max=150000, precio_max=9_000_000, solo_oportunidades=True)
+_TABLE = dict(search_text="gear", anio_min="1997", precio_max="5000000")
+_TABLE_SQL = ("(contains(lower(modelo), 'gear') or contains(lower(marca), 'gear')) "
+              "and coalesce(anio, 0) >= 1997 and coalesce(precio_ars, 0) <= 5000000")
+_FEED = ", ".join(mk.FEED_COLUMNS)
+
+
+@query("q_search", with_views(["serving"], """
+select cod, marca, modelo, anio, km, precio_ars, provincia, oportunidad_score, url from serving
+where contains(lower(marca), 'brand#1') and contains(lower(provincia), 'nation_1')
+  and anio >= 1996 and anio <= 2000 and km <= 150000 and precio_ars <= 9000000 and oportunidad_score >= 0.1
+order by oportunidad_score desc nulls last, cod limit 10"""))
+def q_search(spark, d):
+    return mk.search(V.serving(spark, d), _SEARCH)
+
+
+def _fmt(c: str) -> str:
+    return f"coalesce(format('{{:,}}', {c}), 'None')"
+
+
+_LABEL_SQL = """
+case when oportunidad_score >= 0.1 then ' ' || (
+  with_t.t // 10 || '.' || with_t.t % 10) || '% subvaluado' else '' end"""
+
+
+@query("q_labels", with_views(["serving"], f"""
+select cod, '- ' || coalesce(marca, 'None') || ' ' || coalesce(modelo, 'None') || ' ' ||
+       coalesce(cast(anio as varchar), 'None') || ' | ' || {_fmt('km')} || ' km | $' || {_fmt('precio_ars')} ||
+       case when oportunidad_score >= 0.1 then ' ' || cast(t // 10 as varchar) || '.' || cast(t % 10 as varchar)
+            || '% subvaluado' else '' end ||
+       ' | ' || coalesce(provincia, 'None') || ' | ' || coalesce(url, 'None') as line
+from (select *, q + case when r > 5 or (r = 5 and q % 2 = 1) then 1 else 0 end as t
+      from (select *, bp - q * 10 as r
+            from (select *, cast(floor(bp / 10) as bigint) as q
+                  from (select *, cast(round(oportunidad_score * 10000) as bigint) as bp from serving))))"""))
+def q_labels(spark, d):
+    return mk.result_lines(V.serving(spark, d))
+
+
+@query("q_top_opportunities", with_views(["serving"], """
+select cod, marca, modelo, anio, km, precio_ars, precio_estimado, oportunidad_score, provincia, url,
+       coalesce(precio_estimado, 0) - coalesce(precio_ars, 0) as ahorro
+from serving where oportunidad_score >= 0.1 and contains(lower(marca), 'brand#2')
+order by oportunidad_score desc, cod limit 7"""))
+def q_top_opportunities(spark, d):
+    return mk.top_opportunities(V.serving(spark, d), marca="brand#2", limite=7)
+
+
+@query("q_board", with_views(["serving"], f"""
+select cod, marca, modelo, anio, provincia, precio_ars, precio_estimado, oportunidad_score,
+       precio_estimado - precio_ars as ahorro, cast(floor(oportunidad_score * 100 + 0.5) as bigint) as pct,
+       case when starts_with(url, 'http') then url else '{mk.BASE_URL}' || url end as url
+from serving where oportunidad_score > 0.1 order by oportunidad_score desc, cod limit 20"""))
+def q_board(spark, d):
+    return mk.opportunity_board(V.serving(spark, d))
+
+
+_FEED_SQL = f"select {_FEED} from serving order by scraped_at desc nulls first, cod limit 1000"
+
+
+@query("q_recent_feed", with_views(["serving"], _FEED_SQL))
+def q_recent_feed(spark, d):
+    return mk.recent_feed(V.serving(spark, d))
+
+
+@query("q_facets", with_views(["serving"], f"""
+select distinct 'marca' as facet, marca as value from ({_FEED_SQL})
+union select distinct 'provincia', provincia from ({_FEED_SQL})"""))
+def q_facets(spark, d):
+    return mk.facets(mk.recent_feed(V.serving(spark, d)))
+
+
+@query("q_table_filter", with_views(["serving"], f"select {_FEED} from serving where {_TABLE_SQL}"))
+def q_table_filter(spark, d):
+    return V.serving(spark, d).where(mk.table_predicate(**_TABLE)).select(*mk.FEED_COLUMNS)
+
+
+@query("q_user_sort", with_views(["serving"], f"select {_FEED} from serving where marca = 'Brand#7'"))
+def q_user_sort(spark, d):
+    rows = V.serving(spark, d).where(mk.table_predicate(marca="Brand#7")).select(*mk.FEED_COLUMNS)
+    return mk.user_sort(rows, "modelo", ascending=False)
+
+
+@query("q_relative_price", with_views(["serving"], """
+select cod, coalesce(precio_ars, 0) / (select greatest(coalesce(max(precio_ars), 0), 1) from serving) * 100
+       as pct_of_max from serving"""))
+def q_relative_price(spark, d):
+    return mk.relative_price(V.serving(spark, d))
+
+
+@query("q_match_counter", with_views(["serving"], f"""
+select count(*) filter (where {_TABLE_SQL}) as filtered, count(*) as total from serving"""))
+def q_match_counter(spark, d):
+    return mk.match_counter(V.serving(spark, d), mk.table_predicate(**_TABLE))
+
+
+@query("q_km_display", with_views(["serving"], """
+select cod, case when coalesce(km, 0) <= 1 then '—' else replace(format('{:,}', km), ',', '.') || ' km' end
+       as km_text from serving"""))
+def q_km_display(spark, d):
+    return V.serving(spark, d).select("cod", mk.km_display(F.col("km")).alias("km_text"))
+
+
+@query("q_market_metrics", with_views(["serving"], """
+select count(*) as total_autos, count(*) filter (where oportunidad_score > 0.1) as total_oportunidades,
+       max(fecha) as ultima_fecha_scraping, cast(0.1 as double) as threshold_oportunidad from serving"""))
+def q_market_metrics(spark, d):
+    return mk.market_metrics(V.serving(spark, d))

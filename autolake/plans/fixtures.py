@@ -93,3 +93,13 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.lit(1985) + F.col("p_size")).cast("int").alias("anio"),
                         F.when(F.col("p_partkey") % 10 == 0, F.lit(-1).cast("bigint"))
                          .otherwise(F.col("p_partkey") * 100).alias("km")))
+
+
+def model_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model registry keys: urgent orders name a dated model folder, the rest an
+    undated run folder (no date to parse)."""
+    o = table(spark, sf_dir, "orders")
+    key = F.when(F.substring("o_orderpriority", 1, 1) == "1",
+                 F.concat(F.lit("models/gbt/fecha="), F.col("o_orderdate").cast("date").cast("string"))
+                 ).otherwise(F.concat(F.lit("models/gbt/run-"), F.col("o_orderkey").cast("string")))
+    return o.select(key.alias("key")).distinct()

@@ -66,13 +66,22 @@ left join (select fecha, venta from fx where casa = 'blue') b on f.scraped_day =
 
 VIEWS["scored"] = (["silver"], """
 select s.*, cast(round_even(m.med, 0) as bigint) as precio_estimado,
+       -- a zero score is +0.0 (no signed zero)
        round_even((cast(round_even(m.med, 0) as bigint) - s.precio_ars)
-              / cast(nullif(round_even(m.med, 0), 0) as double), 4) as oportunidad_score
+              / cast(nullif(round_even(m.med, 0), 0) as double), 4) + 0.0 as oportunidad_score
 from (select * from silver where precio_ars is not null) s
 join (select marca, modelo, median(precio_ars) as med from silver
       where precio_ars is not null group by marca, modelo) m
   on s.marca = m.marca and s.modelo = m.modelo""")
 
+VIEWS["serving"] = (["silver", "scored"], """
+select s.cod, s.marca, s.modelo, s.condicion, s.provincia, s.precio_ars, s.anio, s.km, s.path as url,
+       s.segmento, s.source, s.scraped_day as fecha, s.scraped_day as scraped_at,
+       c.precio_estimado, c.oportunidad_score
+from silver s left join (select cod, precio_estimado, oportunidad_score from scored) c on s.cod = c.cod""")
+
+VIEWS["blue"] = (["fx"], "select fecha, venta from fx where casa = 'blue'")
+
 VIEWS["requests"] = ([], """
 select p_partkey as req_id, p_brand as marca, p_name as modelo, n_name as provincia,
        cast(1985 + p_size as int) as anio,

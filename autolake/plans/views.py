@@ -43,3 +43,23 @@ def scored(spark: SparkSession, sf_dir: str, silver_df: DataFrame | None = None)
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx_.requests(spark, sf_dir)
+
+
+def serving(spark: SparkSession, sf_dir: str, silver_df: DataFrame | None = None) -> DataFrame:
+    """The serving listings table: every silver row, with the stand-in estimate and
+    score on rows that have a price (null otherwise), ``url`` and day columns.
+
+    Equivalent to ``silver LEFT JOIN scored USING (cod)`` but joined on the small
+    (marca, modelo) median table instead of on ``cod``, so no large-to-large join."""
+    from autolake.functions.joins import bounded_broadcast
+    from autolake.operators.model import estimate_columns
+
+    s = silver_df if silver_df is not None else silver(spark, sf_dir)
+    med = (s.where(F.col("precio_ars").isNotNull())
+            .groupBy("marca", "modelo").agg(F.median("precio_ars").alias("_med")))
+    j = s.join(bounded_broadcast(med), ["marca", "modelo"], "left")
+    j = j.withColumn("_med", F.when(F.col("precio_ars").isNotNull(), F.col("_med")))
+    return (estimate_columns(j, "_med").drop("_med")
+            .withColumnRenamed("path", "url")
+            .withColumn("fecha", F.col("scraped_day"))
+            .withColumnRenamed("scraped_day", "scraped_at"))
