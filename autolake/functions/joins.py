@@ -58,7 +58,9 @@ def dense_index(values: DataFrame, col: str, out: str = "code",
     ranged = (distinct.repartitionByRange(n, F.col(col)).sortWithinPartitions(col)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True) if _has_ckpt(spark) else ranged
+    work_dir(spark)
+    # ids are fixed once written: a recomputed partition could otherwise renumber
+    ranged = ranged.checkpoint(eager=True)
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
@@ -66,6 +68,20 @@ def dense_index(values: DataFrame, col: str, out: str = "code",
                   .select(F.col(col), (F.col("_off") + F.col("_mid") - F.col("_m0")).alias(out)))
 
 
-def _has_ckpt(spark) -> bool:
-    work_dir(spark)
-    return True
+def keep_second(df: DataFrame, keys: Sequence[str], order: str, drop: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the second row in ``order`` (keys with one row give none).
+
+    One join and one map-side-combined aggregate: the key's first order value is
+    joined back (AQE splits a hot key on the large side), then ``min_by`` over the
+    values after it. When the first order value repeats, the second row is a copy
+    of the first in order terms and is returned as such."""
+    payload = [c for c in df.columns if c not in keys and c not in drop and c != order]
+    first = df.groupBy(*keys).agg(F.min(order).alias("_o1"))
+    j = df.join(first, list(keys))
+    later = F.when(F.col(order) > F.col("_o1"), F.col(order))
+    agg = j.groupBy(*keys).agg(
+        F.count_if(F.col(order) == F.col("_o1")).alias("_c1"),
+        F.min_by(F.struct(*payload), F.col(order)).alias("_p1"),
+        F.min_by(F.struct(*payload), later).alias("_p2"))
+    pick = F.when(F.col("_c1") >= 2, F.col("_p1")).otherwise(F.col("_p2"))
+    return agg.where(pick.isNotNull()).select(*keys, pick.alias("_r")).select(*keys, "_r.*")

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from autolake.operators import clean, features
 from autolake.plans import views as V
@@ -463,3 +464,192 @@ select count(*) as total_autos, count(*) filter (where oportunidad_score > 0.1)
        max(fecha) as ultima_fecha_scraping, cast(0.1 as double) as threshold_oportunidad from serving"""))
 def q_market_metrics(spark, d):
     return mk.market_metrics(V.serving(spark, d))
+
+
+# ---------------------------------------------------------------- S: sources and sinks
+
+from autolake import schemas  # noqa: E402
+from autolake.functions.joins import keep_first, keep_second  # noqa: E402
+from autolake.session import scratch_path  # noqa: E402
+from autolake.sources import bronze, partitions, sinks  # noqa: E402
+
+_WRITTEN: dict[tuple, str] = {}
+_PREFERRED_DAY = "2000-03-15"
+_SERVING_COLS = ["cod", "marca", "modelo", "condicion", "provincia", "precio_ars", "anio", "km",
+                 "path", "segmento", "source", "scraped_day"]
+_PARTIAL_UPDATE = ["scraped_day", "precio_ars", "km", "segmento", "source"]
+
+
+def _silver_by_day(spark, d):
+    """Silver written as two day-partitioned tables: source a every day, source b
+    only on even epoch days. Written once per session and data folder."""
+    key = (id(spark), d, "silver_by_day")
+    if key not in _WRITTEN:
+        root = scratch_path(spark, "silver_by_day")
+        s = V.silver(spark, d)
+        partitions.write_day_partitions(s.where(F.col("source") == "a"), f"{root}/a", "scraped_day", ["cod"])
+        even = F.pmod(F.datediff(F.col("scraped_day"), F.lit("1970-01-01").cast("date")), F.lit(2)) == 0
+        partitions.write_day_partitions(s.where((F.col("source") == "b") & even), f"{root}/b", "scraped_day", ["cod"])
+        _WRITTEN[key] = root
+    return _WRITTEN[key]
+
+
+_B_EVEN = "(source = 'a' or (source = 'b' and (scraped_day - date '1970-01-01') % 2 = 0))"
+
+
+@query("s_latest_partition", with_views(["silver"], f"""
+select source, max(scraped_day) as latest from silver where {_B_EVEN} group by source"""))
+def s_latest_partition(spark, d):
+    root = _silver_by_day(spark, d)
+    parts = [partitions.latest_day_frame(partitions.read_table(spark, f"{root}/{s}"), "scraped_day")
+             .select(F.lit(s).alias("source"), "latest") for s in ("a", "b")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("s_read_day", with_views(["silver"], f"""
+select * from silver where source = 'a' and scraped_day = date '{_PREFERRED_DAY}'"""))
+def s_read_day(spark, d):
+    return partitions.read_day(spark, f"{_silver_by_day(spark, d)}/a", "scraped_day", _PREFERRED_DAY)
+
+
+@query("s_preferred_or_latest", with_views(["silver"], """
+select c.source, c.chosen_day, count(*) as n_rows
+from t join c on t.source = c.source and t.scraped_day = c.chosen_day group by c.source, c.chosen_day""",
+    [("t", f"select * from silver where {_B_EVEN}"),
+     ("c", f"""select source, coalesce(max(case when scraped_day = date '{_PREFERRED_DAY}' then scraped_day end),
+                                       max(scraped_day)) as chosen_day from t group by source""")]))
+def s_preferred_or_latest(spark, d):
+    root = _silver_by_day(spark, d)
+    out = []
+    for s in ("a", "b"):
+        rows = partitions.read_preferred_or_latest(partitions.read_table(spark, f"{root}/{s}"), "scraped_day",
+                                                   _PREFERRED_DAY)
+        out.append(rows.groupBy(F.lit(s).alias("source"), F.col("scraped_day").alias("chosen_day"))
+                       .agg(F.count(F.lit(1)).alias("n_rows")))
+    return out[0].unionByName(out[1])
+
+
+@query("s_listing_bronze_roundtrip", with_views(["listings"], """
+select cod, marca, modelo, condicion, provincia, precio_ars, anio, km, path, segmento, source, scraped_day
+from listings"""))
+def s_listing_bronze_roundtrip(spark, d):
+    """S1 + S2: land every listing record as a JSON line under its day, read it back
+    with the explicit record schema."""
+    key = (id(spark), d, "listing_bronze")
+    if key not in _WRITTEN:
+        root = scratch_path(spark, "bronze_listings")
+        recs = V.listings(spark, d).drop("_ord")
+        bronze.land_records(recs, root, "scraped_day", ["cod"])
+        _WRITTEN[key] = root
+    schema = T.StructType([f for f in V.listings(spark, d).drop("_ord", "scraped_day").schema.fields])
+    return bronze.read_records(spark, _WRITTEN[key], schema, "scraped_day")
+
+
+@query("s_fx_bronze_roundtrip", with_views(["fx_silver"], "select * from fx_silver"))
+def s_fx_bronze_roundtrip(spark, d):
+    """S1-S3 + F1: one envelope document per day (fetched_at, source, data[]), read
+    as multi-line JSON with the envelope schema, exploded and normalised."""
+    from autolake.operators.fx import normalize_fx
+    from autolake.plans.fixtures import fx_bronze
+    key = (id(spark), d, "fx_bronze")
+    if key not in _WRITTEN:
+        root = scratch_path(spark, "bronze_fx")
+        recs = fx_bronze(spark, d)
+        # at most one record per house and day: a bounded array per envelope
+        env = recs.groupBy("fecha").agg(
+            F.first("fetched_at").alias("fetched_at"), F.lit("rates-feed").alias("source"),
+            F.collect_list(F.struct("casa", "nombre", "compra", "venta")).alias("data"))
+        bronze.land_envelopes(env, root, "fecha")
+        _WRITTEN[key] = root
+    env_schema = T.StructType(list(schemas.FX_ENVELOPE.fields) + [T.StructField("fecha", T.DateType())])
+    env = bronze.read_envelopes(spark, _WRITTEN[key], env_schema)
+    return normalize_fx(bronze.explode_envelope(env, ["fetched_at", "source", "fecha"]))
+
+
+_FX_T = "select * from fx_silver where fecha < date '2000-01-01'"
+_FX_U = "select fecha, casa, nombre, compra, venta * 2 as venta, fetched_at from fx_silver where fecha > date '1999-06-30'"
+
+
+@query("s_upsert_fx", with_views(["fx_silver"], f"""
+select coalesce(t.fecha, u.fecha) as fecha, coalesce(t.casa, u.casa) as casa,
+       case when u.fecha is not null then u.nombre else t.nombre end as nombre,
+       case when u.fecha is not null then u.compra else t.compra end as compra,
+       case when u.fecha is not null then u.venta else t.venta end as venta,
+       case when u.fecha is not null then u.fetched_at else t.fetched_at end as fetched_at
+from ({_FX_T}) t full join ({_FX_U}) u on t.fecha = u.fecha and t.casa = u.casa"""))
+def s_upsert_fx(spark, d):
+    fx = V.fx_silver(spark, d)
+    target = fx.where(F.col("fecha") < F.lit("2000-01-01").cast("date"))
+    updates = (fx.where(F.col("fecha") > F.lit("1999-06-30").cast("date"))
+                 .withColumn("venta", F.col("venta") * 2))
+    return sinks.upsert(target, updates, ["fecha", "casa"], ["nombre", "compra", "venta", "fetched_at"])
+
+
+def _upsert_inputs(spark, d):
+    lst = V.listings(spark, d)
+    first = keep_first(lst, ["cod"], "_ord", drop=["_ord"])
+    second = keep_second(lst, ["cod"], "_ord")
+    seven = F.col("cod").endswith("-7")
+    target = first.where(~seven).select(*_SERVING_COLS)
+    updates = second.where(~seven).select(*_SERVING_COLS).unionByName(first.where(seven).select(*_SERVING_COLS))
+    return target, updates
+
+
+def _upsert_select(update_cols) -> str:
+    cols = []
+    for c in _SERVING_COLS:
+        if c == "cod":
+            cols.append("coalesce(t.cod, u.cod) as cod")
+        elif c in update_cols:
+            cols.append(f"case when u.cod is not null then u.{c} else t.{c} end as {c}")
+        else:
+            cols.append(f"case when t.cod is not null then t.{c} else u.{c} end as {c}")
+    sel = ", ".join(_SERVING_COLS)
+    return f"""
+select {', '.join(cols)}
+from (select {sel} from listings where pos = 1 and cod not like '%-7') t
+full join (select {sel} from listings where (pos = 2 and cod not like '%-7') or (pos = 1 and cod like '%-7')) u
+  on t.cod = u.cod"""
+
+
+def _upsert_sql(update_cols) -> str:
+    return with_views(["listings"], _upsert_select(update_cols))
+
+
+@query("s_upsert_partial", _upsert_sql(_PARTIAL_UPDATE))
+def s_upsert_partial(spark, d):
+    target, updates = _upsert_inputs(spark, d)
+    return sinks.upsert(target, updates, ["cod"], _PARTIAL_UPDATE)
+
+
+@query("s_upsert_full", _upsert_sql([c for c in _SERVING_COLS if c != "cod"]))
+def s_upsert_full(spark, d):
+    target, updates = _upsert_inputs(spark, d)
+    return sinks.upsert(target, updates, ["cod"])
+
+
+@query("s_update_only", with_views(["silver", "scored"], """
+select t.cod, t.precio_ars, s.precio_estimado, s.oportunidad_score
+from (select cod, precio_ars from silver where source = 'a') t left join scored s on t.cod = s.cod"""))
+def s_update_only(spark, d):
+    target = V.silver(spark, d).where(F.col("source") == "a").select("cod", "precio_ars")
+    scores = V.scored(spark, d).select("cod", "precio_estimado", "oportunidad_score")
+    return sinks.update_only(target, scores, ["cod"], ["precio_estimado", "oportunidad_score"])
+
+
+def _contract_sql() -> str:
+    c = schemas.SERVING_LISTINGS
+    parts = ["count(*) as rows"]
+    parts += [f"count(*) filter (where {x} is null) as null_{x}" for x in c["not_null"]]
+    parts += [f"count(*) filter (where length({x}) > {n}) as too_long_{x}" for x, n in c["max_len"].items()]
+    return with_views(["listings"], f"""
+select {', '.join(parts)},
+       (select coalesce(sum(n - 1), 0) from (select cod, count(*) as n from m group by cod having count(*) > 1))
+         :: bigint as duplicate_keys
+from (select *, scraped_day as fecha from m)""", [("m", _upsert_select(_PARTIAL_UPDATE))])
+
+
+@query("s_contract_violations", _contract_sql())
+def s_contract_violations(spark, d):
+    merged = s_upsert_partial(spark, d).withColumn("fecha", F.col("scraped_day"))
+    return sinks.contract_violations(merged, schemas.SERVING_LISTINGS)
