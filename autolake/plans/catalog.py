@@ -653,3 +653,72 @@ from (select *, scraped_day as fecha from m)""", [("m", _upsert_select(_PARTIAL_
 def s_contract_violations(spark, d):
     merged = s_upsert_partial(spark, d).withColumn("fecha", F.col("scraped_day"))
     return sinks.contract_violations(merged, schemas.SERVING_LISTINGS)
+
+
+# ---------------------------------------------------------------- P: page extraction
+
+from autolake.operators import pages as pg  # noqa: E402
+from autolake.plans import fixtures as fxt  # noqa: E402
+
+
+@query("p_links", """
+select distinct unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) as link from pages""")
+def p_links(spark, d):
+    return pg.extract_links(fxt.table(spark, d, "pages"), pattern=r'href="([^"]+)"', group=1)
+
+
+@query("p_new_links", with_views(["listings"], """
+select distinct segmento, path as link from listings where source = 'b'
+except
+select segmento, path from listings where source = 'a'"""))
+def p_new_links(spark, d):
+    pages = fxt.index_pages(V.listings(spark, d))
+    links = pg.extract_links(pages, keep=["segmento", "source"])
+    fresh, _ = pg.new_links(links.where(F.col("source") == "b"), links.where(F.col("source") == "a"),
+                            ["segmento", "link"])
+    return fresh
+
+
+@query("p_parse_path", with_views(["silver"], """
+select path, marca, modelo, condicion, provincia, split_part(path, '?cod=', 2) as cod from silver"""))
+def p_parse_path(spark, d):
+    return pg.parse_listing_path(V.silver(spark, d).select("path"))
+
+
+@query("p_hidden_inputs", with_views(["silver"], """
+select path, precio_ars, cast(anio as bigint) as anio, km from silver
+where precio_ars is not null and anio is not null and km is not null"""))
+def p_hidden_inputs(spark, d):
+    return pg.hidden_inputs(fxt.detail_pages(V.silver(spark, d))).drop("html")
+
+
+@query("p_assemble", with_views(["silver"], f"""
+select split_part(path, '?cod=', 2) as cod, marca, modelo, condicion, provincia, precio_ars,
+       cast(anio as bigint) as anio, km, segmento, '{mk.BASE_URL}' || path as url, scraped_day as scraped_at
+from silver where precio_ars is not null and anio is not null and km is not null"""))
+def p_assemble(spark, d):
+    s = V.silver(spark, d)
+    links = pg.parse_listing_path(
+        pg.extract_links(fxt.index_pages(s), keep=["segmento"]).withColumnRenamed("link", "path"))
+    details = pg.hidden_inputs(fxt.detail_pages(s)).drop("html")
+    day = s.select("path", F.col("scraped_day").alias("scraped_at"))
+    rec = pg.assemble(links, details, F.lit(None)).drop("scraped_at").join(day, "path")
+    return rec.select("cod", "marca", "modelo", "condicion", "provincia", "precio_ars", "anio", "km",
+                      "segmento", "url", "scraped_at")
+
+
+@query("p_cards", with_views(["silver"], f"""
+select 'b-' || cod as cod, marca, modelo, 'Usado' as condicion, provincia, precio_ars, anio,
+       coalesce(km, 0) as km, '{mk.BASE_URL}/ar/venta/' || cod || '/' as url
+from silver where precio_ars >= 1000000"""))
+def p_cards(spark, d):
+    cards = pg.split_cards(fxt.card_pages(V.silver(spark, d)))
+    return pg.parse_cards(cards)
+
+
+@query("p_first_seen", with_views(["listings"], """
+select cod, marca, modelo, precio_ars from listings l
+where marca = (select min(marca) from listings l2 where l2.cod = l.cod)"""))
+def p_first_seen(spark, d):
+    cards = V.listings(spark, d).select("cod", "marca", "modelo", "precio_ars", F.col("marca").alias("brand_ord"))
+    return pg.first_seen(cards).drop("brand_ord")

@@ -103,3 +103,46 @@ def model_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.concat(F.lit("models/gbt/fecha="), F.col("o_orderdate").cast("date").cast("string"))
                  ).otherwise(F.concat(F.lit("models/gbt/run-"), F.col("o_orderkey").cast("string")))
     return o.select(key.alias("key")).distinct()
+
+
+# ---------------------------------------------------------------- pages built from listings
+# The driver's own pages hold no listing links; these builders render silver rows
+# as the two sites' HTML so the extraction jobs can parse them back.
+
+def _txt(c):
+    return F.coalesce(c.cast("string"), F.lit(""))
+
+
+def index_pages(rows: DataFrame) -> DataFrame:
+    """A search-result page per row: its listing link among site links."""
+    html = F.concat(F.lit('<html><body><nav><a href="/ayuda">ayuda</a><a href="/bus.asp?segmento='),
+                    F.col("segmento").cast("string"), F.lit('">volver</a></nav><ul><li><a href="'),
+                    F.col("path"), F.lit('" class="item">'), _txt(F.col("marca")), F.lit(" "),
+                    _txt(F.col("modelo")), F.lit("</a></li></ul></body></html>"))
+    return rows.select("segmento", "source", html.alias("html"))
+
+
+def detail_pages(rows: DataFrame) -> DataFrame:
+    """A detail page per row with price, year and km in hidden inputs (empty when null)."""
+    def inp(name, c):
+        return F.concat(F.lit(f'<input type="hidden" name="{name}" id="{name}" value="'), _txt(c), F.lit('">'))
+    html = F.concat(F.lit("<html><body><form>"), inp("precio", F.col("precio_ars")), inp("anio", F.col("anio")),
+                    inp("kilometraje", F.col("km")), F.lit("</form></body></html>"))
+    return rows.select("path", html.alias("html"))
+
+
+def card_pages(rows: DataFrame) -> DataFrame:
+    """A results page per row: one listing card (title, subtitle, an instalment amount
+    below the price floor, the price) plus a non-listing anchor."""
+    price = F.when(F.col("precio_ars").isNotNull(),
+                   F.concat(F.lit("<div><span>$</span> "), F.translate(F.format_number("precio_ars", 0), ",", "."),
+                            F.lit("</div>"))).otherwise(F.lit(""))
+    card = F.concat(F.lit('<a href="/ar/venta/'), F.col("cod"), F.lit('/" class="card">'),
+                    F.lit("<h3>"), _txt(F.col("marca")), F.lit(" • "), _txt(F.col("modelo")), F.lit("</h3>"),
+                    # a missing year shows as a non-numeric placeholder
+                    F.lit("<p>"), F.coalesce(F.col("anio").cast("string"), F.lit("s/d")), F.lit(" • "),
+                    F.translate(F.format_number(F.coalesce(F.col("km"), F.lit(0)), 0), ",", "."),
+                    F.lit(" km • 1.6 • Manual</p><div>Cuota $ 150.000</div>"), price,
+                    F.lit('<span class="x_footerInfo_y">'), _txt(F.col("provincia")), F.lit("</span></a>"))
+    html = F.concat(F.lit('<html><body><a href="/ar/usados">todos</a>'), card, F.lit("</body></html>"))
+    return rows.select("marca", html.alias("html"))
