@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from autolake.session import work_dir
@@ -23,8 +23,9 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     falls back to a shuffle join (AQE may still split skewed partitions).
     """
     work_dir(dim.sparkSession)
-    dim = dim.checkpoint(eager=True)
-    return F.broadcast(dim) if dim.count() <= max_rows else dim
+    obs = Observation()
+    dim = dim.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    return F.broadcast(dim) if obs.get["rows"] <= max_rows else dim
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Column | str,

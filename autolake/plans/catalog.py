@@ -35,7 +35,7 @@ def query(name: str, oracle: str | None = None):
 
 @query("c_clean_silver", with_views(["silver"], "select * from silver"))
 def c_clean_silver(spark, d):
-    return V.silver(spark, d)
+    return V.compute_silver(spark, d)
 
 
 @query("c_dedup_first", with_views(["listings"], """
@@ -56,7 +56,7 @@ full join (select source, count(*) as rows_out,
 def c_null_profile(spark, d):
     raw = V.listings(spark, d)
     # silver is cleaned per source (C8): the same function on each source's records
-    return clean.null_profile(raw, V.silver(spark, d), by="source")
+    return clean.null_profile(raw, V.compute_silver(spark, d), by="source")
 
 
 # ---------------------------------------------------------------- G: gold features

@@ -10,17 +10,33 @@ from autolake.operators.features import build_features
 from autolake.operators.fx import normalize_fx
 from autolake.operators.model import score_by_group_median
 from autolake.plans import fixtures as fx_
+from autolake.session import scratch_path
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx_.listings(spark, sf_dir)
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+def compute_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1-C6 over the listing records (both sources, cleaned by the same function)."""
     return clean_listings(listings(spark, sf_dir), fx_.RUN_YEAR)
 
 
+_TABLES: dict[tuple, str] = {}
+
+
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver layer as a stored table, like the pipeline's Parquet silver: written
+    once per session and data folder to the shared work folder, then read by every
+    downstream query (gold, scoring, serving, pages, sinks)."""
+    key = (id(spark), sf_dir, "silver")
+    if key not in _TABLES:
+        path = scratch_path(spark, "silver")
+        compute_silver(spark, sf_dir).write.parquet(path)
+        _TABLES[key] = path
+    return spark.read.parquet(_TABLES[key])
+
+
 def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx_.fx_records(spark, sf_dir)
 
