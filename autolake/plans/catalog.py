@@ -55,8 +55,9 @@ full join (select source, count(*) as rows_out,
            from silver group by source) o on i.source = o.source"""))
 def c_null_profile(spark, d):
     raw = V.listings(spark, d)
-    # silver is cleaned per source (C8): the same function on each source's records
-    return clean.null_profile(raw, V.compute_silver(spark, d), by="source")
+    # rows out = the stored silver table, the output of the cleaning (C8: one
+    # function cleans every source)
+    return clean.null_profile(raw, V.silver(spark, d), by="source")
 
 
 # ---------------------------------------------------------------- G: gold features
@@ -469,7 +470,7 @@ def q_market_metrics(spark, d):
 # ---------------------------------------------------------------- S: sources and sinks
 
 from autolake import schemas  # noqa: E402
-from autolake.functions.joins import keep_first, keep_second  # noqa: E402
+from autolake.functions.joins import first_two  # noqa: E402
 from autolake.session import scratch_path  # noqa: E402
 from autolake.sources import bronze, partitions, sinks  # noqa: E402
 
@@ -586,9 +587,12 @@ def s_upsert_fx(spark, d):
 
 
 def _upsert_inputs(spark, d):
-    lst = V.listings(spark, d)
-    first = keep_first(lst, ["cod"], "_ord", drop=["_ord"])
-    second = keep_second(lst, ["cod"], "_ord")
+    from autolake.session import work_dir
+    work_dir(spark)
+    # first and second record of each cod in one pass, written once (used twice)
+    two = first_two(V.listings(spark, d), ["cod"], "_ord").checkpoint(eager=True)
+    first = two.select("cod", "first.*")
+    second = two.where(F.col("second").isNotNull()).select("cod", "second.*")
     seven = F.col("cod").endswith("-7")
     target = first.where(~seven).select(*_SERVING_COLS)
     updates = second.where(~seven).select(*_SERVING_COLS).unionByName(first.where(seven).select(*_SERVING_COLS))
