@@ -94,12 +94,14 @@ def train_gbt(gold: DataFrame, max_iter: int = 300, seed: int = 42):
     return Pipeline(stages=pipe.getStages() + [gbt]).fit(data)
 
 
-def model_scores(model, gold: DataFrame) -> DataFrame:
-    """M9 + M10 with a trained model: the model is shipped to executors once per job."""
+def model_scores(model, gold: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """M9 + M10 with a trained model: the model is shipped to executors once per job.
+    ``carry`` columns pass through with their original (unprepared) values."""
     _, num = feature_pipeline(gold)
-    data = prepare(gold).select("cod", *CATEGORICAL, *num, TARGET)
+    kept = [F.col(c).alias(f"_carry_{c}") for c in carry]
+    data = prepare(gold).select("cod", *CATEGORICAL, *num, TARGET, *kept)
     return estimate_columns(model.transform(data), "prediction").select(
-        "cod", TARGET, "precio_estimado", "oportunidad_score")
+        "cod", TARGET, "precio_estimado", "oportunidad_score", *[F.col(f"_carry_{c}").alias(c) for c in carry])
 
 
 # ---------------------------------------------------------------- evaluation
