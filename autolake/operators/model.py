@@ -14,6 +14,9 @@ from autolake.schemas import CATEGORICAL, FEATURE_COLUMNS, TARGET
 
 NUMERIC_FEATURES = ["anio", "antiguedad", "km", "km_valido", "km_por_anio", "dolar_blue_venta"]
 MISSING = -1.0
+# A categorical with more values than this enters the trees as an ordinal number:
+# Spark trees need one bin per category, which cannot grow with the data.
+MAX_CATEGORIES = 256
 # Fixed value: warning text of an estimate for a car of the run year.
 AGE_ZERO_WARNING = "Auto del año actual — estimación menos confiable"
 
@@ -57,21 +60,25 @@ def split_counts(df: DataFrame, key: str = "cod") -> DataFrame:
 
 # ---------------------------------------------------------------- Spark ML model
 
-def feature_pipeline(gold_train: DataFrame):
+def feature_pipeline(gold_train: DataFrame, ordinal: Sequence[str] = ()):
     """StringIndexer per categorical (unseen values kept in an extra bucket) and a
-    VectorAssembler that keeps nulls as NaN (tree models split on them)."""
+    VectorAssembler. Categoricals in ``ordinal`` (too many values to give each its own
+    tree bin) enter as their alphabetical index, a plain number."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 
     idx = StringIndexer(inputCols=CATEGORICAL, outputCols=[f"{c}_idx" for c in CATEGORICAL],
                         handleInvalid="keep", stringOrderType="alphabetAsc")
+    # an arithmetic copy of the index carries no nominal metadata -> continuous feature
+    ords = ", ".join(f"{c}_idx + 0.0 AS {c}_ord" for c in ordinal) or "1 AS _none"
+    to_ordinal = SQLTransformer(statement=f"SELECT *, {ords} FROM __THIS__")
+    cats = [f"{c}_ord" if c in ordinal else f"{c}_idx" for c in CATEGORICAL]
     # Spark trees take no NaN: a missing number becomes the sentinel -1, which a split
     # separates from every real value (the reference's library routes missing values
     # to one side of each split natively)
     num = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in NUMERIC_FEATURES]
-    asm = VectorAssembler(inputCols=[f"{c}_idx" for c in CATEGORICAL] + NUMERIC_FEATURES,
-                          outputCol="features", handleInvalid="error")
-    return Pipeline(stages=[idx, asm]), num
+    asm = VectorAssembler(inputCols=cats + NUMERIC_FEATURES, outputCol="features", handleInvalid="error")
+    return Pipeline(stages=[idx, to_ordinal, asm]), num
 
 
 def train_gbt(gold: DataFrame, max_iter: int = 300, seed: int = 42):
@@ -84,10 +91,12 @@ def train_gbt(gold: DataFrame, max_iter: int = 300, seed: int = 42):
     from pyspark.ml.regression import GBTRegressor
 
     data = with_split(prepare(gold)).where(F.col("split") == "train")
-    pipe, num = feature_pipeline(data)
+    card = data.agg(*[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL]).first().asDict()
+    ordinal = [c for c in CATEGORICAL if card[c] > MAX_CATEGORIES]
+    pipe, num = feature_pipeline(data, ordinal)
     data = data.select("cod", *CATEGORICAL, *num, F.col(TARGET).cast("double").alias("label"))
-    card = data.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL]).first()
-    bins = max(32, max(card) + 2)
+    exact = data.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL if c not in ordinal]).first()
+    bins = max(32, max(exact or [0]) + 2)
     gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=4,
                        stepSize=0.05, minInstancesPerNode=5, subsamplingRate=0.8,
                        featureSubsetStrategy="0.8", seed=seed, maxBins=bins)
@@ -97,7 +106,7 @@ def train_gbt(gold: DataFrame, max_iter: int = 300, seed: int = 42):
 def model_scores(model, gold: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """M9 + M10 with a trained model: the model is shipped to executors once per job.
     ``carry`` columns pass through with their original (unprepared) values."""
-    _, num = feature_pipeline(gold)
+    num = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in NUMERIC_FEATURES]
     kept = [F.col(c).alias(f"_carry_{c}") for c in carry]
     data = prepare(gold).select("cod", *CATEGORICAL, *num, TARGET, *kept)
     return estimate_columns(model.transform(data), "prediction").select(

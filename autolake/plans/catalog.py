@@ -150,7 +150,7 @@ select s.cod, s.precio_estimado, b.venta as dolar_blue_venta,
        cast(floor(s.precio_estimado / nullif(b.venta, 0) + 0.5) as bigint) as precio_usd
 from scored s left join blue b on s.scraped_day = b.fecha"""))
 def f_usd_estimate(spark, d):
-    s = V.scored(spark, d).select("cod", "precio_estimado", "scraped_day")
+    s = V.scored_table(spark, d).select("cod", "precio_estimado", "scraped_day")
     r = fxo.rate_on_day(s, V.fx(spark, d), "scraped_day")
     return r.select("cod", "precio_estimado", "dolar_blue_venta",
                     fxo.usd_price(F.col("precio_estimado"), F.col("dolar_blue_venta")).alias("precio_usd"))
@@ -194,12 +194,12 @@ def _metrics_sql(src: str, by: str | None = None, where: str = "") -> str:
 
 @query("m_split_counts", with_views(["gold"], f"select {_SPLIT_SQL} as split, count(*) as n from gold group by 1"))
 def m_split_counts(spark, d):
-    return mo.split_counts(V.gold(spark, d))
+    return mo.split_counts(V.gold_table(spark, d))
 
 
 @query("m_metrics", with_views(["scored"], _metrics_sql(f"(select *, {_SPLIT_SQL} as split from scored)", "split")))
 def m_metrics(spark, d):
-    return mo.regression_metrics(mo.with_split(V.scored(spark, d)), "precio_ars", "precio_estimado", ["split"])
+    return mo.regression_metrics(mo.with_split(V.scored_table(spark, d)), "precio_ars", "precio_estimado", ["split"])
 
 
 @query("m_overfit_gap", with_views(["scored"], f"""
@@ -221,7 +221,7 @@ union all
 select 'provincia', provincia, dense_rank() over (order by provincia) - 1
 from (select distinct provincia from gold where provincia is not null)"""))
 def m_label_encode(spark, d):
-    return mo.label_encode(V.gold(spark, d))
+    return mo.label_encode(V.gold_table(spark, d))
 
 
 _STD_COLS = ["anio", "km", "km_por_anio"]
@@ -239,7 +239,7 @@ def _std_sql() -> str:
 
 @query("m_standardize", with_views(["gold"], _std_sql()))
 def m_standardize(spark, d):
-    return mo.standardize(V.gold(spark, d), _STD_COLS)
+    return mo.standardize(V.gold_table(spark, d), _STD_COLS)
 
 
 def _model_b(scored_test):
@@ -268,7 +268,7 @@ select 'OVERALL', cast(count(*) filter (where winner = 'a') as double),
        cast(count(*) filter (where winner = 'b') as double),
        case when count(*) filter (where winner = 'a') >= 3 then 'a' else 'b' end from per""", _COMPARE_CTES))
 def m_compare(spark, d):
-    test = mo.with_split(V.scored(spark, d)).where(F.col("split") == "test")
+    test = mo.with_split(V.scored_table(spark, d)).where(F.col("split") == "test")
     ma = mo.regression_metrics(test, "precio_ars", "precio_estimado")
     mb = mo.regression_metrics(_model_b(test), "precio_ars", "precio_estimado")
     return mo.compare_models(ma, mb)
@@ -282,21 +282,21 @@ def m_score(spark, d):
 @query("m_opportunity_count", with_views(["scored"], """
 select count(*) filter (where oportunidad_score > 0.1) as oportunidades, count(*) as total from scored"""))
 def m_opportunity_count(spark, d):
-    return mo.count_opportunities(V.scored(spark, d))
+    return mo.count_opportunities(V.scored_table(spark, d))
 
 
 @query("m_top5", with_views(["scored"], """
 select cod, marca, modelo, anio, precio_ars, precio_estimado, oportunidad_score from scored
 where oportunidad_score is not null order by oportunidad_score desc, cod limit 5"""))
 def m_top5(spark, d):
-    return mo.top_scores(V.scored(spark, d), 5)
+    return mo.top_scores(V.scored_table(spark, d), 5)
 
 
 @query("m_gbt_score")
 def m_gbt_score(spark, d):
     """Train boosted trees on the gold training split and score every gold row
     (few iterations here; the job uses the full 300). Rows-only check."""
-    g = V.gold(spark, d)
+    g = V.gold_table(spark, d)
     model = mo.train_gbt(g, max_iter=10)
     return mo.model_scores(model, g)
 
@@ -370,7 +370,7 @@ where contains(lower(marca), 'brand#1') and contains(lower(provincia), 'nation_1
   and anio >= 1996 and anio <= 2000 and km <= 150000 and precio_ars <= 9000000 and oportunidad_score >= 0.1
 order by oportunidad_score desc nulls last, cod limit 10"""))
 def q_search(spark, d):
-    return mk.search(V.serving(spark, d), _SEARCH)
+    return mk.search(V.serving_table(spark, d), _SEARCH)
 
 
 def _fmt(c: str) -> str:
@@ -393,7 +393,7 @@ from (select *, q + case when r > 5 or (r = 5 and q % 2 = 1) then 1 else 0 end a
             from (select *, cast(floor(bp / 10) as bigint) as q
                   from (select *, cast(round(oportunidad_score * 10000) as bigint) as bp from serving))))"""))
 def q_labels(spark, d):
-    return mk.result_lines(V.serving(spark, d))
+    return mk.result_lines(V.serving_table(spark, d))
 
 
 @query("q_top_opportunities", with_views(["serving"], """
@@ -402,7 +402,7 @@ select cod, marca, modelo, anio, km, precio_ars, precio_estimado, oportunidad_sc
 from serving where oportunidad_score >= 0.1 and contains(lower(marca), 'brand#2')
 order by oportunidad_score desc, cod limit 7"""))
 def q_top_opportunities(spark, d):
-    return mk.top_opportunities(V.serving(spark, d), marca="brand#2", limite=7)
+    return mk.top_opportunities(V.serving_table(spark, d), marca="brand#2", limite=7)
 
 
 @query("q_board", with_views(["serving"], f"""
@@ -411,7 +411,7 @@ select cod, marca, modelo, anio, provincia, precio_ars, precio_estimado, oportun
        case when starts_with(url, 'http') then url else '{mk.BASE_URL}' || url end as url
 from serving where oportunidad_score > 0.1 order by oportunidad_score desc, cod limit 20"""))
 def q_board(spark, d):
-    return mk.opportunity_board(V.serving(spark, d))
+    return mk.opportunity_board(V.serving_table(spark, d))
 
 
 _FEED_SQL = f"select {_FEED} from serving order by scraped_at desc nulls first, cod limit 1000"
@@ -419,24 +419,24 @@ _FEED_SQL = f"select {_FEED} from serving order by scraped_at desc nulls first,
 
 @query("q_recent_feed", with_views(["serving"], _FEED_SQL))
 def q_recent_feed(spark, d):
-    return mk.recent_feed(V.serving(spark, d))
+    return mk.recent_feed(V.serving_table(spark, d))
 
 
 @query("q_facets", with_views(["serving"], f"""
 select distinct 'marca' as facet, marca as value from ({_FEED_SQL})
 union select distinct 'provincia', provincia from ({_FEED_SQL})"""))
 def q_facets(spark, d):
-    return mk.facets(mk.recent_feed(V.serving(spark, d)))
+    return mk.facets(mk.recent_feed(V.serving_table(spark, d)))
 
 
 @query("q_table_filter", with_views(["serving"], f"select {_FEED} from serving where {_TABLE_SQL}"))
 def q_table_filter(spark, d):
-    return V.serving(spark, d).where(mk.table_predicate(**_TABLE)).select(*mk.FEED_COLUMNS)
+    return V.serving_table(spark, d).where(mk.table_predicate(**_TABLE)).select(*mk.FEED_COLUMNS)
 
 
 @query("q_user_sort", with_views(["serving"], f"select {_FEED} from serving where marca = 'Brand#7'"))
 def q_user_sort(spark, d):
-    rows = V.serving(spark, d).where(mk.table_predicate(marca="Brand#7")).select(*mk.FEED_COLUMNS)
+    rows = V.serving_table(spark, d).where(mk.table_predicate(marca="Brand#7")).select(*mk.FEED_COLUMNS)
     return mk.user_sort(rows, "modelo", ascending=False)
 
 
@@ -444,27 +444,27 @@ def q_user_sort(spark, d):
 select cod, coalesce(precio_ars, 0) / (select greatest(coalesce(max(precio_ars), 0), 1) from serving) * 100
        as pct_of_max from serving"""))
 def q_relative_price(spark, d):
-    return mk.relative_price(V.serving(spark, d))
+    return mk.relative_price(V.serving_table(spark, d))
 
 
 @query("q_match_counter", with_views(["serving"], f"""
 select count(*) filter (where {_TABLE_SQL}) as filtered, count(*) as total from serving"""))
 def q_match_counter(spark, d):
-    return mk.match_counter(V.serving(spark, d), mk.table_predicate(**_TABLE))
+    return mk.match_counter(V.serving_table(spark, d), mk.table_predicate(**_TABLE))
 
 
 @query("q_km_display", with_views(["serving"], """
 select cod, case when coalesce(km, 0) <= 1 then '—' else replace(format('{:,}', km), ',', '.') || ' km' end
        as km_text from serving"""))
 def q_km_display(spark, d):
-    return V.serving(spark, d).select("cod", mk.km_display(F.col("km")).alias("km_text"))
+    return V.serving_table(spark, d).select("cod", mk.km_display(F.col("km")).alias("km_text"))
 
 
 @query("q_market_metrics", with_views(["serving"], """
 select count(*) as total_autos, count(*) filter (where oportunidad_score > 0.1) as total_oportunidades,
        max(fecha) as ultima_fecha_scraping, cast(0.1 as double) as threshold_oportunidad from serving"""))
 def q_market_metrics(spark, d):
-    return mk.market_metrics(V.serving(spark, d))
+    return mk.market_metrics(V.serving_table(spark, d))
 
 
 # ---------------------------------------------------------------- S: sources and sinks
@@ -637,7 +637,7 @@ select t.cod, t.precio_ars, s.precio_estimado, s.oportunidad_score
 from (select cod, precio_ars from silver where source = 'a') t left join scored s on t.cod = s.cod"""))
 def s_update_only(spark, d):
     target = V.silver(spark, d).where(F.col("source") == "a").select("cod", "precio_ars")
-    scores = V.scored(spark, d).select("cod", "precio_estimado", "oportunidad_score")
+    scores = V.scored_table(spark, d).select("cod", "precio_estimado", "oportunidad_score")
     return sinks.update_only(target, scores, ["cod"], ["precio_estimado", "oportunidad_score"])
 
 

@@ -25,18 +25,38 @@ def compute_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TABLES: dict[tuple, str] = {}
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver layer as a stored table, like the pipeline's Parquet silver: written
-    once per session and data folder to the shared work folder, then read by every
-    downstream query (gold, scoring, serving, pages, sinks)."""
-    key = (id(spark), sf_dir, "silver")
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A layer as a stored table: built once per session and data folder into the
+    shared work folder (a reliable write that also cuts the lineage), then read by
+    every downstream query — the medallion layout of the pipeline."""
+    key = (id(spark), sf_dir, name)
     if key not in _TABLES:
-        path = scratch_path(spark, "silver")
-        compute_silver(spark, sf_dir).write.parquet(path)
+        path = scratch_path(spark, name)
+        build().write.parquet(path)
         _TABLES[key] = path
     return spark.read.parquet(_TABLES[key])
 
 
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored silver (the output of C1-C6), read by gold, scoring, pages and sinks."""
+    return stored(spark, sf_dir, "silver", lambda: compute_silver(spark, sf_dir))
+
+
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored gold (G13 output), read by training and the model-side operators."""
+    return stored(spark, sf_dir, "gold", lambda: gold(spark, sf_dir))
+
+
+def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored scores (M9/M10 output), read by evaluation and the opportunity reports."""
+    return stored(spark, sf_dir, "scored", lambda: scored(spark, sf_dir))
+
+
+def serving_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored serving listings (S11 output), read by the market queries."""
+    return stored(spark, sf_dir, "serving", lambda: serving(spark, sf_dir))
+
+
 def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx_.fx_records(spark, sf_dir)
 

@@ -101,3 +101,15 @@ def test_train_save_load_score(spark, tmp_root):
     m = mo.regression_metrics(scores, "precio_ars", "precio_estimado").first()
     run = registry.record_run(spark, f"{tmp_root}/runs", {"maxIter": 5}, {"mae": m.mae}, {"mae": m.mae}, "2026-07-02")
     assert run.first().overfitting_gap_mae == 0.0
+
+
+def test_wide_categoricals_enter_as_ordinals(spark, monkeypatch):
+    monkeypatch.setattr(mo, "MAX_CATEGORIES", 2)
+    data = [(f"c{i}", f"B{i % 3}", f"M{i % 50}", "P", 2000, 1, 10.0, True, 10.0, None, 1000 + 10 * i)
+            for i in range(120)]
+    gold = spark.createDataFrame(data, "cod string, marca string, modelo string, provincia string, anio int, "
+                                       "antiguedad int, km double, km_valido boolean, km_por_anio double, "
+                                       "dolar_blue_venta double, precio_ars long")
+    m = mo.train_gbt(gold, max_iter=2)
+    assert m.stages[-1].getMaxBins() == 32          # 50 models did not force 52 bins
+    assert mo.model_scores(m, gold).count() == 120
