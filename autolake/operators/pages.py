@@ -92,7 +92,6 @@ def parse_cards(cards: DataFrame, card: str = "card", id_prefix: str = "b-") ->
     slug = F.rtrim(F.element_at(F.split(href, CARD_MARKER), -1), F.lit("/"))
     title = F.trim(_strip_tags(F.regexp_extract(c, r"(?s)<h3[^>]*>(.*?)</h3>", 1), ""))
     tparts = F.split(title, TITLE_SEP)
-    has_sub = c.rlike(r"(?s)<p[^>]*>.*?</p>")
     sub = F.trim(_strip_tags(F.regexp_extract(c, r"(?s)<p[^>]*>(.*?)</p>", 1), ""))
     sparts = F.split(sub, TITLE_SEP)
     year_txt = F.element_at(sparts, 1)
@@ -110,8 +109,9 @@ def parse_cards(cards: DataFrame, card: str = "card", id_prefix: str = "b-") ->
                          F.lit(CARD_CONDITION).alias("condicion"),
                          prov.alias("provincia"),
                          F.try_element_at(prices, F.lit(-1)).alias("precio_ars"),
-                         F.when(has_sub & year_txt.rlike(r"^[0-9]+$"), year_txt.cast("int")).alias("anio"),
-                         F.when(has_sub & km_txt.rlike(r"^[0-9]+$"), km_txt.cast("bigint"))
+                         # no subtitle reads as an empty one: no year, km 0
+                         F.when(year_txt.rlike(r"^[0-9]+$"), year_txt.cast("int")).alias("anio"),
+                         F.when(km_txt.rlike(r"^[0-9]+$"), km_txt.cast("bigint"))
                           .otherwise(F.lit(0).cast("bigint")).alias("km"),
                          absolute_url(href).alias("url"))
                  .where(F.col("precio_ars").isNotNull())

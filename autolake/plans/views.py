@@ -14,7 +14,8 @@ from autolake.session import scratch_path
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx_.listings(spark, sf_dir)
+    """Listing records as landed (the bronze layer), stored once like the landed files."""
+    return stored(spark, sf_dir, "records", lambda: fx_.listings(spark, sf_dir))
 
 
 def compute_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
