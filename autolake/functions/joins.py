@@ -46,27 +46,39 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Column | str,
 
 def dense_index(values: DataFrame, col: str, out: str = "code",
                 partitions: int | None = None) -> DataFrame:
-    """Map each distinct value of ``col`` to its 0-based rank in ascending order.
+    """Map each distinct value of ``col`` to its 0-based rank in ascending order."""
+    ranked = dense_index_columns(values, [col], partitions)
+    return ranked.select(F.col("value").alias(col), F.col("code").alias(out))
 
-    Distributed: range-partition the distinct values, number rows inside each
-    partition, and add the exclusive prefix sum of the partition sizes. The
-    offsets table has one row per partition (a proven bound), so broadcasting it
-    is safe. No single-partition window, nothing collected on the driver.
+
+def dense_index_columns(values: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """``column, value, code``: per column, each distinct non-null value and its
+    0-based rank in ascending order — all columns in one distributed pass.
+
+    The (column, value) pairs are range-partitioned and numbered inside each
+    partition; a value's rank is its number minus the first number of its column in
+    that partition, plus the count of the column's values in earlier partitions. The
+    offsets table has one row per (partition, column): a proven bound, so it is
+    broadcast. No single-partition window, nothing collected on the driver.
     """
     spark = values.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    distinct = values.select(col).where(F.col(col).isNotNull()).distinct()
-    ranged = (distinct.repartitionByRange(n, F.col(col)).sortWithinPartitions(col)
+    pairs = None
+    for c in cols:
+        p = values.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+        pairs = p if pairs is None else pairs.unionByName(p)
+    distinct = pairs.where(F.col("value").isNotNull()).distinct()
+    ranged = (distinct.repartitionByRange(n, "column", "value").sortWithinPartitions("column", "value")
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     work_dir(spark)
     # ids are fixed once written: a recomputed partition could otherwise renumber
     ranged = ranged.checkpoint(eager=True)
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("column", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    w = Window.partitionBy("column").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    return (ranged.join(F.broadcast(offsets), "_pid")
-                  .select(F.col(col), (F.col("_off") + F.col("_mid") - F.col("_m0")).alias(out)))
+    return (ranged.join(F.broadcast(offsets), ["column", "_pid"])
+                  .select("column", "value", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("code")))
 
 
 def first_two(df: DataFrame, keys: Sequence[str], order: str, drop: Sequence[str] = ()) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from autolake.functions.columns import (OPPORTUNITY_THRESHOLD, REQUEST_YEAR_MAX, YEAR_MIN,
                                         clip_lower, hash_split)
-from autolake.functions.joins import bounded_broadcast, dense_index
+from autolake.functions.joins import bounded_broadcast, dense_index_columns
 from autolake.schemas import CATEGORICAL, FEATURE_COLUMNS, TARGET
 
 NUMERIC_FEATURES = ["anio", "antiguedad", "km", "km_valido", "km_por_anio", "dolar_blue_venta"]
@@ -167,14 +167,9 @@ def compare_models(metrics_a: DataFrame, metrics_b: DataFrame, name_a: str = "a"
 
 
 def label_encode(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """M6: categories as 0..k-1 in ascending code-point order, one table per column
-    (long format ``column, value, code``), computed without a global window."""
-    parts = [dense_index(df, c).select(F.lit(c).alias("column"), F.col(c).alias("value"), "code")
-             for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """M6: categories as 0..k-1 in ascending code-point order, per column (long format
+    ``column, value, code``), all columns ranked in one pass without a global window."""
+    return dense_index_columns(df, cols)
 
 
 def standardize(df: DataFrame, cols: Sequence[str], key: str = "cod", digits: int = 6) -> DataFrame:

@@ -726,3 +726,15 @@ where marca = (select min(marca) from listings l2 where l2.cod = l.cod)"""))
 def p_first_seen(spark, d):
     cards = V.listings(spark, d).select("cod", "marca", "modelo", "precio_ars", F.col("marca").alias("brand_ord"))
     return pg.first_seen(cards).drop("brand_ord")
+
+
+@query("s_latest_model", f"""
+select max(model_date) as model_date, arg_max(key, model_date) as key
+from (select key, try_cast(nullif(regexp_extract(key, '(\\d{{4}}-\\d{{2}}-\\d{{2}})', 1), '') as date) as model_date
+      from ({_MODEL_KEYS_SQL}))
+where model_date is not null""")
+def s_latest_model(spark, d):
+    """The newest dated model of a registry (keys from the orders fixture)."""
+    from autolake.plans.fixtures import model_keys
+    from autolake.sources.registry import latest_model_key, model_registry
+    return latest_model_key(model_registry(spark, model_keys(spark, d)))

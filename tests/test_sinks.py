@@ -90,3 +90,20 @@ def test_versioned_commit(spark, tmp_root):
     sinks.commit_version(spark.createDataFrame([("1",)], "cod string"), root, 1)
     sinks.commit_version(spark.createDataFrame([("1",), ("2",)], "cod string"), root, 2)
     assert rows(sinks.read_current(spark, root)) == [("1",), ("2",)]
+
+
+def test_first_seen_and_first_two_with_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from autolake.functions.joins import first_two
+    from autolake.operators.pages import first_seen
+    # a third of the rows share one key
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("cod"),
+        (F.col("id") % 7).cast("int").alias("brand_ord"), F.col("id").alias("o"))
+    two = {r.cod: (r.first.brand_ord, r.second.brand_ord if r.second else None)
+           for r in first_two(df.repartition(8), ["cod"], "o").collect()}
+    assert two["hot"] == (0, 3)        # ids 0 and 3
+    kept = first_seen(df.repartition(8), "cod", "brand_ord")
+    assert kept.where("cod = 'hot'").count() == len([i for i in range(0, 30000, 3) if i % 7 == 0])
+    assert kept.where("cod <> 'hot'").count() == 20000
