@@ -97,12 +97,32 @@ def train_gbt(gold: DataFrame, max_iter: int = 300, seed: int = 42):
     data = data.select("cod", *CATEGORICAL, *num, F.col(TARGET).cast("double").alias("label"))
     exact = data.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL if c not in ordinal]).first()
     bins = max(32, max(exact or [0]) + 2)
+    # node ids cached and checkpointed every 10 trees to the shared folder: a lost
+    # executor recomputes from the last checkpoint, not from the first iteration
     gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=4,
                        stepSize=0.05, minInstancesPerNode=5, subsamplingRate=0.8,
-                       featureSubsetStrategy="0.8", seed=seed, maxBins=bins)
+                       featureSubsetStrategy="0.8", seed=seed, maxBins=bins,
+                       cacheNodeIds=True, checkpointInterval=10)
     return Pipeline(stages=pipe.getStages() + [gbt]).fit(data)
 
 
+def train_forest(gold: DataFrame, num_trees: int = 100, seed: int = 42):
+    """Second model for M8: a random forest on the same features and training split."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import RandomForestRegressor
+
+    data = with_split(prepare(gold)).where(F.col("split") == "train")
+    card = data.agg(*[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL]).first().asDict()
+    ordinal = [c for c in CATEGORICAL if card[c] > MAX_CATEGORIES]
+    pipe, num = feature_pipeline(data, ordinal)
+    data = data.select("cod", *CATEGORICAL, *num, F.col(TARGET).cast("double").alias("label"))
+    exact = data.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL if c not in ordinal]).first()
+    rf = RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees, maxDepth=8,
+                               minInstancesPerNode=5, subsamplingRate=0.8, seed=seed,
+                               maxBins=max(32, max(exact or [0]) + 2), cacheNodeIds=True, checkpointInterval=10)
+    return Pipeline(stages=pipe.getStages() + [rf]).fit(data)
+
+
 def model_scores(model, gold: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """M9 + M10 with a trained model: the model is shipped to executors once per job.
     ``carry`` columns pass through with their original (unprepared) values."""

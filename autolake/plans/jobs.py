@@ -145,6 +145,17 @@ def train_job(spark: SparkSession, lake: str, day, max_iter: int = 300) -> dict:
     return {"model": key, "metrics": metrics}
 
 
+def compare_job(spark: SparkSession, lake: str, day, max_iter: int = 300, num_trees: int = 100) -> list[dict]:
+    """M8: the boosted trees against a random forest on the same hold-out rows."""
+    gold = partitions.read_day(spark, f"{lake}/gold/listings", "fecha", day).drop("fecha", "source")
+    test_rows = model.with_split(gold).where(F.col("split") == "test").drop("split")
+    a = model.model_scores(model.train_gbt(gold, max_iter=max_iter), test_rows)
+    b = model.model_scores(model.train_forest(gold, num_trees=num_trees), test_rows)
+    ma = model.regression_metrics(a, "precio_ars", "precio_estimado")
+    mb = model.regression_metrics(b, "precio_ars", "precio_estimado")
+    return [r.asDict() for r in model.compare_models(ma, mb, "gbt", "forest").collect()]
+
+
 def score_job(spark: SparkSession, lake: str, day, sources=("a", "b")) -> dict:
     """S8 + M9-M12 + S11: score every gold row with the latest model, merge the scores
     into the serving table (update only), report counts and the top 5."""

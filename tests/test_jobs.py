@@ -55,6 +55,8 @@ def test_listings_job_end_to_end(spark, tmp_root):
     # Retraining and re-running give a consistent serving table
     jobs.gold_job(spark, lake, DAY)
     res = jobs.retrain_job(spark, lake, DAY, max_iter=3)
+    cmp = {r["metric"]: r["winner"] for r in jobs.compare_job(spark, lake, DAY, max_iter=3, num_trees=3)}
+    assert set(cmp) == {"MAE", "RMSE", "R2", "MAPE", "OVERALL"} and cmp["OVERALL"] in ("gbt", "forest")
     assert res["score"]["total"] > out["score"]["total"]
     again = sinks.read_current(spark, f"{lake}/serving/listings")
     assert again.count() == both.count()
