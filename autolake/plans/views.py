@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from autolake.session import scratch_path
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing records as landed (the bronze layer), stored once like the landed files."""
-    return stored(spark, sf_dir, "records", lambda: fx_.listings(spark, sf_dir))
+    return stored(spark, sf_dir, "records", lambda: fx_.listings(spark, sf_dir), bucket_by="cod")
 
 
 def compute_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,21 +28,32 @@ def compute_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TABLES: dict[tuple, str] = {}
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def stored(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str | None = None) -> DataFrame:
     """A layer as a stored table: built once per session and data folder into the
     shared work folder (a reliable write that also cuts the lineage), then read by
-    every downstream query — the medallion layout of the pipeline."""
+    every downstream query — the medallion layout of the pipeline.
+
+    With ``bucket_by`` the table is written bucketed on that key (one bucket per
+    shuffle partition) and registered in the catalog, so aggregates and joins on the
+    key read co-located buckets instead of shuffling the table again."""
     key = (id(spark), sf_dir, name)
     if key not in _TABLES:
         path = scratch_path(spark, name)
-        build().write.parquet(path)
-        _TABLES[key] = path
-    return spark.read.parquet(_TABLES[key])
+        if bucket_by is None:
+            build().write.parquet(path)
+            _TABLES[key] = path
+        else:
+            table = f"autolake_{name}_{uuid.uuid4().hex[:12]}"
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            build().write.bucketBy(n, bucket_by).option("path", path).format("parquet").saveAsTable(table)
+            _TABLES[key] = "table:" + table
+    ref = _TABLES[key]
+    return spark.table(ref[6:]) if ref.startswith("table:") else spark.read.parquet(ref)
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored silver (the output of C1-C6), read by gold, scoring, pages and sinks."""
-    return stored(spark, sf_dir, "silver", lambda: compute_silver(spark, sf_dir))
+    return stored(spark, sf_dir, "silver", lambda: compute_silver(spark, sf_dir), bucket_by="cod")
 
 
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +63,7 @@ def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored scores (M9/M10 output), read by evaluation and the opportunity reports."""
-    return stored(spark, sf_dir, "scored", lambda: scored(spark, sf_dir))
+    return stored(spark, sf_dir, "scored", lambda: scored(spark, sf_dir), bucket_by="cod")
 
 
 def serving_table(spark: SparkSession, sf_dir: str) -> DataFrame:
