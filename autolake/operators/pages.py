@@ -68,7 +68,8 @@ def hidden_inputs(df: DataFrame, html: str = "html") -> DataFrame:
 
 def assemble(links: DataFrame, details: DataFrame, scraped_at: Column, path: str = "path") -> DataFrame:
     """P5: parsed link fields joined with the detail fields of the same path, plus the
-    absolute URL and the scrape time. Both sides are keyed by path (unique)."""
+    absolute URL and the scrape time (e.g. the detail page's fetch time). Both sides
+    are keyed by path (unique)."""
     return (links.join(details, path)
                  .withColumn("url", absolute_url(F.col(path)))
                  .withColumn("scraped_at", scraped_at))

@@ -693,7 +693,7 @@ def p_parse_path(spark, d):
 select path, precio_ars, cast(anio as bigint) as anio, km from silver
 where precio_ars is not null and anio is not null and km is not null"""))
 def p_hidden_inputs(spark, d):
-    return pg.hidden_inputs(fxt.detail_pages(V.silver(spark, d))).drop("html")
+    return pg.hidden_inputs(fxt.detail_pages(V.silver(spark, d))).drop("html", "fetched_at")
 
 
 @query("p_assemble", with_views(["silver"], f"""
@@ -705,8 +705,7 @@ def p_assemble(spark, d):
     links = pg.parse_listing_path(
         pg.extract_links(fxt.index_pages(s), keep=["segmento"]).withColumnRenamed("link", "path"))
     details = pg.hidden_inputs(fxt.detail_pages(s)).drop("html")
-    day = s.select("path", F.col("scraped_day").alias("scraped_at"))
-    rec = pg.assemble(links, details, F.lit(None)).drop("scraped_at").join(day, "path")
+    rec = pg.assemble(links, details, F.col("fetched_at"))
     return rec.select("cod", "marca", "modelo", "condicion", "provincia", "precio_ars", "anio", "km",
                       "segmento", "url", "scraped_at")
 

@@ -128,7 +128,8 @@ def detail_pages(rows: DataFrame) -> DataFrame:
         return F.concat(F.lit(f'<input type="hidden" name="{name}" id="{name}" value="'), _txt(c), F.lit('">'))
     html = F.concat(F.lit("<html><body><form>"), inp("precio", F.col("precio_ars")), inp("anio", F.col("anio")),
                     inp("kilometraje", F.col("km")), F.lit("</form></body></html>"))
-    return rows.select("path", html.alias("html"))
+    # the fetch time of a detail page is the listing's scrape time
+    return rows.select("path", html.alias("html"), F.col("scraped_day").alias("fetched_at"))
 
 
 def card_pages(rows: DataFrame) -> DataFrame:
