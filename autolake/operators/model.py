@@ -249,6 +249,19 @@ def request_features(req: DataFrame, run_year: int, rate: Column) -> DataFrame:
                .withColumn("advertencia", F.when(F.col("antiguedad") == 0, F.lit(AGE_ZERO_WARNING))))
 
 
+def score_requests(model, req: DataFrame, run_year: int, rate: Column) -> DataFrame:
+    """M13-M16 as one batch: validate every request, build its features (no imputation),
+    score the valid ones with the model and truncate the estimate; invalid requests
+    keep their reasons and no estimate."""
+    checked = validate_requests(req)
+    feats = request_features(checked.where(F.col("valid")), run_year, rate)
+    data = feats.select("req_id", *CATEGORICAL, *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c)
+                                                   for c in NUMERIC_FEATURES], "advertencia")
+    est = model.transform(data).select("req_id", truncated_estimate(F.col("prediction")).alias("precio_estimado_ars"),
+                        "advertencia")
+    return checked.select("req_id", "valid", "reasons").join(est, "req_id", "left")
+
+
 def truncated_estimate(prediction: Column) -> Column:
     """Request estimates truncate (batch scores round)."""
     return prediction.cast("bigint")

@@ -484,7 +484,7 @@ _PARTIAL_UPDATE = ["scraped_day", "precio_ars", "km", "segmento", "source"]
 def _silver_by_day(spark, d):
     """Silver written as two day-partitioned tables: source a every day, source b
     only on even epoch days. Written once per session and data folder."""
-    key = (id(spark), d, "silver_by_day")
+    key = (spark.sparkContext.applicationId, d, "silver_by_day")
     if key not in _WRITTEN:
         root = scratch_path(spark, "silver_by_day")
         s = V.silver(spark, d)
@@ -536,7 +536,7 @@ from listings"""))
 def s_listing_bronze_roundtrip(spark, d):
     """S1 + S2: land every listing record as a JSON line under its day, read it back
     with the explicit record schema."""
-    key = (id(spark), d, "listing_bronze")
+    key = (spark.sparkContext.applicationId, d, "listing_bronze")
     if key not in _WRITTEN:
         root = scratch_path(spark, "bronze_listings")
         recs = V.listings(spark, d).drop("_ord")
@@ -552,7 +552,7 @@ def s_fx_bronze_roundtrip(spark, d):
     as multi-line JSON with the envelope schema, exploded and normalised."""
     from autolake.operators.fx import normalize_fx
     from autolake.plans.fixtures import fx_bronze
-    key = (id(spark), d, "fx_bronze")
+    key = (spark.sparkContext.applicationId, d, "fx_bronze")
     if key not in _WRITTEN:
         root = scratch_path(spark, "bronze_fx")
         recs = fx_bronze(spark, d)

@@ -36,7 +36,9 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str |
     With ``bucket_by`` the table is written bucketed on that key (one bucket per
     shuffle partition) and registered in the catalog, so aggregates and joins on the
     key read co-located buckets instead of shuffling the table again."""
-    key = (id(spark), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key in _TABLES and _TABLES[key].startswith("table:") and not spark.catalog.tableExists(_TABLES[key][6:]):
+        del _TABLES[key]          # the catalog lost it (e.g. a new session): build again
     if key not in _TABLES:
         path = scratch_path(spark, name)
         if bucket_by is None:

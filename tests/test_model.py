@@ -98,6 +98,11 @@ def test_train_save_load_score(spark, tmp_root):
     scores = mo.model_scores(loaded, gold)
     assert scores.count() == 200
     assert scores.where(F.col("precio_estimado").isNull()).count() == 0
+    req = spark.createDataFrame([(1, "B1", "M1", "P1", 2026, 1000), (2, "B1", "M9", "P1", 2026, -5)],
+                                "req_id int, marca string, modelo string, provincia string, anio int, km long")
+    est = {r.req_id: r for r in mo.score_requests(loaded, req, 2026, F.lit(1200.0)).collect()}
+    assert est[1].valid and est[1].precio_estimado_ars is not None and est[1].advertencia is not None
+    assert not est[2].valid and est[2].precio_estimado_ars is None   # unseen model is fine; km < 0 is not
     m = mo.regression_metrics(scores, "precio_ars", "precio_estimado").first()
     run = registry.record_run(spark, f"{tmp_root}/runs", {"maxIter": 5}, {"mae": m.mae}, {"mae": m.mae}, "2026-07-02")
     assert run.first().overfitting_gap_mae == 0.0
