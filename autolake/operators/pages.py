@@ -87,36 +87,37 @@ def _strip_tags(c: Column, sep: str = "|") -> Column:
 def parse_cards(cards: DataFrame, card: str = "card", id_prefix: str = "b-") -> DataFrame:
     """P6b-P6g: slug/id, title split (fewer than 2 parts: dropped), subtitle year (all
     digits, else null) and km (non-digits: 0), price = last amount >= 1,000,000
-    (none: dropped), footer province ('' when absent) and absolute URL."""
+    (none: dropped), footer province ('' when absent) and absolute URL.
+
+    Each field is extracted from the card once (one projection), then derived; a
+    missing subtitle reads as an empty one (no year, km 0)."""
     c = F.col(card)
-    href = F.regexp_extract(c, r'href="([^"]*)"', 1)
-    slug = F.rtrim(F.element_at(F.split(href, CARD_MARKER), -1), F.lit("/"))
-    title = F.trim(_strip_tags(F.regexp_extract(c, r"(?s)<h3[^>]*>(.*?)</h3>", 1), ""))
-    tparts = F.split(title, TITLE_SEP)
-    sub = F.trim(_strip_tags(F.regexp_extract(c, r"(?s)<p[^>]*>(.*?)</p>", 1), ""))
-    sparts = F.split(sub, TITLE_SEP)
-    year_txt = F.element_at(sparts, 1)
-    km_txt = F.trim(F.replace(F.replace(F.try_element_at(sparts, F.lit(2)), F.lit("km"), F.lit("")),
+    raw = cards.select(
+        "*",
+        F.regexp_extract(c, r'href="([^"]*)"', 1).alias("_href"),
+        F.trim(_strip_tags(F.regexp_extract(c, r"(?s)<h3[^>]*>(.*?)</h3>", 1), "")).alias("_title"),
+        F.trim(_strip_tags(F.regexp_extract(c, r"(?s)<p[^>]*>(.*?)</p>", 1), "")).alias("_sub"),
+        F.regexp_extract_all(_strip_tags(c), F.lit(AMOUNT), 0).alias("_amounts"),
+        F.trim(_strip_tags(F.regexp_extract(c, FOOTER_SPAN, 1), "")).alias("provincia"))
+    amounts = F.transform("_amounts", lambda a: F.replace(a, F.lit("."), F.lit("")).cast("bigint"))
+    step = raw.select("*", F.split("_title", TITLE_SEP).alias("_t"), F.split("_sub", TITLE_SEP).alias("_s"),
+                      F.try_element_at(F.filter(amounts, lambda a: a >= MIN_PRICE), F.lit(-1)).alias("precio_ars"))
+    year_txt = F.element_at("_s", 1)
+    km_txt = F.trim(F.replace(F.replace(F.try_element_at("_s", F.lit(2)), F.lit("km"), F.lit("")),
                               F.lit("."), F.lit("")))
-    amounts = F.transform(F.regexp_extract_all(_strip_tags(c), F.lit(AMOUNT), 0),
-                          lambda a: F.replace(a, F.lit("."), F.lit("")).cast("bigint"))
-    prices = F.filter(amounts, lambda a: a >= MIN_PRICE)
-    prov = F.trim(_strip_tags(F.regexp_extract(c, FOOTER_SPAN, 1), ""))
-    return (cards.where(c.contains(CARD_MARKER) & (F.size(tparts) >= 2))
-                 .select("*",
-                         F.concat(F.lit(id_prefix), slug).alias("cod"),
-                         F.trim(tparts[0]).alias("marca"),
-                         F.trim(tparts[1]).alias("modelo"),
-                         F.lit(CARD_CONDITION).alias("condicion"),
-                         prov.alias("provincia"),
-                         F.try_element_at(prices, F.lit(-1)).alias("precio_ars"),
-                         # no subtitle reads as an empty one: no year, km 0
-                         F.when(year_txt.rlike(r"^[0-9]+$"), year_txt.cast("int")).alias("anio"),
-                         F.when(km_txt.rlike(r"^[0-9]+$"), km_txt.cast("bigint"))
-                          .otherwise(F.lit(0).cast("bigint")).alias("km"),
-                         absolute_url(href).alias("url"))
-                 .where(F.col("precio_ars").isNotNull())
-                 .drop(card))
+    slug = F.rtrim(F.element_at(F.split("_href", CARD_MARKER), -1), F.lit("/"))
+    keep = [x for x in cards.columns if x != card]
+    return (step.where(c.contains(CARD_MARKER) & (F.size("_t") >= 2) & F.col("precio_ars").isNotNull())
+                .select(*keep,
+                        F.concat(F.lit(id_prefix), slug).alias("cod"),
+                        F.trim(F.col("_t")[0]).alias("marca"),
+                        F.trim(F.col("_t")[1]).alias("modelo"),
+                        F.lit(CARD_CONDITION).alias("condicion"),
+                        "provincia", "precio_ars",
+                        F.when(year_txt.rlike(r"^[0-9]+$"), year_txt.cast("int")).alias("anio"),
+                        F.when(km_txt.rlike(r"^[0-9]+$"), km_txt.cast("bigint"))
+                         .otherwise(F.lit(0).cast("bigint")).alias("km"),
+                        absolute_url(F.col("_href")).alias("url")))
 
 
 def first_seen(cards: DataFrame, key: str = "cod", order: str = "brand_ord") -> DataFrame:
