@@ -482,15 +482,18 @@ _PARTIAL_UPDATE = ["scraped_day", "precio_ars", "km", "segmento", "source"]
 
 
 def _silver_by_day(spark, d):
-    """Silver written as two day-partitioned tables: source a every day, source b
-    only on even epoch days. Written once per session and data folder."""
+    """Silver as a day-partitioned table per source (``source=<s>/scraped_day=<d>``):
+    source a every day, source b only on even epoch days. One write for both
+    sources, once per session and data folder."""
     key = (spark.sparkContext.applicationId, d, "silver_by_day")
     if key not in _WRITTEN:
         root = scratch_path(spark, "silver_by_day")
         s = V.silver(spark, d)
-        partitions.write_day_partitions(s.where(F.col("source") == "a"), f"{root}/a", "scraped_day", ["cod"])
         even = F.pmod(F.datediff(F.col("scraped_day"), F.lit("1970-01-01").cast("date")), F.lit(2)) == 0
-        partitions.write_day_partitions(s.where((F.col("source") == "b") & even), f"{root}/b", "scraped_day", ["cod"])
+        rows = s.where((F.col("source") == "a") | even)
+        (rows.repartitionByRange("source", "scraped_day", "cod")
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("source", "scraped_day").parquet(root))
         _WRITTEN[key] = root
     return _WRITTEN[key]
 
@@ -502,7 +505,7 @@ _B_EVEN = "(source = 'a' or (source = 'b' and (scraped_day - date '1970-01-01')
 select source, max(scraped_day) as latest from silver where {_B_EVEN} group by source"""))
 def s_latest_partition(spark, d):
     root = _silver_by_day(spark, d)
-    parts = [partitions.latest_day_frame(partitions.read_table(spark, f"{root}/{s}"), "scraped_day")
+    parts = [partitions.latest_day_frame(partitions.read_table(spark, f"{root}/source={s}"), "scraped_day")
              .select(F.lit(s).alias("source"), "latest") for s in ("a", "b")]
     return parts[0].unionByName(parts[1])
 
@@ -510,7 +513,9 @@ def s_latest_partition(spark, d):
 @query("s_read_day", with_views(["silver"], f"""
 select * from silver where source = 'a' and scraped_day = date '{_PREFERRED_DAY}'"""))
 def s_read_day(spark, d):
-    return partitions.read_day(spark, f"{_silver_by_day(spark, d)}/a", "scraped_day", _PREFERRED_DAY)
+    # both predicates are on partition columns: only one folder is read
+    return (partitions.read_day(spark, _silver_by_day(spark, d), "scraped_day", _PREFERRED_DAY)
+            .where(F.col("source") == "a"))
 
 
 @query("s_preferred_or_latest", with_views(["silver"], """
@@ -523,7 +528,7 @@ def s_preferred_or_latest(spark, d):
     root = _silver_by_day(spark, d)
     out = []
     for s in ("a", "b"):
-        rows = partitions.read_preferred_or_latest(partitions.read_table(spark, f"{root}/{s}"), "scraped_day",
+        rows = partitions.read_preferred_or_latest(partitions.read_table(spark, f"{root}/source={s}"), "scraped_day",
                                                    _PREFERRED_DAY)
         out.append(rows.groupBy(F.lit(s).alias("source"), F.col("scraped_day").alias("chosen_day"))
                        .agg(F.count(F.lit(1)).alias("n_rows")))
