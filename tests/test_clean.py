@@ -75,3 +75,20 @@ def test_typed_projection_and_source_stamp(spark):
     assert types["anio"] == "int" and types["segmento"] == "tinyint" and types["fecha"] == "date"
     r = out.first()
     assert str(r.fecha) == "2026-07-02" and r.scraped_at == "t0" and r.source == "a"
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("abcde"), st.integers(0, 10_000), st.integers(0, 99)),
+                min_size=1, max_size=40, unique_by=lambda r: r[1]))
+def test_keep_first_matches_python_model(spark, data):
+    from autolake.functions.joins import keep_first
+    df = spark.createDataFrame(data, "k string, o int, v int")
+    got = {r.k: r.v for r in keep_first(df.repartition(3), ["k"], "o").collect()}
+    want = {}
+    for k, o, v in sorted(data, key=lambda r: r[1]):
+        want.setdefault(k, v)
+    assert got == want                      # one row per key, the first in order

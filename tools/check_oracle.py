@@ -46,7 +46,12 @@ def rows_of(cols, rows):
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
-    spark = build_session(shuffle_partitions=8)
+    if os.environ.get("CHECK_DEFAULT_SESSION"):
+        # a session as a driver would build it: Spark's defaults (200 shuffle partitions)
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[*]").getOrCreate()
+    else:
+        spark = build_session(shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
