@@ -17,7 +17,11 @@ from autolake.session import scratch_path
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing records as landed (the bronze layer), stored once like the landed files."""
-    return stored(spark, sf_dir, "records", lambda: fx_.listings(spark, sf_dir), bucket_by="cod")
+    # hash-partitioned on the bucket key into exactly the bucket count first: each task
+    # then writes one bucket file (not one file per bucket per scan task)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return stored(spark, sf_dir, "records", lambda: fx_.listings(spark, sf_dir).repartition(n, "cod"),
+                  bucket_by="cod")
 
 
 def compute_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
