@@ -147,13 +147,14 @@ def regression_metrics(df: DataFrame, truth: str, pred: str, by: Sequence[str] =
         F.sum(F.abs(e).cast("decimal(38,0)")).alias("_sae"),
         F.sum(e.cast("double") * e.cast("double")).alias("_sse"),
         F.var_pop(y).alias("_var"),
-        F.avg(F.abs(e.cast("double") / y)).alias("_ape"),
+        # a zero truth or a zero variance gives a null figure (ANSI division would fail)
+        F.avg(F.abs(F.try_divide(e.cast("double"), y))).alias("_ape"),
     )
     return agg.select(
         *by, "n",
         F.round(F.col("_sae").cast("double") / F.col("n"), 2).alias("mae"),
         F.round(F.sqrt(F.col("_sse") / F.col("n")), 2).alias("rmse"),
-        F.round(F.lit(1.0) - F.col("_sse") / (F.col("n") * F.col("_var")), 6).alias("r2"),
+        F.round(F.lit(1.0) - F.try_divide(F.col("_sse"), F.col("n") * F.col("_var")), 6).alias("r2"),
         F.round(F.col("_ape") * 100, 4).alias("mape"),
     )
 

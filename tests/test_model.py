@@ -118,3 +118,9 @@ def test_wide_categoricals_enter_as_ordinals(spark, monkeypatch):
     m = mo.train_gbt(gold, max_iter=2)
     assert m.stages[-1].getMaxBins() == 32          # 50 models did not force 52 bins
     assert mo.model_scores(m, gold).count() == 120
+
+
+def test_metrics_zero_truth_and_single_row(spark):
+    df = spark.createDataFrame([(0, 10)], "precio_ars long, precio_estimado long")
+    m = mo.regression_metrics(df, "precio_ars", "precio_estimado").first()
+    assert (m.mae, m.rmse, m.r2, m.mape) == (10.0, 10.0, None, None)
