@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from autolake.functions.columns import (OPPORTUNITY_THRESHOLD, REQUEST_YEAR_MAX, YEAR_MIN,
                                         clip_lower, hash_split)
 from autolake.functions.joins import bounded_broadcast, dense_index_columns
-from autolake.schemas import CATEGORICAL, FEATURE_COLUMNS, TARGET
+from autolake.schemas import CATEGORICAL, TARGET
 
 NUMERIC_FEATURES = ["anio", "antiguedad", "km", "km_valido", "km_por_anio", "dolar_blue_venta"]
 MISSING = -1.0

@@ -13,10 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from autolake import schemas
+from autolake.functions.joins import first_two
 from autolake.operators import clean, features
+from autolake.operators import fx as fxo
+from autolake.operators import market as mk
+from autolake.operators import model as mo
+from autolake.operators import pages as pg
+from autolake.operators.fx import normalize_fx
+from autolake.plans import fixtures as fxt
 from autolake.plans import views as V
-from autolake.plans.fixtures import RUN_YEAR
+from autolake.plans.fixtures import REQUEST_RUN_YEAR, RUN_YEAR, fx_bronze, model_keys, table
 from autolake.plans.oracle_views import with_views
+from autolake.session import scratch_path, work_dir
+from autolake.sources import bronze, partitions, sinks
+from autolake.sources.registry import latest_model_key, model_registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -108,8 +119,6 @@ def g_features(spark, d):
 
 # ---------------------------------------------------------------- F: exchange rates
 
-from autolake.operators import fx as fxo  # noqa: E402
-
 
 @query("f_normalize", with_views(["fx_silver"], "select * from fx_silver"))
 def f_normalize(spark, d):
@@ -162,7 +171,6 @@ select c_custkey, cast(floor(abs(c_acctbal)) as bigint) as usd,
          as precio_max
 from customer"""))
 def f_usd_to_ars_bound(spark, d):
-    from autolake.plans.fixtures import table
     rate = fxo.latest_rate(V.fx(spark, d)).select(F.col("venta").alias("_rate"))
     cust = table(spark, d, "customer").select(
         "c_custkey", F.floor(F.abs("c_acctbal")).cast("bigint").alias("usd"))
@@ -173,8 +181,6 @@ def f_usd_to_ars_bound(spark, d):
 
 # ---------------------------------------------------------------- M: model and scores
 
-from autolake.operators import model as mo  # noqa: E402
-from autolake.plans.fixtures import REQUEST_RUN_YEAR  # noqa: E402
 
 _SPLIT_SQL = "case when substr(md5('42:' || cod), 1, 2) < '33' then 'test' else 'train' end"
 
@@ -348,13 +354,11 @@ from orders"""
 select key, try_cast(nullif(regexp_extract(key, '(\\d{{4}}-\\d{{2}}-\\d{{2}})', 1), '') as date) as model_date
 from ({_MODEL_KEYS_SQL})""")
 def m_model_date(spark, d):
-    from autolake.plans.fixtures import model_keys
     return model_keys(spark, d).select("key", mo.model_date(F.col("key")).alias("model_date"))
 
 
 # ---------------------------------------------------------------- Q: market queries
 
-from autolake.operators import market as mk  # noqa: E402
 
 _SEARCH = mk.SearchFilter(marca="brand#1", provincia="nation_1", anio_min=1996, anio_max=2000,
                           km_max=150000, precio_max=9_000_000, solo_oportunidades=True)
@@ -469,10 +473,6 @@ def q_market_metrics(spark, d):
 
 # ---------------------------------------------------------------- S: sources and sinks
 
-from autolake import schemas  # noqa: E402
-from autolake.functions.joins import first_two  # noqa: E402
-from autolake.session import scratch_path  # noqa: E402
-from autolake.sources import bronze, partitions, sinks  # noqa: E402
 
 _WRITTEN: dict[tuple, str] = {}
 _PREFERRED_DAY = "2000-03-15"
@@ -555,8 +555,6 @@ def s_listing_bronze_roundtrip(spark, d):
 def s_fx_bronze_roundtrip(spark, d):
     """S1-S3 + F1: one envelope document per day (fetched_at, source, data[]), read
     as multi-line JSON with the envelope schema, exploded and normalised."""
-    from autolake.operators.fx import normalize_fx
-    from autolake.plans.fixtures import fx_bronze
     key = (spark.sparkContext.applicationId, d, "fx_bronze")
     if key not in _WRITTEN:
         root = scratch_path(spark, "bronze_fx")
@@ -592,7 +590,6 @@ def s_upsert_fx(spark, d):
 
 
 def _upsert_inputs(spark, d):
-    from autolake.session import work_dir
     work_dir(spark)
     # first and second record of each cod in one pass, written once (used twice)
     two = first_two(V.listings(spark, d), ["cod"], "_ord").checkpoint(eager=True)
@@ -666,9 +663,6 @@ def s_contract_violations(spark, d):
 
 # ---------------------------------------------------------------- P: page extraction
 
-from autolake.operators import pages as pg  # noqa: E402
-from autolake.plans import fixtures as fxt  # noqa: E402
-
 
 @query("p_links", """
 select distinct unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) as link from pages""")
@@ -739,6 +733,4 @@ from (select key, try_cast(nullif(regexp_extract(key, '(\\d{{4}}-\\d{{2}}-\\d{{2
 where model_date is not null""")
 def s_latest_model(spark, d):
     """The newest dated model of a registry (keys from the orders fixture)."""
-    from autolake.plans.fixtures import model_keys
-    from autolake.sources.registry import latest_model_key, model_registry
     return latest_model_key(model_registry(spark, model_keys(spark, d)))
