@@ -17,11 +17,12 @@ from autolake.session import scratch_path
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing records as landed (the bronze layer), stored once like the landed files."""
-    # hash-partitioned on the bucket key into exactly the bucket count first: each task
-    # then writes one bucket file (not one file per bucket per scan task)
+    # Not bucketed: landed records repeat keys, and a key holding a third of the rows
+    # would make one bucket (one task) hold a third of the table. Keyed work on the
+    # records (keep-first, first-two, first-seen) aggregates map-side instead.
+    # Round-robin spreads the rows into even files (landed bronze arrives as many files).
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return stored(spark, sf_dir, "records", lambda: fx_.listings(spark, sf_dir).repartition(n, "cod"),
-                  bucket_by="cod")
+    return stored(spark, sf_dir, "records", lambda: fx_.listings(spark, sf_dir).repartition(n))
 
 
 def compute_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +59,8 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str |
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored silver (the output of C1-C6), read by gold, scoring, pages and sinks."""
+    """Stored silver (the output of C1-C6), read by gold, scoring, pages and sinks.
+    Bucketed by ``cod``, which is unique in silver, so no bucket can be skewed."""
     return stored(spark, sf_dir, "silver", lambda: compute_silver(spark, sf_dir), bucket_by="cod")
 
 
