@@ -545,7 +545,7 @@ def s_listing_bronze_roundtrip(spark, d):
     if key not in _WRITTEN:
         root = scratch_path(spark, "bronze_listings")
         recs = V.listings(spark, d).drop("_ord")
-        bronze.land_records(recs, root, "scraped_day", ["cod"])
+        bronze.land_records(recs, root, "scraped_day")
         _WRITTEN[key] = root
     schema = T.StructType([f for f in V.listings(spark, d).drop("_ord", "scraped_day").schema.fields])
     return bronze.read_records(spark, _WRITTEN[key], schema, "scraped_day")

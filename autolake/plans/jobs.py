@@ -80,7 +80,7 @@ def land_listings(records: DataFrame, lake: str, source: str, day, scraped_at: s
     """S1 for listings: records with the envelope's scrape time and their position."""
     recs = (records.withColumn("scraped_at", F.lit(scraped_at))
                    .withColumn("scraped_day", F.lit(str(day)).cast("date")))
-    bronze.land_records(recs, f"{lake}/bronze/listings/source={source}", "scraped_day", ["cod"])
+    bronze.land_records(recs, f"{lake}/bronze/listings/source={source}", "scraped_day")
 
 
 def silver_listings_job(spark: SparkSession, lake: str, source: str, day) -> DataFrame:

@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def land_records(records: DataFrame, root: str, day_col: str, spread_by: Sequence[str] = ()) -> None:
+def land_records(records: DataFrame, root: str, day_col: str, spread_by: Sequence[str] | None = None) -> None:
     """One JSON line per record under ``root/<day_col>=<day>/``; re-landing a day
     replaces only that day (dynamic partition overwrite).
 
-    Records are range-partitioned by (day, ``spread_by``) before the write, so a
-    large day spreads over many tasks and a small one stays in one file."""
-    keys = [F.col(day_col), *[F.col(c) for c in spread_by]]
+    Records are range-partitioned by (day, spread key) before the write, so a large
+    day spreads over many tasks and a small one stays in one file. The default spread
+    key is a hash of the whole record: deterministic (a retried task writes the same
+    rows) and different for repeated keys, so even a key holding a third of the day's
+    records is cut over many tasks."""
+    spread = [F.col(c) for c in spread_by] if spread_by else [F.xxhash64(*[F.col(c) for c in records.columns])]
+    keys = [F.col(day_col), *spread]
     (records.repartitionByRange(*keys)
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(day_col).json(root))

@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_day_partitions(df: DataFrame, root: str, day_col: str, spread_by: Sequence[str] = ()) -> None:
+def write_day_partitions(df: DataFrame, root: str, day_col: str, spread_by: Sequence[str] | None = None) -> None:
     """Parquet partitioned by ``day_col``; rewriting a day replaces only that day
     (dynamic overwrite), so re-running a day is idempotent.
 
-    Range partitioning on (day, ``spread_by``) samples the keys first, so one huge
-    day is cut over many tasks instead of landing in one."""
-    keys = [F.col(day_col), *[F.col(c) for c in spread_by]]
+    Range partitioning on (day, spread key) samples the keys first, so one huge day
+    is cut over many tasks instead of landing in one. The default spread key is a
+    deterministic hash of the whole row (repeated keys still spread)."""
+    spread = [F.col(c) for c in spread_by] if spread_by else [F.xxhash64(*[F.col(c) for c in df.columns])]
+    keys = [F.col(day_col), *spread]
     (df.repartitionByRange(*keys)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(day_col).parquet(root))
