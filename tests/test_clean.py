@@ -90,3 +90,31 @@ def test_keep_first_matches_python_model(spark, data):
     for k, o, v in sorted(data, key=lambda r: r[1]):
         want.setdefault(k, v)
     assert got == want                      # one row per key, the first in order
+
+
+def test_listing_envelope_to_silver(spark, tmp_root):
+    """A bronze listing file in the source's own shape: one pretty-printed document
+    with scalars, a segment map and the records under ``data``."""
+    import json
+    import os
+
+    from autolake import schemas
+    from autolake.sources import bronze
+    rec = {"marca": "Volkswagen", "modelo": "Gol", "condicion": "Usado", "provincia": "Mendoza", "cod": "1",
+           "precio_ars": 0, "anio": 2015, "km": 0, "segmento": 0, "url": "https://x/vendo/1",
+           "scraped_at": "record-time"}
+    env = {"scraped_at": "2026-07-02T10:00:00+00:00", "source": "site", "segmentos": {"0": "Autos"}, "total": 3,
+           "data": [rec, dict(rec, precio_ars=5, km=10), dict(rec, cod="2", anio=1980)]}
+    os.makedirs(f"{tmp_root}/autos")
+    with open(f"{tmp_root}/autos/2026-07-02.json", "w") as fh:
+        json.dump(env, fh, indent=2)
+    raw = bronze.explode_envelope(bronze.read_envelopes(spark, f"{tmp_root}/autos", schemas.LISTING_ENVELOPE),
+                                  ["scraped_at", "source"])
+    raw = raw.withColumn("_ord", F.struct("_file", "pos")).drop("_file", "pos", "source")
+    silver = clean.clean_listings(clean.typed_projection(raw, day="2026-07-02"), 2026)
+    got = {r.cod: r for r in silver.collect()}
+    assert set(got) == {"1", "2"}
+    assert got["1"].precio_ars is None and got["1"].km is None          # first record of cod 1 wins
+    assert got["1"].scraped_at == "2026-07-02T10:00:00+00:00"           # the envelope's time wins
+    assert got["2"].anio is None and str(got["2"].fecha) == "2026-07-02"
+    assert dict(silver.dtypes)["segmento"] == "tinyint"
