@@ -81,24 +81,30 @@ def feature_pipeline(gold_train: DataFrame, ordinal: Sequence[str] = ()):
     return Pipeline(stages=[idx, to_ordinal, asm]), num
 
 
+def _training_frame(gold: DataFrame):
+    """Training rows (train split), the feature pipeline and ``maxBins``: wide
+    categoricals enter as ordinals, the others get one bin per value."""
+    data = with_split(prepare(gold)).where(F.col("split") == "train")
+    card = data.agg(*[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL]).first().asDict()
+    ordinal = [c for c in CATEGORICAL if card[c] > MAX_CATEGORIES]
+    pipe, num = feature_pipeline(data, ordinal)
+    data = data.select("cod", *CATEGORICAL, *num, F.col(TARGET).cast("double").alias("label"))
+    exact = data.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL if c not in ordinal]).first()
+    return data, pipe, max(32, max(exact or [0]) + 2)
+
+
 def train_gbt(gold: DataFrame, max_iter: int = 300, seed: int = 42):
     """M3: gradient-boosted trees on the training split.
 
     Settings follow the reference's intent: shallow trees, learning rate 0.05,
     at least 5 rows per leaf, 80 % row and feature sampling. ``maxBins`` is set
-    from the widest categorical so every category gets its own bin."""
+    from the widest categorical so every category gets its own bin. Node ids are
+    cached and checkpointed every 10 trees to the shared folder: a lost executor
+    recomputes from the last checkpoint, not from the first iteration."""
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import GBTRegressor
 
-    data = with_split(prepare(gold)).where(F.col("split") == "train")
-    card = data.agg(*[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL]).first().asDict()
-    ordinal = [c for c in CATEGORICAL if card[c] > MAX_CATEGORIES]
-    pipe, num = feature_pipeline(data, ordinal)
-    data = data.select("cod", *CATEGORICAL, *num, F.col(TARGET).cast("double").alias("label"))
-    exact = data.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL if c not in ordinal]).first()
-    bins = max(32, max(exact or [0]) + 2)
-    # node ids cached and checkpointed every 10 trees to the shared folder: a lost
-    # executor recomputes from the last checkpoint, not from the first iteration
+    data, pipe, bins = _training_frame(gold)
     gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=4,
                        stepSize=0.05, minInstancesPerNode=5, subsamplingRate=0.8,
                        featureSubsetStrategy="0.8", seed=seed, maxBins=bins,
@@ -111,15 +117,10 @@ def train_forest(gold: DataFrame, num_trees: int = 100, seed: int = 42):
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import RandomForestRegressor
 
-    data = with_split(prepare(gold)).where(F.col("split") == "train")
-    card = data.agg(*[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL]).first().asDict()
-    ordinal = [c for c in CATEGORICAL if card[c] > MAX_CATEGORIES]
-    pipe, num = feature_pipeline(data, ordinal)
-    data = data.select("cod", *CATEGORICAL, *num, F.col(TARGET).cast("double").alias("label"))
-    exact = data.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL if c not in ordinal]).first()
+    data, pipe, bins = _training_frame(gold)
     rf = RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees, maxDepth=8,
-                               minInstancesPerNode=5, subsamplingRate=0.8, seed=seed,
-                               maxBins=max(32, max(exact or [0]) + 2), cacheNodeIds=True, checkpointInterval=10)
+                               minInstancesPerNode=5, subsamplingRate=0.8, seed=seed, maxBins=bins,
+                               cacheNodeIds=True, checkpointInterval=10)
     return Pipeline(stages=pipe.getStages() + [rf]).fit(data)
 
 
