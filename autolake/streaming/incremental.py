@@ -43,12 +43,15 @@ def _merge_batch(serving_root: str, source: str, year_max: int):
 
 
 def ingest_listings(spark: SparkSession, bronze_root: str, serving_root: str, checkpoint: str,
-                    source: str, year_max: int) -> None:
-    """Run one ``availableNow`` trigger: process every new bronze file, then stop."""
+                    source: str, year_max: int, max_files_per_batch: int | None = None) -> None:
+    """Run one ``availableNow`` trigger: process every new bronze file, then stop.
+    ``max_files_per_batch`` bounds each micro-batch (availableNow still drains all)."""
     schema = T.StructType(list(schemas.LISTING_RECORD.fields)
                           + [T.StructField("pos", T.LongType()), T.StructField("scraped_day", T.DateType())])
-    stream = (spark.readStream.schema(schema).json(bronze_root)
-                   .withColumn("_file", F.col("_metadata.file_path")))
+    reader = spark.readStream.schema(schema)
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    stream = reader.json(bronze_root).withColumn("_file", F.col("_metadata.file_path"))
     q = (stream.writeStream.foreachBatch(_merge_batch(serving_root, source, year_max))
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())

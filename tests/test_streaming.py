@@ -23,7 +23,7 @@ def test_incremental_ingest(spark, tmp_root):
     n1 = sinks.read_current(spark, serving).count()
     assert n1 == half1.select("cod").distinct().count()
     jobs.land_listings(half2, lake, "a", "2001-06-30", "t2")
-    ingest_listings(spark, bronze_root, serving, ckpt, "a", 2001)
+    ingest_listings(spark, bronze_root, serving, ckpt, "a", 2001, max_files_per_batch=1)
     cur = sinks.read_current(spark, serving)
     assert cur.count() == recs.select("cod").distinct().count()
     assert cur.select("cod").distinct().count() == cur.count()
