@@ -13,6 +13,10 @@ from autolake.functions.joins import bounded_broadcast, dense_index_columns
 from autolake.schemas import CATEGORICAL, TARGET
 
 NUMERIC_FEATURES = ["anio", "antiguedad", "km", "km_valido", "km_por_anio", "dolar_blue_venta"]
+# Boosted-tree settings of the reference (300 trees, learning rate 0.05,
+# at least 5 rows per leaf, 80 % of rows and of features per tree, seed 42); Spark's
+# depth-wise trees use depth 4 for the reference's 15 leaves.
+GBT_TREES, GBT_STEP, GBT_DEPTH, MIN_ROWS_PER_LEAF, ROW_SAMPLE, FEATURE_SAMPLE, SEED = 300, 0.05, 4, 5, 0.8, "0.8", 42
 MISSING = -1.0
 # A categorical with more values than this enters the trees as an ordinal number:
 # Spark trees need one bin per category, which cannot grow with the data.
@@ -93,7 +97,7 @@ def _training_frame(gold: DataFrame):
     return data, pipe, max(32, max(exact or [0]) + 2)
 
 
-def train_gbt(gold: DataFrame, max_iter: int = 300, seed: int = 42):
+def train_gbt(gold: DataFrame, max_iter: int = GBT_TREES, seed: int = SEED):
     """M3: gradient-boosted trees on the training split.
 
     Settings follow the reference's intent: shallow trees, learning rate 0.05,
@@ -105,21 +109,22 @@ def train_gbt(gold: DataFrame, max_iter: int = 300, seed: int = 42):
     from pyspark.ml.regression import GBTRegressor
 
     data, pipe, bins = _training_frame(gold)
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=4,
-                       stepSize=0.05, minInstancesPerNode=5, subsamplingRate=0.8,
-                       featureSubsetStrategy="0.8", seed=seed, maxBins=bins,
+    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=GBT_DEPTH,
+                       stepSize=GBT_STEP, minInstancesPerNode=MIN_ROWS_PER_LEAF, subsamplingRate=ROW_SAMPLE,
+                       featureSubsetStrategy=FEATURE_SAMPLE, seed=seed, maxBins=bins,
                        cacheNodeIds=True, checkpointInterval=10)
     return Pipeline(stages=pipe.getStages() + [gbt]).fit(data)
 
 
-def train_forest(gold: DataFrame, num_trees: int = 100, seed: int = 42):
+def train_forest(gold: DataFrame, num_trees: int = 100, seed: int = SEED):
     """Second model for M8: a random forest on the same features and training split."""
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import RandomForestRegressor
 
     data, pipe, bins = _training_frame(gold)
     rf = RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees, maxDepth=8,
-                               minInstancesPerNode=5, subsamplingRate=0.8, seed=seed, maxBins=bins,
+                               minInstancesPerNode=MIN_ROWS_PER_LEAF, subsamplingRate=ROW_SAMPLE, seed=seed,
+                               maxBins=bins,
                                cacheNodeIds=True, checkpointInterval=10)
     return Pipeline(stages=pipe.getStages() + [rf]).fit(data)
 

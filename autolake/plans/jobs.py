@@ -28,6 +28,8 @@ from autolake.functions.joins import keep_first
 from autolake.operators import clean, features, fx, model
 from autolake.sources import bronze, partitions, registry, sinks
 
+# The columns a conflicting row updates (listings keep the old descriptive
+# columns; FX rates take every value of the new row).
 PARTIAL_UPDATE = ["fecha", "precio_ars", "km", "scraped_at", "segmento", "source"]
 FX_UPDATE = ["nombre", "compra", "venta", "fetched_at"]
 
@@ -129,7 +131,7 @@ def gold_job(spark: SparkSession, lake: str, day, sources=("a", "b")) -> str:
     return f"{lake}/gold/listings"
 
 
-def train_job(spark: SparkSession, lake: str, day, max_iter: int = 300) -> dict:
+def train_job(spark: SparkSession, lake: str, day, max_iter: int = model.GBT_TREES) -> dict:
     """M1-M5 + S13 + S14: train on the gold partition of ``day``, evaluate both splits,
     save the model and record the run."""
     gold = partitions.read_day(spark, f"{lake}/gold/listings", "fecha", day).drop("fecha", "source")
@@ -145,7 +147,7 @@ def train_job(spark: SparkSession, lake: str, day, max_iter: int = 300) -> dict:
     return {"model": key, "metrics": metrics}
 
 
-def compare_job(spark: SparkSession, lake: str, day, max_iter: int = 300, num_trees: int = 100) -> list[dict]:
+def compare_job(spark: SparkSession, lake: str, day, max_iter: int = model.GBT_TREES, num_trees: int = 100) -> list[dict]:
     """M8: the boosted trees against a random forest on the same hold-out rows."""
     gold = partitions.read_day(spark, f"{lake}/gold/listings", "fecha", day).drop("fecha", "source")
     test_rows = model.with_split(gold).where(F.col("split") == "test").drop("split")
@@ -178,7 +180,7 @@ def score_job(spark: SparkSession, lake: str, day, sources=("a", "b")) -> dict:
     return {"oportunidades": c.oportunidades, "total": c.total, "top": [r.asDict() for r in top]}
 
 
-def listings_job(spark: SparkSession, lake: str, day, source: str, max_iter: int = 300) -> dict:
+def listings_job(spark: SparkSession, lake: str, day, source: str, max_iter: int = model.GBT_TREES) -> dict:
     """Silver -> load -> gold -> train -> score for one source's landed day."""
     profile = silver_listings_job(spark, lake, source, day).first().asDict()
     load_listings_job(spark, lake, source, day)
@@ -187,7 +189,7 @@ def listings_job(spark: SparkSession, lake: str, day, source: str, max_iter: int
     return {"profile": profile, "train": trained, "score": score_job(spark, lake, day)}
 
 
-def retrain_job(spark: SparkSession, lake: str, day, max_iter: int = 300) -> dict:
+def retrain_job(spark: SparkSession, lake: str, day, max_iter: int = model.GBT_TREES) -> dict:
     """The tail of J2 on existing gold."""
     trained = train_job(spark, lake, day, max_iter)
     return {"train": trained, "score": score_job(spark, lake, day)}

@@ -59,6 +59,7 @@ LISTING_SILVER_TYPES = {
     "km": "bigint", "url": "string", "segmento": "tinyint", "scraped_at": "string",
 }
 
+# Gold columns (key first, target last), model features, categoricals.
 GOLD_COLUMNS = ["cod", "marca", "modelo", "provincia", "anio", "antiguedad", "km",
                 "km_valido", "km_por_anio", "dolar_blue_venta", "precio_ars"]
 
@@ -67,7 +68,8 @@ FEATURE_COLUMNS = ["marca", "modelo", "provincia", "anio", "antiguedad", "km",
 CATEGORICAL = ["marca", "modelo", "provincia"]
 TARGET = "precio_ars"
 
-# Serving table contract (S12): NOT NULL columns, primary key, text limits, defaults.
+# Serving table contracts (S12) — NOT NULL columns, primary key, text
+# limits (declared VARCHAR sizes) and defaults.
 SERVING_LISTINGS = {
     "key": ["cod"],
     "not_null": ["cod", "fecha", "marca", "modelo", "segmento", "source"],

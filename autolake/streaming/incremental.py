@@ -16,10 +16,9 @@ from pyspark.sql import types as T
 
 from autolake import schemas
 from autolake.operators import clean
+from autolake.plans.jobs import PARTIAL_UPDATE
 from autolake.sources import sinks
 
-PARTIAL_UPDATE = ["fecha", "precio_ars", "km", "scraped_at", "segmento", "source"]
-
 
 def _merge_batch(serving_root: str, source: str, year_max: int):
     def run(batch: DataFrame, epoch_id: int) -> None:
