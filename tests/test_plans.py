@@ -40,3 +40,22 @@ def test_small_dimensions_are_broadcast(spark):
     plan = _plan(QUERIES["g_features"](spark, SF001))
     assert plan.count("BroadcastHashJoin") >= 2     # brand medians and the day rates
     assert "SortMergeJoin" not in plan
+
+
+def test_dedup_combines_map_side_without_window(spark):
+    for name in ("c_clean_silver", "c_dedup_first"):
+        df = QUERIES[name](spark, SF001)
+        df.write.format("noop").mode("overwrite").save()
+        plan = _plan(df)
+        assert "partial_min_by" in plan, name          # hot keys shrink before the shuffle
+        assert "Window" not in plan, name               # no per-key window holding a whole key
+
+
+def test_stored_unique_key_layers_are_bucketed(spark):
+    V.silver(spark, SF001)
+    V.scored_table(spark, SF001)
+    for layer in ("silver", "scored"):
+        table = V._TABLES[(spark.sparkContext.applicationId, SF001, layer)][len("table:"):]
+        info = {r.col_name: r.data_type for r in spark.sql(f"describe formatted {table}").collect()}
+        assert info.get("Bucket Columns") == "[`cod`]", layer
+        assert int(info.get("Num Buckets")) == int(spark.conf.get("spark.sql.shuffle.partitions")), layer
