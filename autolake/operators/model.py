@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from autolake.functions.columns import (OPPORTUNITY_THRESHOLD, REQUEST_YEAR_MAX, YEAR_MIN,
                                         clip_lower, hash_split)
 from autolake.functions.joins import bounded_broadcast, dense_index_columns
+from autolake.functions.stats import group_median
 from autolake.schemas import CATEGORICAL, TARGET
 
 NUMERIC_FEATURES = ["anio", "antiguedad", "km", "km_valido", "km_por_anio", "dolar_blue_venta"]
@@ -39,9 +40,10 @@ def estimate_columns(df: DataFrame, prediction: str = "prediction", price: str =
 
 
 def score_by_group_median(df: DataFrame, keys: Sequence[str], price: str = TARGET) -> DataFrame:
-    """Stand-in estimator: the median price of rows sharing ``keys`` (exact, map-side
-    combined), joined back with a checked broadcast (shuffle join beyond the bound)."""
-    med = df.groupBy(*keys).agg(F.median(price).alias("_med"))
+    """Stand-in estimator: the median price of rows sharing ``keys`` (exact, no task
+    holds a whole group), joined back with a checked broadcast (shuffle join beyond
+    the bound)."""
+    med = group_median(df, keys, price, "_med")
     out = df.join(bounded_broadcast(med), list(keys), "inner")
     return estimate_columns(out, "_med", price).drop("_med")
 

@@ -110,11 +110,11 @@ def serving(spark: SparkSession, sf_dir: str, silver_df: DataFrame | None = None
     Equivalent to ``silver LEFT JOIN scored USING (cod)`` but joined on the small
     (marca, modelo) median table instead of on ``cod``, so no large-to-large join."""
     from autolake.functions.joins import bounded_broadcast
+    from autolake.functions.stats import group_median
     from autolake.operators.model import estimate_columns
 
     s = silver_df if silver_df is not None else silver(spark, sf_dir)
-    med = (s.where(F.col("precio_ars").isNotNull())
-            .groupBy("marca", "modelo").agg(F.median("precio_ars").alias("_med")))
+    med = group_median(s.where(F.col("precio_ars").isNotNull()), ["marca", "modelo"], "precio_ars", "_med")
     j = s.join(bounded_broadcast(med), ["marca", "modelo"], "left")
     j = j.withColumn("_med", F.when(F.col("precio_ars").isNotNull(), F.col("_med")))
     return (estimate_columns(j, "_med").drop("_med")
