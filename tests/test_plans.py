@@ -59,3 +59,23 @@ def test_stored_unique_key_layers_are_bucketed(spark):
         info = {r.col_name: r.data_type for r in spark.sql(f"describe formatted {table}").collect()}
         assert info.get("Bucket Columns") == "[`cod`]", layer
         assert int(info.get("Num Buckets")) == int(spark.conf.get("spark.sql.shuffle.partitions")), layer
+
+
+def test_bounded_broadcast_falls_back_to_shuffle_join(spark):
+    from pyspark.sql import functions as F
+
+    from autolake.functions.joins import bounded_broadcast
+    big = spark.range(0, 1000).select(F.col("id"), (F.col("id") % 10).alias("k"))
+    dim = spark.range(0, 10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")    # only our hint may broadcast
+    try:
+        small = big.join(bounded_broadcast(dim, max_rows=10), "k")
+        small.write.format("noop").mode("overwrite").save()
+        assert "BroadcastHashJoin" in _plan(small)
+        over = big.join(bounded_broadcast(dim, max_rows=9), "k")     # 10 rows > bound: no hint
+        over.write.format("noop").mode("overwrite").save()
+        assert "BroadcastHashJoin" not in _plan(over) and "SortMergeJoin" in _plan(over)
+        assert over.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
