@@ -91,8 +91,9 @@ def silver_listings_job(spark: SparkSession, lake: str, source: str, day) -> Dat
     schema = T.StructType(list(schemas.LISTING_RECORD.fields) + [T.StructField("pos", T.LongType())])
     raw = bronze.read_records(spark, f"{lake}/bronze/listings/source={source}", schema, "scraped_day")
     raw = raw.where(F.col("scraped_day") == F.lit(str(day)).cast("date")).drop("source")
-    # input order for keep-first: (file, position in the landed batch)
-    raw = raw.withColumn("_ord", F.struct(F.col("_metadata.file_path"), F.col("pos")))
+    # input order for keep-first: the record's position in its scrape batch (landing
+    # spreads a day over files by a row hash, so file order is not input order)
+    raw = raw.withColumn("_ord", F.struct(F.col("pos"), F.col("_metadata.file_path")))
     typed = clean.typed_projection(raw.drop("scraped_day", "pos"), day=day)
     silver = clean.clean_listings(typed, year_max=dt.date.fromisoformat(str(day)).year)
     partitions.write_day_partitions(silver, f"{lake}/silver/listings/source={source}", "fecha", ["cod"])

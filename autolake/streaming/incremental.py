@@ -23,7 +23,8 @@ from autolake.sources import sinks
 def _merge_batch(serving_root: str, source: str, year_max: int):
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        raw = batch.withColumn("_ord", F.struct(F.col("_file"), F.col("pos")))
+        # input order: position in the scrape batch first (see jobs.silver_listings_job)
+        raw = batch.withColumn("_ord", F.struct(F.col("pos"), F.col("_file")))
         typed = clean.typed_projection(raw.drop("pos", "_file", "source")
                                           .withColumnRenamed("scraped_day", "fecha"))
         rows = clean.stamp_source(clean.clean_listings(typed, year_max), source)

@@ -73,3 +73,17 @@ def test_listings_rerun_same_day_is_idempotent(spark, tmp_root):
     jobs.silver_listings_job(spark, lake, "a", DAY)
     jobs.load_listings_job(spark, lake, "a", DAY)
     assert rows(sinks.read_current(spark, f"{lake}/serving/listings")) == first
+
+
+def test_keep_first_follows_scrape_position_not_file_order(spark, tmp_root):
+    """Landing spreads a day over several files; the first record is the one with the
+    smallest position in the scrape, whatever file it landed in."""
+    lake = f"{tmp_root}/lake"
+    base = _records(spark, "a").limit(1).collect()[0].asDict()
+    recs = spark.createDataFrame([dict(base, cod="x", modelo=f"m{i}", pos=1000 - i) for i in range(200)],
+                                 _records(spark, "a").schema)
+    jobs.land_listings(recs, lake, "a", DAY, "t")
+    jobs.silver_listings_job(spark, lake, "a", DAY)
+    from autolake.sources import partitions
+    silver = partitions.read_day(spark, f"{lake}/silver/listings/source=a", "fecha", DAY)
+    assert [r.modelo for r in silver.collect()] == ["m199"]      # position 801 is the first
