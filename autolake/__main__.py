@@ -37,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session()
     from autolake.plans import jobs
     if args.cmd == "fx":
-        out = {"serving": jobs.fx_job(spark, args.lake, args.day)}
+        out = jobs.fx_job(spark, args.lake, args.day)
     elif args.cmd == "listings":
         out = jobs.listings_job(spark, args.lake, args.day, args.source, max_iter=args.trees)
     elif args.cmd == "retrain":

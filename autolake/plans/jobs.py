@@ -42,19 +42,29 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def _upsert_serving(spark: SparkSession, root: str, updates: DataFrame, keys, update_cols) -> str:
-    """Keyed upsert into a versioned serving table; the new version becomes current
-    only after it is fully written."""
-    dup = sinks.duplicate_keys(updates, keys).limit(1).count()
-    if dup:
-        raise ValueError(f"update batch repeats a key of {keys}")
+def enforce_contract(rows: DataFrame, contract: dict) -> dict:
+    """S12 before a load: one aggregate of violation counts. Nulls in NOT NULL columns
+    and repeated keys fail the load (as the serving database would reject it); text
+    longer than its declared size is reported only (no length limit is stored)."""
+    v = sinks.contract_violations(rows, contract).first().asDict()
+    hard = {k: n for k, n in v.items() if (k.startswith("null_") or k == "duplicate_keys") and n}
+    if hard:
+        raise ValueError(f"load rejected, contract violated: {hard}")
+    return v
+
+
+def _upsert_serving(spark: SparkSession, root: str, updates: DataFrame, keys, update_cols,
+                    contract: dict) -> dict:
+    """Keyed upsert into a versioned serving table after the contract check; the new
+    version becomes current only after it is fully written."""
+    violations = enforce_contract(updates, contract)
     if _exists(spark, root):
         current = sinks.read_current(spark, root)
         version = spark.read.parquet(root).select(F.max("version")).first()[0] + 1
         merged = sinks.upsert(current, updates.select(*current.columns), keys, update_cols)
     else:
         merged, version = updates, 1
-    return sinks.commit_version(merged, root, version)
+    return {"path": sinks.commit_version(merged, root, version), "violations": violations}
 
 
 # ---------------------------------------------------------------- J1: FX
@@ -67,13 +77,14 @@ def land_fx(records: DataFrame, lake: str, day, fetched_at: str, source: str = "
     bronze.land_envelopes(env, f"{lake}/bronze/dolar", "fecha")
 
 
-def fx_job(spark: SparkSession, lake: str, day) -> str:
+def fx_job(spark: SparkSession, lake: str, day) -> dict:
     """Bronze envelope of ``day`` -> F1 silver partition -> S9 upsert of the serving table."""
     env = bronze.read_envelopes(spark, f"{lake}/bronze/dolar/fecha={day}", schemas.FX_ENVELOPE)
     silver = fx.normalize_fx(bronze.explode_envelope(env, ["fetched_at", "source"]), day)
     partitions.write_day_partitions(silver, f"{lake}/silver/dolar", "fecha")
     day_rows = partitions.read_day(spark, f"{lake}/silver/dolar", "fecha", day)
-    return _upsert_serving(spark, f"{lake}/serving/dolar", day_rows, ["fecha", "casa"], FX_UPDATE)
+    return _upsert_serving(spark, f"{lake}/serving/dolar", day_rows, ["fecha", "casa"], FX_UPDATE,
+                           schemas.SERVING_FX)
 
 
 # ---------------------------------------------------------------- J2: listings
@@ -101,13 +112,14 @@ def silver_listings_job(spark: SparkSession, lake: str, source: str, day) -> Dat
     return clean.null_profile(raw, written)
 
 
-def load_listings_job(spark: SparkSession, lake: str, source: str, day) -> str:
+def load_listings_job(spark: SparkSession, lake: str, source: str, day) -> dict:
     """C9 + S12 + S10: stamp the source, apply defaults, check the contract, upsert."""
     rows = partitions.read_day(spark, f"{lake}/silver/listings/source={source}", "fecha", day)
     rows = sinks.apply_defaults(clean.stamp_source(rows, source), schemas.SERVING_LISTINGS["defaults"])
     rows = rows.withColumn("precio_estimado", F.lit(None).cast("bigint")) \
                .withColumn("oportunidad_score", F.lit(None).cast("double"))
-    return _upsert_serving(spark, f"{lake}/serving/listings", rows, ["cod"], PARTIAL_UPDATE)
+    return _upsert_serving(spark, f"{lake}/serving/listings", rows, ["cod"], PARTIAL_UPDATE,
+                           schemas.SERVING_LISTINGS)
 
 
 def gold_job(spark: SparkSession, lake: str, day, sources=("a", "b")) -> str:

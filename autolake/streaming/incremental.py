@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from autolake import schemas
 from autolake.operators import clean
-from autolake.plans.jobs import PARTIAL_UPDATE
+from autolake.plans.jobs import PARTIAL_UPDATE, enforce_contract
 from autolake.sources import sinks
 
 
@@ -29,6 +29,7 @@ def _merge_batch(serving_root: str, source: str, year_max: int):
                                           .withColumnRenamed("scraped_day", "fecha"))
         rows = clean.stamp_source(clean.clean_listings(typed, year_max), source)
         rows = sinks.apply_defaults(rows, schemas.SERVING_LISTINGS["defaults"])
+        enforce_contract(rows, schemas.SERVING_LISTINGS)   # a bad batch fails the trigger
         try:
             current = sinks.read_current(spark, serving_root)
             version = spark.read.parquet(serving_root).select(F.max("version")).first()[0] + 1

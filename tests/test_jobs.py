@@ -87,3 +87,14 @@ def test_keep_first_follows_scrape_position_not_file_order(spark, tmp_root):
     from autolake.sources import partitions
     silver = partitions.read_day(spark, f"{lake}/silver/listings/source=a", "fecha", DAY)
     assert [r.modelo for r in silver.collect()] == ["m199"]      # position 801 is the first
+
+
+def test_load_rejects_contract_violations(spark, tmp_root):
+    import pytest
+    lake = f"{tmp_root}/lake"
+    recs = spark.createDataFrame([("blue", "Blue", 1.0, 2.0), ("blue", "Blue", 1.0, 3.0)],
+                                 "casa string, nombre string, compra double, venta double")
+    jobs.land_fx(recs, lake, DAY, "t")
+    with pytest.raises(ValueError, match="duplicate_keys"):
+        jobs.fx_job(spark, lake, DAY)          # two rows for (day, blue): rejected, nothing committed
+    assert not jobs._exists(spark, f"{lake}/serving/dolar")
