@@ -65,7 +65,10 @@ def dense_index_columns(values: DataFrame, cols: Sequence[str], partitions: int
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = None
     for c in cols:
-        p = values.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+        # one column keeps its type (numeric order for numbers); several share a
+        # string column, so they rank by their text
+        v = F.col(c) if len(cols) == 1 else F.col(c).cast("string")
+        p = values.select(F.lit(c).alias("column"), v.alias("value"))
         pairs = p if pairs is None else pairs.unionByName(p)
     distinct = pairs.where(F.col("value").isNotNull()).distinct()
     ranged = (distinct.repartitionByRange(n, "column", "value").sortWithinPartitions("column", "value")

@@ -57,6 +57,11 @@ def test_dense_index_matches_sorted(spark):
     assert got == want
 
 
+def test_dense_index_numeric_order(spark):
+    df = spark.createDataFrame([(v,) for v in [10, 9, 100, 9, -1]], "v int")
+    assert dict(rows(dense_index(df, "v", partitions=2))) == {-1: 0, 9: 1, 10: 2, 100: 3}
+
+
 def test_first_two(spark):
     df = spark.createDataFrame([("k", 3, "c"), ("k", 1, "a"), ("k", 2, "b"), ("t", 1, "x"), ("t", 1, "x2"),
                                 ("s", 5, "only")], "k string, o int, v string")
