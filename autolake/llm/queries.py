@@ -5,19 +5,29 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from autolake.llm import packing, tokens
+from autolake.llm import packing, token_blocks, tokens
+from autolake.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
 
+def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokens.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    files, index = scratch_path(spark, "op1-blocks"), scratch_path(spark, "op1-index")
+    token_blocks.write(_table(spark, sf_dir, "documents", "doc_id", "text"), files, vocabulary)
+    token_blocks.read(spark, files).write.parquet(index)
+    return token_blocks.with_starts(spark.read.parquet(index)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack(_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary)
 
 
 QUERIES = {
+    "op1_token_blocks": op1_token_blocks,
     "op3_packing": op3_packing,
 }
 
