@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from autolake.llm import packing, token_blocks, tokens
+from autolake.llm import decontaminate, packing, quality_rules, token_blocks, tokens
 from autolake.session import scratch_path
 
 
@@ -21,14 +22,31 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.with_starts(spark.read.parquet(index)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.annotate(_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                   _table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", "found.n_words", "found.n_hit", "found.n_items",
+                        F.sha2(F.concat_ws(",", "found.items"), 256).alias("items_sha256"),
+                        decontaminate.contaminated("found").alias("contaminated"), "found.longest")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack(_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = scratch_path(spark, "op6-counts")
+    quality_rules.with_counts(_table(spark, sf_dir, "documents", "doc_id", "text")).write.parquet(counted)
+    return quality_rules.judge(spark.read.parquet(counted)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
+    "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
+    "op6_quality_rules": op6_quality_rules,
 }
 
 ORACLE: dict[str, str] = {}
