@@ -22,12 +22,14 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-# Start of EM: the share of clean documents and the rate at which a vote is right.
-PRIOR = 0.8
-ACCURACY = 0.8
+# Prior belief about every rule, before any document is seen: how often it votes junk (where it
+# votes) on a junk and on a clean document; and the share of clean documents.
+JUNK_VOTE = (0.5, 0.01)
+PRIOR = 0.9
+# Weight of that belief in documents, as a share of the corpus. It ties all rules to one notion
+# of junk: without it EM settles on whichever single kind of junk is most frequent.
+BELIEF = 0.05
 ROUNDS = 200
-# Pseudo-counts per vote, as shares of the corpus: keep rates off 0 and 1.
-SMOOTHING = 1e-4
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_stops", "n_distinct")
 
@@ -120,9 +122,10 @@ def rules() -> dict[str, Column]:
                            share("word_chars", "n_words").between(4, 8)),
         "symbols": _vote(share("n_symbols", "n_words") > 0.1, share("n_symbols", "n_words") < 0.02),
         "dup_lines": _vote(share("n_dup_lines", "n_lines") > 0.3, (F.col("n_dup_lines") == 0) & (F.col("n_lines") > 2)),
-        "repeats": _vote(share("n_repeat_words", "n_words") > 0.2, share("n_repeat_words", "n_words") < 0.05),
+        "repeats": _vote(share("n_repeat_words", "n_words") > 0.35, share("n_repeat_words", "n_words") < 0.05),
         "capitals": _vote(share("n_upper", "n_letters") > 0.3, share("n_upper", "n_letters").between(0.002, 0.1)),
-        "letters": _vote(share("n_letters", "word_chars") < 0.6, share("n_letters", "word_chars") > 0.85),
+        "symbol_chars": _vote(share("n_symbols", "word_chars") > 0.03, share("n_symbols", "word_chars") < 0.005),
+        "letters": _vote(share("n_letters", "word_chars") < 0.8, share("n_letters", "word_chars") > 0.9),
         "stops": _vote(share("n_stops", "n_words") > 0.5, share("n_stops", "n_words").between(0.01, 0.25)),
         "variety": _vote((F.col("n_words") >= 20) & (share("n_distinct", "n_words") < 0.15), share("n_distinct", "n_words") > 0.3),
     }
@@ -136,22 +139,20 @@ def fit(votes: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray]:
     (0, 1) among non-abstaining ones in class 0 (junk) and 1 (clean); abstaining says nothing.
     """
     total = max(counts.sum(), 1)
-    right = np.full(votes.shape[1], ACCURACY)
-    rates = np.stack([np.stack([right, 1 - right], 1), np.stack([1 - right, right], 1)])
-    prior = PRIOR
+    believed = np.stack([np.tile([p, 1 - p], (votes.shape[1], 1)) for p in JUNK_VOTE])
+    prior, rates = PRIOR, believed
     for _ in range(ROUNDS):
         post = posterior(votes, prior, np.log(rates))
-        new = (counts * post).sum() / total
         mass = np.stack([counts * (1 - post), counts * post])
-        smooth = SMOOTHING * total + 1e-9
-        rates_new = np.stack([[[(m * (votes[:, j] == v)).sum() + smooth * (1 + (v == k)) for v in (0, 1)]
-                               for j in range(votes.shape[1])] for k, m in enumerate(mass)])
-        rates_new /= rates_new.sum(2, keepdims=True)
-        # a rule may be weak but never counts against its own vote
-        better = rates_new[1, :, 1] < rates_new[0, :, 1]
-        rates_new[:, better] = rates_new[:, better].mean(0)
-        moved = abs(new - prior) + np.abs(rates_new - rates).max()
-        prior, rates = min(max(new, 1e-6), 1 - 1e-6), rates_new
+        seen = np.stack([np.stack([(m[:, None] * (votes == v)).sum(0) for v in (0, 1)], 1) for m in mass])
+        new = seen + BELIEF * total * believed
+        new /= new.sum(2, keepdims=True)
+        # a rule may be weak, but its junk vote never speaks for a document
+        worse = new[0, :, 0] < new[1, :, 0]
+        new[:, worse] = new[:, worse].mean(0)
+        share = (mass[1].sum() + BELIEF * total * PRIOR) / (total * (1 + BELIEF))
+        moved = abs(share - prior) + np.abs(new - rates).max()
+        prior, rates = share, new
         if moved < 1e-9:
             break
     return prior, np.log(rates)
