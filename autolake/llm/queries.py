@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autolake.llm import decontaminate, packing, quality_rules, token_blocks, tokens
+from autolake.llm import decontaminate, near_dedup, packing, quality_rules, token_blocks, tokens
 from autolake.session import scratch_path
 
 
@@ -42,11 +42,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(_table(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
+
+
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
     "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op8_near_dedup": op8_near_dedup,
 }
 
 ORACLE: dict[str, str] = {}
