@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autolake.llm import decontaminate, near_dedup, packing, quality_rules, token_blocks, tokens
+from autolake.llm import decontaminate, near_dedup, packing, quality_rules, substring_dedup, token_blocks, tokens
 from autolake.session import scratch_path
 
 
@@ -42,6 +42,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    return cut.select("doc_id", "repeats.n_words", "repeats.n_removed", F.sha2(words, 256).alias("kept_sha256"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(_table(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
 
@@ -51,6 +57,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_near_dedup": op8_near_dedup,
 }
 
