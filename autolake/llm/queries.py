@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autolake.llm import decontaminate, near_dedup, packing, quality_rules, substring_dedup, token_blocks, tokens
+from autolake.llm import decontaminate, near_dedup, packing, quality_rules, substring_dedup, token_blocks, tokens, toxicity
 from autolake.session import scratch_path
 
 
@@ -35,6 +35,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs, model).select("doc_id", (toxicity.fold("doc_id") == 0).alias("held_out"), "score", "predicted")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = scratch_path(spark, "op6-counts")
     quality_rules.with_counts(_table(spark, sf_dir, "documents", "doc_id", "text")).write.parquet(counted)
@@ -56,6 +62,7 @@ QUERIES = {
     "op1_token_blocks": op1_token_blocks,
     "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
+    "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_near_dedup": op8_near_dedup,
