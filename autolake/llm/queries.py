@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autolake.llm import decontaminate, near_dedup, packing, quality_rules, substring_dedup, token_blocks, tokens, toxicity
+from autolake.llm import decontaminate, license_scan, near_dedup, packing, quality_rules, substring_dedup, token_blocks, tokens, toxicity
 from autolake.session import scratch_path
 
 
@@ -58,6 +58,18 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(_table(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("found", lambda x: x["base"])
+    places = F.transform(base, lambda x: x["word"])
+    labels = lambda of: F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(of, lambda x: x["label"]))))
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(places).alias("first_word"), F.array_max(places).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("found")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("found", lambda x: x["score"])), F.lit(0.0)).alias("score"))
+
+
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
     "op2_decontamination": op2_decontamination,
@@ -66,6 +78,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_near_dedup": op8_near_dedup,
+    "op9_license_scan": op9_license_scan,
 }
 
 ORACLE: dict[str, str] = {}
