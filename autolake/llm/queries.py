@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autolake.llm import decontaminate, license_scan, near_dedup, packing, quality_rules, substring_dedup, token_blocks, tokens, toxicity
+from autolake.llm import decontaminate, license_scan, near_dedup, packing, quality_rules, substring_dedup, token_blocks, tokens, toxicity, url_cascade, warc
 from autolake.session import scratch_path
 
 
@@ -35,6 +35,13 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary)
 
 
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_cascade.judge(_table(spark, sf_dir, "pages", "page_id", "url"), url_cascade.rule_table(spark, RULES))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels", "doc_id", "toxic"))
@@ -70,15 +77,24 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("found", lambda x: x["score"])), F.lit(0.0)).alias("score"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = scratch_path(spark, "op10-warc")
+    pages = _table(spark, sf_dir, "pages", "page_id", "url", "html")
+    warc.write(pages.select("page_id", "url", F.col("html").cast("binary").alias("payload")), archive)
+    return warc.resolve(warc.read(spark, archive)).drop("url")
+
+
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
     "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
+    "op4_url_cascade": op4_url_cascade,
     "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_near_dedup": op8_near_dedup,
     "op9_license_scan": op9_license_scan,
+    "op10_warc": op10_warc,
 }
 
 ORACLE: dict[str, str] = {}
