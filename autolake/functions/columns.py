@@ -26,14 +26,6 @@ def js_round(c: Column) -> Column:
     return F.floor(c + F.lit(0.5))
 
 
-def half_even(c: Column, digits: int = 0) -> Column:
-    return F.bround(c, digits)
-
-
-def null_if(c: Column, value) -> Column:
-    return F.when(c == F.lit(value), F.lit(None)).otherwise(c)
-
-
 def thousands(c: Column, sep: str = ",") -> Column:
     """Integer with a thousands separator: 1234567 -> '1,234,567' (or '1.234.567')."""
     s = F.format_number(c, 0)
@@ -46,14 +38,15 @@ def contains_ci(c: Column, needle: str) -> Column:
 
 
 def tenths_percent_label(score: Column) -> Column:
-    """'12.4' for a score of 0.1235: percent with one decimal, half to even.
-
-    Scores carry four decimals, so the basis-point integer is exact and the
-    rounding is done in integer arithmetic (same digits in every engine)."""
-    bp = F.round(score * 10000).cast("bigint")
-    q = F.floor(bp / 10).cast("bigint")
-    r = bp - q * 10
-    up = (r > 5) | ((r == 5) & (F.pmod(q, F.lit(2)) == 1))
+    """'12.3' for a score of 0.1234: ``score * 100`` with one decimal, as a float is formatted:
+    the exact binary value is rounded, half to even.
+
+    From 8 percent on, the double times 2**49 is an integer, so the rounding is exact
+    integer arithmetic (labels start at 10 percent)."""
+    tenths = (score * 100 * F.lit(float(1 << 49))).cast("bigint") * 10
+    q = F.shiftright(tenths, 49)
+    r = tenths.bitwiseAND(F.lit((1 << 49) - 1))
+    up = (r > 1 << 48) | ((r == 1 << 48) & (F.pmod(q, F.lit(2)) == 1))
     t = q + F.when(up, 1).otherwise(0)
     return F.concat(F.floor(t / 10).cast("bigint").cast("string"), F.lit("."),
                     F.pmod(t, F.lit(10)).cast("string"))

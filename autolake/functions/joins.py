@@ -84,27 +84,14 @@ def dense_index_columns(values: DataFrame, cols: Sequence[str], partitions: int
                   .select("column", "value", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("code")))
 
 
-def first_two(df: DataFrame, keys: Sequence[str], order: str, drop: Sequence[str] = ()) -> DataFrame:
-    """Per key, the first and the second row in ``order`` as structs ``first`` and
-    ``second`` (null when the key has one row).
-
-    One join and one map-side-combined aggregate: the key's first order value is
-    joined back (AQE splits a hot key on the large side), then ``min_by`` over all
-    rows and over the rows after the first value. When the first order value
-    repeats, the second row is a copy of the first in order terms."""
+def first_and_last(df: DataFrame, keys: Sequence[str], order: str, drop: Sequence[str] = ()) -> DataFrame:
+    """Per key the first and the last row in ``order`` as structs ``first`` and ``last``
+    (``last`` is null when the key has one order value).
+
+    One aggregate that combines map-side: a key holding a third of all rows is one row
+    per task before the shuffle."""
     payload = [c for c in df.columns if c not in keys and c not in drop and c != order]
-    first = df.groupBy(*keys).agg(F.min(order).alias("_o1"))
-    j = df.join(first, list(keys))
-    later = F.when(F.col(order) > F.col("_o1"), F.col(order))
-    agg = j.groupBy(*keys).agg(
-        F.count_if(F.col(order) == F.col("_o1")).alias("_c1"),
-        F.min_by(F.struct(*payload), F.col(order)).alias("first"),
-        F.min_by(F.struct(*payload), later).alias("_p2"))
-    second = F.when(F.col("_c1") >= 2, F.col("first")).otherwise(F.col("_p2"))
-    return agg.select(*keys, "first", second.alias("second"))
-
-
-def keep_second(df: DataFrame, keys: Sequence[str], order: str, drop: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the second row in ``order`` (keys with one row give none)."""
-    two = first_two(df, keys, order, drop)
-    return two.where(F.col("second").isNotNull()).select(*keys, "second.*")
+    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), F.col(order)).alias("first"),
+                                F.max_by(F.struct(*payload), F.col(order)).alias("_last"),
+                                (F.min(order) < F.max(order)).alias("_two"))
+    return agg.select(*keys, "first", F.when(F.col("_two"), F.col("_last")).alias("last"))

@@ -4,29 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from autolake.session import work_dir
 
 
-# Up to this many distinct (group, value) pairs, the per-group value->count maps of
-# one percentile aggregate are bounded by it; beyond it the ranks are distributed.
-MEDIAN_PAIRS_MAX = 2_000_000
-
-
 def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
-                 partitions: int | None = None, max_pairs: int = MEDIAN_PAIRS_MAX) -> DataFrame:
+                 partitions: int | None = None) -> DataFrame:
     """Exact median of ``value`` per ``keys`` group (nulls ignored), interpolated
     between the two middle values like ``median`` / ``percentile(v, 0.5)``.
 
     Spark's ``median`` merges one value->count map per group in one task, so a group
     holding a third of all rows with mostly distinct values would sit in one task.
-    Here each (group, value) pair is counted first (combined map-side) and the pairs
-    table is materialised and counted in one job. If it has at most ``max_pairs``
-    rows, no group's map can exceed that, and one weighted ``percentile`` over the
-    pairs finishes the job. Otherwise no step holds a whole group:
-      1. the (group, value) counts from above;
+    Here no step holds a whole group, whatever the size of the data:
+      1. count each (group, value) pair (combined map-side);
       2. range-partition the pairs by (group, value): a large group spans many tasks;
       3. running counts inside each (partition, group) chunk, plus the chunk offsets
          of each group (a table of at most partitions x groups-in-partition rows);
@@ -36,16 +28,9 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = list(keys)
     work_dir(spark)
-    obs = Observation()
     pairs = (df.where(F.col(value).isNotNull())
                .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-               .agg(F.count(F.lit(1)).alias("_c"))
-               .observe(obs, F.count(F.lit(1)).alias("pairs"))
-               .checkpoint(eager=True))
-    if obs.get["pairs"] <= max_pairs:
-        # proven bound: a group's value->count map has at most as many entries as
-        # there are (group, value) pairs in total, so one aggregate over the pairs is safe
-        return pairs.groupBy(*keys).agg(F.percentile("_v", 0.5, F.col("_c")).alias(out))
+               .agg(F.count(F.lit(1)).alias("_c")))
     ranged = pairs.repartitionByRange(n, *keys, "_v").withColumn("_pid", F.spark_partition_id())
     # written once: both branches below must see the same range bounds (a recomputed
     # sample could draw other bounds), and the write cuts the lineage

@@ -31,7 +31,7 @@ def null_zero_price(df: DataFrame) -> DataFrame:
     return df.withColumn("precio_ars", F.nullif(F.col("precio_ars"), F.lit(0).cast("bigint")))
 
 
-def null_year_out_of_range(df: DataFrame, year_max: int, year_min: int = YEAR_MIN) -> DataFrame:
+def null_year_out_of_range(df: DataFrame, year_max: int | Column, year_min: int = YEAR_MIN) -> DataFrame:
     """C4: years outside [year_min, year_max] become null."""
     a = F.col("anio")
     return df.withColumn("anio", F.when((a < year_min) | (a > year_max), F.lit(None)).otherwise(a))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from autolake.operators.market import absolute_url
+from autolake.session import work_dir
 
 # The patterns of the two listing sites.
 LISTING_LINK = r"""/vendo/[^\s"<']+"""
@@ -99,7 +100,7 @@ def parse_cards(cards: DataFrame, card: str = "card", id_prefix: str = "b-") ->
         F.trim(_strip_tags(F.regexp_extract(c, r"(?s)<p[^>]*>(.*?)</p>", 1), "")).alias("_sub"),
         F.regexp_extract_all(_strip_tags(c), F.lit(AMOUNT), 0).alias("_amounts"),
         F.trim(_strip_tags(F.regexp_extract(c, FOOTER_SPAN, 1), "")).alias("provincia"))
-    amounts = F.transform("_amounts", lambda a: F.replace(a, F.lit("."), F.lit("")).cast("bigint"))
+    amounts = F.transform("_amounts", lambda a: F.replace(a, F.lit("."), F.lit("")).try_cast("bigint"))
     step = raw.select("*", F.split("_title", TITLE_SEP).alias("_t"), F.split("_sub", TITLE_SEP).alias("_s"),
                       F.try_element_at(F.filter(amounts, lambda a: a >= MIN_PRICE), F.lit(-1)).alias("precio_ars"))
     year_txt = F.element_at("_s", 1)
@@ -114,9 +115,9 @@ def parse_cards(cards: DataFrame, card: str = "card", id_prefix: str = "b-") ->
                         F.trim(F.col("_t")[1]).alias("modelo"),
                         F.lit(CARD_CONDITION).alias("condicion"),
                         "provincia", "precio_ars",
-                        F.when(year_txt.rlike(r"^[0-9]+$"), year_txt.cast("int")).alias("anio"),
-                        F.when(km_txt.rlike(r"^[0-9]+$"), km_txt.cast("bigint"))
-                         .otherwise(F.lit(0).cast("bigint")).alias("km"),
+                        F.when(year_txt.rlike(r"^[0-9]+$"), year_txt.try_cast("int")).alias("anio"),
+                        F.coalesce(F.when(km_txt.rlike(r"^[0-9]+$"), km_txt.try_cast("bigint")),
+                                   F.lit(0).cast("bigint")).alias("km"),
                         absolute_url(F.col("_href")).alias("url")))
 
 
@@ -124,5 +125,7 @@ def first_seen(cards: DataFrame, key: str = "cod", order: str = "brand_ord") ->
     """A card already seen under an earlier brand page is dropped; repeats inside
     the first brand page survive. The earliest page per key is a map-side-combined
     aggregate joined back (left-semi) on (key, order)."""
-    first = cards.groupBy(key).agg(F.min(order).alias(order))
+    work_dir(cards.sparkSession)
+    # stored: the join then sees two plain shuffles and AQE may split a hot key's rows
+    first = cards.groupBy(key).agg(F.min(order).alias(order)).checkpoint(eager=True)
     return cards.join(first, [key, order], "left_semi")

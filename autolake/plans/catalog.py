@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from autolake import schemas
-from autolake.functions.joins import first_two
+from autolake.functions.joins import first_and_last
 from autolake.operators import clean, features
 from autolake.operators import fx as fxo
 from autolake.operators import market as mk
@@ -381,21 +381,12 @@ def _fmt(c: str) -> str:
     return f"coalesce(format('{{:,}}', {c}), 'None')"
 
 
-_LABEL_SQL = """
-case when oportunidad_score >= 0.1 then ' ' || (
-  with_t.t // 10 || '.' || with_t.t % 10) || '% subvaluado' else '' end"""
-
-
 @query("q_labels", with_views(["serving"], f"""
 select cod, '- ' || coalesce(marca, 'None') || ' ' || coalesce(modelo, 'None') || ' ' ||
        coalesce(cast(anio as varchar), 'None') || ' | ' || {_fmt('km')} || ' km | $' || {_fmt('precio_ars')} ||
-       case when oportunidad_score >= 0.1 then ' ' || cast(t // 10 as varchar) || '.' || cast(t % 10 as varchar)
-            || '% subvaluado' else '' end ||
+       case when oportunidad_score >= 0.1 then ' ' || format('{{:.1f}}', oportunidad_score * 100) || '% subvaluado' else '' end ||
        ' | ' || coalesce(provincia, 'None') || ' | ' || coalesce(url, 'None') as line
-from (select *, q + case when r > 5 or (r = 5 and q % 2 = 1) then 1 else 0 end as t
-      from (select *, bp - q * 10 as r
-            from (select *, cast(floor(bp / 10) as bigint) as q
-                  from (select *, cast(round(oportunidad_score * 10000) as bigint) as bp from serving))))"""))
+from serving"""))
 def q_labels(spark, d):
     return mk.result_lines(V.serving_table(spark, d))
 
@@ -426,11 +417,11 @@ def q_recent_feed(spark, d):
     return mk.recent_feed(V.serving_table(spark, d))
 
 
-@query("q_facets", with_views(["serving"], f"""
-select distinct 'marca' as facet, marca as value from ({_FEED_SQL})
-union select distinct 'provincia', provincia from ({_FEED_SQL})"""))
+@query("q_facets", with_views(["serving"], """
+select distinct 'marca' as facet, marca as value from serving
+union select distinct 'provincia', provincia from serving"""))
 def q_facets(spark, d):
-    return mk.facets(mk.recent_feed(V.serving_table(spark, d)))
+    return mk.facets(V.serving_table(spark, d))
 
 
 @query("q_table_filter", with_views(["serving"], f"select {_FEED} from serving where {_TABLE_SQL}"))
@@ -482,15 +473,14 @@ _PARTIAL_UPDATE = ["scraped_day", "precio_ars", "km", "segmento", "source"]
 
 
 def _silver_by_day(spark, d):
-    """Silver as a day-partitioned table per source (``source=<s>/scraped_day=<d>``):
-    source a every day, source b only on even epoch days. One write for both
+    """Silver as a day-partitioned table per source (``source=<s>/scraped_day=<d>``); source b
+    has no rows on the preferred day, so its reader falls back. One write for both
     sources, once per session and data folder."""
     key = (spark.sparkContext.applicationId, d, "silver_by_day")
     if key not in _WRITTEN:
         root = scratch_path(spark, "silver_by_day")
         s = V.silver(spark, d)
-        even = F.pmod(F.datediff(F.col("scraped_day"), F.lit("1970-01-01").cast("date")), F.lit(2)) == 0
-        rows = s.where((F.col("source") == "a") | even)
+        rows = s.where((F.col("source") == "a") | (F.col("scraped_day") != F.lit(_PREFERRED_DAY).cast("date")))
         (rows.repartitionByRange("source", "scraped_day", "cod")
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("source", "scraped_day").parquet(root))
@@ -498,11 +488,11 @@ def _silver_by_day(spark, d):
     return _WRITTEN[key]
 
 
-_B_EVEN = "(source = 'a' or (source = 'b' and (scraped_day - date '1970-01-01') % 2 = 0))"
+_B_GAP = f"(source = 'a' or scraped_day <> date '{_PREFERRED_DAY}')"
 
 
 @query("s_latest_partition", with_views(["silver"], f"""
-select source, max(scraped_day) as latest from silver where {_B_EVEN} group by source"""))
+select source, max(scraped_day) as latest from silver where {_B_GAP} group by source"""))
 def s_latest_partition(spark, d):
     root = _silver_by_day(spark, d)
     parts = [partitions.latest_day_frame(partitions.read_table(spark, f"{root}/source={s}"), "scraped_day")
@@ -521,7 +511,7 @@ def s_read_day(spark, d):
 @query("s_preferred_or_latest", with_views(["silver"], """
 select c.source, c.chosen_day, count(*) as n_rows
 from t join c on t.source = c.source and t.scraped_day = c.chosen_day group by c.source, c.chosen_day""",
-    [("t", f"select * from silver where {_B_EVEN}"),
+    [("t", f"select * from silver where {_B_GAP}"),
      ("c", f"""select source, coalesce(max(case when scraped_day = date '{_PREFERRED_DAY}' then scraped_day end),
                                        max(scraped_day)) as chosen_day from t group by source""")]))
 def s_preferred_or_latest(spark, d):
@@ -591,10 +581,10 @@ def s_upsert_fx(spark, d):
 
 def _upsert_inputs(spark, d):
     work_dir(spark)
-    # first and second record of each cod in one pass, written once (used twice)
-    two = first_two(V.listings(spark, d), ["cod"], "_ord").checkpoint(eager=True)
+    # first and last record of each cod in one pass over all records, written once (used twice)
+    two = first_and_last(V.listings(spark, d), ["cod"], "_ord").checkpoint(eager=True)
     first = two.select("cod", "first.*")
-    second = two.where(F.col("second").isNotNull()).select("cod", "second.*")
+    second = two.where(F.col("last").isNotNull()).select("cod", "last.*")
     seven = F.col("cod").endswith("-7")
     target = first.where(~seven).select(*_SERVING_COLS)
     updates = second.where(~seven).select(*_SERVING_COLS).unionByName(first.where(seven).select(*_SERVING_COLS))
@@ -614,7 +604,8 @@ def _upsert_select(update_cols) -> str:
     return f"""
 select {', '.join(cols)}
 from (select {sel} from listings where pos = 1 and cod not like '%-7') t
-full join (select {sel} from listings where (pos = 2 and cod not like '%-7') or (pos = 1 and cod like '%-7')) u
+full join (select {sel} from (select *, max(pos) over (partition by cod) as top from listings)
+           where (pos = top and pos > 1 and cod not like '%-7') or (pos = 1 and cod like '%-7')) u
   on t.cod = u.cod"""
 
 

@@ -5,7 +5,7 @@ Layout under ``lake`` (a shared filesystem path):
   bronze/listings/source=<s>/scraped_day=<day>/  listing records (JSON lines)
   silver/dolar, silver/listings/source=<s>   Parquet, partitioned by day
   gold/listings                      Parquet, partitioned by day
-  serving/dolar, serving/listings    versioned keyed tables (version=<n>)
+  serving/dolar, serving/listings    versioned keyed tables (attempt folders, named by _log/<n>)
   models/fecha=<day>, models/_registry, runs
 
 Every step passes ``day`` explicitly; an exception stops the job and leaves
@@ -26,22 +26,16 @@ from autolake import schemas
 from autolake.functions.columns import OPPORTUNITY_THRESHOLD
 from autolake.functions.joins import keep_first
 from autolake.operators import clean, features, fx, model
-from autolake.sources import bronze, partitions, registry, sinks
+from autolake.session import scratch_path
+from autolake.sources import bronze, partitions, registry, sinks, storage
 
 # The columns a conflicting row updates (listings keep the old descriptive
 # columns; FX rates take every value of the new row).
 PARTIAL_UPDATE = ["fecha", "precio_ars", "km", "scraped_at", "segmento", "source"]
+ENVELOPE_RECORDS = 10_000
 FX_UPDATE = ["nombre", "compra", "venta", "fetched_at"]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # missing path -> AnalysisException
-        return False
-
-
 def enforce_contract(rows: DataFrame, contract: dict) -> dict:
     """S12 before a load: one aggregate of violation counts. Nulls in NOT NULL columns
     and repeated keys fail the load (as the serving database would reject it); text
@@ -58,20 +52,22 @@ def _upsert_serving(spark: SparkSession, root: str, updates: DataFrame, keys, up
     """Keyed upsert into a versioned serving table after the contract check; the new
     version becomes current only after it is fully written."""
     violations = enforce_contract(updates, contract)
-    if _exists(spark, root):
+    base, _ = sinks.current_version(spark, root)
+    merged = updates
+    if base:
         current = sinks.read_current(spark, root)
-        version = spark.read.parquet(root).select(F.max("version")).first()[0] + 1
-        merged = sinks.upsert(current, updates.select(*current.columns), keys, update_cols)
-    else:
-        merged, version = updates, 1
-    return {"path": sinks.commit_version(merged, root, version), "violations": violations}
+        merged = sinks.upsert(current, updates.select(*current.columns), keys, update_cols).select(*current.columns)
+    return {"path": sinks.commit_version(merged, root, base), "violations": violations}
 
 
 # ---------------------------------------------------------------- J1: FX
 
 def land_fx(records: DataFrame, lake: str, day, fetched_at: str, source: str = "rates-feed") -> None:
-    """S1 for FX: one envelope per day (a day holds a handful of houses)."""
-    env = (records.groupBy().agg(F.collect_list(F.struct("casa", "nombre", "compra", "venta")).alias("data"))
+    """S1 for FX: the day's records in envelopes of about ENVELOPE_RECORDS (a usual day is one)."""
+    parts = -(-max(records.count(), 1) // ENVELOPE_RECORDS)
+    fields = ["casa", "nombre", "compra", "venta"]
+    env = (records.groupBy(F.pmod(F.xxhash64(*fields), F.lit(parts)).alias("_part"))
+                  .agg(F.collect_list(F.struct(*fields)).alias("data"))
                   .select(F.lit(fetched_at).alias("fetched_at"), F.lit(source).alias("source"), "data",
                           F.lit(str(day)).cast("date").alias("fecha")))
     bronze.land_envelopes(env, f"{lake}/bronze/dolar", "fecha")
@@ -128,14 +124,14 @@ def gold_job(spark: SparkSession, lake: str, day, sources=("a", "b")) -> str:
     parts = []
     for i, s in enumerate(sources):
         root = f"{lake}/silver/listings/source={s}"
-        if not _exists(spark, root):
+        if not storage.has_entries(spark, root):
             if i == 0:
                 raise FileNotFoundError(f"required silver source {s} is missing")
             continue
         parts.append(partitions.read_preferred_or_latest(spark.read.parquet(root), "fecha", day)
                      .withColumn("source", F.lit(s)))
     silver = parts[0] if len(parts) == 1 else features.union_sources(parts[0], parts[1])
-    rates = sinks.read_current(spark, f"{lake}/serving/dolar") if _exists(spark, f"{lake}/serving/dolar") else None
+    rates = sinks.read_current(spark, f"{lake}/serving/dolar") if sinks.current_version(spark, f"{lake}/serving/dolar")[0] else None
     run_year = dt.date.fromisoformat(str(day)).year
     g = features.build_features(silver.withColumn("_run_day", F.lit(str(day)).cast("date")), rates, run_year,
                                 day_col="_run_day", carry=("source",))
@@ -180,14 +176,17 @@ def score_job(spark: SparkSession, lake: str, day, sources=("a", "b")) -> dict:
     # gold keeps both sources' rows of a shared cod; as when the scores are applied
     # in batch order, the later source's score is the one that stays
     later_first = F.lit(0) - F.array_position(F.array(*[F.lit(s) for s in sources]), F.col("source"))
-    scores = keep_first(scores.withColumn("_ord", later_first), ["cod"], "_ord", drop=["_ord", "source"])
+    # scored once: the merge, the count and the top 5 read the stored scores
+    scored = scratch_path(spark, "scores")
+    keep_first(scores.withColumn("_ord", later_first), ["cod"], "_ord", drop=["_ord", "source"]).write.parquet(scored)
+    scores = spark.read.parquet(scored)
     root = f"{lake}/serving/listings"
+    base, _ = sinks.current_version(spark, root)
     current = sinks.read_current(spark, root)
-    version = spark.read.parquet(root).select(F.max("version")).first()[0] + 1
     merged = sinks.update_only(current.drop("precio_estimado", "oportunidad_score"),
                                scores.select("cod", "precio_estimado", "oportunidad_score"), ["cod"],
                                ["precio_estimado", "oportunidad_score"])
-    sinks.commit_version(merged.select(*current.columns), root, version)
+    sinks.commit_version(merged.select(*current.columns), root, base)
     c = model.count_opportunities(scores, OPPORTUNITY_THRESHOLD).first()
     top = model.top_scores(scores, 5).collect()
     return {"oportunidades": c.oportunidades, "total": c.total, "top": [r.asDict() for r in top]}
@@ -203,6 +202,7 @@ def listings_job(spark: SparkSession, lake: str, day, source: str, max_iter: int
 
 
 def retrain_job(spark: SparkSession, lake: str, day, max_iter: int = model.GBT_TREES) -> dict:
-    """The tail of J2 on existing gold."""
+    """Gold -> train -> score on the silver that is there."""
+    gold_job(spark, lake, day)
     trained = train_job(spark, lake, day, max_iter)
     return {"train": trained, "score": score_job(spark, lake, day)}

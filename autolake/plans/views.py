@@ -20,9 +20,8 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Not bucketed: landed records repeat keys, and a key holding a third of the rows
     # would make one bucket (one task) hold a third of the table. Keyed work on the
     # records (keep-first, first-two, first-seen) aggregates map-side instead.
-    # Round-robin spreads the rows into even files (landed bronze arrives as many files).
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return stored(spark, sf_dir, "records", lambda: fx_.listings(spark, sf_dir).repartition(n))
+    # Written from the join's own partitions: no further shuffle only to even out files.
+    return stored(spark, sf_dir, "records", lambda: fx_.listings(spark, sf_dir))
 
 
 def compute_silver(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,8 +63,6 @@ LISTING_SILVER_TYPES = {
 GOLD_COLUMNS = ["cod", "marca", "modelo", "provincia", "anio", "antiguedad", "km",
                 "km_valido", "km_por_anio", "dolar_blue_venta", "precio_ars"]
 
-FEATURE_COLUMNS = ["marca", "modelo", "provincia", "anio", "antiguedad", "km",
-                   "km_valido", "km_por_anio", "dolar_blue_venta"]
 CATEGORICAL = ["marca", "modelo", "provincia"]
 TARGET = "precio_ars"
 

@@ -6,7 +6,6 @@ filesystem). Only when nothing is configured (tests, laptops) do we create one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -14,21 +13,23 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "autolake") -> SparkSession:
-    cores = os.environ.get("BENCH_CPUS", "8")
+                  app_name: str = "autolake", driver_memory: str | None = None) -> SparkSession:
+    """A session with the library's settings. Master, shuffle partitions and driver memory are
+    left to spark-submit or the cluster's defaults unless given."""
     builder = (
-        SparkSession.builder.master(master or f"local[{cores}]")
-        .appName(app_name)
+        SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cores) * 2))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .config("spark.driver.memory", "16g")
     )
+    for key, value in (("spark.master", master), ("spark.sql.shuffle.partitions", shuffle_partitions),
+                       ("spark.driver.memory", driver_memory)):
+        if value is not None:
+            builder = builder.config(key, str(value))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -37,9 +38,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). If neither is
-    set, which only happens in local tests, a fresh scratch folder is created and
-    registered as the checkpoint dir.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). If neither is set, a
+    single-machine session (``local[...]``) gets a fresh scratch folder; on a cluster, whose
+    machines do not share one, it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +49,8 @@ def work_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master or "").partition("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="autolake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")

@@ -27,10 +27,10 @@ def land_records(records: DataFrame, root: str, day_col: str, spread_by: Sequenc
 
 def land_envelopes(envelopes: DataFrame, root: str, day_col: str) -> None:
     """S1 for envelope-shaped feeds (one document per source and day, records in
-    ``data``): each day is written as its own file so the file is one document."""
-    (envelopes.repartition(day_col)
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(day_col).json(root))
+    ``data``): every envelope is a file of its own, one document per file. Envelopes are
+    not shuffled: a day's envelopes are written by the tasks that hold them."""
+    (envelopes.write.mode("overwrite").option("maxRecordsPerFile", 1).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(day_col).json(root))
 
 
 def read_records(spark: SparkSession, root: str, schema: T.StructType, day_col: str,

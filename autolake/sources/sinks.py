@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from autolake.sources import storage
+
+LOG = "_log"            # one small file per committed version, named by its number
+VERSIONS_KEPT = 3
+
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str] | None = None, insert: bool = True) -> DataFrame:
@@ -67,31 +73,57 @@ def apply_defaults(df: DataFrame, defaults: dict) -> DataFrame:
 
 def contract_violations(df: DataFrame, contract: dict) -> DataFrame:
     """One row of violation counts — nulls in NOT NULL columns, duplicate keys,
-    text longer than its declared VARCHAR — from one aggregate plus one grouped
-    count for the key check."""
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    text longer than its declared VARCHAR — from one pass: counts per key (combined
+    map-side, so a hot key is one row per task), then their sums."""
+    key = contract["key"]
+    sums = {"rows": F.count(F.lit(1))}
     for c in contract["not_null"]:
         if c in df.columns:
-            aggs.append(F.count_if(F.col(c).isNull()).alias(f"null_{c}"))
+            sums[f"null_{c}"] = F.count_if(F.col(c).isNull())
     for c, n in contract["max_len"].items():
         if c in df.columns:
-            aggs.append(F.count_if(F.length(c) > n).alias(f"too_long_{c}"))
-    dups = duplicate_keys(df, contract["key"]).agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_keys"))
-    return df.agg(*aggs).crossJoin(dups)
-
-
-def commit_version(df: DataFrame, root: str, version: int) -> str:
-    """Write a full new version of a serving table next to the old ones; readers
-    switch by reading the highest version (``read_current``), so a failed write
-    never leaves a half-merged table visible."""
-    path = f"{root}/version={version}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
+            sums[f"too_long_{c}"] = F.count_if(F.length(c) > n)
+    by_key = df.groupBy(*key).agg(*[v.alias(f"_{k}") for k, v in sums.items()])
+    # a sum over nothing is null, a count is 0
+    total = lambda v: F.coalesce(F.sum(v), F.lit(0)).cast("bigint")
+    return by_key.agg(*[total(F.col(f"_{k}")).alias(k) for k in sums],
+                      total(F.greatest(F.col("_rows") - 1, F.lit(0))).alias("duplicate_keys"))
+
+
+def current_version(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """Number and folder of the table's current version; (0, None) before the first commit."""
+    numbers = [n for n in storage.names(spark, f"{root}/{LOG}") if n.isdigit()]
+    if not numbers:
+        return 0, None
+    return int(numbers[-1]), f"{root}/{storage.read_text(spark, f'{root}/{LOG}/{numbers[-1]}')}"
+
+
+def commit_version(df: DataFrame, root: str, base: int, retain: int = VERSIONS_KEPT) -> str:
+    """Write a full new version of a serving table and make it current.
+
+    The rows go to an attempt folder of their own; only after the write is complete a
+    small file named ``base + 1`` in the table's log names that folder. Readers follow
+    the log, so a failed or half-moved write is never seen, and a retry starts a new
+    attempt. ``base`` is the version that the rows were made from: if another writer has
+    committed since, the number is taken and the commit fails instead of losing rows.
+    The last ``retain`` versions stay for running readers."""
+    spark = df.sparkSession
+    attempt = f"attempt-{uuid.uuid4().hex}"
+    try:
+        df.write.mode("errorifexists").parquet(f"{root}/{attempt}")
+        storage.create_once(spark, f"{root}/{LOG}/{base + 1:020d}", attempt)
+    except Exception:
+        storage.delete(spark, f"{root}/{attempt}")
+        raise
+    for n in [n for n in storage.names(spark, f"{root}/{LOG}") if n.isdigit()][:-retain]:
+        storage.delete(spark, f"{root}/{storage.read_text(spark, f'{root}/{LOG}/{n}')}")
+        storage.delete(spark, f"{root}/{LOG}/{n}")
+    return f"{root}/{attempt}"
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of the highest committed version (pruned to that folder)."""
-    all_versions = spark.read.parquet(root)
-    top = all_versions.select(F.max("version")).scalar()
-    return all_versions.where(F.col("version") == top).drop("version")
+    """Rows of the current version."""
+    number, path = current_version(spark, root)
+    if not number:
+        raise FileNotFoundError(f"no committed version under {root}")
+    return spark.read.parquet(path)

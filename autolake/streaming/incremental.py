@@ -3,9 +3,13 @@
 The reference runs daily batches; this is the same load expressed as a stream
 over the bronze folder: each trigger picks up only files it has not seen
 (the file source keeps that list in the checkpoint), cleans the new records
-(C1-C6) and merges them into the versioned serving table by key (S10). The
-merge is keyed, so replaying a micro-batch after a failure leaves the same
-state (``foreachBatch`` is at-least-once; the keyed upsert makes it idempotent).
+(C1-C5) and merges them into the versioned serving table by key (S10).
+
+The state does not depend on how files fall into micro-batches: for every key
+the descriptive columns come from its earliest day and the updated ones from its
+latest, within a day from the first position. The serving table keeps the earliest
+day in ``_first_day`` next to ``fecha`` (the latest). Replaying a batch changes
+nothing (``foreachBatch`` is at-least-once).
 """
 
 from __future__ import annotations
@@ -20,31 +24,37 @@ from autolake.plans.jobs import PARTIAL_UPDATE, enforce_contract
 from autolake.sources import sinks
 
 
-def _merge_batch(serving_root: str, source: str, year_max: int):
+def _by_key(rows: DataFrame, order: list) -> DataFrame:
+    """One row per cod of (cod, _first_day, fecha, ...): descriptive columns of the earliest day,
+    PARTIAL_UPDATE columns of the latest; one aggregate that combines map-side."""
+    kept = [c for c in rows.columns if c not in PARTIAL_UPDATE and c not in ("cod", "_first_day", *order)]
+    early = F.min_by(F.struct(*kept), F.struct("_first_day", *order))
+    late = F.max_by(F.struct(*PARTIAL_UPDATE), F.struct("fecha", *[-F.col(c) if c == "pos" else F.col(c) for c in order]))
+    return (rows.groupBy("cod").agg(early.alias("_e"), late.alias("_l"), F.min("_first_day").alias("_first_day"))
+                .select("cod", "_e.*", "_l.*", "_first_day"))
+
+
+def _merge_batch(serving_root: str, source: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        # input order: position in the scrape batch first (see jobs.silver_listings_job)
-        raw = batch.withColumn("_ord", F.struct(F.col("pos"), F.col("_file")))
-        typed = clean.typed_projection(raw.drop("pos", "_file", "source")
-                                          .withColumnRenamed("scraped_day", "fecha"))
-        rows = clean.stamp_source(clean.clean_listings(typed, year_max), source)
-        rows = sinks.apply_defaults(rows, schemas.SERVING_LISTINGS["defaults"])
+        typed = clean.typed_projection(batch.drop("source").withColumnRenamed("scraped_day", "fecha"))
+        # a year may not lie after the record's own day
+        tidy = clean.null_suspicious_zero_km(clean.null_year_out_of_range(clean.null_zero_price(typed), F.year("fecha")))
+        rows = sinks.apply_defaults(clean.stamp_source(tidy, source), schemas.SERVING_LISTINGS["defaults"])
+        rows = _by_key(rows.withColumn("_first_day", F.col("fecha")), ["pos", "_file"])
         enforce_contract(rows, schemas.SERVING_LISTINGS)   # a bad batch fails the trigger
-        try:
+        base, _ = sinks.current_version(spark, serving_root)
+        if base:
+            # a stored row stands before new ones of the same day
+            age = lambda df, n: df.withColumn("pos", F.lit(n))
             current = sinks.read_current(spark, serving_root)
-            version = spark.read.parquet(serving_root).select(F.max("version")).first()[0] + 1
-        except Exception:  # first batch: no table yet
-            current, version = None, 1
-        if current is None:
-            merged = rows
-        else:
-            merged = sinks.upsert(current, rows.select(*current.columns), ["cod"], PARTIAL_UPDATE)
-        sinks.commit_version(merged, serving_root, version)
+            rows = _by_key(age(current, 0).unionByName(age(rows.select(*current.columns), 1)), ["pos"])
+        sinks.commit_version(rows, serving_root, base)
     return run
 
 
 def ingest_listings(spark: SparkSession, bronze_root: str, serving_root: str, checkpoint: str,
-                    source: str, year_max: int, max_files_per_batch: int | None = None) -> None:
+                    source: str, max_files_per_batch: int | None = None) -> None:
     """Run one ``availableNow`` trigger: process every new bronze file, then stop.
     ``max_files_per_batch`` bounds each micro-batch (availableNow still drains all)."""
     schema = T.StructType(list(schemas.LISTING_RECORD.fields)
@@ -53,7 +63,7 @@ def ingest_listings(spark: SparkSession, bronze_root: str, serving_root: str, ch
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     stream = reader.json(bronze_root).withColumn("_file", F.col("_metadata.file_path"))
-    q = (stream.writeStream.foreachBatch(_merge_batch(serving_root, source, year_max))
+    q = (stream.writeStream.foreachBatch(_merge_batch(serving_root, source))
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -97,4 +97,30 @@ def test_load_rejects_contract_violations(spark, tmp_root):
     jobs.land_fx(recs, lake, DAY, "t")
     with pytest.raises(ValueError, match="duplicate_keys"):
         jobs.fx_job(spark, lake, DAY)          # two rows for (day, blue): rejected, nothing committed
-    assert not jobs._exists(spark, f"{lake}/serving/dolar")
+    assert sinks.current_version(spark, f"{lake}/serving/dolar") == (0, None)
+
+
+def test_corrupt_source_is_an_error_not_absent(spark, tmp_root):
+    import glob
+
+    import pytest
+    lake = f"{tmp_root}/lake"
+    for s in ("a", "b"):
+        jobs.land_listings(_records(spark, s).limit(50), lake, s, DAY, "t")
+        jobs.silver_listings_job(spark, lake, s, DAY)
+    assert jobs.gold_job(spark, lake, DAY)
+    for path in glob.glob(f"{lake}/silver/listings/source=b/fecha=*/*.parquet"):
+        with open(path, "wb") as f:
+            f.write(b"broken")
+    with pytest.raises(Exception, match="(?i)parquet|corrupt|footer"):
+        jobs.gold_job(spark, lake, DAY)
+
+
+def test_large_fx_day_lands_in_several_envelopes(spark, tmp_root, monkeypatch):
+    monkeypatch.setattr(jobs, "ENVELOPE_RECORDS", 10)
+    lake = f"{tmp_root}/lake"
+    recs = spark.range(45).select(F.concat(F.lit("h"), "id").alias("casa"), F.lit("x").alias("nombre"),
+                                  F.col("id").cast("double").alias("compra"), F.col("id").cast("double").alias("venta"))
+    jobs.land_fx(recs, lake, DAY, "2001-06-30T12:00:00+00:00")
+    jobs.fx_job(spark, lake, DAY)
+    assert sinks.read_current(spark, f"{lake}/serving/dolar").count() == 45

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from autolake.functions.joins import dense_index, first_two
+from autolake.functions.joins import dense_index, first_and_last
 from autolake.operators import model as mo
 from autolake.sources import registry
 from tests.conftest import rows
@@ -62,13 +62,12 @@ def test_dense_index_numeric_order(spark):
     assert dict(rows(dense_index(df, "v", partitions=2))) == {-1: 0, 9: 1, 10: 2, 100: 3}
 
 
-def test_first_two(spark):
+def test_first_and_last(spark):
     df = spark.createDataFrame([("k", 3, "c"), ("k", 1, "a"), ("k", 2, "b"), ("t", 1, "x"), ("t", 1, "x2"),
                                 ("s", 5, "only")], "k string, o int, v string")
-    out = {r.k: (r.first.v if r.first else None, r.second.v if r.second else None)
-           for r in first_two(df, ["k"], "o").collect()}
-    assert out["k"] == ("a", "b") and out["s"] == ("only", None)
-    assert out["t"][1] is not None
+    out = {r.k: (r["first"].v, r["last"].v if r["last"] else None) for r in first_and_last(df, ["k"], "o").collect()}
+    assert out["k"] == ("a", "c") and out["s"] == ("only", None)
+    assert out["t"][1] is None
 
 
 def test_requests(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -87,23 +88,53 @@ def test_latest_day_empty_is_error(spark):
 
 def test_versioned_commit(spark, tmp_root):
     root = f"{tmp_root}/serving"
-    sinks.commit_version(spark.createDataFrame([("1",)], "cod string"), root, 1)
-    sinks.commit_version(spark.createDataFrame([("1",), ("2",)], "cod string"), root, 2)
+    table = lambda *v: spark.createDataFrame([(x,) for x in v], "cod string")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_current(spark, root)
+    sinks.commit_version(table("1"), root, 0)
+    sinks.commit_version(table("1", "2"), root, 1)
+    assert rows(sinks.read_current(spark, root)) == [("1",), ("2",)]
+    # a second writer that started from version 1 must not hide version 2
+    with pytest.raises(Exception, match="(?i)exists"):
+        sinks.commit_version(table("other"), root, 1)
     assert rows(sinks.read_current(spark, root)) == [("1",), ("2",)]
+    for n in range(2, 7):
+        sinks.commit_version(table(str(n)), root, n)
+    assert rows(sinks.read_current(spark, root)) == [("6",)]
+    kept = [x for x in os.listdir(root) if x.startswith("attempt-")]
+    assert len(kept) == sinks.VERSIONS_KEPT
 
 
-def test_first_seen_and_first_two_with_a_hot_key(spark):
+def test_failed_commit_is_never_seen_and_can_be_retried(spark, tmp_root):
+    from pyspark.sql import functions as F
+
+    root = f"{tmp_root}/serving"
+    sinks.commit_version(spark.range(10), root, 0)
+    bad = spark.range(0, 1000, 1, 4).select(F.when(F.col("id") == 900, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("id"))
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost"):
+            sinks.commit_version(bad, root, 1)
+        assert sinks.read_current(spark, root).count() == 10
+    # what a driver lost in the middle leaves: files without a log entry
+    spark.range(3).write.parquet(f"{root}/attempt-lost")
+    os.remove(f"{root}/attempt-lost/_SUCCESS")
+    assert sinks.read_current(spark, root).count() == 10
+    sinks.commit_version(spark.range(20), root, 1)
+    assert sinks.current_version(spark, root)[0] == 2 and sinks.read_current(spark, root).count() == 20
+
+
+def test_first_seen_and_first_and_last_with_a_hot_key(spark):
     from pyspark.sql import functions as F
 
-    from autolake.functions.joins import first_two
+    from autolake.functions.joins import first_and_last
     from autolake.operators.pages import first_seen
     # a third of the rows share one key
     df = spark.range(0, 30000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("cod"),
         (F.col("id") % 7).cast("int").alias("brand_ord"), F.col("id").alias("o"))
-    two = {r.cod: (r.first.brand_ord, r.second.brand_ord if r.second else None)
-           for r in first_two(df.repartition(8), ["cod"], "o").collect()}
-    assert two["hot"] == (0, 3)        # ids 0 and 3
+    two = {r.cod: (r.first.brand_ord, r["last"].brand_ord if r["last"] else None)
+           for r in first_and_last(df.repartition(8), ["cod"], "o").collect()}
+    assert two["hot"] == (0, 29997 % 7) and two["1"] == (1, None)
     kept = first_seen(df.repartition(8), "cod", "brand_ord")
     assert kept.where("cod = 'hot'").count() == len([i for i in range(0, 30000, 3) if i % 7 == 0])
     assert kept.where("cod <> 'hot'").count() == 20000
