@@ -26,8 +26,8 @@ from autolake.llm.near_dedup import _stored
 
 TRAIN_ROWS = 20_000     # labelled rows that the fit may use
 LEXICON = 4096          # entries of each lexicon
-LEAST_DOCS = 3          # toxic training texts that hold an entry
 LEAST_ODDS = 2.5        # smoothed log odds of an entry
+LEAST_G = 17.0          # log-likelihood ratio that an entry tells toxic from clean texts
 FOLDS = 5               # fold 0 is held out, CALIBRATION for isotonic regression, the rest for the trees
 CALIBRATION = 4
 NEAR = 6                # words between an entry and a second-person word
@@ -39,7 +39,9 @@ SECOND_PERSON = ("you", "your", "yours", "yourself", "tu", "toi", "te", "vous",
 # fixed values: look-alike characters and the letters they stand for
 LOOK_ALIKES = {"@": "a", "$": "s", "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"}
 
-FEATURES = ("lex", "lex_hits", "stem", "stem_hits", "near_you", "unmasked", "caps", "caps_words", "bangs", "marks", "mixed", "length", "word_size")
+CORE_G = 40.0           # of a core entry: beyond what a few copies of one text can make
+
+FEATURES = ("core", "core_hits", "lex", "lex_hits", "stem", "stem_hits", "near_you", "unmasked", "caps", "caps_words", "bangs", "marks", "mixed", "length", "word_size")
 
 
 def _table(extra: dict[str, str]) -> bytes:
@@ -69,10 +71,12 @@ def _in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Lexicon:
-    """Sorted hashes of words and of word beginnings."""
+    """Sorted hashes of words and of word beginnings, and those of either that are core entries."""
 
     words: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     stems: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    core_words: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    core_stems: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
 
 
 def _tokens(texts: pa.Array, table: bytes) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
@@ -97,6 +101,7 @@ def features(texts: pa.Array, lexicon: Lexicon) -> dict[str, np.ndarray]:
     per = lambda mask, d=doc: np.bincount(d[mask], minlength=len(n))
     hit = _in(hashes, lexicon.words)
     stem = np.any([_in(s, lexicon.stems) for s in stems], axis=0) if len(hashes) else hit
+    core = _in(hashes, lexicon.core_words) | (np.any([_in(s, lexicon.core_stems) for s in stems], axis=0) if len(hashes) else hit)
     you = np.flatnonzero(_in(hashes, _YOU))
     any_hit = np.flatnonzero(hit | stem)
     near = np.zeros(len(any_hit), bool)
@@ -117,7 +122,7 @@ def features(texts: pa.Array, lexicon: Lexicon) -> dict[str, np.ndarray]:
     ups, lows = of_word(upper), of_word(lower | (raw >= 128))
     odd = of_word(((raw >= 48) & (raw <= 57)) | np.isin(raw, np.frombuffer(b"@$*#%&", np.uint8)))
     return {
-        "lex": per(hit) / some, "lex_hits": np.minimum(per(hit), 20), "stem": per(stem) / some, "stem_hits": np.minimum(per(stem), 20),
+        "core": per(core) / some, "core_hits": np.minimum(per(core), 20), "lex": per(hit) / some, "lex_hits": np.minimum(per(hit), 20), "stem": per(stem) / some, "stem_hits": np.minimum(per(stem), 20),
         "near_you": np.bincount(doc[any_hit[near]], minlength=len(n)) / some,
         "unmasked": np.maximum(per(uhit, udoc) - per(hit | stem), 0) / some,
         "caps": total(upper) / letters, "caps_words": per((ups > 1) & (lows == 0), wdoc) / some,
@@ -175,12 +180,16 @@ def learn_lexicon(train: DataFrame) -> Lexicon:
     toxic = sum(r["count"] for r in sizes if r["toxic"] == 1)
     clean = sum(r["count"] for r in sizes if r["toxic"] == 0)
     odds = F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("c") + 0.5) / (clean + 1.0))
+    share = F.lit(toxic / (toxic + clean))
+    part = lambda n, expected: F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
+    both = F.col("t") + F.col("c")
+    g = 2 * (part(F.col("t"), both * share) + part(F.col("c"), both * (1 - share)))
     found = (train.select("text", "toxic").mapInArrow(count, "kind int, token long, t long, c long")
              .groupBy("kind", "token").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-             .withColumn("odds", odds).where((F.col("t") >= LEAST_DOCS) & (F.col("odds") >= LEAST_ODDS)))
-    best = lambda kind: np.sort(np.array([r["token"] for r in found.where(F.col("kind") == kind)
-                                          .orderBy(F.col("t").desc(), "token").limit(LEXICON).collect()], np.int64).view(np.uint64))
-    return Lexicon(best(0), best(1))
+             .withColumn("g", g).where((odds >= LEAST_ODDS) & (F.col("g") >= LEAST_G)))
+    rows = [r for kind in (0, 1) for r in found.where(F.col("kind") == kind).orderBy(F.col("g").desc(), "token").limit(LEXICON).collect()]
+    pick = lambda kind, least: np.sort(np.array([r["token"] for r in rows if r["kind"] == kind and r["g"] >= least], np.int64).view(np.uint64))
+    return Lexicon(pick(0, LEAST_G), pick(1, LEAST_G), pick(0, CORE_G), pick(1, CORE_G))
 
 
 @dataclass
