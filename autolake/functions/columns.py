@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,6 +54,22 @@ def tenths_percent_label(score: Column) -> Column:
                     F.pmod(t, F.lit(10)).cast("string"))
 
 
+def unescape_html(c: Column) -> Column:
+    """Character references decoded: the named ones of HTML 4, decimal and hexadecimal ones.
+    Unknown references stay as they are; decoding happens once (``&amp;lt;`` gives ``&lt;``)."""
+    named = F.create_map(*[F.lit(x) for name, point in sorted(name2codepoint.items()) for x in (name, chr(point))])
+    utf32 = lambda digits: F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
+    char = lambda e: F.coalesce(
+        F.try_element_at(named, e),
+        F.when(e.rlike("^#[0-9]{1,7}$"), utf32(F.hex(F.substring(e, 2, 7).cast("bigint")))),
+        F.when(e.rlike("^#[xX][0-9A-Fa-f]{1,6}$"), utf32(F.substring(e, 3, 6))),
+        F.concat(F.lit("&"), e, F.lit(";")))
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit("&(#?[A-Za-z0-9]+);"), 1))
+    ordered = F.concat(F.filter(found, lambda e: e != "amp"), F.filter(found, lambda e: e == "amp"))
+    decoded = F.aggregate(ordered, c, lambda text, e: F.replace(text, F.concat(F.lit("&"), e, F.lit(";")), char(e)))
+    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+
+
 def hash_split(key: Column, seed: int = SPLIT_SEED) -> Column:
     """'test' for ~20 % of keys, else 'train'; stable under any repartitioning."""
     h = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), 1, 2)

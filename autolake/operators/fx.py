@@ -60,10 +60,16 @@ def asof_rate(df: DataFrame, fx: DataFrame, day_col: str = "scraped_day",
     distinct days of ``df`` united with the rate days, and joined back by day."""
     rates = fx.where(F.col("casa") == house).select(F.col("fecha").alias("_d"), F.col("venta").alias("_v"))
     days = df.select(F.col(day_col).alias("_d")).distinct().withColumn("_v", F.lit(None).cast("double"))
-    w = Window.orderBy("_d", F.col("_rate").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    series = (rates.withColumn("_rate", F.lit(1)).unionByName(days.withColumn("_rate", F.lit(0)))
-                   .withColumn(out, F.last("_v", ignorenulls=True).over(w))
-                   .where(F.col("_rate") == 0).select("_d", out))
+    # within a year by a window per year; before its first rate, what earlier years left
+    # (a table of one row per year)
+    both = rates.withColumn("_rate", F.lit(1)).unionByName(days.withColumn("_rate", F.lit(0))).withColumn("_y", F.year("_d"))
+    w = Window.partitionBy("_y").orderBy("_d", F.col("_rate").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    last = both.groupBy("_y").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_d"))).alias("_end"))
+    earlier = Window.orderBy("_y").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select("_y", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    series = (both.withColumn("_own", F.last("_v", ignorenulls=True).over(w)).where(F.col("_rate") == 0)
+                  .join(carried, "_y", "left")
+                  .select("_d", F.coalesce("_own", "_carried").alias(out)))
     return df.join(bounded_broadcast(series), F.col(day_col) == F.col("_d"), "left").drop("_d")
 
 

@@ -29,8 +29,11 @@ TOP_DEFAULT, TOP_MAX = 5, 10
 BOARD_LIMIT = 20
 FEED_LIMIT = 1000
 UNKNOWN_KM = "—"
+DISCOUNT_PREFIX = " 🔥 "
 DISCOUNT_SUFFIX = "% subvaluado"
+# the two listing sites (a: detail pages, b: cards); serving rows of site a have relative links
 BASE_URL = "https://www.example.com.ar"
+CARD_BASE_URL = "https://cards.example.com"
 
 
 @dataclass
@@ -87,7 +90,7 @@ def result_lines(rows: DataFrame) -> DataFrame:
     when the score reaches the threshold."""
     score = F.col("oportunidad_score")
     label = F.when(score >= OPPORTUNITY_THRESHOLD,
-                   F.concat(F.lit(" "), tenths_percent_label(score), F.lit(DISCOUNT_SUFFIX))
+                   F.concat(F.lit(DISCOUNT_PREFIX), tenths_percent_label(score), F.lit(DISCOUNT_SUFFIX))
                    ).otherwise(F.lit(""))
     line = F.concat(F.lit("- "), _text(F.col("marca")), F.lit(" "), _text(F.col("modelo")), F.lit(" "),
                     _text(F.col("anio")), F.lit(" | "), F.coalesce(thousands(F.col("km")), F.lit("None")),
@@ -110,7 +113,18 @@ def top_opportunities(serving: DataFrame, marca: str | None = None, provincia: s
                    .limit(min(limite, TOP_MAX)).select(*TOP_COLUMNS, ahorro.alias("ahorro")))
 
 
-def absolute_url(url: Column, base: str = BASE_URL) -> Column:
+def opportunity_lines(top: DataFrame) -> DataFrame:
+    """Q2 display lines of ``top_opportunities`` rows: listed and estimated price, savings and percent."""
+    money = lambda c: F.coalesce(thousands(F.col(c)), F.lit("None"))
+    line = F.concat(F.lit("- "), _text(F.col("marca")), F.lit(" "), _text(F.col("modelo")), F.lit(" "), _text(F.col("anio")),
+                    F.lit(" | "), money("km"), F.lit(" km | Publicado: $"), money("precio_ars"),
+                    F.lit(" | Estimado: $"), money("precio_estimado"), F.lit(" | Ahorro: $"), money("ahorro"), F.lit(" ("),
+                    tenths_percent_label(F.col("oportunidad_score")), F.lit("%) | "), _text(F.col("provincia")),
+                    F.lit(" | "), _text(F.col("url")))
+    return top.select("cod", line.alias("line"))
+
+
+def absolute_url(url: Column, base: str) -> Column:
     """P6g / Q3: keep absolute URLs, prefix relative ones with the site."""
     return F.when(url.startswith("http"), url).otherwise(F.concat(F.lit(base), url))
 
@@ -123,7 +137,7 @@ def opportunity_board(serving: DataFrame, limit: int = BOARD_LIMIT) -> DataFrame
                    .select(*[c for c in BOARD_COLUMNS if c != "url"],
                            (F.col("precio_estimado") - F.col("precio_ars")).alias("ahorro"),
                            js_round(F.col("oportunidad_score") * 100).cast("bigint").alias("pct"),
-                           absolute_url(F.col("url")).alias("url")))
+                           absolute_url(F.col("url"), BASE_URL).alias("url")))
 
 
 def recent_feed(serving: DataFrame, order_col: str = "scraped_at", limit: int = FEED_LIMIT) -> DataFrame:

@@ -11,6 +11,7 @@ from autolake.functions.columns import (OPPORTUNITY_THRESHOLD, REQUEST_YEAR_MAX,
                                         clip_lower, hash_split)
 from autolake.functions.joins import bounded_broadcast, dense_index_columns
 from autolake.functions.stats import group_median
+from autolake.session import work_dir
 from autolake.schemas import CATEGORICAL, TARGET
 
 NUMERIC_FEATURES = ["anio", "antiguedad", "km", "km_valido", "km_por_anio", "dolar_blue_venta"]
@@ -19,9 +20,8 @@ NUMERIC_FEATURES = ["anio", "antiguedad", "km", "km_valido", "km_por_anio", "dol
 # depth-wise trees use depth 4 for the reference's 15 leaves.
 GBT_TREES, GBT_STEP, GBT_DEPTH, MIN_ROWS_PER_LEAF, ROW_SAMPLE, FEATURE_SAMPLE, SEED = 300, 0.05, 4, 5, 0.8, "0.8", 42
 MISSING = -1.0
-# A categorical with more values than this enters the trees as an ordinal number:
-# Spark trees need one bin per category, which cannot grow with the data.
-MAX_CATEGORIES = 256
+# Categoricals enter the trees as hash numbers below HASH_CODES, cut into MAX_BINS ranges.
+HASH_CODES, MAX_BINS = 1 << 20, 256
 # Fixed value: warning text of an estimate for a car of the run year.
 AGE_ZERO_WARNING = "Auto del año actual — estimación menos confiable"
 
@@ -66,54 +66,47 @@ def split_counts(df: DataFrame, key: str = "cod") -> DataFrame:
 
 # ---------------------------------------------------------------- Spark ML model
 
-def feature_pipeline(gold_train: DataFrame, ordinal: Sequence[str] = ()):
-    """StringIndexer per categorical (unseen values kept in an extra bucket) and a
-    VectorAssembler. Categoricals in ``ordinal`` (too many values to give each its own
-    tree bin) enter as their alphabetical index, a plain number."""
+def feature_pipeline():
+    """Feature stages without a fit: every categorical enters as one number, a hash of its
+    text (missing: of 'None'), the same at every data size and for values never seen before.
+    No list of values is gathered or shipped. Trees cut the numbers into at most MAX_BINS
+    ranges, which separates all values of a narrow column and groups those of a wide one."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-
-    idx = StringIndexer(inputCols=CATEGORICAL, outputCols=[f"{c}_idx" for c in CATEGORICAL],
-                        handleInvalid="keep", stringOrderType="alphabetAsc")
-    # an arithmetic copy of the index carries no nominal metadata -> continuous feature
-    ords = ", ".join(f"{c}_idx + 0.0 AS {c}_ord" for c in ordinal) or "1 AS _none"
-    to_ordinal = SQLTransformer(statement=f"SELECT *, {ords} FROM __THIS__")
-    cats = [f"{c}_ord" if c in ordinal else f"{c}_idx" for c in CATEGORICAL]
-    # Spark trees take no NaN: a missing number becomes the sentinel -1, which a split
-    # separates from every real value (the reference's library routes missing values
-    # to one side of each split natively)
-    num = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in NUMERIC_FEATURES]
-    asm = VectorAssembler(inputCols=cats + NUMERIC_FEATURES, outputCol="features", handleInvalid="error")
-    return Pipeline(stages=[idx, to_ordinal, asm]), num
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
+
+    codes = ", ".join(f"CAST(pmod(xxhash64(coalesce({c}, 'None')), {HASH_CODES}) AS DOUBLE) AS {c}_code" for c in CATEGORICAL)
+    coded = SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__")
+    asm = VectorAssembler(inputCols=[f"{c}_code" for c in CATEGORICAL] + NUMERIC_FEATURES, outputCol="features",
+                          handleInvalid="error")
+    return Pipeline(stages=[coded, asm])
 
 
 def _training_frame(gold: DataFrame):
-    """Training rows (train split), the feature pipeline and ``maxBins``: wide
-    categoricals enter as ordinals, the others get one bin per value."""
+    """Training rows (train split) and the feature pipeline."""
     data = with_split(prepare(gold)).where(F.col("split") == "train")
-    card = data.agg(*[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL]).first().asDict()
-    ordinal = [c for c in CATEGORICAL if card[c] > MAX_CATEGORIES]
-    pipe, num = feature_pipeline(data, ordinal)
-    data = data.select("cod", *CATEGORICAL, *num, F.col(TARGET).cast("double").alias("label"))
-    exact = data.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL if c not in ordinal]).first()
-    return data, pipe, max(32, max(exact or [0]) + 2)
+    # Spark trees take no NaN: a missing number becomes the sentinel -1, which a split
+    # separates from every real value (the reference's library routes missing values
+    # to one side of each split natively)
+    num = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in NUMERIC_FEATURES]
+    # node ids are checkpointed during training: name the shared folder
+    work_dir(gold.sparkSession)
+    return data.select("cod", *CATEGORICAL, *num, F.col(TARGET).cast("double").alias("label")), feature_pipeline()
 
 
 def train_gbt(gold: DataFrame, max_iter: int = GBT_TREES, seed: int = SEED):
     """M3: gradient-boosted trees on the training split.
 
     Settings follow the reference's intent: shallow trees, learning rate 0.05,
-    at least 5 rows per leaf, 80 % row and feature sampling. ``maxBins`` is set
-    from the widest categorical so every category gets its own bin. Node ids are
+    at least 5 rows per leaf, 80 % row and feature sampling. Node ids are
     cached and checkpointed every 10 trees to the shared folder: a lost executor
     recomputes from the last checkpoint, not from the first iteration."""
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import GBTRegressor
 
-    data, pipe, bins = _training_frame(gold)
+    data, pipe = _training_frame(gold)
     gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=GBT_DEPTH,
                        stepSize=GBT_STEP, minInstancesPerNode=MIN_ROWS_PER_LEAF, subsamplingRate=ROW_SAMPLE,
-                       featureSubsetStrategy=FEATURE_SAMPLE, seed=seed, maxBins=bins,
+                       featureSubsetStrategy=FEATURE_SAMPLE, seed=seed, maxBins=MAX_BINS,
                        cacheNodeIds=True, checkpointInterval=10)
     return Pipeline(stages=pipe.getStages() + [gbt]).fit(data)
 
@@ -123,10 +116,10 @@ def train_forest(gold: DataFrame, num_trees: int = 100, seed: int = SEED):
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import RandomForestRegressor
 
-    data, pipe, bins = _training_frame(gold)
+    data, pipe = _training_frame(gold)
     rf = RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees, maxDepth=8,
                                minInstancesPerNode=MIN_ROWS_PER_LEAF, subsamplingRate=ROW_SAMPLE, seed=seed,
-                               maxBins=bins,
+                               maxBins=MAX_BINS,
                                cacheNodeIds=True, checkpointInterval=10)
     return Pipeline(stages=pipe.getStages() + [rf]).fit(data)
 
@@ -196,9 +189,16 @@ def compare_models(metrics_a: DataFrame, metrics_b: DataFrame, name_a: str = "a"
 
 
 def label_encode(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """M6: categories as 0..k-1 in ascending code-point order, per column (long format
-    ``column, value, code``), all columns ranked in one pass without a global window."""
-    return dense_index_columns(df, cols)
+    """M6: the rows with ``<col>_code`` per categorical: 0..k-1 in ascending code-point order.
+
+    A missing value is a class of its own, the text 'None'. All columns are ranked in one
+    distributed pass; each column's mapping is joined back (broadcast only if small)."""
+    text = df.select([F.coalesce(F.col(c).cast("string"), F.lit("None")).alias(c) for c in cols])
+    codes = dense_index_columns(text, cols)
+    for c in cols:
+        own = bounded_broadcast(codes.where(F.col("column") == c).select(F.col("value").alias(f"_{c}"), F.col("code").alias(f"{c}_code")))
+        df = df.join(own, F.coalesce(F.col(c).cast("string"), F.lit("None")) == F.col(f"_{c}"), "left").drop(f"_{c}")
+    return df
 
 
 def standardize(df: DataFrame, cols: Sequence[str], key: str = "cod", digits: int = 6) -> DataFrame:

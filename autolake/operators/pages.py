@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from autolake.functions.columns import unescape_html
 from autolake.operators.market import absolute_url
 from autolake.session import work_dir
 
@@ -21,11 +22,11 @@ LISTING_PATH = r"^/vendo/([^/]+)/([^/]+)/([^/]+)/([^?]+)\?cod=(\d+)"
 HIDDEN_INPUT = r'name="{name}"[^>]+value="([^"]*)"'
 DETAIL_FIELDS = [("precio", "precio_ars"), ("anio", "anio"), ("kilometraje", "km")]
 CARD_MARKER = "/ar/venta/"
-CARD_ANCHOR = r'(?s)<a\s[^>]*href="[^"]*/ar/venta/[^"]*"[^>]*>.*?</a>'
+CARD_ANCHOR = r"""(?s)<a\s[^>]*href\s*=\s*(?:"[^"]*/ar/venta/[^"]*"|'[^']*/ar/venta/[^']*')[^>]*>.*?</a>"""
 TITLE_SEP = " • "
 AMOUNT = r"\d{1,3}(?:\.\d{3})+"
 MIN_PRICE = 1_000_000
-FOOTER_SPAN = r'(?s)<span[^>]*class="[^"]*footerInfo[^"]*"[^>]*>(.*?)</span>'
+FOOTER_SPAN = r"""(?s)<span[^>]*class\s*=\s*["'][^"']*footerInfo[^"']*["'][^>]*>(.*?)</span>"""
 CARD_CONDITION = "Usado"
 
 
@@ -67,12 +68,12 @@ def hidden_inputs(df: DataFrame, html: str = "html") -> DataFrame:
     return out.dropna(subset=[c for _, c in DETAIL_FIELDS])
 
 
-def assemble(links: DataFrame, details: DataFrame, scraped_at: Column, path: str = "path") -> DataFrame:
+def assemble(links: DataFrame, details: DataFrame, scraped_at: Column, base: str, path: str = "path") -> DataFrame:
     """P5: parsed link fields joined with the detail fields of the same path, plus the
-    absolute URL and the scrape time (e.g. the detail page's fetch time). Both sides
-    are keyed by path (unique)."""
+    absolute URL on the site ``base`` and the scrape time (e.g. the detail page's fetch
+    time). Both sides are keyed by path (unique)."""
     return (links.join(details, path)
-                 .withColumn("url", absolute_url(F.col(path)))
+                 .withColumn("url", absolute_url(F.col(path), base))
                  .withColumn("scraped_at", scraped_at))
 
 
@@ -85,21 +86,24 @@ def _strip_tags(c: Column, sep: str = "|") -> Column:
     return F.regexp_replace(c, r"<[^>]*>", sep)
 
 
-def parse_cards(cards: DataFrame, card: str = "card", id_prefix: str = "b-") -> DataFrame:
+def parse_cards(cards: DataFrame, base: str, card: str = "card", id_prefix: str = "b-", source: str = "b") -> DataFrame:
     """P6b-P6g: slug/id, title split (fewer than 2 parts: dropped), subtitle year (all
     digits, else null) and km (non-digits: 0), price = last amount >= 1,000,000
-    (none: dropped), footer province ('' when absent) and absolute URL.
+    (none: dropped), footer province ('' when absent), absolute URL on the site
+    ``base``, segment 0 and the source. Attributes may stand in single or double quotes;
+    character references in texts are decoded; numbers beyond their type read as absent.
 
-    Each field is extracted from the card once (one projection), then derived; a
-    missing subtitle reads as an empty one (no year, km 0)."""
+    Each field is extracted from the card once: the fields leave a generator, below which
+    no filter on them is pushed. A missing subtitle reads as an empty one (no year, km 0)."""
     c = F.col(card)
-    raw = cards.select(
-        "*",
-        F.regexp_extract(c, r'href="([^"]*)"', 1).alias("_href"),
-        F.trim(_strip_tags(F.regexp_extract(c, r"(?s)<h3[^>]*>(.*?)</h3>", 1), "")).alias("_title"),
-        F.trim(_strip_tags(F.regexp_extract(c, r"(?s)<p[^>]*>(.*?)</p>", 1), "")).alias("_sub"),
+    text = lambda tag: F.trim(unescape_html(_strip_tags(F.regexp_extract(c, tag, 1), "")))
+    fields = F.struct(
+        unescape_html(F.regexp_extract(c, r"""href\s*=\s*["']([^"']*)["']""", 1)).alias("_href"),
+        text(r"(?s)<h3[^>]*>(.*?)</h3>").alias("_title"),
+        text(r"(?s)<p[^>]*>(.*?)</p>").alias("_sub"),
         F.regexp_extract_all(_strip_tags(c), F.lit(AMOUNT), 0).alias("_amounts"),
-        F.trim(_strip_tags(F.regexp_extract(c, FOOTER_SPAN, 1), "")).alias("provincia"))
+        text(FOOTER_SPAN).alias("provincia"))
+    raw = cards.select("*", F.inline(F.array(fields)))
     amounts = F.transform("_amounts", lambda a: F.replace(a, F.lit("."), F.lit("")).try_cast("bigint"))
     step = raw.select("*", F.split("_title", TITLE_SEP).alias("_t"), F.split("_sub", TITLE_SEP).alias("_s"),
                       F.try_element_at(F.filter(amounts, lambda a: a >= MIN_PRICE), F.lit(-1)).alias("precio_ars"))
@@ -108,7 +112,7 @@ def parse_cards(cards: DataFrame, card: str = "card", id_prefix: str = "b-") ->
                               F.lit("."), F.lit("")))
     slug = F.rtrim(F.element_at(F.split("_href", CARD_MARKER), -1), F.lit("/"))
     keep = [x for x in cards.columns if x != card]
-    return (step.where(c.contains(CARD_MARKER) & (F.size("_t") >= 2) & F.col("precio_ars").isNotNull())
+    return (step.where(F.col("_href").contains(CARD_MARKER) & (F.size("_t") >= 2) & F.col("precio_ars").isNotNull())
                 .select(*keep,
                         F.concat(F.lit(id_prefix), slug).alias("cod"),
                         F.trim(F.col("_t")[0]).alias("marca"),
@@ -118,7 +122,8 @@ def parse_cards(cards: DataFrame, card: str = "card", id_prefix: str = "b-") ->
                         F.when(year_txt.rlike(r"^[0-9]+$"), year_txt.try_cast("int")).alias("anio"),
                         F.coalesce(F.when(km_txt.rlike(r"^[0-9]+$"), km_txt.try_cast("bigint")),
                                    F.lit(0).cast("bigint")).alias("km"),
-                        absolute_url(F.col("_href")).alias("url")))
+                        absolute_url(F.col("_href"), base).alias("url"),
+                        F.lit(0).alias("segmento"), F.lit(source).alias("source")))
 
 
 def first_seen(cards: DataFrame, key: str = "cod", order: str = "brand_ord") -> DataFrame:

@@ -219,15 +219,12 @@ def m_overfit_gap(spark, d):
 
 
 @query("m_label_encode", with_views(["gold"], """
-select 'marca' as "column", marca as value, dense_rank() over (order by marca) - 1 as code
-from (select distinct marca from gold where marca is not null)
-union all
-select 'modelo', modelo, dense_rank() over (order by modelo) - 1 from (select distinct modelo from gold where modelo is not null)
-union all
-select 'provincia', provincia, dense_rank() over (order by provincia) - 1
-from (select distinct provincia from gold where provincia is not null)"""))
+select cod, dense_rank() over (order by coalesce(marca, 'None')) - 1 as marca_code,
+       dense_rank() over (order by coalesce(modelo, 'None')) - 1 as modelo_code,
+       dense_rank() over (order by coalesce(provincia, 'None')) - 1 as provincia_code
+from gold"""))
 def m_label_encode(spark, d):
-    return mo.label_encode(V.gold_table(spark, d))
+    return mo.label_encode(V.gold_table(spark, d)).select("cod", "marca_code", "modelo_code", "provincia_code")
 
 
 _STD_COLS = ["anio", "km", "km_por_anio"]
@@ -298,13 +295,19 @@ def m_top5(spark, d):
     return mo.top_scores(V.scored_table(spark, d), 5)
 
 
-@query("m_gbt_score")
+@query("m_gbt_score", with_views(["gold"], f"""
+select cod, precio_ars, {_SPLIT_SQL} as split, true as estimated, true as score_holds from gold"""))
 def m_gbt_score(spark, d):
-    """Train boosted trees on the gold training split and score every gold row
-    (few iterations here; the job uses the full 300). Rows-only check."""
+    """M1, M3, M9: train all boosted trees on the training split and score every gold row.
+
+    The estimates themselves have no SQL form; per row the query returns what SQL can state:
+    the split, that the estimate is a whole number, and that the score follows from it (M10)."""
     g = V.gold_table(spark, d)
-    model = mo.train_gbt(g, max_iter=10)
-    return mo.model_scores(model, g)
+    scores = mo.with_split(mo.model_scores(mo.train_gbt(g), g))
+    est = F.col("precio_estimado")
+    exact = F.bround((est - F.col("precio_ars")) / F.nullif(est.cast("double"), F.lit(0.0)), 4)
+    return scores.select("cod", "precio_ars", "split", est.isNotNull().alias("estimated"),
+                         exact.eqNullSafe(F.col("oportunidad_score")).alias("score_holds"))
 
 
 _REQ_RATE_SQL = "(select arg_max(venta, fecha) from blue)"
@@ -384,7 +387,7 @@ def _fmt(c: str) -> str:
 @query("q_labels", with_views(["serving"], f"""
 select cod, '- ' || coalesce(marca, 'None') || ' ' || coalesce(modelo, 'None') || ' ' ||
        coalesce(cast(anio as varchar), 'None') || ' | ' || {_fmt('km')} || ' km | $' || {_fmt('precio_ars')} ||
-       case when oportunidad_score >= 0.1 then ' ' || format('{{:.1f}}', oportunidad_score * 100) || '% subvaluado' else '' end ||
+       case when oportunidad_score >= 0.1 then ' 🔥 ' || format('{{:.1f}}', oportunidad_score * 100) || '% subvaluado' else '' end ||
        ' | ' || coalesce(provincia, 'None') || ' | ' || coalesce(url, 'None') as line
 from serving"""))
 def q_labels(spark, d):
@@ -400,6 +403,16 @@ def q_top_opportunities(spark, d):
     return mk.top_opportunities(V.serving_table(spark, d), marca="brand#2", limite=7)
 
 
+@query("q_top_lines", with_views(["serving"], f"""
+select cod, '- ' || marca || ' ' || modelo || ' ' || coalesce(cast(anio as varchar), 'None') || ' | ' || {_fmt('km')} ||
+       ' km | Publicado: $' || {_fmt('precio_ars')} || ' | Estimado: $' || {_fmt('precio_estimado')} || ' | Ahorro: $' ||
+       format('{{:,}}', coalesce(precio_estimado, 0) - coalesce(precio_ars, 0)) || ' (' ||
+       format('{{:.1f}}', oportunidad_score * 100) || '%) | ' || coalesce(provincia, 'None') || ' | ' || coalesce(url, 'None') as line
+from (select * from serving where oportunidad_score >= 0.1 order by oportunidad_score desc, cod limit 10)"""))
+def q_top_lines(spark, d):
+    return mk.opportunity_lines(mk.top_opportunities(V.serving_table(spark, d), limite=10))
+
+
 @query("q_board", with_views(["serving"], f"""
 select cod, marca, modelo, anio, provincia, precio_ars, precio_estimado, oportunidad_score,
        precio_estimado - precio_ars as ahorro, cast(floor(oportunidad_score * 100 + 0.5) as bigint) as pct,
@@ -673,6 +686,16 @@ def p_new_links(spark, d):
     return fresh
 
 
+@query("p_seen_links", with_views(["listings"], """
+select distinct segmento, path as link from listings where source in ('a', 'b')"""))
+def p_seen_links(spark, d):
+    """P2, the other half: the links seen after the new ones are taken in."""
+    links = pg.extract_links(fxt.index_pages(V.listings(spark, d)), keep=["segmento", "source"])
+    _, seen = pg.new_links(links.where(F.col("source") == "b"), links.where(F.col("source") == "a"),
+                           ["segmento", "link"])
+    return seen
+
+
 @query("p_parse_path", with_views(["silver"], """
 select path, marca, modelo, condicion, provincia, split_part(path, '?cod=', 2) as cod from silver"""))
 def p_parse_path(spark, d):
@@ -695,18 +718,18 @@ def p_assemble(spark, d):
     links = pg.parse_listing_path(
         pg.extract_links(fxt.index_pages(s), keep=["segmento"]).withColumnRenamed("link", "path"))
     details = pg.hidden_inputs(fxt.detail_pages(s)).drop("html")
-    rec = pg.assemble(links, details, F.col("fetched_at"))
+    rec = pg.assemble(links, details, F.col("fetched_at"), mk.BASE_URL)
     return rec.select("cod", "marca", "modelo", "condicion", "provincia", "precio_ars", "anio", "km",
                       "segmento", "url", "scraped_at")
 
 
 @query("p_cards", with_views(["silver"], f"""
 select 'b-' || cod as cod, marca, modelo, 'Usado' as condicion, provincia, precio_ars, anio,
-       coalesce(km, 0) as km, '{mk.BASE_URL}/ar/venta/' || cod || '/' as url
+       coalesce(km, 0) as km, '{mk.CARD_BASE_URL}/ar/venta/' || cod || '/' as url, 0 as segmento, 'b' as source
 from silver where precio_ars >= 1000000"""))
 def p_cards(spark, d):
     cards = pg.split_cards(fxt.card_pages(V.silver(spark, d)))
-    return pg.parse_cards(cards)
+    return pg.parse_cards(cards, mk.CARD_BASE_URL)
 
 
 @query("p_first_seen", with_views(["listings"], """

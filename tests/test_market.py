@@ -35,12 +35,26 @@ def test_search_filters(spark):
 
 def test_lines_and_labels(spark):
     lines = dict(rows(mk.result_lines(_serving(spark))))
-    assert lines["1"] == "- Toyota Corolla 2015 | 80,000 km | $9,000,000 18.2% subvaluado | Córdoba | /a/1"
-    assert lines["4"].endswith("$3,000,000 10.0% subvaluado | Salta | /a/4")
+    assert lines["1"] == "- Toyota Corolla 2015 | 80,000 km | $9,000,000 🔥 18.2% subvaluado | Córdoba | /a/1"
+    assert lines["4"].endswith("$3,000,000 🔥 10.0% subvaluado | Salta | /a/4")
     assert "subvaluado" not in lines["2"]
     assert lines["3"].startswith("- Ford Ka None | None km | $None")
 
 
+def test_labels_equal_float_formatting(spark):
+    from pyspark.sql import functions as F
+
+    from autolake.functions.columns import tenths_percent_label
+    got = spark.range(1000, 10001).select("id", tenths_percent_label(F.col("id") / 10000).alias("t")).collect()
+    assert [r.t for r in got] == [f"{r.id / 10000 * 100:.1f}" for r in got]
+
+
+def test_opportunity_lines(spark):
+    lines = dict(rows(mk.opportunity_lines(mk.top_opportunities(_serving(spark), limite=10))))
+    assert lines["1"].startswith("- Toyota Corolla 2015 | 80,000 km | Publicado: $9,000,000 | Estimado: $")
+    assert " | Ahorro: $2,000,000 (18.2%) | Córdoba | /a/1" in lines["1"]
+
+
 def test_top_board_feed(spark):
     s = _serving(spark)
     top = mk.top_opportunities(s, marca="toyota", limite=50).collect()

@@ -112,16 +112,24 @@ def test_train_save_load_score(spark, tmp_root):
     assert run.first().overfitting_gap_mae == 0.0
 
 
-def test_wide_categoricals_enter_as_ordinals(spark, monkeypatch):
-    monkeypatch.setattr(mo, "MAX_CATEGORIES", 2)
-    data = [(f"c{i}", f"B{i % 3}", f"M{i % 50}", "P", 2000, 1, 10.0, True, 10.0, None, 1000 + 10 * i)
-            for i in range(120)]
-    gold = spark.createDataFrame(data, "cod string, marca string, modelo string, provincia string, anio int, "
-                                       "antiguedad int, km double, km_valido boolean, km_por_anio double, "
-                                       "dolar_blue_venta double, precio_ars long")
+def test_categoricals_are_coded_alike_at_every_size(spark):
+    cols = ("cod string, marca string, modelo string, provincia string, anio int, antiguedad int, km double, "
+            "km_valido boolean, km_por_anio double, dolar_blue_venta double, precio_ars long")
+    data = [(f"c{i}", f"B{i % 3}", f"M{i}", None if i % 5 == 0 else "P", 2000, 1, 10.0, True, 10.0, None, 1000 + 10 * i)
+            for i in range(600)]
+    gold = spark.createDataFrame(data, cols)
+    codes = lambda g: {(r.marca, r.provincia): r.features[0] for r in
+                       mo.feature_pipeline().fit(g).transform(mo._training_frame(g)[0]).select("marca", "provincia", "features").collect()}
+    few, many = codes(gold.limit(50)), codes(gold)
+    assert few and all(many[k] == v for k, v in few.items())
     m = mo.train_gbt(gold, max_iter=2)
-    assert m.stages[-1].getMaxBins() == 32          # 50 models did not force 52 bins
-    assert mo.model_scores(m, gold).count() == 120
+    assert mo.model_scores(m, gold).count() == 600        # wide and missing categories, unseen test values
+
+
+def test_label_encode_rows(spark):
+    df = spark.createDataFrame([(1, "b", "x"), (2, None, "x"), (3, "a", None), (4, "Z", "y"), (4, "None", "y")], "k int, marca string, modelo string")
+    got = {(r.k, r.marca): (r.marca_code, r.modelo_code) for r in mo.label_encode(df, ["marca", "modelo"]).collect()}
+    assert got == {(1, "b"): (3, 1), (2, None): (0, 1), (3, "a"): (2, 0), (4, "Z"): (1, 2), (4, "None"): (0, 2)}
 
 
 def test_metrics_zero_truth_and_single_row(spark):

@@ -55,18 +55,31 @@ def test_cards(spark):
     ])
     cards = pg.split_cards(spark.createDataFrame([(html,)], "html string"))
     assert cards.count() == 5
-    out = {r.cod: r for r in pg.parse_cards(cards).collect()}
+    out = {r.cod: r for r in pg.parse_cards(cards, "https://site.b").collect()}
     assert set(out) == {"b-toyota-etios-1", "b-fiat-uno-2", "b-nosub-5"}
     t = out["b-toyota-etios-1"]
     assert (t.marca, t.modelo, t.anio, t.km, t.precio_ars, t.provincia) == ("Toyota", "Etios", 2019, 54000,
                                                                             11900000, "Córdoba")
-    assert t.url.endswith("/ar/venta/toyota-etios-1/") and t.url.startswith("http")
+    assert t.url == "https://site.b/ar/venta/toyota-etios-1/" and (t.segmento, t.source) == (0, "b")
     f = out["b-fiat-uno-2"]
     assert (f.anio, f.km, f.precio_ars, f.provincia) == (None, 0, 2300000, "")
     n = out["b-nosub-5"]
     assert (n.anio, n.km) == (None, 0)
 
 
+def test_cards_of_real_html(spark):
+    """Single quotes, character references, absolute links and numbers beyond their type."""
+    html = ("<a class='c' href='/ar/venta/c4-1/'><h3>Citro&euml;n &bull; C4 &amp;lt; &#x41;&#66;</h3><p>99999999999 &bull; 1.000 km</p>"
+            "<b>$ 5.000.000</b><span class='footerInfo'>C&oacute;rdoba</span></a>"
+            '<a href="https://other.site/ar/venta/k-2/"><h3>Kia • Rio</h3><p>2019 • 99999999999999999999 km</p>'
+            "<b>$ 2.000.000</b><b>9.999.999.999.999.999.999.999</b></a>")
+    out = {r.cod: r for r in pg.parse_cards(pg.split_cards(spark.createDataFrame([(html,)], "html string")), "https://site.b").collect()}
+    c, k = out["b-c4-1"], out["b-k-2"]
+    assert (c.marca, c.modelo, c.anio, c.km, c.precio_ars, c.provincia, c.url) == (
+        "Citroën", "C4 &lt; AB", None, 1000, 5_000_000, "Córdoba", "https://site.b/ar/venta/c4-1/")
+    assert (k.anio, k.km, k.precio_ars, k.url) == (2019, 0, 2_000_000, "https://other.site/ar/venta/k-2/")
+
+
 def test_first_seen_keeps_repeats_in_first_brand(spark):
     cards = spark.createDataFrame([("c1", 0, "x"), ("c1", 0, "x2"), ("c1", 1, "y"), ("c2", 1, "z")],
                                   "cod string, brand_ord int, v string")
