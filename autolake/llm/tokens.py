@@ -159,6 +159,11 @@ def encoder(vocabulary: str) -> Encoder:
     return _MEMO[vocabulary]
 
 
+def forget() -> None:
+    """Drop what this worker process remembers, for tasks of other operators that it runs later."""
+    _MEMO.clear()
+
+
 def read_vocabulary(path: str) -> str:
     """The vocabulary file's text, read on the driver and sent to tasks with the plan."""
     with open(path, encoding="utf-8") as f:

@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from autolake.llm import words
+from autolake.llm import tokens, words
 from autolake.llm.near_dedup import _stored
 
 TRAIN_ROWS = 20_000     # labelled rows that the fit may use
@@ -30,6 +30,7 @@ LEAST_ODDS = 2.5        # smoothed log odds of an entry
 LEAST_G = 17.0          # log-likelihood ratio that an entry tells toxic from clean texts
 FOLDS = 5               # fold 0 is held out, CALIBRATION for isotonic regression, the rest for the trees
 CALIBRATION = 4
+SLICE_BYTES = 1 << 20   # text looked at at once; its features take some 40 times as much memory
 NEAR = 6                # words between an entry and a second-person word
 PREFIXES = (4, 5, 6)    # bytes of word beginnings
 
@@ -140,8 +141,9 @@ def with_features(docs: DataFrame, lexicon: Lexicon, id_col: str, text_col: str,
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in slim.schema.fields[:-1]] + [f"{c} double" for c in FEATURES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for batch in batches:
-            for rows in words.slices(batch, "text"):
+            for rows in words.slices(batch, "text", SLICE_BYTES):
                 found = features(rows.column("text"), shipped.value)
                 yield pa.RecordBatch.from_arrays(rows.columns[:-1] + [pa.array(np.asarray(found[c], np.float64)) for c in FEATURES],
                                                  rows.schema.names[:-1] + list(FEATURES))
@@ -160,8 +162,9 @@ def learn_lexicon(train: DataFrame) -> Lexicon:
     Texts are counted per token within each task before the shuffle.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for batch in batches:
-            for rows in words.slices(batch, "text"):
+            for rows in words.slices(batch, "text", SLICE_BYTES):
                 hashes, bounds, stems, _, _ = _tokens(rows.column("text"), words.ALNUM)
                 doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
                 toxic = rows.column("toxic").to_numpy()[doc]
