@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autolake.llm import decontaminate, license_scan, near_dedup, packing, quality_rules, substring_dedup, token_blocks, tokens, toxicity, url_cascade, warc
+from autolake.llm import decontaminate, license_scan, near_dedup, oracles, packing, quality_rules, substring_dedup, token_blocks, tokens, toxicity, url_cascade, warc
 from autolake.session import scratch_path
 
 
@@ -27,7 +27,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    _table(spark, sf_dir, "benchmark", "item_id", "text"))
     return found.select("doc_id", "found.n_words", "found.n_hit", "found.n_items",
                         F.sha2(F.concat_ws(",", "found.items"), 256).alias("items_sha256"),
-                        decontaminate.contaminated("found").alias("contaminated"), "found.longest")
+                        decontaminate.contaminated("found").alias("contaminated"))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,4 +97,10 @@ QUERIES = {
     "op10_warc": op10_warc,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_decontamination": oracles.OP2,
+    "op4_url_cascade": oracles.OP4,
+    "op7_substring_dedup": oracles.OP7,
+    "op8_near_dedup": oracles.OP8,
+    "op10_warc": oracles.OP10,
+}
