@@ -9,23 +9,35 @@ from pyspark.sql import functions as F
 
 from autolake.session import work_dir
 
-# Dimension tables at or below this many rows are broadcast; larger ones are
-# joined by shuffle. Checked on the materialised table, never guessed.
-BROADCAST_MAX_ROWS = 1_000_000
+# Derived dimensions of at most so many bytes are broadcast; larger ones are joined by
+# shuffle. Summed over the materialised table, never guessed.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row in memory, nearly: 16 bytes, 8 per column, and the bytes of text."""
+    size = F.lit(16 + 8 * len(df.columns))
+    for f in df.schema.fields:
+        kind = f.dataType.simpleString()
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0))
+    return size.cast("long")
+
+
+def bounded_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Materialise a derived dimension once and broadcast it only if it is small.
 
     The dimension is written with a reliable ``checkpoint`` to the shared work
-    folder (it survives executor loss and cuts its lineage), counted, and hinted
-    for broadcast when ``count <= max_rows``. Beyond the bound the caller's join
-    falls back to a shuffle join (AQE may still split skewed partitions).
+    folder (it survives executor loss and cuts its lineage), its bytes are summed in
+    the same job, and it is hinted for broadcast when they are at most ``max_bytes``.
+    Beyond the bound the caller's join is a shuffle join: another plan, the same rows.
     """
     work_dir(dim.sparkSession)
     obs = Observation()
-    dim = dim.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    return F.broadcast(dim) if obs.get["rows"] <= max_rows else dim
+    dim = dim.observe(obs, F.sum(row_bytes(dim)).alias("bytes")).checkpoint(eager=True)
+    return F.broadcast(dim) if (obs.get["bytes"] or 0) <= max_bytes else dim
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Column | str,

@@ -12,6 +12,14 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def _executed(df) -> str:
+    """The plan as it ran: this very query execution is run, so AQE's final plan is shown."""
+    df._jdf.queryExecution().toRdd().count()
+    plan = _plan(df)
+    assert "isFinalPlan=true" in plan or "AdaptiveSparkPlan" not in plan
+    return plan
+
+
 def test_no_python_in_any_query_plan(spark):
     from tests.test_zz_oracle import SLOW
     for name, q in QUERIES.items():
@@ -45,8 +53,7 @@ def test_small_dimensions_are_broadcast(spark):
 def test_dedup_combines_map_side_without_window(spark):
     for name in ("c_clean_silver", "c_dedup_first"):
         df = QUERIES[name](spark, SF001)
-        df.write.format("noop").mode("overwrite").save()
-        plan = _plan(df)
+        plan = _executed(df)
         assert "partial_min_by" in plan, name          # hot keys shrink before the shuffle
         assert "Window" not in plan, name               # no per-key window holding a whole key
 
@@ -70,12 +77,31 @@ def test_bounded_broadcast_falls_back_to_shuffle_join(spark):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")    # only our hint may broadcast
     try:
-        small = big.join(bounded_broadcast(dim, max_rows=10), "k")
-        small.write.format("noop").mode("overwrite").save()
-        assert "BroadcastHashJoin" in _plan(small)
-        over = big.join(bounded_broadcast(dim, max_rows=9), "k")     # 10 rows > bound: no hint
-        over.write.format("noop").mode("overwrite").save()
-        assert "BroadcastHashJoin" not in _plan(over) and "SortMergeJoin" in _plan(over)
+        small = big.join(bounded_broadcast(dim, max_bytes=320), "k")
+        assert "BroadcastHashJoin" in _executed(small)
+        over = big.join(bounded_broadcast(dim, max_bytes=319), "k")     # 10 rows of 32 bytes > bound: no hint
+        plan = _executed(over)
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
         assert over.count() == 1000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_hot_key_of_first_seen_is_split(spark):
+    """Half of the rows share one key: AQE cuts that key's partition."""
+    from pyspark.sql import functions as F
+
+    from autolake.operators.pages import first_seen
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(0, 200_000, 1, 16).select(
+            F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("cod"),
+            (F.col("id") % 7).cast("int").alias("brand_ord"), F.sha2(F.col("id").cast("string"), 256).alias("pay"))
+        assert "skew=true" in _executed(first_seen(df))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
