@@ -26,7 +26,7 @@ from autolake.plans import views as V
 from autolake.plans.fixtures import REQUEST_RUN_YEAR, RUN_YEAR, fx_bronze, model_keys, table
 from autolake.plans.oracle_views import with_views
 from autolake.session import scratch_path, work_dir
-from autolake.sources import bronze, partitions, sinks
+from autolake.sources import storage, bronze, partitions, sinks
 from autolake.sources.registry import latest_model_key, model_registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -489,7 +489,7 @@ def _silver_by_day(spark, d):
     """Silver as a day-partitioned table per source (``source=<s>/scraped_day=<d>``); source b
     has no rows on the preferred day, so its reader falls back. One write for both
     sources, once per session and data folder."""
-    key = (spark.sparkContext.applicationId, d, "silver_by_day")
+    key = (spark.sparkContext.applicationId, d, storage.state(spark, d), "silver_by_day")
     if key not in _WRITTEN:
         root = scratch_path(spark, "silver_by_day")
         s = V.silver(spark, d)
@@ -508,9 +508,9 @@ _B_GAP = f"(source = 'a' or scraped_day <> date '{_PREFERRED_DAY}')"
 select source, max(scraped_day) as latest from silver where {_B_GAP} group by source"""))
 def s_latest_partition(spark, d):
     root = _silver_by_day(spark, d)
-    parts = [partitions.latest_day_frame(partitions.read_table(spark, f"{root}/source={s}"), "scraped_day")
-             .select(F.lit(s).alias("source"), "latest") for s in ("a", "b")]
-    return parts[0].unionByName(parts[1])
+    last = [F.struct(F.lit(s).alias("source"), F.lit(partitions.last_day(spark, f"{root}/source={s}", "scraped_day")).alias("latest"))
+            for s in ("a", "b")]
+    return spark.range(1).select(F.inline(F.array(*last)))
 
 
 @query("s_read_day", with_views(["silver"], f"""
@@ -531,8 +531,7 @@ def s_preferred_or_latest(spark, d):
     root = _silver_by_day(spark, d)
     out = []
     for s in ("a", "b"):
-        rows = partitions.read_preferred_or_latest(partitions.read_table(spark, f"{root}/source={s}"), "scraped_day",
-                                                   _PREFERRED_DAY)
+        rows = partitions.read_day_or_last(spark, f"{root}/source={s}", "scraped_day", _PREFERRED_DAY)
         out.append(rows.groupBy(F.lit(s).alias("source"), F.col("scraped_day").alias("chosen_day"))
                        .agg(F.count(F.lit(1)).alias("n_rows")))
     return out[0].unionByName(out[1])
@@ -544,7 +543,7 @@ from listings"""))
 def s_listing_bronze_roundtrip(spark, d):
     """S1 + S2: land every listing record as a JSON line under its day, read it back
     with the explicit record schema."""
-    key = (spark.sparkContext.applicationId, d, "listing_bronze")
+    key = (spark.sparkContext.applicationId, d, storage.state(spark, d), "listing_bronze")
     if key not in _WRITTEN:
         root = scratch_path(spark, "bronze_listings")
         recs = V.listings(spark, d).drop("_ord")
@@ -558,7 +557,7 @@ def s_listing_bronze_roundtrip(spark, d):
 def s_fx_bronze_roundtrip(spark, d):
     """S1-S3 + F1: one envelope document per day (fetched_at, source, data[]), read
     as multi-line JSON with the envelope schema, exploded and normalised."""
-    key = (spark.sparkContext.applicationId, d, "fx_bronze")
+    key = (spark.sparkContext.applicationId, d, storage.state(spark, d), "fx_bronze")
     if key not in _WRITTEN:
         root = scratch_path(spark, "bronze_fx")
         recs = fx_bronze(spark, d)

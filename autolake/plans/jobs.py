@@ -128,7 +128,7 @@ def gold_job(spark: SparkSession, lake: str, day, sources=("a", "b")) -> str:
             if i == 0:
                 raise FileNotFoundError(f"required silver source {s} is missing")
             continue
-        parts.append(partitions.read_preferred_or_latest(spark.read.parquet(root), "fecha", day)
+        parts.append(partitions.read_day_or_last(spark, root, "fecha", day)
                      .withColumn("source", F.lit(s)))
     silver = parts[0] if len(parts) == 1 else features.union_sources(parts[0], parts[1])
     rates = sinks.read_current(spark, f"{lake}/serving/dolar") if sinks.current_version(spark, f"{lake}/serving/dolar")[0] else None

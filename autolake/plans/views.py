@@ -13,6 +13,7 @@ from autolake.operators.fx import normalize_fx
 from autolake.operators.model import score_by_group_median
 from autolake.plans import fixtures as fx_
 from autolake.session import scratch_path
+from autolake.sources import storage
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,14 +34,14 @@ _TABLES: dict[tuple, str] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str | None = None) -> DataFrame:
-    """A layer as a stored table: built once per session and data folder into the
+    """A layer as a stored table: built once per session and state of the input files into the
     shared work folder (a reliable write that also cuts the lineage), then read by
     every downstream query — the medallion layout of the pipeline.
 
     With ``bucket_by`` the table is written bucketed on that key (one bucket per
     shuffle partition) and registered in the catalog, so aggregates and joins on the
     key read co-located buckets instead of shuffling the table again."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, storage.state(spark, sf_dir), name)
     if key in _TABLES and _TABLES[key].startswith("table:") and not spark.catalog.tableExists(_TABLES[key][6:]):
         del _TABLES[key]          # the catalog lost it (e.g. a new session): build again
     if key not in _TABLES:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from autolake.sources import storage
+
 
 def write_day_partitions(df: DataFrame, root: str, day_col: str, spread_by: Sequence[str] | None = None) -> None:
     """Parquet partitioned by ``day_col``; rewriting a day replaces only that day
@@ -55,3 +58,24 @@ def chosen_day(df: DataFrame, day_col: str, day) -> Column:
 def read_preferred_or_latest(df: DataFrame, day_col: str, day) -> DataFrame:
     """Rows of the chosen day (partition pruned at run time)."""
     return df.where(F.col(day_col) == chosen_day(df, day_col, day))
+
+
+def days(spark: SparkSession, root: str, day_col: str) -> list[dt.date]:
+    """The days that have a partition, ascending: one folder listing, no file is opened."""
+    prefix = f"{day_col}="
+    return [dt.date.fromisoformat(n[len(prefix):]) for n in storage.names(spark, root)
+            if n.startswith(prefix) and n[len(prefix):] != "__HIVE_DEFAULT_PARTITION__"]
+
+
+def last_day(spark: SparkSession, root: str, day_col: str) -> dt.date:
+    """S6 on a stored table: its latest partition; a table without partitions is an error."""
+    found = days(spark, root, day_col)
+    if not found:
+        raise FileNotFoundError(f"no partitions under {root}")
+    return found[-1]
+
+
+def read_day_or_last(spark: SparkSession, root: str, day_col: str, day) -> DataFrame:
+    """S7 on a stored table: the requested day where it has a partition, else the latest one."""
+    want = dt.date.fromisoformat(str(day))
+    return read_day(spark, root, day_col, want if want in days(spark, root, day_col) else last_day(spark, root, day_col))

@@ -23,6 +23,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def state(spark: SparkSession, path: str) -> int:
+    """A number that changes when a file or folder directly under ``path`` is rewritten."""
+    fs, p = _path(spark, path)
+    return hash(tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))))
+
+
 def has_entries(spark: SparkSession, path: str) -> bool:
     """Whether the folder holds data (entries that Spark's readers do not skip)."""
     return any(n[0] not in "_." for n in names(spark, path))

@@ -76,6 +76,11 @@ def test_day_partitions_idempotent(spark, tmp_root):
     # preferred day exists -> it; missing -> latest (even if later than asked)
     assert rows(partitions.read_preferred_or_latest(t, "fecha", D1), "cod") == [("1",)]
     assert rows(partitions.read_preferred_or_latest(t, "fecha", dt.date(2026, 1, 1)), "cod") == [("3",)]
+    assert partitions.days(spark, root, "fecha") == [D1, D2] and partitions.last_day(spark, root, "fecha") == D2
+    assert rows(partitions.read_day_or_last(spark, root, "fecha", D1), "cod") == [("1",)]
+    assert rows(partitions.read_day_or_last(spark, root, "fecha", dt.date(2026, 1, 1)), "cod") == [("3",)]
+    with pytest.raises(FileNotFoundError):
+        partitions.last_day(spark, f"{tmp_root}/none", "fecha")
     plan = partitions.read_day(spark, root, "fecha", D1)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(fecha" in plan
 
