@@ -9,7 +9,7 @@ follow each other on one diagonal join to the longest verbatim match. Documents
 shuffled.
 
 The benchmark side is shipped to the tasks in blocks of at most ``BLOCK_BYTES`` of text; a
-larger benchmark takes one pass per block over the rows already annotated.
+larger benchmark takes one pass per block over the rows already annotated, stored between.
 """
 
 from __future__ import annotations
@@ -23,12 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from autolake.llm import words
+from autolake.llm.near_dedup import _stored
 
 WINDOW = 13
 # A document is contaminated if at least one in this many of its words is hit.
 HIT_SHARE = 20
 # Benchmark text in one shipped block (a single longer item is a block of its own).
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
 
 
 class Suffixes:
@@ -181,6 +182,8 @@ def annotate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item
     blocks = _blocks(benchmark, item_col, item_text_col) or [[]]
     kind = "struct<n_words:bigint,spans:array<struct<a:bigint,b:bigint>>,items:array<string>,longest:bigint>"
     for k, items in enumerate(blocks):
+        if k:       # one pass runs at a time: a task never holds more than one block
+            docs = _stored(docs, "decontaminate-pass")
         shipped = sc.broadcast(Suffixes(items, window))
         docs = _pass(docs, text_col, out if not k else f"{out}_{k}", kind, shipped)
     spans = lambda c: F.col(c)["spans"]
