@@ -43,7 +43,12 @@ def score_by_group_median(df: DataFrame, keys: Sequence[str], price: str = TARGE
     """Stand-in estimator: the median price of rows sharing ``keys`` (exact, no task
     holds a whole group), joined back with a checked broadcast (shuffle join beyond
     the bound)."""
-    med = group_median(df, keys, price, "_med")
+    return score_by_fitted_median(df, df, keys, price)
+
+
+def score_by_fitted_median(df: DataFrame, fit_on: DataFrame, keys: Sequence[str], price: str = TARGET) -> DataFrame:
+    """The same estimator fitted on ``fit_on`` alone; rows of groups that it lacks drop out."""
+    med = group_median(fit_on, keys, price, "_med")
     out = df.join(bounded_broadcast(med), list(keys), "inner")
     return estimate_columns(out, "_med", price).drop("_med")
 
