@@ -107,3 +107,19 @@ def first_and_last(df: DataFrame, keys: Sequence[str], order: str, drop: Sequenc
                                 F.max_by(F.struct(*payload), F.col(order)).alias("_last"),
                                 (F.min(order) < F.max(order)).alias("_two"))
     return agg.select(*keys, "first", F.when(F.col("_two"), F.col("_last")).alias("last"))
+
+
+def with_position(ordered: DataFrame, out: str = "position") -> DataFrame:
+    """``ordered`` (a frame ending in a global ``orderBy``) with each row's place from 1.
+
+    The sort range-partitions the rows; they are stored, numbered inside each partition and
+    shifted by the rows of earlier partitions (a table with one row per partition)."""
+    work_dir(ordered.sparkSession)
+    rows = (ordered.withColumn("_pid", F.spark_partition_id())
+                   .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True))
+    sizes = rows.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return (rows.join(F.broadcast(offsets), "_pid")
+                .withColumn(out, F.col("_off") + F.col("_mid") - F.col("_m0") + 1)
+                .drop("_pid", "_mid", "_n", "_m0", "_off"))

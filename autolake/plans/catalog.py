@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from autolake import schemas
-from autolake.functions.joins import first_and_last
+from autolake.functions.joins import first_and_last, with_position
 from autolake.operators import clean, features
 from autolake.operators import fx as fxo
 from autolake.operators import market as mk
@@ -456,6 +456,27 @@ def q_user_sort(spark, d):
     return mk.user_sort(rows, "modelo", ascending=False)
 
 
+_SORT_KEYS = ("marca", "modelo", "anio", "km", "precio_ars")
+
+
+@query("q_sort_positions", with_views(["serving"], " union all ".join(
+    f"""select '{k}' as key, cod, row_number() over (order by {k if k in ('marca', 'modelo') else f'coalesce({k}, 0)'} desc, cod) as position
+from serving""" for k in _SORT_KEYS)))
+def q_sort_positions(spark, d):
+    """Q7 checked: every row's place under each of the five sort keys, over the whole table."""
+    out = None
+    for k in _SORT_KEYS:
+        one = with_position(mk.user_sort(V.serving_table(spark, d).select("cod", *_SORT_KEYS), k, ascending=False))
+        one = one.select(F.lit(k).alias("key"), "cod", "position")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("c_stamp_source", with_views(["silver"], "select cod, precio_ars, scraped_day, 'a' as source from silver"))
+def c_stamp_source(spark, d):
+    return clean.stamp_source(V.silver(spark, d).drop("source"), "a").select("cod", "precio_ars", "scraped_day", "source")
+
+
 @query("q_relative_price", with_views(["serving"], """
 select cod, coalesce(precio_ars, 0) / (select greatest(coalesce(max(precio_ars), 0), 1) from serving) * 100
        as pct_of_max from serving"""))

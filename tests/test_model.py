@@ -136,3 +136,12 @@ def test_metrics_zero_truth_and_single_row(spark):
     df = spark.createDataFrame([(0, 10)], "precio_ars long, precio_estimado long")
     m = mo.regression_metrics(df, "precio_ars", "precio_estimado").first()
     assert (m.mae, m.rmse, m.r2, m.mape) == (10.0, 10.0, None, None)
+
+
+def test_with_position_numbers_the_whole_order(spark):
+    from autolake.functions.joins import with_position
+
+    df = spark.range(0, 5000, 1, 7).select(F.col("id"), (F.col("id") * 7919 % 5003).alias("v"))
+    got = with_position(df.orderBy(F.desc("v"), "id")).collect()
+    want = sorted(((-(i * 7919 % 5003), i) for i in range(5000)))
+    assert {r.id: r.position for r in got} == {i: n for n, (_, i) in enumerate(want, 1)}
