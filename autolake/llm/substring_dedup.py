@@ -190,8 +190,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) ->
     found = _stored(cut_rows.join(often, "g", "left_semi") if keep is None else cut_rows, "span-pieces")
     contents = _stored(found.groupBy("g", "c").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "id", "start", "windows")).alias("at"), F.max("anchors").alias("anchors")), "span-contents")
-    groups = contents.groupBy("g").agg(F.count("*").alias("k"), F.min("n").alias("least"), F.max("anchors").alias("most")).where(
-        "least = 1 and (k > 1 or most > 1)").drop("least", "most")
+    # stored, so that the join shuffles both sides and a hot minimizer's pieces can be split
+    groups = _stored(contents.groupBy("g").agg(F.count("*").alias("k"), F.min("n").alias("least"), F.max("anchors").alias("most")).where(
+        "least = 1 and (k > 1 or most > 1)").drop("least", "most"), "span-groups")
 
     # words of the pieces that an automaton is needed for: texts that hold one, read once more
     wanted = _stored(contents.join(groups, "g").select("g", "c", "n", "k", "at.*")
