@@ -128,9 +128,10 @@ class Encoder:
 
 _BLANK_AFTER_SPACE = re.compile(r"\s ")
 _AFTER_WORD = re.compile(r"(?<=\S)(?= )")
-# No id spans the point between a letter and ASCII punctuation or a line end, nor between a line
-# end and a letter (Latin letters suffice: other text is merely remembered in larger pieces).
-_SURE = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[!-/:-@\[-`{-~\n\t])|(?<=\n)(?=[A-Za-zÀ-ÖØ-öø-ɏ])")
+# No id spans the point between a letter and ASCII punctuation or a line end, nor between a single
+# line end and a letter (Latin letters suffice: other text is merely remembered in larger pieces).
+# A longer run of white space is not cut from the letter: the vocabulary's `\s+(?!\S)` looks at it.
+_SURE = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[!-/:-@\[-`{-~\n\t])|(?<=\S\n)(?=[A-Za-zÀ-ÖØ-öø-ɏ])")
 
 
 def _key(part: str):

@@ -35,6 +35,19 @@ def test_memoised_ids_equal_plain_encoding(name):
             assert ids[bounds[i]:bounds[i + 1]].tolist() == plain_ids(name, text), text
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_white_space_runs_before_letters(name):
+    rng = np.random.default_rng(5)
+    parts = ["\n", "\n", "\n\n", " ", "\t", "\r\n", "\u00a0", "\u3000", "\x1c", "a", "Bc", "\u00e9", "\u0301", "\u4e2d", "1", ".", "!", "'s", "'"]
+    texts = ["End of one.\n\nNext", "end\n\n\n\nNext", "\nA", "\n\nA b", "x. \n\n y"]
+    texts += ["".join(rng.choice(parts, rng.integers(1, 12))) for _ in range(20_000)]
+    enc = tokens.Encoder(tokens.read_vocabulary(public_tokenizers.path(name)))
+    plain = Tokenizer.from_file(public_tokenizers.path(name))
+    ids, bounds = enc.encode(texts, 1)
+    for i, text in enumerate(texts):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids + [1], text
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 255, 256, 257, 3000])
 @pytest.mark.parametrize("high", [0, 1, 300, 2**32 - 1])
 def test_segment_round_trip(n, high):
