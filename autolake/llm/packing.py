@@ -79,13 +79,14 @@ def best_fit_decreasing(lengths: np.ndarray, window: int) -> tuple[np.ndarray, n
 
 
 def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-         window: int = WINDOW, end: int = 1, with_ids: bool = False) -> DataFrame:
+         window: int = WINDOW, end: int = 1, with_ids: bool = False, special: bool = False) -> DataFrame:
     """One row per piece: which ids of which document lie where in which sequence.
 
     Columns: ``id_col``, start (ids of the document before the piece), length, ids_crc32 (of
     the piece's ids as little-endian unsigned 32-bit), doc_tokens, sequence_id, offset, and,
     with ``with_ids``, ids (array of the piece's ids) from which ``sequences`` fills windows.
     ``vocabulary`` is the JSON text of a tokenizers file; ``end`` closes every document.
+    With ``special``, special-token strings in a text become their ids.
 
     Null or empty text: the end id alone. Null ids and repeated rows are packed like any
     other row, each row a document of its own. Ties in length keep input order. An empty
@@ -97,7 +98,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
               "sequence_id long, offset long" + (", ids array<int>" if with_ids else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = tokens.encoder(shipped.value)
+        enc = tokens.encoder(shipped.value, special)
         base = TaskContext.get().partitionId() << PARTITION_SHIFT
         full, done = [], []     # full windows go out at once, remainders at the end
         sequences = 0

@@ -17,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame
 def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = tokens.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
     files, index = scratch_path(spark, "op1-blocks"), scratch_path(spark, "op1-index")
-    token_blocks.write(_table(spark, sf_dir, "documents", "doc_id", "text"), files, vocabulary)
+    token_blocks.write(_table(spark, sf_dir, "documents", "doc_id", "text"), files, vocabulary, special=True)
     token_blocks.read(spark, files).write.parquet(index)
     return token_blocks.with_starts(spark.read.parquet(index)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
@@ -32,7 +32,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
-    return packing.pack(_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary)
+    return packing.pack(_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary, special=True)
 
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]

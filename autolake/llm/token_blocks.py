@@ -142,9 +142,11 @@ def decode_segments(data: bytes) -> Iterator[tuple[tuple[int, int, int], list, n
 
 
 def write(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-          end: int = 1) -> None:
+          end: int = 1, special: bool = False) -> None:
     """Encode every whole text, close it with ``end`` and write the ids in ascending id order.
 
+    With ``special``, special-token strings in a text become their ids.
+
     Rows are range-partitioned on (id, hash of the text), so that even one id on many rows
     spreads; each task sorts its range and writes its segments. Null text: the end id alone.
     Null ids come first; rows of equal id lie in the order of their texts' hashes; repeated
@@ -155,7 +157,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id", t
     tie = F.xxhash64("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = tokens.encoder(shipped.value)
+        enc = tokens.encoder(shipped.value, special)
         part, number, before = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             for rows in words.slices(batch, "text"):

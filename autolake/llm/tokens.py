@@ -27,18 +27,27 @@ class Encoder:
     """Encodes lists of texts into one array of ids and the bounds of each text's ids.
 
     ``vocabulary`` is the JSON text of a tokenizers file; special-token strings in a text
-    are ordinary text. Byte-level vocabularies give blanks ids, so there a piece keeps the
-    blank before it; word vocabularies drop white space.
+    are ordinary text, or with ``special`` become their ids, which is the library's default.
+    Byte-level vocabularies give blanks ids, so there a piece keeps the blank before it; word
+    vocabularies drop white space.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_str(vocabulary)
+        # pieces hold no such string but by the memo's lower-casing, which the library does after its search
         self._tok.encode_special_tokens = True
         self._tok.no_padding()
         self._tok.no_truncation()
+        # strings that the library takes out of a text before all else, with their ids
+        added = self._tok.get_added_tokens_decoder() if special else {}
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("added tokens must be matched as they are written")
+        self._added = {t.content: i for i, t in added.items()}
+        longest = sorted(self._added, key=len, reverse=True)
+        self._split_added = re.compile("(" + "|".join(map(re.escape, longest)) + ")").split if longest else None
         # a vocabulary that gives a blank ids of its own keeps white space
         self._blanks = bool(self._encode([" "])[0])
         self._lower = self._encode(["AZ"]) == self._encode(["az"])
@@ -50,11 +59,20 @@ class Encoder:
         self._first = np.zeros(1 << 14, np.int64)
         self._size = np.zeros(1 << 14, np.int64)
         self._used = self._known = self._chars = 0
+        # ints are keys of added tokens: no part of a text has such a key
+        self._add(list(self._added.values()), np.array(list(self._added.values()), np.uint32), np.ones(len(self._added), np.int64))
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _pieces(self, text: str) -> list:
+        """Keys of a text's pieces and added tokens (int keys); text between these is cut on its own."""
+        if not any(content in text for content in self._added):
+            return self._cut(text)
+        parts = self._split_added(text)
+        return [k for i, p in enumerate(parts) for k in ([self._added[p]] if i % 2 else self._cut(p) if p else [])]
+
+    def _cut(self, text: str) -> list:
         """Keys of a text's pieces; a str key stands for a blank and itself, a bytes key for itself."""
         if not self._blanks:
             # ASCII white space only: it separates words under every definition
@@ -94,7 +112,7 @@ class Encoder:
         self._codes.update(zip(keys, range(n, n + len(keys))))
         self._used += len(ids)
         self._known += len(keys)
-        self._chars += sum(map(len, keys))
+        self._chars += sum(len(k) for k in keys if not isinstance(k, int))
 
     def encode(self, texts: list[str | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row (null: empty) and each text's bounds; ``end`` closes each text."""
@@ -152,12 +170,12 @@ def _ranges(pool: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray
     return pool[np.repeat(first - before, size) + np.arange(size.sum())]
 
 
-def encoder(vocabulary: str) -> Encoder:
+def encoder(vocabulary: str, special: bool = False) -> Encoder:
     """This worker process's encoder for a vocabulary (kept between tasks)."""
-    if vocabulary not in _MEMO:
+    if (vocabulary, special) not in _MEMO:
         _MEMO.clear()
-        _MEMO[vocabulary] = Encoder(vocabulary)
-    return _MEMO[vocabulary]
+        _MEMO[vocabulary, special] = Encoder(vocabulary, special)
+    return _MEMO[vocabulary, special]
 
 
 def forget() -> None:

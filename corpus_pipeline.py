@@ -56,7 +56,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed training sequences."""
-    return packing.pack(docs, tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json")))
+    return packing.pack(docs, tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json")), special=True)
 
 
 STAGES = [

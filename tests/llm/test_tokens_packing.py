@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from autolake.llm import packing, token_blocks, tokens
+from autolake.llm import packing, queries, token_blocks, tokens
 from autolake.session import scratch_path
 from tests.llm.corpus import DOCS, edge_texts, rows
 
@@ -48,6 +48,20 @@ def test_white_space_runs_before_letters(name):
         assert ids[bounds[i]:bounds[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids + [1], text
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_special_strings_as_by_the_library(name):
+    rng = np.random.default_rng(6)
+    parts = ["<|endoftext|>", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", " ", "  ", "\n", "a", "B", "e", "\u0301", "."]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x"]
+    texts += ["".join(rng.choice(parts, rng.integers(1, 10))) for _ in range(5_000)]
+    enc = tokens.Encoder(tokens.read_vocabulary(public_tokenizers.path(name)), special=True)
+    plain = Tokenizer.from_file(public_tokenizers.path(name))
+    for _ in range(2):      # the second time from the memo
+        ids, bounds = enc.encode(texts, 1)
+        for i, text in enumerate(texts):
+            assert ids[bounds[i]:bounds[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids + [1], text
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 255, 256, 257, 3000])
 @pytest.mark.parametrize("high", [0, 1, 300, 2**32 - 1])
 def test_segment_round_trip(n, high):
@@ -135,3 +149,12 @@ def test_pieces_cover_every_id_once(spark):
 def test_packing_nothing(spark):
     out = packing.pack(spark.createDataFrame([], DOCS), tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json")))
     assert out.count() == 0
+
+
+def test_queries_encode_special_strings(spark):
+    text = "a <|endoftext|> b"
+    folder = scratch_path(spark, "test-special")
+    spark.createDataFrame(rows([(1, text)]), DOCS).write.parquet(f"{folder}/documents.parquet")
+    plain = {n: Tokenizer.from_file(public_tokenizers.path(n)).encode(text, add_special_tokens=False).ids + [1] for n in ("word_bpe_49k.json", "byte_bpe_50k.json")}
+    assert [r.ids_crc32 for r in queries.QUERIES["op1_token_blocks"](spark, folder).collect()] == [crc(plain["word_bpe_49k.json"])]
+    assert [r.ids_crc32 for r in queries.QUERIES["op3_packing"](spark, folder).collect()] == [crc(plain["byte_bpe_50k.json"])]
