@@ -145,22 +145,32 @@ def _search(keys: np.ndarray, wanted: np.ndarray, side: str) -> np.ndarray:
     return lo
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tuple[str, str]]]:
-    """The benchmark's items in blocks of bounded text.
+class _blocks:
+    """The benchmark's items in blocks of bounded text, one empty block if there is no item.
 
-    The sizes alone are looked at first: (item, bytes) pairs; blocks are then read one by one.
+    The text's total size alone is looked at first; a block is read when its turn comes. The
+    length counts the blocks dealt to, of which empty ones are left out.
     """
-    items = (benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t"))
-             .where(F.col("i").isNotNull() & F.col("t").isNotNull()))
-    total = items.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
-    n_blocks = max(1, -(-total // BLOCK_BYTES))
-    block = F.pmod(F.xxhash64("i", "t"), F.lit(2 * n_blocks if n_blocks > 1 else 1))
-    out = []
-    for b in range(2 * n_blocks if n_blocks > 1 else 1):
-        rows = items.where(block == b).orderBy("i", "t").collect()
-        if rows:
-            out.append([(r["i"], r["t"]) for r in rows])
-    return out
+
+    def __init__(self, benchmark: DataFrame, item_col: str, text_col: str):
+        self._items = (benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t"))
+                       .where(F.col("i").isNotNull() & F.col("t").isNotNull()))
+        total = self._items.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
+        n_blocks = max(1, -(-total // BLOCK_BYTES))
+        self._n = 2 * n_blocks if n_blocks > 1 else 1
+
+    def __len__(self) -> int:
+        return self._n
+
+    def __iter__(self) -> Iterator[list[tuple[str, str]]]:
+        block, empty = F.pmod(F.xxhash64("i", "t"), F.lit(self._n)), True
+        for b in range(self._n):
+            rows = self._items.where(block == b).orderBy("i", "t").collect()
+            if rows:
+                empty = False
+                yield [(r["i"], r["t"]) for r in rows]
+        if empty:
+            yield []
 
 
 def annotate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
@@ -179,15 +189,16 @@ def annotate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item
     if out.lower() in (c.lower() for c in docs.columns):
         raise ValueError(f"column {out} is taken")
     sc = docs.sparkSession.sparkContext
-    blocks = _blocks(benchmark, item_col, item_text_col) or [[]]
     kind = "struct<n_words:bigint,spans:array<struct<a:bigint,b:bigint>>,items:array<string>,longest:bigint>"
-    for k, items in enumerate(blocks):
-        if k:       # one pass runs at a time: a task never holds more than one block
+    names = []
+    for k, items in enumerate(_blocks(benchmark, item_col, item_text_col)):
+        if k:       # one pass runs at a time: a task never holds more than one block, the driver two
             docs = _stored(docs, "decontaminate-pass")
+            shipped.destroy()
         shipped = sc.broadcast(Suffixes(items, window))
-        docs = _pass(docs, text_col, out if not k else f"{out}_{k}", kind, shipped)
+        names.append(out if not k else f"{out}_{k}")
+        docs = _pass(docs, text_col, names[-1], kind, shipped)
     spans = lambda c: F.col(c)["spans"]
-    names = [out] + [f"{out}_{k}" for k in range(1, len(blocks))]
     all_spans = F.array_sort(F.flatten(F.array(*[spans(c) for c in names])))
     merged = F.aggregate(all_spans, F.array().cast("array<struct<a:bigint,b:bigint>>"), _merge)
     items_all = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(c)["items"] for c in names]))))

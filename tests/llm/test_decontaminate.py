@@ -58,6 +58,25 @@ def test_several_benchmark_blocks(spark, monkeypatch):
     assert found(docs, bench) == brute(texts, items)
 
 
+def test_blocks_are_read_in_turn(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 600)
+    texts, items = corpus()
+    docs, bench = spark.createDataFrame(rows(texts), DOCS), spark.createDataFrame([(*i, "f") for i in items], ITEMS)
+    read, at_store = [], []
+    collect, stored = type(bench).collect, decontaminate._stored
+
+    def counted(df):
+        out = collect(df)
+        if df.columns == ["i", "t"] and out:
+            read.append(len(out))
+        return out
+
+    monkeypatch.setattr(type(bench), "collect", counted)
+    monkeypatch.setattr(decontaminate, "_stored", lambda *a: at_store.append(len(read)) or stored(*a))
+    decontaminate.annotate(docs, bench)
+    assert len(read) > 2 and at_store == list(range(2, len(read) + 1))
+
+
 def test_empty_tables_and_rows_kept(spark):
     texts, items = corpus()
     docs, bench = spark.createDataFrame(rows(texts), DOCS), spark.createDataFrame([(*i, "f") for i in items], ITEMS)
