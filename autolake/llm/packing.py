@@ -104,7 +104,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
         sequences = 0
         for batch in batches:
             for part in words.slices(batch, "text"):
-                ids, bounds = enc.encode(part.column("text").to_pylist(), end)
+                ids, bounds = enc.encode(part.column("text"), end)
                 pieces = _cut(ids, bounds, window)
                 row = pieces.pop("row")
                 pieces["doc"] = part.column("doc").take(pa.array(row))

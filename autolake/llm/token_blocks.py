@@ -161,7 +161,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id", t
         part, number, before = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             for rows in words.slices(batch, "text"):
-                ids, bounds = enc.encode(rows.column("text").to_pylist(), end)
+                ids, bounds = enc.encode(rows.column("text"), end)
                 segment = encode_segment(part, number, before, rows.column("doc").to_pylist(), np.diff(bounds), ids)
                 yield pa.RecordBatch.from_pydict({"value": pa.array([segment], pa.binary())})
                 number, before = number + 1, before + len(ids)

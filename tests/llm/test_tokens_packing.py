@@ -48,6 +48,21 @@ def test_white_space_runs_before_letters(name):
         assert ids[bounds[i]:bounds[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids + [1], text
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_every_letter_beside_every_sign(name):
+    letters = [chr(c) for c in [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250)]]
+    signs = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()] + ["\n", "\t", "\n\n"]
+    texts = [f"x{a}{s}{a}y {a}{s}" for a in letters for s in signs]
+    rng = np.random.default_rng(7)
+    parts = [*"abzAZé\u0130\u0131ßŉǰ\u0307\u0301中ー—«½²٣", "\n", "\n", " ", " ", "  ", "\t", "\x85", "\u2003", "\u1680", ".", "'", "'s", "_", "9", "\x00", "\x7f"]
+    texts += ["".join(rng.choice(parts, rng.integers(1, 14))) for _ in range(50_000)]
+    enc = tokens.Encoder(tokens.read_vocabulary(public_tokenizers.path(name)))
+    plain = Tokenizer.from_file(public_tokenizers.path(name)).encode_batch_fast(texts, add_special_tokens=False)
+    ids, bounds = enc.encode(texts)
+    for i, text in enumerate(texts):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == plain[i].ids, text
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_special_strings_as_by_the_library(name):
     rng = np.random.default_rng(6)
