@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from autolake.llm import words
-from autolake.llm.near_dedup import _stored
+from autolake.llm.stored import stored
 
 WINDOW = 13
 # A document is contaminated if at least one in this many of its words is hit.
@@ -193,7 +193,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item
     names = []
     for k, items in enumerate(_blocks(benchmark, item_col, item_text_col)):
         if k:       # one pass runs at a time: a task never holds more than one block, the driver two
-            docs = _stored(docs, "decontaminate-pass")
+            docs = stored(docs, "decontaminate-pass")
             shipped.destroy()
         shipped = sc.broadcast(Suffixes(items, window))
         names.append(out if not k else f"{out}_{k}")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autolake.llm import decontaminate, license_scan, near_dedup, oracles, packing, quality_rules, substring_dedup, token_blocks, tokens, toxicity, url_cascade, warc
+from autolake.llm import bestfit, decontaminate, license_scan, near_dedup, oracles, packing, quality_rules, substring_dedup, token_blocks, tokens, toxicity, url_cascade, warc
 from autolake.session import scratch_path
 
 
@@ -84,6 +84,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve(warc.read(spark, archive)).drop("url")
 
 
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    return bestfit.pack(_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary, special=True)
+
+
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
     "op2_decontamination": op2_decontamination,
@@ -95,6 +100,7 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_warc": op10_warc,
+    "op13_best_fit": op13_best_fit,
 }
 
 ORACLE: dict[str, str] = {

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from autolake.llm import key_filter, words
-from autolake.llm.near_dedup import _stored
+from autolake.llm.stored import stored
 
 WINDOW = 35
 ANCHOR = 12
@@ -183,19 +183,19 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) ->
     sc = docs.sparkSession.sparkContext
     # minimizers at two places or more, and their pieces
     seen = docs.select("text").mapInArrow(lambda b: cut(b, light=True), "g long, anchors long")
-    often = _stored(seen.groupBy("g").agg(F.sum("anchors").alias("n")).where("n > 1").select("g"), "span-often")
+    often = stored(seen.groupBy("g").agg(F.sum("anchors").alias("n")).where("n > 1").select("g"), "span-often")
     keep = key_filter.build(often, "g")
     keep = None if keep is None else sc.broadcast(keep)
     cut_rows = docs.select("id", "key", "text").mapInArrow(lambda b: cut(b, keep), f"{_PIECE}, id {kind}")
-    found = _stored(cut_rows.join(often, "g", "left_semi") if keep is None else cut_rows, "span-pieces")
-    contents = _stored(found.groupBy("g", "c").agg(
+    found = stored(cut_rows.join(often, "g", "left_semi") if keep is None else cut_rows, "span-pieces")
+    contents = stored(found.groupBy("g", "c").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "id", "start", "windows")).alias("at"), F.max("anchors").alias("anchors")), "span-contents")
     # stored, so that the join shuffles both sides and a hot minimizer's pieces can be split
-    groups = _stored(contents.groupBy("g").agg(F.count("*").alias("k"), F.min("n").alias("least"), F.max("anchors").alias("most")).where(
+    groups = stored(contents.groupBy("g").agg(F.count("*").alias("k"), F.min("n").alias("least"), F.max("anchors").alias("most")).where(
         "least = 1 and (k > 1 or most > 1)").drop("least", "most"), "span-groups")
 
     # words of the pieces that an automaton is needed for: texts that hold one, read once more
-    wanted = _stored(contents.join(groups, "g").select("g", "c", "n", "k", "at.*")
+    wanted = stored(contents.join(groups, "g").select("g", "c", "n", "k", "at.*")
                      .groupBy("key", "id").agg(F.collect_list(F.struct("g", "c", "n", "k", "start", "windows")).alias("pieces")), "span-wanted")
     holds = key_filter.build(wanted, "key")
     holds = None if holds is None else sc.broadcast(holds)
@@ -221,7 +221,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) ->
 
     texts = docs.select("id", "key", "text")
     texts = texts if holds is None else texts.mapInArrow(holding, texts.schema)
-    spelled = _stored(texts.join(wanted.withColumnRenamed("id", "own"), (F.col("own").eqNullSafe(F.col("id"))) & (texts["key"] == wanted["key"]))
+    spelled = stored(texts.join(wanted.withColumnRenamed("id", "own"), (F.col("own").eqNullSafe(F.col("id"))) & (texts["key"] == wanted["key"]))
                       .select("text", "pieces").mapInArrow(spell, "g long, c long, n long, k long, words binary"), "span-words")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

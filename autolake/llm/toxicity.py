@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from autolake.llm import tokens, words
-from autolake.llm.near_dedup import _stored
+from autolake.llm.stored import stored
 
 TRAIN_ROWS = 20_000     # labelled rows that the fit may use
 LEXICON = 4096          # entries of each lexicon
@@ -215,13 +215,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
              .groupBy("id").agg(F.max("toxic").alias("toxic")).where(fold("id") != 0)
              .orderBy(F.xxhash64("id"), "id").limit(rows))     # the documented bound of the fit
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = _stored(texts.join(F.broadcast(known), "id").withColumn("fold", fold("id")), "tox-sample")     # at most ``rows`` labels are shipped
+    sample = stored(texts.join(F.broadcast(known), "id").withColumn("fold", fold("id")), "tox-sample")     # at most ``rows`` labels are shipped
     train, held = sample.where(F.col("fold") != CALIBRATION), sample.where(F.col("fold") == CALIBRATION)
     counts = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
     if not (counts.get(0) and counts.get(1)):
         return Model(Lexicon(), rate=float(bool(counts.get(1))))
     lexicon = learn_lexicon(train)
-    table = _stored(with_features(sample, lexicon, "id", "text", "toxic", "fold"), "tox-features")
+    table = stored(with_features(sample, lexicon, "id", "text", "toxic", "fold"), "tox-features")
     ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(table)
     trees = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7,
                           maxBins=64).fit(ready.where(F.col("fold") != CALIBRATION).coalesce(4))

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from autolake.llm.near_dedup import _stored
+from autolake.llm.stored import stored
 
 # A filter beyond this is refused: listed keys * log2(corpus keys / listed keys) bounds it.
 MAX_FILTER_BYTES = 16 << 20
@@ -104,7 +104,7 @@ def cascade(wanted: DataFrame, universe: DataFrame, seed: int = 0) -> list[Level
         passed = levels[-1].passes(F.col("key"))
         # keys of the other side that pass: of the universe but the listed ones, then of the last round
         other = universe.join(wanted, "key", "left_anti") if outside is None else outside
-        inside, outside = _stored(other.where(passed), "cascade-keys"), inside
+        inside, outside = stored(other.where(passed), "cascade-keys"), inside
         n_inside = inside.count()
     return levels
 
@@ -126,10 +126,10 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     split = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     found = split.withColumn("keys", keys(F.col("host"), F.col("path"), sorted(labels), sorted(lengths)) if labels
                              else F.expr("cast(array() as array<struct<key:string,size:int,host:int>>)"))
-    universe = _stored(found.select(F.explode("keys.key").alias("key")).distinct(), "cascade-universe")
+    universe = stored(found.select(F.explode("keys.key").alias("key")).distinct(), "cascade-universe")
     levels = {}
     for n, verdict in enumerate(("block", "allow")):
-        wanted = _stored(own.where(F.col("verdict") == verdict).select(F.concat("host", "path").alias("key")).distinct(), "cascade-listed")
+        wanted = stored(own.where(F.col("verdict") == verdict).select(F.concat("host", "path").alias("key")).distinct(), "cascade-listed")
         levels[verdict] = cascade(wanted, universe, seed=10_000 * n)
     hit = lambda verdict, key: listed(levels[verdict], key) if levels[verdict] else F.lit(False)
     marked = F.transform("keys", lambda k: F.struct(
