@@ -69,6 +69,30 @@ reach(doc_id, other) as (select doc_id, doc_id from d union select reach.doc_id,
 select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, min(other) as component_id, d.doc_id = min(other) as kept
 from d join reach using (doc_id) left join n using (doc_id) group by d.doc_id, n.n"""
 
+OP11 = rf"""
+with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                  regexp_extract_all({_low('text')}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+occ as (select r, lang, source, unnest(w) as term from d),
+lt as (select lang, term, count(*) as c from occ group by lang, term having count(distinct r) >= 10),
+ls as (select lang, count(*) as v, sum(c) as n from lt group by lang),
+gt as (select lang, source, term, count(*) as c from occ join lt using (lang, term) group by lang, source, term),
+g as (select d.lang, d.source, coalesce(any_value(t.n), 0) as n from (select distinct lang, source from d) d
+      left join (select lang, source, sum(c) as n from gt group by all) t using (lang, source) group by all),
+p as (select g.lang, g.source, lt.term, coalesce(gt.c, 0) as c,
+             1 + (1000000000::hugeint * (coalesce(gt.c, 0) + 2)) // (g.n + 2 * ls.v)::hugeint as p,
+             1 + (1000000000::hugeint * (lt.c + 2)) // (ls.n + 2 * ls.v)::hugeint as q
+      from g join ls using (lang) join lt using (lang) left join gt on gt.lang = g.lang and gt.source = g.source and gt.term = lt.term),
+sums as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+         from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (select x.lang, x.source, 'pair' as part, y.source as item, cast(coalesce(s.value, 0) as bigint) as value
+          from g x join g y on x.lang = y.lang and x.source <> y.source
+          left join sums s on s.lang = x.lang and s.source = x.source and s.item = y.source),
+terms as (select lang, source, 'term' as part, term as item, cast((p - q) * (p - q) // (p + q) as bigint) as value
+          from p where c > 0 and p > q),
+ranked as (select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank
+           from (select * from pairs union all select * from terms))
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 10"""
+
 OP10 = """
 with p as (select page_id, encode(coalesce(html, '')) as payload, sha1(coalesce(html, '')) as hex from pages),
 bits as (select *, array_to_string(list_transform(range(1, 41), lambda i:

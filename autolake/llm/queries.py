@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autolake.llm import bestfit, decontaminate, license_scan, near_dedup, oracles, packing, quality_rules, substring_dedup, token_blocks, tokens, toxicity, url_cascade, warc
+from autolake.llm import bestfit, conversations, decontaminate, divergence, license_scan, near_dedup, oracles, packing, quality_rules, substring_dedup, token_blocks, tokens, toxicity, url_cascade, warc
 from autolake.session import scratch_path
 
 
@@ -84,6 +84,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve(warc.read(spark, archive)).drop("url")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return conversations.repair(conversations.damaged(rows), rows)
+
+
 def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     return bestfit.pack(_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary, special=True)
@@ -100,6 +109,8 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_warc": op10_warc,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_best_fit": op13_best_fit,
 }
 
@@ -109,4 +120,5 @@ ORACLE: dict[str, str] = {
     "op7_substring_dedup": oracles.OP7,
     "op8_near_dedup": oracles.OP8,
     "op10_warc": oracles.OP10,
+    "op11_source_divergence": oracles.OP11,
 }
