@@ -93,6 +93,57 @@ ranked as (select *, cast(row_number() over (partition by lang, source, part ord
            from (select * from pairs union all select * from terms))
 select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 10"""
 
+OP12 = rf"""
+with recursive c as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                            coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as k from conversations),
+way as (select *, xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: cast(ascii(substr(k, i, 1)) as bigint)), lambda crc, byte:
+               list_reduce(range(0, 8), lambda x, bit: xor(x >> 1, case when x % 2 = 1 then 3988292384 else 0 end), xor(crc, byte)),
+               4294967295), 4294967295) % 20 as way from c),
+dam as (select conv_id, turn, case when way = 4 then 'user' else role end as role,
+               case when way = 1 then '' when way = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+        from (select *, unnest(range(0, case when way = 3 then 2 else 1 end)) as copy from way where way <> 0)),
+r0 as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos,
+              rtrim(text, e' \t\n\x0b\x0c\r') as body, substr(role, 1, 1) as ini from dam),
+r1 as (select *, case when body = '' then 'blank' when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'duplicate' when right(body, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+              lag(ini) over (partition by conv_id order by pos) as prev from r0),
+ins(i, j, m) as (values (0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 3, 0), (0, 2, 1), (1, 2, 1), (2, 3, 1), (3, 2, 1), (0, 3, 2), (1, 3, 2), (2, 2, 2), (3, 3, 2)),
+op(letter, cost, ini, i, j) as (values ('K', 0, 's', 0, 1), ('K', 0, 'u', 0, 2), ('K', 0, 'u', 1, 2), ('K', 0, 'u', 3, 2), ('K', 0, 'a', 2, 3),
+  ('R', 1, null, 0, 2), ('R', 1, null, 1, 2), ('R', 1, null, 2, 3), ('R', 1, null, 3, 2),
+  ('D', 2, null, 0, 0), ('D', 2, null, 1, 1), ('D', 2, null, 2, 2), ('D', 2, null, 3, 3)),
+step as (select x.i as i, o.j as j, o.ini, o.letter, 5 * x.m + o.cost as cost, repeat('I', x.m) || o.letter as word from ins x join op o on x.j = o.i),
+ids as (select distinct conv_id from conversations),
+dp as (select conv_id, 0::bigint as n, 0 as st, 0::bigint as cost, '' as audit from ids
+       union all
+       select conv_id, n, st, cost, audit from (
+         select d.conv_id, r.pos as n, s.j as st, d.cost + s.cost + case when r.fault = 'truncated' and s.letter <> 'D' then 5 else 0 end as cost,
+                d.audit || s.word as audit,
+                row_number() over (partition by d.conv_id, s.j order by d.cost + s.cost + case when r.fault = 'truncated' and s.letter <> 'D' then 5 else 0 end, d.audit || s.word) as best
+         from dp d join r1 r on r.conv_id is not distinct from d.conv_id and r.pos = d.n + 1
+         join step s on s.i = d.st and (s.ini is null or s.ini = r.ini) and (s.letter = 'D' or r.fault not in ('blank', 'duplicate'))) where best = 1),
+sums as (select conv_id, count(*) as rows, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+                count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate,
+                count(*) filter (where fault = 'truncated') as truncated,
+                count(*) filter (where prev is not null and prev || ini not in ('su', 'ua', 'au')) as illegal from r1 group by conv_id),
+fin as (select ids.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+               coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(rows, 0) as rows
+        from ids left join sums on sums.conv_id is not distinct from ids.conv_id),
+e as (select *, row_number() over (partition by conv_id order by cost, audit) as best from (
+        select f.*, d.cost + 5 * t.m as cost, d.audit || repeat('I', t.m) as audit
+        from fin f join dp d on d.conv_id is not distinct from f.conv_id and d.n = f.rows
+        join (values (0, 0), (1, 2), (2, 1), (3, 0)) t(st, m) on t.st = d.st)),
+chosen as (select * from e where best = 1),
+letters as (select conv_id, i, substr(audit, i, 1) as letter, length(replace(substr(audit, 1, i), 'I', '')) as pos
+            from (select conv_id, audit, unnest(range(1, length(audit) + 1)) as i from chosen)),
+lines as (select l.conv_id, l.i, l.letter, r.role, r.ini, case when l.letter = 'I' then '' else r.text end as text,
+                 row_number() over (partition by l.conv_id order by l.i) as place,
+                 first_value(l.letter = 'K' and r.ini = 's') over (partition by l.conv_id order by l.i) as headed
+          from letters l left join r1 r on r.conv_id is not distinct from l.conv_id and r.pos = l.pos and l.letter <> 'I' where l.letter <> 'D'),
+written as (select conv_id, string_agg(case when letter = 'K' then role when (place - headed::int) % 2 = 1 then 'user' else 'assistant' end || ':' || text, chr(10) order by i) as t
+            from lines group by conv_id)
+select c.conv_id, cast(gaps as bigint) as gaps, cast(blank as bigint) as blank, cast(duplicate as bigint) as duplicate, cast(truncated as bigint) as truncated,
+       cast(illegal as bigint) as illegal, cast(cost as bigint) as cost, audit, sha256(coalesce(t, '')) as repaired_sha256
+from chosen c left join written w on w.conv_id is not distinct from c.conv_id"""
+
 OP10 = """
 with p as (select page_id, encode(coalesce(html, '')) as payload, sha1(coalesce(html, '')) as hex from pages),
 bits as (select *, array_to_string(list_transform(range(1, 41), lambda i:

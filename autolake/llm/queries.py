@@ -121,4 +121,5 @@ ORACLE: dict[str, str] = {
     "op8_near_dedup": oracles.OP8,
     "op10_warc": oracles.OP10,
     "op11_source_divergence": oracles.OP11,
+    "op12_conversation_repair": oracles.OP12,
 }
