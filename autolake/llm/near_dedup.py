@@ -1,26 +1,31 @@
 """Near-duplicate classes by a multi-index Hamming join of b-bit MinHash signatures.
 
 1. Every whole text becomes its set of word shingles; rows with equal sets (by a 128-bit
-   sum hash over the distinct shingles and their number) are one class, kept as one row.
+   sum hash over the distinct shingles and their number) are one class, kept as one node.
 2. A class has a signature of ``SIGNATURE`` MinHash values of 16 bits. Two sets at the
    similarity threshold differ in more than ``distance`` values with probability below
    ``MISS``. Signatures are split into chunks; by the pigeonhole principle two signatures
    within ``distance`` agree on some chunk but for ``distance // chunks`` values, so every
    chunk is entered under all subsets of its values with so many left out.
-3. Each entry's members are compared with the entry's smallest member first; entries whose
-   members do not all meet that way are compared pairwise in bounded blocks. The result is a
-   spanning forest of the pairs within the signature distance, never the pairs themselves.
-4. Within the clusters of that forest, whose every link between different texts both lie in
-   one cluster, full shingle sets are intersected in bounded blocks, and components of the
-   links that reach the threshold are the classes.
-
-Nothing is capped: large entries and clusters are split into more blocks.
+3. Each entry's members are compared with the entry's smallest member; components follow after
+   the round, and entries whose members are all together are done. Of the others, those of at
+   most ``BLOCK`` members are compared in one task. A larger one keeps only what can still be
+   near: with ``far`` the least distance from the smallest member to one that is not together
+   with it, members closer to it than ``far - distance`` are out (the triangle inequality). What
+   is left and still too large is entered again under chunks of the values that its members need
+   not share yet, for which the pigeonhole holds again; the round repeats on these entries.
+4. Within the clusters so found, whose every link between different texts both lie in one
+   cluster, full shingle sets are intersected: clusters of at most ``GROUP`` in one task; larger
+   ones against their smallest member and in groups of ``GROUP``, and only members that then lie
+   outside their cluster's largest component meet the other groups.
+
+Nothing is capped, and rows grow with the members of a group, not with their pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 from itertools import combinations
 from math import comb
 
@@ -30,14 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from autolake.llm import words
-from autolake.session import scratch_path
+from autolake.llm.stored import stored
 
 SHINGLE = 5
 PERCENT = 80                # default similarity threshold
 SIGNATURE = 64
 MISS = 1e-8
-SIGNATURE_BLOCK = 1024      # signatures of one side of a block
-SET_BLOCK = 256             # shingle sets of one side of a block
+BLOCK = 2048                # signatures compared in one task
+GROUP = 512                 # shingle sets of one side compared in one task
 
 _SEEDS = words.mix(np.arange(1, SIGNATURE + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -51,21 +56,27 @@ def max_distance(percent: int, size: int = SIGNATURE, miss: float = MISS) -> int
     return d
 
 
-def chunk_keys(signatures: np.ndarray, distance: int) -> np.ndarray:
-    """All index entries of each signature (rows): chunks with one value left out each.
+def chunk_entries(size: int, distance: int) -> list[tuple[int, tuple[int, ...]]]:
+    """(chunk, places whose values make a key) of all index entries of a signature of ``size`` values.
 
-    With distance // 2 + 1 chunks, one chunk at least has at most one differing value.
-    """
+    With distance // 2 + 1 chunks, one chunk at least has at most distance // chunks differing values."""
     n_chunks = distance // 2 + 1
-    wide = signatures.astype(np.uint64)
     out = []
-    for c, chunk in enumerate(np.array_split(np.arange(signatures.shape[1]), n_chunks)):
+    for c, chunk in enumerate(np.array_split(np.arange(size), n_chunks)):
         allowed = min(distance // n_chunks, len(chunk) - 1)
-        for kept in combinations(chunk.tolist(), len(chunk) - allowed):
-            key = np.full(len(wide), (c << 32) + sum(1 << int(k - chunk[0]) for k in kept), np.uint64)
-            for k in kept:
-                key = words.mix(key ^ wide[:, k])
-            out.append(key)
+        out += [(c, kept) for kept in combinations(chunk.tolist(), len(chunk) - allowed)] if len(chunk) else []
+    return out
+
+
+def chunk_keys(signatures: np.ndarray, distance: int) -> np.ndarray:
+    """Keys of all index entries of each signature (rows)."""
+    wide = signatures.astype(np.uint64)
+    out = []
+    for c, kept in chunk_entries(signatures.shape[1], distance):
+        key = np.full(len(wide), (c << 32) + sum(1 << (k % 32) for k in kept), np.uint64)
+        for k in kept:
+            key = words.mix(key ^ wide[:, k])
+        out.append(key)
     return np.stack(out, 1) if out else np.zeros((len(wide), 0), np.uint64)
 
 
@@ -95,6 +106,16 @@ def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
     return values, np.searchsorted(doc, np.arange(len(texts) + 1))
 
 
+def _set_hashes(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Two 64-bit sum hashes of every set."""
+    sums = np.zeros((2, len(bounds) - 1), np.uint64)
+    full = np.flatnonzero(np.diff(bounds))
+    if len(full):
+        for k in (0, 1):
+            sums[k, full] = np.add.reduceat(words.mix(values ^ _SEEDS[k]), bounds[full])
+    return sums
+
+
 def _sketch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in words.slices(batch, "text"):
@@ -102,14 +123,12 @@ def _sketch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
             n = np.diff(bounds)
             full = np.flatnonzero(n)
             signature = np.zeros((len(n), SIGNATURE), "<u2")
-            sums = np.zeros((2, len(n)), np.uint64)
+            sums = _set_hashes(values, bounds)
             if len(full):
                 begins = bounds[full]
                 for k, seed in enumerate(_SEEDS):
                     low = np.minimum.reduceat(values * seed, begins)
                     signature[full, k] = (words.mix(low) & np.uint64(0xFFFF)).astype("<u2")
-                for k in (0, 1):
-                    sums[k, full] = np.add.reduceat(words.mix(values ^ _SEEDS[k]), begins)
             raw = signature.tobytes()
             yield pa.RecordBatch.from_pydict({
                 "id": rows.column("id"), "n": pa.array(n.astype(np.int64)),
@@ -123,18 +142,30 @@ def _signatures(column: pa.Array) -> np.ndarray:
 
 
 def _enter(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
+    """Index entries (key, used, node) of the signatures' values outside ``used``, a mask of places that
+    all members of the entry ``key`` share already."""
     for batch in batches:
-        if batch.num_rows:
-            keys = chunk_keys(_signatures(batch.column("signature")), distance)
-            nodes = np.repeat(batch.column("node").to_numpy(), keys.shape[1])
-            yield pa.RecordBatch.from_pydict({"node": pa.array(nodes), "key": pa.array(keys.ravel().view(np.int64))})
+        if not batch.num_rows:
+            continue
+        signatures, used = _signatures(batch.column("signature")), batch.column("used").to_numpy().view(np.uint64)
+        parent, node = batch.column("key").to_numpy().view(np.uint64), batch.column("node").to_numpy()
+        for mask in np.unique(used).tolist():
+            rows = np.flatnonzero(used == mask)
+            free = np.array([k for k in range(SIGNATURE) if not mask >> k & 1])
+            if len(free) <= distance:       # all pairs are near: the smallest member has met them
+                continue
+            keys = words.mix(chunk_keys(signatures[rows][:, free], distance) ^ words.mix(parent[rows])[:, None])
+            after = np.array([mask | sum(1 << int(free[k]) for k in kept) for _, kept in chunk_entries(len(free), distance)], np.uint64)
+            yield pa.RecordBatch.from_pydict({
+                "key": pa.array(keys.ravel().view(np.int64)), "used": pa.array(np.tile(after, len(rows)).view(np.int64)),
+                "node": pa.array(np.repeat(node[rows], keys.shape[1]))})
 
 
-def _near(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
+def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             differ = (_signatures(batch.column("sa")) != _signatures(batch.column("sb"))).sum(1)
-            yield batch.select(["a", "b"]).filter(pa.array(differ <= distance))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(differ.astype(np.int32))], names=["a", "b", "d"])
 
 
 class Forest:
@@ -161,34 +192,37 @@ def _edge_table(nodes: np.ndarray, forest: Forest) -> pa.Table:
     return pa.table({"a": pa.array(nodes[pairs[:, 0]]), "b": pa.array(nodes[pairs[:, 1]])})
 
 
-def _block_near(table: pa.Table, distance: int) -> pa.Table:
-    """Spanning edges of one block's pairs of different clusters within the signature distance."""
-    nodes, cluster = table.column("node").to_numpy(), table.column("cluster").to_numpy()
-    side, signature = table.column("side").to_numpy(), _signatures(table.column("signature"))
-    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    forest = Forest(len(nodes))
-    _, first = np.unique(cluster, return_inverse=True)
-    heads = np.full(first.max() + 1, -1)
-    for i, c in enumerate(first.tolist()):      # members of one cluster are together already
+def _start(clusters: np.ndarray) -> tuple[Forest, np.ndarray]:
+    """A forest in which members of one cluster are together, and the places outside the largest cluster:
+    every pair of different clusters has a side there."""
+    forest = Forest(len(clusters))
+    _, code, sizes = np.unique(clusters, return_inverse=True, return_counts=True)
+    heads = np.full(len(sizes), -1)
+    for i, c in enumerate(code.tolist()):
         if heads[c] < 0:
             heads[c] = i
         else:
             forest.join(int(heads[c]), i)
     forest.edges.clear()
-    for i in left.tolist():
-        differ = (signature[right] != signature[i]).sum(1)
-        for j in right[(differ <= distance) & (cluster[right] != cluster[i])].tolist():
+    return forest, np.flatnonzero(code != sizes.argmax())
+
+
+def _near_in_entry(table: pa.Table, distance: int) -> pa.Table:
+    """Spanning edges of an entry's pairs of different clusters within the signature distance."""
+    nodes, cluster = table.column("node").to_numpy(), table.column("cluster").to_numpy()
+    signature = _signatures(table.column("signature"))
+    forest, outside = _start(cluster)
+    for i in outside.tolist():
+        differ = (signature != signature[i]).sum(1)
+        found = np.flatnonzero((differ <= distance) & (cluster != cluster[i]))
+        for j in found[np.unique(cluster[found], return_index=True)[1]].tolist():       # one of each cluster is enough
             forest.join(i, j)
     return _edge_table(nodes, forest)
 
 
-def _block_links(table: pa.Table, percent: int) -> pa.Table:
-    """Spanning edges of one block's pairs whose full sets reach the threshold."""
-    nodes, side = table.column("node").to_numpy(), table.column("side").to_numpy()
-    sets = [np.frombuffer(s, "<u8") for s in table.column("shingles").to_pylist()]
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets at ``left`` with those at ``right``."""
     n = np.array([len(s) for s in sets])
-    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    forest = Forest(len(nodes))
     _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = times[code] > 1
     renumbered = np.cumsum(times > 1) - 1
@@ -207,33 +241,55 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
         ml[place_l[r[inl]], c[inl]] = 1
         mr[place_r[r[inr]], c[inr]] = 1
         common += ml @ mr.T
-    common = common.astype(np.int64)
+    return common.astype(np.int64)
+
+
+def _linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``left`` and ``right`` of the pairs whose full sets reach the threshold."""
+    n = np.array([len(s) for s in sets])
+    common = _common(sets, left, right)
     union = n[left][:, None] + n[right][None, :] - common
     i, j = np.nonzero((100 * common >= percent * union) & (left[:, None] != right[None, :]))
-    for x, y in zip(left[i].tolist(), right[j].tolist()):
-        forest.join(x, y)
-    return _edge_table(nodes, forest)
+    return left[i], right[j]
 
 
-def _blocks(members: DataFrame, group: str, block: int) -> DataFrame:
-    """Members of each group dealt to blocks, every pair of blocks one (group, part) with its sides.
-
-    side 2: both sides (a block against itself), else 0 or 1.
-    """
-    sizes = members.groupBy(group).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    dealt = members.join(sizes, group).withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    return (dealt.withColumn("other", F.explode(other))
-                 .withColumn("part", F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other"))
-                 .withColumn("side", F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1))
-                 .drop("blocks", "own", "other"))
+def _links_in_group(table: pa.Table, percent: int) -> pa.Table:
+    """Spanning edges of a group's links. Column ``side``: 2 all pairs; else the pairs of a 0 and a 1
+    that lie in different components (column ``cluster``)."""
+    nodes, first = np.unique(table.column("node").to_numpy(), return_index=True)       # rows that repeat an id
+    table = table.take(pa.array(first))
+    sets = [np.frombuffer(s, "<u8") for s in table.column("shingles").to_pylist()]
+    side = table.column("side").to_numpy()
+    forest = Forest(len(nodes))
+    if (side == 2).all():
+        # most of a group of copies is linked with its first member
+        near_first, _ = _linked(sets, np.arange(len(nodes)), np.array([0]), percent)
+        for i in near_first.tolist():
+            forest.join(0, i)
+        roots = np.array([forest.root(i) for i in range(len(nodes))])
+        _, outside = _start(roots)
+        left, right = outside, np.arange(len(nodes))
+    else:
+        part = table.column("part").to_numpy()
+        forest, _ = _start(part)
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if len(left) and len(right):
+        for i, j in zip(*(x.tolist() for x in _linked(sets, left, right, percent))):
+            forest.join(i, j)
+    return _edge_table(nodes, forest)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back: computed once, safe from lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _linked_with_leader(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        own, other = (batch.column(c).to_pylist() for c in ("shingles", "leader_set"))
+        linked = []
+        for x, y in zip(own, other):
+            a, b = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+            common = len(np.intersect1d(a, b, assume_unique=True))
+            linked.append(100 * common >= percent * (len(a) + len(b) - common))
+        yield pa.RecordBatch.from_arrays([batch.column("cluster"), batch.column("node")], names=["a", "b"]).filter(pa.array(linked))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -245,7 +301,7 @@ def components(edges: DataFrame) -> DataFrame:
         low = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         return pairs.join(low, "u")
 
-    now = _stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                        .where("a != b").distinct(), "near-edges")
     mark = _mark(now)
     while mark[0]:
@@ -254,7 +310,7 @@ def components(edges: DataFrame) -> DataFrame:
                  .where("u != v").distinct())
         # every edge now points down; a node and its smaller neighbours hang on the smallest of them
         small = star(large).select(F.explode(F.array(F.col("u"), F.col("v"))).alias("a"), F.col("m").alias("b"))
-        now = _stored(small.where("a != b").distinct(), "near-edges")
+        now = stored(small.where("a != b").distinct(), "near-edges")
         before, mark = mark, _mark(now)
         if mark == before:
             break
@@ -267,61 +323,154 @@ def _mark(edges: DataFrame) -> tuple:
     return r["n"], r["h"]
 
 
+def _united(edges: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, [e.select("a", "b") for e in edges])
+
+
+def _clusters(nodes: DataFrame, distance: int, block: int) -> DataFrame:
+    """(node, cluster) of the components of all pairs of (node, signature) within the distance."""
+    edges: list[DataFrame] = []
+    none = F.lit(0).cast("long")
+    entered = nodes.select(none.alias("key"), none.alias("used"), "node", "signature")
+    while True:
+        entries = entered.mapInArrow(partial(_enter, distance=distance), "key long, used long, node long")
+        groups = (entries.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("top"), F.count("*").alias("size"))
+                  .where("top > leader").drop("top"))
+        members = stored(entries.join(groups, "key"), "near-members")
+        pairs = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        side = lambda n: nodes.select(F.col("node").alias(n), F.col("signature").alias(f"s{n}"))
+        apart = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_distances, "a long, b long, d int"), "near-pairs")
+        edges.append(apart.where(F.col("d") <= distance))
+        now = stored(components(_united(edges)), "near-first")
+
+        own = F.coalesce("component", "node").alias("cluster")
+        placed = members.join(now, "node", "left").select("key", "used", "node", "leader", "size", own)
+        split = placed.groupBy("key").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo < hi").select("key")
+        open_ = stored(placed.join(split, "key"), "near-open")
+        near = lambda t: _near_in_entry(t, distance)
+        compared = lambda rows: (rows.select("key", "node", "cluster").join(nodes, "node")
+                                 .groupBy("key").applyInArrow(near, "a long, b long"))
+        edges.append(stored(compared(open_.where(F.col("size") <= block)), "near-found"))
+        large = open_.where(F.col("size") > block)
+        if large.isEmpty():
+            break
+        # what a large entry's members that are not together with its smallest one can still be near to
+        head = now.select(F.col("node").alias("leader"), F.col("component").alias("head"))
+        from_leader = apart.select(F.col("a").alias("leader"), F.col("b").alias("node"), "d")
+        measured = stored(large.join(head, "leader", "left").join(from_leader, ["leader", "node"], "left")
+                          .select("key", "used", "node", "cluster", F.coalesce("d", F.lit(0)).alias("d"),
+                                  (F.col("cluster") != F.coalesce("head", "leader")).alias("away")), "near-measured")
+        far = measured.where("away").groupBy("key").agg((F.min("d") - distance).alias("least"))
+        left = stored(measured.join(far, "key").where("d >= least").drop("d", "least", "away"), "near-left")
+        sizes = stored(left.groupBy("key").agg(F.count("*").alias("size")), "near-sizes")
+        left = left.join(sizes, "key")
+        edges.append(stored(compared(left.where(F.col("size") <= block)), "near-found"))
+        deeper = left.where(F.col("size") > block)
+        if deeper.isEmpty():
+            break
+        entered = stored(deeper.select("key", "used", "node").join(nodes, "node"), "near-deeper")
+    return components(_united(edges)).withColumnRenamed("component", "cluster")
+
+
+def _links(base: DataFrame, reps: DataFrame, clusters: DataFrame, percent: int, size: int, group: int) -> list[DataFrame]:
+    """Edges that span the links between the clusters' classes, confirmed on full sets."""
+    sizes = stored(clusters.groupBy("cluster").agg(F.count("*").alias("members")), "near-cluster-sizes")
+    wanted = stored(reps.select("node", "least", "h1", "h2").join(clusters, "node").join(sizes, "cluster"), "near-wanted")
+    kind = "node long, cluster long, members long, shingles binary"
+    # a class is found again by its smallest id; of an id's several texts the one with the class's sets counts
+    full = lambda rows: (base.join(rows.withColumnRenamed("least", "id"), "id")
+                         .mapInArrow(partial(_sets, size=size), kind))
+    linked = lambda t: _links_in_group(t, percent)
+    whole = full(wanted.where(F.col("members") <= group)).withColumn("side", F.lit(2))
+    edges = [stored(whole.groupBy("cluster").applyInArrow(linked, "a long, b long"), "near-links")]
+    if wanted.where(F.col("members") > group).isEmpty():
+        return edges
+
+    large = stored(full(wanted.where(F.col("members") > group)).dropDuplicates(["node"]), "near-large")
+    leaders = stored(large.where("node = cluster").select("cluster", F.col("shingles").alias("leader_set")), "near-leaders")
+    edges.append(stored(large.join(leaders, "cluster").mapInArrow(partial(_linked_with_leader, percent=percent), "a long, b long"), "near-links"))
+    dealt = large.withColumn("blocks", F.ceil(F.col("members") / group).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    edges.append(stored(dealt.withColumn("side", F.lit(2)).groupBy("cluster", "block").applyInArrow(linked, "a long, b long"), "near-links"))
+    # members outside their cluster's largest component meet the other groups
+    now = stored(components(_united(edges[1:])), "near-parts")
+    part = stored(large.select("node", "cluster").join(now, "node", "left").select("cluster", "node", F.coalesce("component", "node").alias("part")), "near-part")
+    top = part.groupBy("cluster", "part").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max_by("part", F.struct("n", "part")).alias("main"))
+    top = stored(top, "near-main")
+    stray = stored(part.join(top, "cluster").where("part != main").select("cluster", "node", "part"), "near-stray")
+    strays = stored(stray.groupBy("cluster").agg(F.ceil(F.count("*") / group).cast("int").alias("batches")), "near-strays")
+    placed = dealt.join(part.select("node", "part"), "node").join(strays, "cluster")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    ones = placed.withColumn("side", F.lit(1)).select("cluster", "block", each("batches").alias("batch"), "node", "part", "side", "shingles")
+    zeros = (placed.join(stray.select("node"), "node").withColumn("side", F.lit(0))
+             .withColumn("batch", F.pmod(F.xxhash64("node", F.lit(3)), F.col("batches")).cast("int"))
+             .select("cluster", each("blocks").alias("block"), "batch", "node", "part", "side", "shingles"))
+    meet = zeros.unionAll(ones).groupBy("cluster", "block", "batch")
+    edges.append(stored(meet.applyInArrow(lambda t: _stray_links(t, percent), "a long, b long"), "near-links"))
+    return edges
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-            size: int = SHINGLE) -> DataFrame:
+            size: int = SHINGLE, block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """Per row: id, n_shingles (set size), component_id (smallest id reachable), kept (id is that).
 
     Rows are linked if 100 * intersection >= percent * union of their shingle sets. Null, empty
-    and wordless texts have an empty set and no links. Rows of one id count as one document.
-    A null id is linked with nothing: component_id null, kept. An empty table gives no rows.
+    and wordless texts have an empty set and no links. Rows of one id count as one document,
+    whatever their texts: all of them have one component. A null id is linked with nothing:
+    component_id null, kept. Ids may be of any type with an order. An empty table gives no rows.
     Other columns of ``docs`` are not read.
     """
-    spark = docs.sparkSession
     distance = max_distance(percent)
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sketched = _stored(base.mapInArrow(partial(_sketch, size=size), f"id {kind}, n long, h1 long, h2 long, signature binary"), "near-sketch")
+    sketched = stored(base.mapInArrow(partial(_sketch, size=size), f"id {kind}, n long, h1 long, h2 long, signature binary"), "near-sketch")
     sets = ["h1", "h2", "n"]
     usable = sketched.where("n > 0 and id is not null")
-    reps = _stored(usable.groupBy(*sets).agg(F.min("id").cast("long").alias("node"), F.first("signature").alias("signature")), "near-reps")
-
-    # entries with more than one member, and each member's pair with the entry's smallest
-    entered = reps.select("node", "signature").mapInArrow(partial(_enter, distance=distance), "node long, key long")
-    leaders = entered.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("top")).where("top > leader").drop("top")
-    members = _stored(entered.join(leaders, "key"), "near-members")
-    one = reps.groupBy("node").agg(F.first("signature").alias("signature"))
-    pairs = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    signed = (pairs.join(one.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a")
-                   .join(one.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b"))
-    near = _stored(signed.mapInArrow(partial(_near, distance=distance), "a long, b long"), "near-pairs")
-    first = _stored(components(near), "near-first")
-
-    # entries whose members lie in different clusters: all their pairs, block by block
-    placed = members.join(first.withColumnRenamed("component", "cluster"), "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
-    split = placed.groupBy("key").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo < hi").select("key")
-    open_ = _blocks(placed.join(split, "key").select("key", "node", "cluster"), "key", SIGNATURE_BLOCK).join(one, "node")
-    rest = open_.groupBy("key", "part").applyInArrow(lambda t: _block_near(t, distance), "a long, b long")
-    clusters = _stored(components(near.unionAll(rest)), "near-clusters").withColumnRenamed("component", "cluster")
-
-    # full sets of the clustered classes, intersected block by block
-    chosen = reps.select("node").distinct().join(clusters, "node")
-    texts = base.select(F.col("id").cast("long").alias("node"), "text").join(chosen, "node")
-    full = texts.mapInArrow(partial(_sets, size=size), "node long, cluster long, shingles binary")
-    links = _blocks(full, "cluster", SET_BLOCK).groupBy("cluster", "part").applyInArrow(lambda t: _block_links(t, percent), "a long, b long")
-    found = _stored(components(links), "near-classes")
-
-    labelled = reps.join(found, "node", "left").select(*sets, F.coalesce("component", "node").alias("c1"))
-    by_set = labelled.groupBy(*sets).agg(F.min("c1").alias("c1"))
-    out = sketched.join(by_set, sets, "left")
-    component = F.when(F.col("id").isNull(), None).otherwise(F.coalesce("c1", F.col("id").cast("long")))
+    # a class's number is fixed by the write
+    reps = stored(usable.groupBy(*sets).agg(F.min("id").alias("least"), F.first("signature").alias("signature"))
+                  .withColumn("node", F.monotonically_increasing_id()), "near-reps")
+    owners = stored(usable.select("id", *sets).distinct().join(reps.select(*sets, "node"), sets).select("id", "node"), "near-owners")
+    clusters = stored(_clusters(reps.select("node", "signature"), distance, block), "near-clusters")
+    links = _links(base, reps, clusters, percent, size, group)
+
+    # an id's classes are one document
+    several = owners.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("top")).where("a < top").drop("top")
+    links.append(owners.join(several, "id").select("a", F.col("node").alias("b")))
+    found = stored(components(_united(links)), "near-classes")
+    labelled = stored(reps.select("node", "least").join(found, "node", "left").select("node", "least", F.coalesce("component", "node").alias("part")), "near-labelled")
+    lowest = stored(labelled.groupBy("part").agg(F.min("least").alias("component_id")), "near-lowest")
+    by_node = labelled.join(lowest, "part").select("node", "component_id")
+    by_id = stored(owners.join(by_node, "node").groupBy("id").agg(F.min("component_id").alias("component_id")), "near-by-id")
+    out = sketched.select("id", "n").join(by_id, "id", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return (out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
                .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))
 
 
+def _stray_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links of one batch of strays (side 0) with one group (side 1); a stray of that group is on both sides."""
+    zeros = table.filter(pa.array(table.column("side").to_numpy() == 0))
+    ones = table.filter(pa.array(table.column("side").to_numpy() == 1))
+    if not zeros.num_rows or not ones.num_rows:
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    again = np.isin(zeros.column("node").to_numpy(), ones.column("node").to_numpy())
+    return _links_in_group(pa.concat_tables([ones, zeros.filter(pa.array(~again))]), percent)
+
+
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Full sets of the classes, each once per task; rows whose set is not the class's go."""
+    seen: set = set()
     for batch in batches:
         for rows in words.slices(batch, "text"):
+            new = [n not in seen for n in rows.column("node").to_pylist()]
+            rows = rows.filter(pa.array(new))
+            if not rows.num_rows:
+                continue
             values, bounds = shingles(rows.column("text"), size)
+            h1, h2 = _set_hashes(values, bounds)
+            same = (h1.view(np.int64) == rows.column("h1").to_numpy()) & (h2.view(np.int64) == rows.column("h2").to_numpy())
             raw = values.astype("<u8", copy=False).tobytes()
             sets = [raw[8 * a:8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-            yield pa.RecordBatch.from_pydict({"node": rows.column("node"), "cluster": rows.column("cluster"), "shingles": pa.array(sets, pa.binary())})
+            out = pa.RecordBatch.from_pydict({c: rows.column(c) for c in ("node", "cluster", "members")} | {"shingles": pa.array(sets, pa.binary())})
+            out = out.filter(pa.array(same))
+            seen.update(out.column("node").to_pylist())
+            yield out

@@ -44,19 +44,61 @@ def test_equals_all_pairs(spark, percent):
     assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
 
 
-def test_small_blocks_give_the_same(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "SIGNATURE_BLOCK", 4)
-    monkeypatch.setattr(near_dedup, "SET_BLOCK", 3)
-    base = mixed_texts(2, 1)[0][1] + " " + " ".join(f"base{i}" for i in range(80))
+def copies(seed, n, edits=4, length=80):
+    """Near copies of one text, linked by chains."""
+    rng = np.random.default_rng(seed)
+    base = mixed_texts(2, 1)[0][1] + " " + " ".join(f"base{i}" for i in range(length))
     texts = []
-    rng = np.random.default_rng(0)
-    for i in range(60):       # many near copies, linked by chains
+    for i in range(n):
         w = base.split()
-        for j in rng.integers(0, len(w), rng.integers(0, 5)):
+        for j in rng.integers(0, len(w), rng.integers(0, edits + 1)):
             w[j] = f"edit{rng.integers(0, 1000)}"
         texts.append((i, " ".join(w)))
+    return texts
+
+
+@pytest.mark.parametrize("block, group, edits", [(4, 3, 4), (2, 2, 9)])
+def test_small_groups_give_the_same(spark, block, group, edits):
+    texts = copies(0, 60, edits) + mixed_texts(4, 30) if block > 2 else copies(1, 40, edits)
+    texts = [(i, t) for i, (_, t) in enumerate(texts)]
     docs = spark.createDataFrame(rows(texts), DOCS)
-    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.classes(docs).collect()), key=repr) == brute(texts, 80)
+    got = near_dedup.classes(docs, block=block, group=group).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(texts, 80)
+
+
+def test_several_texts_of_one_id(spark):
+    a, b = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
+    texts = [(5, a), (5, b), (9, b + " more"), (3, ""), (7, None), (7, a), (8, a + " x"), (2, "one"), (2, None), (4, "one two"), (1, b), (1, "z " * 30), (0, "z " * 30)]
+    for t in (texts, texts[::-1]):
+        got = near_dedup.classes(spark.createDataFrame(rows(t), DOCS).repartition(3)).collect()
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(t, 80)
+
+
+def test_ids_of_text(spark):
+    a = " ".join(f"a{i}" for i in range(50))
+    docs = spark.createDataFrame([("x", a), ("b", a + " tail"), (None, a), ("c", "")], "doc_id string, text string")
+    assert sorted((r.doc_id or "", r.component_id, r.kept) for r in near_dedup.classes(docs).collect()) == [
+        ("", None, True), ("b", "b", True), ("c", "c", True), ("x", "b", False)]
+
+
+def test_rows_grow_with_the_members_of_a_group(spark, monkeypatch):
+    """One cluster of near copies, far larger than what one task compares: four times the copies
+    give about four times the rows of every intermediate table."""
+    made = {}
+
+    def counted(df, name):
+        out = keep(df, name)
+        made[n][name] = made[n].get(name, 0) + out.count()
+        return out
+    keep = near_dedup.stored
+    monkeypatch.setattr(near_dedup, "stored", counted)
+    for n in (1250, 5000):
+        made[n] = {}
+        docs = spark.createDataFrame(rows(copies(3, n, 6, 400)), DOCS).repartition(8)
+        got = near_dedup.classes(docs, block=256, group=64)
+        assert got.where("component_id = 0").count() > 0.9 * n
+    for name, rows_ in made[5000].items():
+        assert rows_ <= 6 * made[1250][name] + 200, (name, made[1250][name], rows_)
 
 
 def test_empty_table(spark):
