@@ -31,11 +31,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents kept: the one with the smallest id of each near-duplicate group (similarity 0.8 or more).
 
-    Rows that repeat an id are one document: the one with the first text stays.
+    Rows that repeat an id are one document: the row with the first text stays, one without a text
+    only where the id has no other. Rows without an id all stay.
     """
     classes = near_dedup.classes(docs).where("not kept").select("doc_id").distinct()
     kept = docs.join(classes, "doc_id", "left_anti")
-    named = kept.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("text", *(c for c in docs.columns if c not in ("doc_id", "text")))).alias("row"))
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.min_by(F.struct("text", *rest), F.struct(F.col("text").isNull(), "text", *rest))
+    named = kept.where("doc_id is not null").groupBy("doc_id").agg(first.alias("row"))
     return named.select("doc_id", "row.*").select(*docs.columns).unionAll(kept.where("doc_id is null"))
 
 
