@@ -15,10 +15,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autolake.llm import words
+from autolake.llm import licences, words
+
+
+def _words(name: str) -> str:
+    return name.lower().replace("-", " ").replace(".", " ")
+
 
 # fixed values: base phrases and labels
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -44,7 +49,13 @@ TEMPLATES = (
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2.0", ("mozilla public license",)),
 )
 
-RARE = 3            # index words of one template
+# the short wordings, the full texts and headers, and a template per SPDX tag
+ALL = (*TEMPLATES, *licences.TEMPLATES, *((f"spdx license identifier {_words(i)}", f"spdx:{i.lower()}", (f"spdx license identifier {_words(i)}",))
+                                         for i in licences.SPDX))
+
+RARE = 3            # index words of one template, and one more for so many of its words
+WORDS_PER_RARE = 20
+MAX_TEMPLATES = 10_000
 SHARE = 0.8         # IDF-weighted share of a template's words that must match
 
 
@@ -61,8 +72,13 @@ def _split(texts) -> list[np.ndarray]:
     return [hashes[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
-def vocabulary() -> np.ndarray:
-    return np.unique(np.concatenate(_split([p for p, _ in BASE] + [t for t, _, _ in TEMPLATES])))
+def vocabulary(templates) -> np.ndarray:
+    return np.unique(np.concatenate(_split([p for p, _ in BASE] + [t for t, _, _ in templates])))
+
+
+def template_table(spark: SparkSession, templates=ALL) -> DataFrame:
+    """Templates as a table (text, label, keys), to be kept, edited and given to ``scan``."""
+    return spark.createDataFrame([(t, label, list(keys)) for t, label, keys in templates], "text string, label string, keys array<string>")
 
 
 def _codes(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -71,32 +87,35 @@ def _codes(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
     return np.where(table[at] == hashes, at, -1)
 
 
-def build_index(frequency: np.ndarray, n_docs: int) -> Index:
+def build_index(templates, frequency: np.ndarray, n_docs: int) -> Index:
     """``frequency``: documents that hold each vocabulary word."""
-    table = vocabulary()
+    table = vocabulary(templates)
     idf = np.log((1 + n_docs) / (1 + frequency)) + 1
-    templates, postings, needed = [], [], []
-    listed = [(p, label, (p,), True) for p, label in BASE] + [(*t, False) for t in TEMPLATES]
+    entered, postings, needed = [], [], []
+    listed = [(p, label, (p,), True) for p, label in BASE] + [(*t, False) for t in templates]
     for number, (text, label, keys, base) in enumerate(listed):
         codes = _codes(_split([text])[0], table)
         places = []
         for key in keys:
             k = _codes(_split([key])[0], table)
-            places.append(next(np.arange(i, i + len(k)) for i in range(len(codes) - len(k) + 1) if (codes[i:i + len(k)] == k).all()))
+            at = [i for i in range(len(codes) - len(k) + 1) if len(k) and (codes[i:i + len(k)] == k).all()]
+            if not at:
+                raise ValueError(f"key phrase {key!r} is not in the text of {label!r}")
+            places.append(np.arange(at[0], at[0] + len(k)))
         order = [i for i in np.argsort(-idf[codes], kind="stable").tolist() if frequency[codes[i]]]
         # a whole phrase holds its rarest word: one place is enough to find all of its occurrences
-        rare = order[:1 if base else RARE]
+        rare = order[:1 if base else RARE + len(codes) // WORDS_PER_RARE]
         if base and len(order) < len(codes):
             rare = []           # a word of the phrase is nowhere
         postings += [(number, int(codes[i]), i) for i in rare]
         needed.append(max(1, min(2, len(rare))))
-        templates.append((codes, label, idf[codes] / idf[codes].sum(), places, base))
-    return Index(table, templates, postings, needed)
+        entered.append((codes, label, idf[codes] / idf[codes].sum(), places, base))
+    return Index(table, entered, postings, needed)
 
 
-def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
+def frequencies(docs: DataFrame, templates) -> tuple[np.ndarray, int]:
     """Documents that hold each vocabulary word, and all documents; one pass over ``text``."""
-    table = vocabulary()
+    table = vocabulary(templates)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, n = np.zeros(len(table), np.int64), 0
@@ -120,7 +139,9 @@ def matches(hashes: np.ndarray, bounds: np.ndarray, index: Index) -> tuple[np.nd
     """(text, first word in the text, template, score) of every accepted place."""
     code = _codes(hashes, index.vocabulary)
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    held = np.flatnonzero(code >= 0)
+    indexed = np.zeros(len(index.vocabulary) + 1, bool)     # the last one stands for words of no template
+    indexed[[c for _, c, _ in index.postings]] = True
+    held = np.flatnonzero(indexed[code])
     by_code = held[np.argsort(code[held], kind="stable")]
     sorted_codes = code[by_code]
     out = []
@@ -152,16 +173,25 @@ def matches(hashes: np.ndarray, bounds: np.ndarray, index: Index) -> tuple[np.nd
 _FOUND = ("n_words long, found array<struct<label:string,word:bigint,base:boolean,score:double>>")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: DataFrame | None = None) -> DataFrame:
     """``id_col``, n_words and found: label, first word, base and score of every licence place.
 
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. Null or wordless
     texts: no words, nothing found. Null ids and repeated rows are scanned like others. An empty
     table gives no rows. Places overlap freely: each template's are found on their own.
+
+    ``templates``: a table (text, label, keys), read on the driver (at most ``MAX_TEMPLATES`` rows, more is an
+    error), beside the base phrases; without one, ``ALL``. A key must stand in its text; rows with a null go.
     """
+    listed = ALL
+    if templates is not None:
+        found = templates.select("text", "label", "keys").dropna().limit(MAX_TEMPLATES + 1).collect()
+        if len(found) > MAX_TEMPLATES:
+            raise ValueError(f"more than {MAX_TEMPLATES} templates")
+        listed = [(r["text"], r["label"], tuple(r["keys"])) for r in sorted(found)]
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    index = build_index(*frequencies(slim))
+    index = build_index(listed, *frequencies(slim, listed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -70,3 +70,26 @@ def test_licence_places_equal_brute_force(spark):
         want.setdefault(i, []).append((len(w), places))
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
     assert license_scan.scan(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_full_texts_tags_and_own_templates(spark):
+    from autolake.llm import licences
+    full = {label: text for text, label, _ in licences.TEMPLATES}
+    texts = [(i, f"Copyright 2020 Someone. {text.upper()} end of it") for i, (label, text) in enumerate(sorted(full.items()))]
+    # some words behind the key phrase are other ones
+    texts += [(100 + i, " ".join(w if k < 40 or k % 12 else "other" for k, w in enumerate(text.split()))) for i, (label, text) in enumerate(sorted(full.items()))]
+    texts += [(200 + i, f"// SPDX-License-Identifier: {name}\ncode here") for i, name in enumerate(licences.SPDX)]
+    texts += [(300 + i, f"plain words number {i} and more of them") for i in range(40)]
+    docs = spark.createDataFrame(rows(texts), DOCS).coalesce(2)
+    got = {r.doc_id: {f.label for f in r.found if not f.base} for r in license_scan.scan(docs).collect()}
+    for i, label in enumerate(sorted(full)):
+        assert label in got[i] and (label in got[100 + i] or label == "bsd-3-clause" or label == "bsd-2-clause"), label
+    for i, name in enumerate(licences.SPDX):
+        assert f"spdx:{name.lower()}" in got[200 + i]
+    assert not any(got[300 + i] for i in range(40))
+    own = spark.createDataFrame([("our house licence number nine applies", "house-9", ["house licence number nine"]), (None, "x", ["y"])],
+                                "text string, label string, keys array<string>")
+    texts = [(1, "Note: our house licence, number nine, applies. MIT license"), (2, "our house licence number ten applies")]
+    got = {r.doc_id: {f.label for f in r.found} for r in license_scan.scan(spark.createDataFrame(rows(texts), DOCS), templates=own).collect()}
+    assert got == {1: {"house-9", "mit"}, 2: set()}
+    assert license_scan.template_table(spark).count() == len(license_scan.ALL)
