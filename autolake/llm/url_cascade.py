@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from autolake.llm.stored import stored
 
-# A filter beyond this is refused: listed keys * log2(corpus keys / listed keys) bounds it.
+# A larger filter is cut into shards; listed keys * log2(corpus keys / listed keys) bounds their bytes.
 MAX_FILTER_BYTES = 16 << 20
 # Filters after the first let half of the other keys pass.
 LATER_RATE = 0.5
@@ -51,18 +51,35 @@ def keys(host: Column, path: Column, labels: list[int], lengths: list[int]) -> C
 
 @dataclass
 class Level:
-    bits: bytes
+    """A Bloom filter in shards of at most ``MAX_FILTER_BYTES``; a hash of the key names its shard."""
+    shards: list[bytes]
     probes: int
     seed: int
 
     def passes(self, key: Column) -> Column:
-        n_bits, out = 8 * len(self.bits), F.lit(True)
-        for i in range(self.probes):
-            at = F.pmod(F.xxhash64(F.lit(self.seed + i), key), F.lit(n_bits))
-            byte = F.conv(F.hex(F.substring(F.lit(self.bits), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-            out = out & (F.getbit(byte, (at % 8).cast("int")) == 1)
+        out = F.lit(False)
+        for n, bits in enumerate(self.shards):
+            here = F.exists(F.array(F.lit(bits)), self._probe(8 * len(bits), key))     # one literal, however many probes
+            out = here if len(self.shards) == 1 else F.when(_shard(self.seed, key, len(self.shards)) == n, here).otherwise(out)
         return out
 
+    def _probe(self, n_bits: int, key: Column):
+        def all_set(bits: Column) -> Column:
+            out = F.lit(True)
+            for at in _positions(self.seed, self.probes, key, n_bits):
+                byte = F.conv(F.hex(F.substring(bits, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+                out = out & (F.getbit(byte, (at % 8).cast("int")) == 1)
+            return out
+        return all_set
+
+
+def _shard(seed: int, key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed - 1), key), F.lit(shards)).cast("int")
+
+
+def _positions(seed: int, probes: int, key: Column, n_bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(F.lit(seed + i), key), F.lit(n_bits)) for i in range(probes)]
+
 
 def listed(levels: list[Level], key: Column) -> Column:
     """Membership of a key of the corpus."""
@@ -72,25 +89,25 @@ def listed(levels: list[Level], key: Column) -> Column:
     return out
 
 
-def _level(held: DataFrame, n: int, rate: float, seed: int) -> Level:
+def _level(held: DataFrame, n: int, rate: float, seed: int, max_bytes: int) -> Level:
     """A filter of the ``n`` stored keys with false positive rate ``rate``."""
-    n_bits = max(64, math.ceil(n * math.log2(math.e) * math.log2(1 / rate) / 64) * 64)
-    if n_bits > 8 * MAX_FILTER_BYTES:
-        raise ValueError(f"a filter of {n} keys takes {n_bits // 8} bytes, more than {MAX_FILTER_BYTES}")
-    probes = max(1, round(n_bits / n * math.log(2))) if n else 1
-    probes = min(probes, 24)
-    at = [F.pmod(F.xxhash64(F.lit(seed + i), "key"), F.lit(n_bits)) + 1 for i in range(probes)]
-    rows = (held.select(F.explode(F.array(*at)).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket"))
+    whole = max(64, math.ceil(n * math.log2(math.e) * math.log2(1 / rate) / 64) * 64)
+    shards = -(-whole // (8 * max_bytes))
+    n_bits = math.ceil(whole / shards / 64) * 64
+    probes = min(max(1, round(whole / n * math.log(2))) if n else 1, 24)
+    at = F.array(*[p + 1 for p in _positions(seed, probes, F.col("key"), n_bits)])
+    rows = (held.select(_shard(seed, F.col("key"), shards).alias("shard"), F.explode(at).alias("p"))
+                .groupBy("shard", F.bitmap_bucket_number("p").alias("bucket"))
                 .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect())
-    out = bytearray(n_bits // 8)
+    out = [bytearray(n_bits // 8) for _ in range(shards)]
     for r in rows:      # one row per 32,768 bits
         a = (r["bucket"] - 1) * 4096
-        part = bytes(r["bits"])[:len(out) - a]
-        out[a:a + len(part)] = part
-    return Level(bytes(out), probes, seed)
+        part = bytes(r["bits"])[:len(out[r["shard"]]) - a]
+        out[r["shard"]][a:a + len(part)] = part
+    return Level([bytes(x) for x in out], probes, seed)
 
 
-def cascade(wanted: DataFrame, universe: DataFrame, seed: int = 0) -> list[Level]:
+def cascade(wanted: DataFrame, universe: DataFrame, seed: int = 0, max_bytes: int = MAX_FILTER_BYTES) -> list[Level]:
     """Levels that tell the ``wanted`` keys from the other keys of ``universe`` (stored tables of ``key``)."""
     levels: list[Level] = []
     inside, n_inside = wanted, wanted.count()
@@ -100,7 +117,7 @@ def cascade(wanted: DataFrame, universe: DataFrame, seed: int = 0) -> list[Level
     rate = min(0.5, n_inside / (math.sqrt(2) * max(n_universe, 1)))
     outside = None
     while n_inside:
-        levels.append(_level(inside, n_inside, rate if not levels else LATER_RATE, seed + 100 * len(levels)))
+        levels.append(_level(inside, n_inside, rate if not levels else LATER_RATE, seed + 100 * len(levels) + 1, max_bytes))
         passed = levels[-1].passes(F.col("key"))
         # keys of the other side that pass: of the universe but the listed ones, then of the last round
         other = universe.join(wanted, "key", "left_anti") if outside is None else outside
