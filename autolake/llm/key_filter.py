@@ -13,7 +13,8 @@ from autolake.llm import words
 
 PROBES = 4
 BITS_PER_KEY = 12
-# Larger filters are not built (16 MB is the most that is ever shipped to tasks).
+# 16 MB are the most that is ever shipped to tasks. A filter of more keys than these bits are made for
+# lets more other keys pass, in the end all of them; it never fails one of its own.
 MAX_BITS = 1 << 27
 
 _SEEDS = words.mix(np.arange(101, 101 + PROBES, dtype=np.uint64))
@@ -36,11 +37,9 @@ def _positions(keys: np.ndarray, mask: np.uint64) -> Iterator[np.ndarray]:
         yield (words.mix(keys ^ seed) & mask).astype(np.int64)
 
 
-def build(keys: DataFrame, col: str) -> KeyFilter | None:
-    """The filter of a stored table's long column, or None beyond MAX_BITS (callers then pass all)."""
-    n_bits = 1 << max(15, int(keys.count() * BITS_PER_KEY - 1).bit_length())
-    if n_bits > MAX_BITS:
-        return None
+def build(keys: DataFrame, col: str, max_bits: int = MAX_BITS) -> KeyFilter:
+    """The filter of a stored table's long column, of at most ``max_bits`` bits (a power of two)."""
+    n_bits = min(max_bits, 1 << max(15, int(keys.count() * BITS_PER_KEY - 1).bit_length()))
     mask = np.uint64(n_bits - 1)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,9 +9,12 @@ minimizer: they are the reference shards. A task builds a suffix automaton of ea
 shards, with occurrence counts, and streams the single pieces through it: where the longest
 suffix that occurs twice reaches ``window`` words, a repeated window ends.
 
-A shard holds whole minimizer groups. A group of more than ``GROUP`` different pieces (a
-passage in very many documents) is not gathered: its windows are counted by hash instead,
-with partial sums before the shuffle.
+A shard holds whole minimizer groups. A group of more than ``GROUP`` words of different pieces (a
+passage in very many documents, each with its own words before and after) is not gathered: its
+windows are counted by hash instead, with partial sums before the shuffle.
+
+Filters of the minimizers and texts that matter spare shuffles; they have a fixed largest size
+and what passes them is joined exactly, so the steps are the same at every size.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from autolake.llm.stored import stored
 
 WINDOW = 35
 ANCHOR = 12
-GROUP = 2048            # different pieces of one minimizer that an automaton takes
+GROUP = 200_000         # words of one minimizer's different pieces that an automaton takes
 SHARD_WORDS = 20_000    # words after which a shard is closed (groups stay whole)
 
 _PIECE = "g long, c long, key long, start int, windows int, anchors int"
@@ -159,7 +162,7 @@ def _shard_ranges(shard: list[tuple], window: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64() if k in "gc" else pa.int32()) for k, v in out.items()})
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP, max_bits: int = key_filter.MAX_BITS) -> DataFrame:
     """(id, key, spans): the word ranges [a, b) under repeated windows of every text that has any.
 
     ``docs``: id, text, key (a hash of both, to tell rows of one id apart).
@@ -171,9 +174,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) ->
                 if light:
                     yield pa.RecordBatch.from_pydict({"g": pa.array(p["g"].view(np.int64)), "anchors": pa.array(p["anchors"])})
                     continue
-                if keep is not None:
-                    mask = keep.value(p["g"])
-                    p = {k: v[mask] for k, v in p.items()}
+                mask = keep.value(p["g"])
+                p = {k: v[mask] for k, v in p.items()}
                 doc = pa.array(p["doc"])
                 yield pa.RecordBatch.from_pydict({
                     "g": pa.array(p["g"].view(np.int64)), "c": pa.array(p["c"].view(np.int64)), "key": rows.column("key").take(doc),
@@ -184,21 +186,20 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) ->
     # minimizers at two places or more, and their pieces
     seen = docs.select("text").mapInArrow(lambda b: cut(b, light=True), "g long, anchors long")
     often = stored(seen.groupBy("g").agg(F.sum("anchors").alias("n")).where("n > 1").select("g"), "span-often")
-    keep = key_filter.build(often, "g")
-    keep = None if keep is None else sc.broadcast(keep)
+    keep = sc.broadcast(key_filter.build(often, "g", max_bits))
     cut_rows = docs.select("id", "key", "text").mapInArrow(lambda b: cut(b, keep), f"{_PIECE}, id {kind}")
-    found = stored(cut_rows.join(often, "g", "left_semi") if keep is None else cut_rows, "span-pieces")
+    found = stored(cut_rows, "span-pieces")     # with a few pieces of minimizers seen once: they go with the groups
     contents = stored(found.groupBy("g", "c").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "id", "start", "windows")).alias("at"), F.max("anchors").alias("anchors")), "span-contents")
+    size = F.sum(F.col("at.windows") + window - 1).alias("k")
     # stored, so that the join shuffles both sides and a hot minimizer's pieces can be split
-    groups = stored(contents.groupBy("g").agg(F.count("*").alias("k"), F.min("n").alias("least"), F.max("anchors").alias("most")).where(
-        "least = 1 and (k > 1 or most > 1)").drop("least", "most"), "span-groups")
+    groups = stored(contents.groupBy("g").agg(size, F.count("*").alias("pieces"), F.min("n").alias("least"), F.max("anchors").alias("most")).where(
+        "least = 1 and (pieces > 1 or most > 1)").drop("least", "most", "pieces"), "span-groups")
 
     # words of the pieces that an automaton is needed for: texts that hold one, read once more
     wanted = stored(contents.join(groups, "g").select("g", "c", "n", "k", "at.*")
                      .groupBy("key", "id").agg(F.collect_list(F.struct("g", "c", "n", "k", "start", "windows")).alias("pieces")), "span-wanted")
-    holds = key_filter.build(wanted, "key")
-    holds = None if holds is None else sc.broadcast(holds)
+    holds = sc.broadcast(key_filter.build(wanted, "key", max_bits))
 
     def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,7 +221,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) ->
                 yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.binary() if k == "words" else pa.int64()) for k, v in out.items()})
 
     texts = docs.select("id", "key", "text")
-    texts = texts if holds is None else texts.mapInArrow(holding, texts.schema)
+    texts = texts.mapInArrow(holding, texts.schema)
     spelled = stored(texts.join(wanted.withColumnRenamed("id", "own"), (F.col("own").eqNullSafe(F.col("id"))) & (texts["key"] == wanted["key"]))
                       .select("text", "pieces").mapInArrow(spell, "g long, c long, n long, k long, words binary"), "span-words")
 
@@ -276,7 +277,7 @@ def _kept(text: str, spans: list[dict]) -> tuple[int, int, str]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   group: int = GROUP) -> DataFrame:
+                   group: int = GROUP, max_bits: int = key_filter.MAX_BITS) -> DataFrame:
     """All rows and columns of ``docs`` with ``text_col`` cut, and struct ``repeats``: n_words, n_removed.
 
     Words are ``[^\\x20\\x09-\\x0D]+``; every word under a window that starts anywhere else too,
@@ -289,7 +290,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("column repeats is taken")
     key = F.xxhash64(F.col(id_col), F.col(text_col))
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), key.alias("key"))
-    spans = repeated_spans(plain, window, group)
+    spans = stored(repeated_spans(plain, window, group, max_bits), "span-spans")    # a plain side: AQE can split the join
     rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), F.col(id_col).alias("id"), key.alias("key"))
     spans = spans.select(F.col("id").alias("own"), F.col("key").alias("own_key"), "spans")
     joined = rows.join(spans, (F.col("own_key") == F.col("key")) & F.col("own").eqNullSafe(F.col("id")), "left").select("row", "text", "spans")

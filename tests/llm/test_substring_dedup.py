@@ -23,17 +23,18 @@ def brute(texts, window):
     return sorted(out, key=repr)
 
 
-def found(docs, window, group=substring_dedup.GROUP):
-    got = substring_dedup.remove_repeats(docs, window=window, group=group)
+def found(docs, window, group=substring_dedup.GROUP, **more):
+    got = substring_dedup.remove_repeats(docs, window=window, group=group, **more)
     assert got.columns == [*docs.columns, "repeats"]
     return sorted(((r.doc_id, r.repeats.n_words, r.repeats.n_removed, blank_words(r.text)) for r in got.collect()), key=repr)
 
 
-@pytest.mark.parametrize("group", [1, 2048])
-def test_equals_counting_all_windows(spark, group):
+@pytest.mark.parametrize("group, max_bits", [(1, 1 << 27), (200_000, 1 << 27), (150, 64), (2000, 1024)])
+def test_equals_counting_all_windows(spark, group, max_bits):
+    """Groups through automata, by counting, and mixed; filters that tell keys apart, few, and none."""
     texts = mixed_texts(3, 150) + edge_texts()
     docs = spark.createDataFrame(rows(texts), DOCS).repartition(3)
-    assert found(docs, 35, group) == brute(texts, 35)
+    assert found(docs, 35, group, max_bits=max_bits) == brute(texts, 35)
 
 
 def test_dense_repeats_in_few_words(spark):
