@@ -45,10 +45,12 @@ def test_verdicts_equal_a_plain_loop(spark):
 def test_cascade_is_exact_over_its_universe(spark):
     wanted = spark.range(0, 3000, 3).select(F.concat(F.lit("k"), "id").alias("key")).checkpoint()
     universe = spark.range(0, 9000).select(F.concat(F.lit("k"), "id").alias("key")).checkpoint()
-    levels = url_cascade.cascade(wanted, universe)
-    assert len(levels) > 1
-    got = {r.key for r in universe.where(url_cascade.listed(levels, F.col("key"))).collect()}
-    assert got == {f"k{i}" for i in range(0, 3000, 3)}
+    for limit in (url_cascade.MAX_FILTER_BYTES, 64):        # whole filters, and ones in many shards
+        levels = url_cascade.cascade(wanted, universe, max_bytes=limit)
+        assert len(levels) > 1 and all(len(x) <= limit for level in levels for x in level.shards)
+        assert (max(len(level.shards) for level in levels) > 1) == (limit == 64)
+        got = {r.key for r in universe.where(url_cascade.listed(levels, F.col("key"))).collect()}
+        assert got == {f"k{i}" for i in range(0, 3000, 3)}
 
 
 def test_no_rules_no_pages(spark):
@@ -90,3 +92,41 @@ def test_no_records(spark):
     path = scratch_path(spark, "test-warc")
     warc.write(pages_of(spark, []), path)
     assert warc.resolve(warc.read(spark, path)).count() == 0
+
+
+def test_every_record_is_a_gzip_member_of_its_own(spark):
+    import glob
+    import gzip
+    import zlib
+
+    path = scratch_path(spark, "test-warc")
+    warc.write(pages_of(spark, PAYLOADS), path, date="2026-01-02T03:04:05Z")
+    kinds, ids = [], []
+    for file in glob.glob(f"{path.removeprefix('file:')}/part-*"):
+        data = open(file, "rb").read()
+        whole = gzip.decompress(data) if data else b""
+        again = b""
+        at = 0
+        while at < len(data):       # each one by its offset alone
+            one = zlib.decompressobj(31)
+            part = one.decompress(data[at:])
+            at = len(data) - len(one.unused_data)
+            again += part
+            if part:
+                fields, block = warc.parse(part)
+                kinds.append(fields["warc-type"])
+                ids.append(fields["warc-record-id"])
+                assert fields["warc-date"] == "2026-01-02T03:04:05Z"
+        assert again == whole
+    assert kinds.count("response") + kinds.count("revisit") == len(PAYLOADS) and "warcinfo" in kinds
+
+
+def test_payloads_are_not_shuffled(spark):
+    rows = [(i, f"u{i}", b"same" if i % 3 == 0 else str(i).encode()) for i in range(3000)]
+    path = scratch_path(spark, "test-warc")
+    heads = pages_of(spark, rows).select("page_id", "url", "payload").mapInArrow(lambda b: warc._heads(b, False), warc._HEADS)
+    again = warc.revisits(heads)
+    assert again.columns == ["digest", "page_id", "url", "bytes", "original"] and again.count() == 999
+    warc.write(pages_of(spark, rows).repartition(4), path)
+    got = warc.resolve(warc.read(spark, path))
+    assert got.where("record_type = 'revisit' and refers_to = 2997").count() == 999 and got.count() == 3000
