@@ -80,12 +80,12 @@ def test_op6_and_op9_base_columns(spark, documents):
         starts = [k for k, _ in places]
         r = got[i]
         assert (r.n_words, r.n_base, r.first_word, r.last_word) == (len(w), len(places), min(starts, default=None), max(starts, default=None))
-        assert r.base_labels == ",".join(sorted({x for _, x in places})) and set(r.base_labels.split(",")) <= set(r.labels.split(","))
+        assert r.base_labels == ",".join(sorted({x for _, x in places})) and set(r.base_labels.split(",")) - {""} <= set(r.labels.split(","))
         assert 0 <= r.score <= 1
 
 
 def test_op5_held_out_rows_by_the_querys_own_model(spark):
-    sf01 = "/root/testdata/sf0.01"
+    sf01 = "/root/testdata/sf0.1"       # some labels of these tables are noise: a few hundred held-out rows are needed
     got = queries.QUERIES["op5_toxicity"](spark, sf01)
     assert dict(got.dtypes) == {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"}
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf01}/labels.parquet").collect()}
@@ -96,7 +96,7 @@ def test_op5_held_out_rows_by_the_querys_own_model(spark):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5)
         if r.held_out and r.doc_id in labels:
             hit[labels[r.doc_id], r.predicted] += 1
-    assert hit[0, 0] >= 0.98 * (hit[0, 0] + hit[0, 1]) and hit[1, 1] >= 0.8 * (hit[1, 1] + hit[1, 0])
+    assert hit[0, 0] >= 0.99 * (hit[0, 0] + hit[0, 1]) and hit[1, 1] >= 0.9 * (hit[1, 1] + hit[1, 0])
 
 
 def test_toxicity_features_as_plain_python():
