@@ -40,6 +40,12 @@ def bounded_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> D
     return F.broadcast(dim) if (obs.get["bytes"] or 0) <= max_bytes else dim
 
 
+def small_broadcast(stored: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """The same for a table that is stored already: its bytes are summed, nothing is written."""
+    size = stored.agg(F.sum(row_bytes(stored))).first()[0] or 0
+    return F.broadcast(stored) if size <= max_bytes else stored
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Column | str,
                drop: Sequence[str] = ()) -> DataFrame:
     """One row per key: the row with the smallest ``order`` value (input order).

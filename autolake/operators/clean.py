@@ -26,6 +26,38 @@ def typed_projection(records: DataFrame, day=None, scraped_at: Column | None = N
     ])
 
 
+CORRUPT = "_corrupt_record"
+
+
+def checked_projection(records: DataFrame, day=None, scraped_at: Column | None = None) -> DataFrame:
+    """C1/C2 for records read as text: every known column cast to its silver type, and ``_reason``,
+    null for a good row: the record was no JSON (``CORRUPT`` holds its text), or which columns'
+    text is not of the type. ``_record`` is the record as it was read."""
+    fields = [c for c in records.columns if c in LISTING_SILVER_TYPES]
+    faults = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(LISTING_SILVER_TYPES[c]).isNull(), F.lit(f"{c} is not {LISTING_SILVER_TYPES[c]}"))
+              for c in fields]
+    corrupt = F.col(CORRUPT) if CORRUPT in records.columns else F.lit(None).cast("string")
+    reasons = F.concat_ws("; ", F.when(corrupt.isNotNull(), F.lit("record is not JSON")), *faults)
+    out = (records.withColumn("_reason", F.nullif(reasons, F.lit("")))
+                  .withColumn("_record", F.coalesce(corrupt, F.to_json(F.struct(*fields)))).drop(CORRUPT))
+    for c in fields:
+        out = out.withColumn(c, F.col(c).try_cast(LISTING_SILVER_TYPES[c]))
+    if day is not None:
+        out = out.withColumn("fecha", F.lit(str(day)).cast("date"))
+    return out if scraped_at is None else out.withColumn("scraped_at", scraped_at)
+
+
+def split_checked(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantined rows) of ``checked_projection``."""
+    return checked.where(F.col("_reason").isNull()).drop("_reason", "_record"), checked.where(F.col("_reason").isNotNull())
+
+
+def enforce_bad_share(bad: int, total: int, limit: float) -> None:
+    """A day with too many bad records is an error: something is wrong with the feed, not with a record."""
+    if bad > limit * total:
+        raise ValueError(f"{bad} of {total} records are bad, more than a share of {limit}")
+
+
 def null_zero_price(df: DataFrame) -> DataFrame:
     """A price of 0 means 'no price'."""
     return df.withColumn("precio_ars", F.nullif(F.col("precio_ars"), F.lit(0).cast("bigint")))

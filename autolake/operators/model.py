@@ -3,25 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from autolake.functions.columns import (OPPORTUNITY_THRESHOLD, REQUEST_YEAR_MAX, YEAR_MIN,
                                         clip_lower, hash_split)
 from autolake.functions.joins import bounded_broadcast, dense_index_columns
 from autolake.functions.stats import group_median
-from autolake.session import work_dir
+from autolake.operators import encode, trees
 from autolake.schemas import CATEGORICAL, TARGET
+from autolake.session import scratch_path
 
 NUMERIC_FEATURES = ["anio", "antiguedad", "km", "km_valido", "km_por_anio", "dolar_blue_venta"]
+FEATURES = [f"{c}_te" for c in CATEGORICAL] + NUMERIC_FEATURES
 # Boosted-tree settings of the reference (300 trees, learning rate 0.05,
 # at least 5 rows per leaf, 80 % of rows and of features per tree, seed 42); Spark's
 # depth-wise trees use depth 4 for the reference's 15 leaves.
-GBT_TREES, GBT_STEP, GBT_DEPTH, MIN_ROWS_PER_LEAF, ROW_SAMPLE, FEATURE_SAMPLE, SEED = 300, 0.05, 4, 5, 0.8, "0.8", 42
+GBT_TREES = 300
+GBT_STEP = 0.05
+GBT_DEPTH = 4
+MIN_ROWS_PER_LEAF = 5
+ROW_SAMPLE = 0.8
+FEATURE_SAMPLE = "0.8"
+SEED = 42
+# What a missing number reads as in a tree.
 MISSING = -1.0
-# Categoricals enter the trees as hash numbers below HASH_CODES, cut into MAX_BINS ranges.
-HASH_CODES, MAX_BINS = 1 << 20, 256
+MAX_BINS = 256
 # Fixed value: warning text of an estimate for a car of the run year.
 AGE_ZERO_WARNING = "Auto del año actual — estimación menos confiable"
 
@@ -48,9 +57,12 @@ def score_by_group_median(df: DataFrame, keys: Sequence[str], price: str = TARGE
 
 def score_by_fitted_median(df: DataFrame, fit_on: DataFrame, keys: Sequence[str], price: str = TARGET) -> DataFrame:
     """The same estimator fitted on ``fit_on`` alone; rows of groups that it lacks drop out."""
-    med = group_median(fit_on, keys, price, "_med")
-    out = df.join(bounded_broadcast(med), list(keys), "inner")
-    return estimate_columns(out, "_med", price).drop("_med")
+    return apply_median(df, bounded_broadcast(group_median(fit_on, keys, price, "_med")), keys, price)
+
+
+def apply_median(df: DataFrame, medians: DataFrame, keys: Sequence[str], price: str = TARGET) -> DataFrame:
+    """Estimates from a fitted table (keys, _med); rows of groups that it lacks drop out."""
+    return estimate_columns(df.join(medians, list(keys), "inner"), "_med", price).drop("_med")
 
 
 # ---------------------------------------------------------------- preparation / split
@@ -69,74 +81,93 @@ def split_counts(df: DataFrame, key: str = "cod") -> DataFrame:
     return with_split(df, key).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
-# ---------------------------------------------------------------- Spark ML model
+# ---------------------------------------------------------------- boosted trees
+
+class PriceModel(NamedTuple):
+    """A fitted model as two tables: the trees' nodes (``operators.trees``) and the categoricals'
+    statistics (``operators.encode``). ``fitted`` is the folder of Spark ML's own copy, if it is there."""
+    nodes: DataFrame
+    statistics: DataFrame
+    fitted: str | None = None
+
+    def save(self, path: str) -> None:
+        self.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+        self.statistics.write.mode("overwrite").parquet(f"{path}/statistics")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> PriceModel:
+        return cls(spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/statistics"))
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """``rows`` of ``feature_rows`` with the model's ``prediction``."""
+        return rows.withColumn("prediction", trees.estimate(self.nodes))
 
-def feature_pipeline():
-    """Feature stages without a fit: every categorical enters as one number, a hash of its
-    text (missing: of 'None'), the same at every data size and for values never seen before.
-    No list of values is gathered or shipped. Trees cut the numbers into at most MAX_BINS
-    ranges, which separates all values of a narrow column and groups those of a wide one."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import SQLTransformer, VectorAssembler
 
-    codes = ", ".join(f"CAST(pmod(xxhash64(coalesce({c}, 'None')), {HASH_CODES}) AS DOUBLE) AS {c}_code" for c in CATEGORICAL)
-    coded = SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__")
-    asm = VectorAssembler(inputCols=[f"{c}_code" for c in CATEGORICAL] + NUMERIC_FEATURES, outputCol="features",
-                          handleInvalid="error")
-    return Pipeline(stages=[coded, asm])
+def training_parameters(train_rows: int, test_rows: int, day, max_iter: int = GBT_TREES) -> dict:
+    """The nine recorded parameters of a training run (a tree of depth d has at most 2^d leaves)."""
+    return {"n_estimators": max_iter, "num_leaves": 2 ** GBT_DEPTH, "learning_rate": GBT_STEP, "min_child_samples": MIN_ROWS_PER_LEAF,
+            "subsample": ROW_SAMPLE, "colsample_bytree": FEATURE_SAMPLE, "train_size": train_rows, "test_size": test_rows, "gold_date": day}
 
 
-def _training_frame(gold: DataFrame):
-    """Training rows (train split) and the feature pipeline."""
-    data = with_split(prepare(gold)).where(F.col("split") == "train")
-    # Spark trees take no NaN: a missing number becomes the sentinel -1, which a split
-    # separates from every real value (the reference's library routes missing values
-    # to one side of each split natively)
-    num = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in NUMERIC_FEATURES]
-    # node ids are checkpointed during training: name the shared folder
-    work_dir(gold.sparkSession)
-    return data.select("cod", *CATEGORICAL, *num, F.col(TARGET).cast("double").alias("label")), feature_pipeline()
+def feature_rows(gold: DataFrame, statistics: DataFrame, fold: Column | None = None, keep: Sequence[str] = ("cod", TARGET)) -> DataFrame:
+    """The model's nine features as numbers, and ``keep``: categoricals by their target statistics
+    (``fold``: what training rows leave out), a missing number as MISSING, which a split separates
+    from every real value (the reference's library routes missing values at each split natively)."""
+    numbers = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in NUMERIC_FEATURES]
+    kept = [F.col(c).alias(f"_keep_{c}") for c in keep]
+    rows = encode.encode(prepare(gold).select(*CATEGORICAL, *NUMERIC_FEATURES, *kept, *([] if fold is None else [fold.alias("_own_fold")])),
+                         statistics, None if fold is None else F.col("_own_fold"))
+    return rows.select(*[f"{c}_te" for c in CATEGORICAL], *numbers, *[F.col(f"_keep_{c}").alias(c if c not in FEATURES else f"_keep_{c}") for c in keep])
 
 
-def train_gbt(gold: DataFrame, max_iter: int = GBT_TREES, seed: int = SEED):
+def _fit(gold: DataFrame, regressor, average: bool) -> PriceModel:
+    """Fit on the training split; the statistics and the nodes are stored, so they are made once."""
+    from pyspark.ml.feature import VectorAssembler
+
+    spark = gold.sparkSession
+    train = with_split(gold).where(F.col("split") == "train").drop("split")
+    stats_path, fitted, nodes_path = (scratch_path(spark, n) for n in ("model-statistics", "model-fitted", "model-nodes"))
+    encode.statistics(train).write.parquet(stats_path)
+    statistics = spark.read.parquet(stats_path)
+    rows = feature_rows(train, statistics, encode.fold(F.col("cod")))
+    data = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="error").transform(
+        rows.withColumn("label", F.col(TARGET).cast("double")))
+    regressor.fit(data.select("features", "label")).write().save(fitted)
+    trees.node_table(spark, fitted, FEATURES, average).write.parquet(nodes_path)
+    return PriceModel(spark.read.parquet(nodes_path), statistics, fitted)
+
+
+def train_gbt(gold: DataFrame, max_iter: int = GBT_TREES, seed: int = SEED) -> PriceModel:
     """M3: gradient-boosted trees on the training split.
 
-    Settings follow the reference's intent: shallow trees, learning rate 0.05,
-    at least 5 rows per leaf, 80 % row and feature sampling. Node ids are
-    cached and checkpointed every 10 trees to the shared folder: a lost executor
-    recomputes from the last checkpoint, not from the first iteration."""
-    from pyspark.ml import Pipeline
+    Settings follow the reference's intent: shallow trees, learning rate 0.05, at least 5 rows
+    per leaf, 80 % row and feature sampling. Node ids are cached and checkpointed every 10 trees
+    to the shared folder: a lost executor recomputes from the last checkpoint, not from the
+    first iteration."""
     from pyspark.ml.regression import GBTRegressor
 
-    data, pipe = _training_frame(gold)
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=GBT_DEPTH,
-                       stepSize=GBT_STEP, minInstancesPerNode=MIN_ROWS_PER_LEAF, subsamplingRate=ROW_SAMPLE,
-                       featureSubsetStrategy=FEATURE_SAMPLE, seed=seed, maxBins=MAX_BINS,
-                       cacheNodeIds=True, checkpointInterval=10)
-    return Pipeline(stages=pipe.getStages() + [gbt]).fit(data)
+    return _fit(gold, GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=GBT_DEPTH,
+                                   stepSize=GBT_STEP, minInstancesPerNode=MIN_ROWS_PER_LEAF, subsamplingRate=ROW_SAMPLE,
+                                   featureSubsetStrategy=FEATURE_SAMPLE, seed=seed, maxBins=MAX_BINS,
+                                   cacheNodeIds=True, checkpointInterval=10), average=False)
 
 
-def train_forest(gold: DataFrame, num_trees: int = 100, seed: int = SEED):
+def train_forest(gold: DataFrame, num_trees: int = 100, seed: int = SEED) -> PriceModel:
     """Second model for M8: a random forest on the same features and training split."""
-    from pyspark.ml import Pipeline
     from pyspark.ml.regression import RandomForestRegressor
 
-    data, pipe = _training_frame(gold)
-    rf = RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees, maxDepth=8,
-                               minInstancesPerNode=MIN_ROWS_PER_LEAF, subsamplingRate=ROW_SAMPLE, seed=seed,
-                               maxBins=MAX_BINS,
-                               cacheNodeIds=True, checkpointInterval=10)
-    return Pipeline(stages=pipe.getStages() + [rf]).fit(data)
+    return _fit(gold, RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees, maxDepth=8,
+                                            minInstancesPerNode=MIN_ROWS_PER_LEAF, subsamplingRate=ROW_SAMPLE, seed=seed,
+                                            maxBins=MAX_BINS, cacheNodeIds=True, checkpointInterval=10), average=True)
 
 
-def model_scores(model, gold: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """M9 + M10 with a trained model: the model is shipped to executors once per job.
-    ``carry`` columns pass through with their original (unprepared) values."""
-    num = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in NUMERIC_FEATURES]
-    kept = [F.col(c).alias(f"_carry_{c}") for c in carry]
-    data = prepare(gold).select("cod", *CATEGORICAL, *num, TARGET, *kept)
-    return estimate_columns(model.transform(data), "prediction").select(
-        "cod", TARGET, "precio_estimado", "oportunidad_score", *[F.col(f"_carry_{c}").alias(c) for c in carry])
+def model_scores(model: PriceModel, gold: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """M9 + M10 with a trained model, as one expression per row: cod, price, raw prediction,
+    estimate, score. ``carry`` columns pass through with their original (unprepared) values."""
+    rows = feature_rows(gold, model.statistics, keep=("cod", TARGET, *carry))
+    out = estimate_columns(model.transform(rows), "prediction")
+    return out.select("cod", TARGET, "prediction", "precio_estimado", "oportunidad_score",
+                      *[F.col(f"_keep_{c}").alias(c) if c in FEATURES else F.col(c) for c in carry])
 
 
 # ---------------------------------------------------------------- evaluation
@@ -144,13 +175,13 @@ def model_scores(model, gold: DataFrame, carry: Sequence[str] = ()) -> DataFrame
 def regression_metrics(df: DataFrame, truth: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
     """M4: MAE, RMSE, R2 and MAPE (%) in one aggregate pass (per ``by`` group).
 
-    The absolute-error sum is exact (integer errors); float sums are rounded so the
+    The absolute-error sum is exact (errors to six digits); float sums are rounded so the
     figures do not depend on the summation order."""
     e = (F.col(pred) - F.col(truth))
     y = F.col(truth).cast("double")
     agg = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.abs(e).cast("decimal(38,0)")).alias("_sae"),
+        F.sum(F.abs(e).cast("decimal(28,6)")).alias("_sae"),
         F.sum(e.cast("double") * e.cast("double")).alias("_sse"),
         F.var_pop(y).alias("_var"),
         # a zero truth or a zero variance gives a null figure (ANSI division would fail)
@@ -199,9 +230,9 @@ def label_encode(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
     A missing value is a class of its own, the text 'None'. All columns are ranked in one
     distributed pass; each column's mapping is joined back (broadcast only if small)."""
     text = df.select([F.coalesce(F.col(c).cast("string"), F.lit("None")).alias(c) for c in cols])
-    codes = dense_index_columns(text, cols)
+    codes = bounded_broadcast(dense_index_columns(text, cols))
     for c in cols:
-        own = bounded_broadcast(codes.where(F.col("column") == c).select(F.col("value").alias(f"_{c}"), F.col("code").alias(f"{c}_code")))
+        own = codes.where(F.col("column") == c).select(F.col("value").alias(f"_{c}"), F.col("code").alias(f"{c}_code"))
         df = df.join(own, F.coalesce(F.col(c).cast("string"), F.lit("None")) == F.col(f"_{c}"), "left").drop(f"_{c}")
     return df
 
@@ -240,6 +271,9 @@ def top_scores(scored: DataFrame, n: int = 5) -> DataFrame:
 
 # ---------------------------------------------------------------- estimate requests
 
+REQUEST = "req_id long, marca string, modelo string, provincia string, anio int, km long"
+
+
 def validate_requests(req: DataFrame, year_max: int = REQUEST_YEAR_MAX) -> DataFrame:
     """A request needs every field, a year in [1990, year_max] and km >= 0.
     ``valid`` flag plus the reasons (null when valid)."""
@@ -263,17 +297,16 @@ def request_features(req: DataFrame, run_year: int, rate: Column) -> DataFrame:
                .withColumn("advertencia", F.when(F.col("antiguedad") == 0, F.lit(AGE_ZERO_WARNING))))
 
 
-def score_requests(model, req: DataFrame, run_year: int, rate: Column) -> DataFrame:
-    """M13-M16 as one batch: validate every request, build its features (no imputation),
-    score the valid ones with the model and truncate the estimate; invalid requests
-    keep their reasons and no estimate."""
-    checked = validate_requests(req)
-    feats = request_features(checked.where(F.col("valid")), run_year, rate)
-    data = feats.select("req_id", *CATEGORICAL, *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c)
-                                                   for c in NUMERIC_FEATURES], "advertencia")
-    est = model.transform(data).select("req_id", truncated_estimate(F.col("prediction")).alias("precio_estimado_ars"),
-                        "advertencia")
-    return checked.select("req_id", "valid", "reasons").join(est, "req_id", "left")
+def score_requests(model: PriceModel, req: DataFrame, run_year: int, rate: Column, carry: Sequence[str] = ()) -> DataFrame:
+    """M13-M16 row by row, for a table or a stream of requests: validate, build the features (no
+    imputation), score the valid ones and truncate the estimate; invalid requests keep their
+    reasons and have no estimate."""
+    keep = ("req_id", "valid", "reasons", "advertencia", *carry)
+    feats = request_features(validate_requests(req), run_year, rate)
+    scored = model.transform(feature_rows(feats, model.statistics, keep=keep))
+    estimate = F.when(F.col("valid"), truncated_estimate(F.col("prediction")))
+    return scored.select("req_id", "valid", "reasons", estimate.alias("precio_estimado_ars"),
+                         F.when(F.col("valid"), F.col("advertencia")).alias("advertencia"), *carry)
 
 
 def truncated_estimate(prediction: Column) -> Column:

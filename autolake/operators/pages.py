@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from autolake.functions.columns import unescape_html
+from autolake.functions.joins import bounded_broadcast
 from autolake.operators.market import absolute_url
 from autolake.session import work_dir
+from autolake.sources import sinks
 
 # The patterns of the two listing sites.
 LISTING_LINK = r"""/vendo/[^\s"<']+"""
@@ -45,6 +47,26 @@ def new_links(page_links: DataFrame, seen: DataFrame, keys: Sequence[str]) -> tu
     return fresh, seen.select(*keys).unionByName(fresh).distinct()
 
 
+def take_new(spark: SparkSession, root: str, page_links: DataFrame, keys: Sequence[str], batch: str) -> DataFrame:
+    """P2 across runs: the links that no other batch has seen, which are then in the seen-set under ``root``.
+
+    The seen-set is a table of (keys, batch) in buckets by a hash of the keys; only the buckets that
+    the page's links fall into are read, and merged anew. The page's links are sent to the stored
+    side (checked broadcast), which is scanned and not shuffled. Running a batch again gives the
+    same links again."""
+    keys = list(keys)
+    links = page_links.select(*keys).distinct()
+    now = sinks.table_version(spark, root)
+    if now is not None:
+        links = bounded_broadcast(links)
+        known = sinks.read_touched(spark, root, now, links, keys).where(F.col("batch") != batch).join(links, keys, "left_semi").select(*keys)
+        links = links.join(bounded_broadcast(known), keys, "left_anti")
+    work_dir(spark)
+    fresh = links.checkpoint(eager=True)      # what is new is settled before the set grows
+    sinks.merge(spark, root, fresh.withColumn("batch", F.lit(batch)), keys, update_cols=[])
+    return fresh
+
+
 def parse_listing_path(df: DataFrame, path: str = "path") -> DataFrame:
     """Brand, model, condition, province and code from a listing path; '-' means
     a space in brand, model and province (not in condition). Paths that do not
@@ -68,12 +90,13 @@ def hidden_inputs(df: DataFrame, html: str = "html") -> DataFrame:
     return out.dropna(subset=[c for _, c in DETAIL_FIELDS])
 
 
-def assemble(links: DataFrame, details: DataFrame, scraped_at: Column, base: str, path: str = "path") -> DataFrame:
+def assemble(links: DataFrame, details: DataFrame, scraped_at: Column, base: str, path: str = "path", url: str | None = None) -> DataFrame:
     """P5: parsed link fields joined with the detail fields of the same path, plus the
     absolute URL on the site ``base`` and the scrape time (e.g. the detail page's fetch
-    time). Both sides are keyed by path (unique)."""
+    time). Details are unique by ``path``; ``url`` is the column of the listing's path on the
+    site, where ``path`` is only its digest."""
     return (links.join(details, path)
-                 .withColumn("url", absolute_url(F.col(path), base))
+                 .withColumn("url", absolute_url(F.col(url or path), base))
                  .withColumn("scraped_at", scraped_at))
 
 

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from autolake import schemas
-from autolake.functions.joins import first_and_last, with_position
-from autolake.operators import clean, features
+from autolake.functions.joins import first_and_last, small_broadcast, with_position
+from autolake.functions.stats import group_median
+from autolake.operators import clean, encode, features
 from autolake.operators import fx as fxo
 from autolake.operators import market as mk
 from autolake.operators import model as mo
@@ -23,11 +24,12 @@ from autolake.operators import pages as pg
 from autolake.operators.fx import normalize_fx
 from autolake.plans import fixtures as fxt
 from autolake.plans import views as V
-from autolake.plans.fixtures import REQUEST_RUN_YEAR, RUN_YEAR, fx_bronze, model_keys, table
+from autolake.plans.fixtures import REQUEST_RUN_YEAR, RUN_DAY, RUN_YEAR, fx_bronze, model_keys, table
+from autolake.plans.jobs import silver_of
 from autolake.plans.oracle_views import with_views
 from autolake.session import scratch_path, work_dir
 from autolake.sources import storage, bronze, partitions, sinks
-from autolake.sources.registry import latest_model_key, model_registry
+from autolake.sources.registry import latest_model_key, load_latest_model, model_registry, read_runs, record_run, save_model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -211,9 +213,11 @@ def _fitted_sql(keys: str) -> str:
 
 
 def _fitted(spark, d, keys):
-    """A median model fitted on the training split alone, applied to the rows of both splits."""
+    """A median model fitted on the training split alone, applied to the rows of both splits. The
+    fitted table is stored once, like any model, and read by every evaluation."""
     rows = mo.with_split(V.silver(spark, d).where(F.col("precio_ars").isNotNull()))
-    return mo.score_by_fitted_median(rows, rows.where(F.col("split") == "train"), keys)
+    fit = lambda: group_median(rows.where(F.col("split") == "train"), keys, "precio_ars", "_med")
+    return mo.apply_median(rows, small_broadcast(V.stored(spark, d, "median_train_" + "_".join(keys), fit)), keys)
 
 
 @query("m_metrics", with_views(["silver"], _metrics_sql(_fitted_sql("marca, modelo"), "split")))
@@ -303,19 +307,105 @@ def m_top5(spark, d):
     return mo.top_scores(V.scored_table(spark, d), 5)
 
 
-@query("m_gbt_score", with_views(["gold"], f"""
-select cod, precio_ars, {_SPLIT_SQL} as split, true as estimated, true as score_holds from gold"""))
-def m_gbt_score(spark, d):
-    """M1, M3, M9: train all boosted trees on the training split and score every gold row.
+@query("m_prepare", with_views(["gold"], """
+select cod, marca, modelo, provincia, anio, antiguedad, km, coalesce(km_valido, false) as km_valido, km_por_anio, dolar_blue_venta, precio_ars
+from gold"""))
+def m_prepare(spark, d):
+    return mo.prepare(V.gold_table(spark, d))
+
+
+_FOLD_SQL = f"cast('0x' || substr(md5('fold:42:' || cod), 1, 8) as bigint) % {encode.FOLDS}"
+_TE_COLS = ["marca", "modelo", "provincia"]
+_K = encode.SMOOTHING
+
+
+def _te_sql() -> str:
+    """Per gold row and categorical: the smoothed mean price of the value's training rows outside the row's own fold."""
+    joins = "\n".join(f"left join by_value v_{c} on v_{c}.c = '{c}' and v_{c}.v = coalesce(r.{c}, 'None')"
+                      f" left join by_fold f_{c} on f_{c}.c = '{c}' and f_{c}.v = coalesce(r.{c}, 'None') and f_{c}.fold = r.own" for c in _TE_COLS)
+    out = ", ".join(
+        f"round(case when v_{c}.n is null then a.mean else (cast(v_{c}.s - coalesce(f_{c}.s, 0) as double) + a.mean * {_K}.0)"
+        f" / (v_{c}.n - coalesce(f_{c}.n, 0) + {_K}.0) end, 4) as {c}_te" for c in _TE_COLS)
+    return f"select r.cod, r.own as fold, {out} from r join a on a.fold = r.own {joins}"
+
+
+_TE_CTES = [
+    ("r", f"select *, case when {_SPLIT_SQL} = 'train' then {_FOLD_SQL} else {encode.OUTSIDE} end as own from gold"),
+    ("cells", " union all ".join(f"select '{c}' as c, coalesce({c}, 'None') as v, own as fold, precio_ars as y from r where own >= 0" for c in _TE_COLS)),
+    ("by_fold", "select c, v, fold, count(*) as n, sum(y) as s from cells group by all"),
+    ("by_value", "select c, v, count(*) as n, sum(y) as s from cells group by all"),
+    ("a", f"""select g.f as fold, cast(sum(precio_ars) filter (where own <> g.f) as double) / count(*) filter (where own <> g.f) as mean
+              from r, (select unnest(range({encode.OUTSIDE}, {encode.FOLDS})) as f) g where own >= 0 group by g.f"""),
+]
+
+
+@query("m_target_encode", with_views(["gold"], _te_sql(), _TE_CTES))
+def m_target_encode(spark, d):
+    """M3's categoricals: training rows by the other folds' statistics, the other rows by all of them."""
+    rows = mo.with_split(V.gold_table(spark, d))
+    train = F.col("split") == "train"
+    stats_path = scratch_path(spark, "te-statistics")
+    encode.statistics(rows.where(train)).write.parquet(stats_path)
+    own = F.when(train, encode.fold(F.col("cod"))).otherwise(encode.OUTSIDE).cast("int")
+    out = encode.encode(rows.withColumn("fold", own), spark.read.parquet(stats_path), own)
+    return out.select("cod", "fold", *[F.round(f"{c}_te", 4).alias(f"{c}_te") for c in _TE_COLS])
+
+
+_MODELS: dict[tuple, tuple] = {}
+
+
+def _model(spark, d):
+    """M3 + S13 + S8: all trees trained on gold, once per session and data folder; saved, saved again
+    and loaded as the registry's latest model. Returns (as trained, as loaded)."""
+    key = (spark.sparkContext.applicationId, d, storage.state(spark, d))
+    if key not in _MODELS:
+        root = scratch_path(spark, "models")
+        trained = mo.train_gbt(V.gold_table(spark, d))
+        for day in ("2001-12-30", "2001-12-31", "2001-12-31"):
+            save_model(trained, root, day)
+        _MODELS[key] = (trained, load_latest_model(spark, root))
+    return _MODELS[key]
+
+
+def _library_prediction(model, rows):
+    """Spark ML's own prediction of the fitted model, to hold the one from the node table against."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressionModel
+
+    data = VectorAssembler(inputCols=mo.FEATURES, outputCol="features").transform(rows)
+    return GBTRegressionModel.load(model.fitted).setPredictionCol("library").transform(data)
 
-    The estimates themselves have no SQL form; per row the query returns what SQL can state:
-    the split, that the estimate is a whole number, and that the score follows from it (M10)."""
-    g = V.gold_table(spark, d)
-    scores = mo.with_split(mo.model_scores(mo.train_gbt(g), g))
-    est = F.col("precio_estimado")
-    exact = F.bround((est - F.col("precio_ars")) / F.nullif(est.cast("double"), F.lit(0.0)), 4)
-    return scores.select("cod", "precio_ars", "split", est.isNotNull().alias("estimated"),
-                         exact.eqNullSafe(F.col("oportunidad_score")).alias("score_holds"))
+
+@query("m_gbt_score")
+def m_gbt_score(spark, d):
+    """Estimates and scores of every gold row by the loaded model.
+
+    No SQL states a fitted model's estimates; `m_gbt_quality` checks them."""
+    _, loaded = _model(spark, d)
+    return mo.with_split(mo.model_scores(loaded, V.gold_table(spark, d))).select(
+        "cod", "precio_ars", "split", F.round("prediction", 4).alias("prediction"), "precio_estimado", "oportunidad_score")
+
+
+@query("m_gbt_quality", with_views(["silver"], f"""
+select n, mae as baseline_mae, true as trees_better, 0::bigint as other_estimates, 0::bigint as other_scores
+from ({_metrics_sql("(select * from " + _fitted_sql("marca, modelo") + " where split = 'test')")})"""))
+def m_gbt_quality(spark, d):
+    """M3, M9, M10 proved on every hold-out row that the brand-model median can estimate: the trees'
+    mean absolute error is below the median's, every estimate from the saved node table is that of
+    Spark ML's own model, and every score follows from its estimate."""
+    trained, loaded = _model(spark, d)
+    test = mo.with_split(V.gold_table(spark, d)).where("split = 'test'")
+    base = _fitted(spark, d, ["marca", "modelo"]).where("split = 'test'")
+    baseline = mo.regression_metrics(base, "precio_ars", "precio_estimado").select("n", F.col("mae").alias("baseline_mae"))
+    rows = mo.feature_rows(test, loaded.statistics)
+    both = mo.estimate_columns(_library_prediction(trained, loaded.transform(rows)))
+    other = F.abs(F.col("prediction") - F.col("library")) > 1e-6 * F.abs(F.col("library"))
+    exact = F.bround((F.col("precio_estimado") - F.col("precio_ars")) / F.nullif(F.col("precio_estimado").cast("double"), F.lit(0.0)), 4)
+    found = (both.join(base.select("cod"), "cod", "left_semi")
+             .agg(F.avg(F.abs(F.col("prediction") - F.col("precio_ars"))).alias("mae"), F.count_if(other | F.col("prediction").isNull()).alias("other_estimates"),
+                  F.count_if(~exact.eqNullSafe(F.col("oportunidad_score"))).alias("other_scores")))
+    return (baseline.crossJoin(F.broadcast(found))      # one row each
+            .select("n", "baseline_mae", (F.col("mae") < F.col("baseline_mae")).alias("trees_better"), "other_estimates", "other_scores"))
 
 
 _REQ_RATE_SQL = "(select arg_max(venta, fecha) from blue)"
@@ -354,6 +444,34 @@ def m_request_validation(spark, d):
     return mo.validate_requests(V.requests(spark, d)).select("req_id", "reasons", "valid")
 
 
+_REASONS_SQL = """nullif(concat_ws('; ',
+         case when marca is null then 'marca missing' end, case when modelo is null then 'modelo missing' end,
+         case when provincia is null then 'provincia missing' end, case when anio is null then 'anio missing' end,
+         case when km is null then 'km missing' end,
+         case when anio < 1990 or anio > {year} then 'anio out of range' end, case when km < 0 then 'km negative' end), '')"""
+
+
+@query("m_request_score", with_views(["requests"], f"""
+select req_id, reasons is null as valid, reasons, case when reasons is null and {REQUEST_RUN_YEAR} - anio = 0 then '{mo.AGE_ZERO_WARNING}' end as advertencia,
+       reasons is null as estimated, reasons is null as truncated
+from (select *, {_REASONS_SQL.format(year=REQUEST_RUN_YEAR)} as reasons from requests)"""))
+def m_request_score(spark, d):
+    """Every request scored by the registry's latest model; a valid one has an estimate, which
+    is Spark ML's own prediction cut to a whole number, an invalid one has none."""
+    trained, loaded = _model(spark, d)
+    rate = fxo.latest_rate(V.fx(spark, d)).select(F.col("venta").alias("_rate"))
+    req = V.requests(spark, d).crossJoin(F.broadcast(rate))
+    scored = mo.score_requests(loaded, req, REQUEST_RUN_YEAR, F.col("_rate"))
+    feats = mo.request_features(mo.validate_requests(req), REQUEST_RUN_YEAR, F.col("_rate")).where("valid")
+    library = _library_prediction(trained, mo.feature_rows(feats, trained.statistics, keep=("req_id",))).select("req_id", "library")
+    off = F.col("library") - F.col("precio_estimado_ars")
+    # a whole number below a positive prediction, by less than one
+    cut = (off > -1e-3) & (off < 1 + 1e-3)
+    return (scored.join(library, "req_id", "left")
+            .select("req_id", "valid", "reasons", "advertencia", F.col("precio_estimado_ars").isNotNull().alias("estimated"),
+                    F.coalesce(cut, F.lit(False)).alias("truncated")))
+
+
 _MODEL_KEYS_SQL = """
 select distinct case when substr(o_orderpriority, 1, 1) = '1'
                      then 'models/gbt/fecha=' || cast(cast(o_orderdate as date) as varchar)
@@ -450,10 +568,9 @@ def q_table_filter(spark, d):
     return V.serving_table(spark, d).where(mk.table_predicate(**_TABLE)).select(*mk.FEED_COLUMNS)
 
 
-@query("q_user_sort", with_views(["serving"], f"select {_FEED} from serving where marca = 'Brand#7'"))
+@query("q_user_sort", with_views(["serving"], f"select {_FEED} from serving"))
 def q_user_sort(spark, d):
-    rows = V.serving_table(spark, d).where(mk.table_predicate(marca="Brand#7")).select(*mk.FEED_COLUMNS)
-    return mk.user_sort(rows, "modelo", ascending=False)
+    return mk.user_sort(V.serving_table(spark, d).select(*mk.FEED_COLUMNS), "modelo", ascending=False)
 
 
 _SORT_KEYS = ("marca", "modelo", "anio", "km", "precio_ars")
@@ -693,6 +810,161 @@ def s_contract_violations(spark, d):
     return sinks.contract_violations(merged, schemas.SERVING_LISTINGS)
 
 
+_HISTORY_KEEP = [c for c in _SERVING_COLS if c not in _PARTIAL_UPDATE]
+_HISTORY_BUCKETS = 8
+_BATCH_SQL = "case when year(scraped_day) <= 1994 then 0 when year(scraped_day) <= 1996 then 1 else 2 end"
+_HISTORY_CTES = [
+    ("k", f"""select * from (select *, {_BATCH_SQL} as batch, row_number() over (partition by cod, {_BATCH_SQL} order by pos) as nr from listings)
+              where nr = 1"""),
+    ("e", "select *, min(batch) over (partition by cod) as lo, max(batch) over (partition by cod) as hi from k"),
+    ("history", "select " + ", ".join(f"{'l' if c in _PARTIAL_UPDATE else 'f'}.{c}" for c in _SERVING_COLS) +
+     " from (select * from e where batch = lo) f join (select * from e where batch = hi) l using (cod)"),
+]
+_HISTORIES: dict[tuple, list] = {}
+
+
+def _history(spark, d):
+    """S10 over time: all records in three batches by year, each merged into a stored table, the
+    last batch once more (J4), then one changed row. Returns the versions' root and what every
+    step left (step, rows, fingerprint); once per session and data folder."""
+    key = (spark.sparkContext.applicationId, d, storage.state(spark, d))
+    if key not in _HISTORIES:
+        root, steps = scratch_path(spark, "history"), []
+        rows = V.listings(spark, d)
+        year = F.year("scraped_day")
+        batches = [rows.where(year <= 1994), rows.where((year > 1994) & (year <= 1996)), rows.where(year > 1996)]
+        merge = lambda batch: sinks.merge(spark, root, batch, ["cod"], _PARTIAL_UPDATE, buckets=_HISTORY_BUCKETS)
+        for n in (0, 1, 2, 2):
+            done = merge(clean.dedup_first(batches[n]).select(*_SERVING_COLS))
+            steps.append((("first" if len(steps) < 3 else "again"), done.rows, str(done.fingerprint)))
+        at = f"{root}/{sinks.LOG}/{done.version:020d}"
+        now = sinks.table_version(spark, root)
+        changed = sinks.read_current(spark, root).orderBy("cod").limit(1).withColumn("km", F.coalesce(F.col("km"), F.lit(0)) + 1)
+        done = merge(changed)
+        steps.append(("changed", done.rows, str(done.fingerprint)))
+        assert len(done.rewritten) == 1 and storage.exists(spark, at)
+        _HISTORIES[key] = [root, now, steps[2:]]
+    return _HISTORIES[key]
+
+
+@query("s_merge_buckets", with_views(["listings"], "select * from history", _HISTORY_CTES))
+def s_merge_buckets(spark, d):
+    """S10 on a stored table: three batches merged bucket by bucket, and the last one again."""
+    root, version, _ = _history(spark, d)
+    return sinks.read_version(spark, root, version)
+
+
+def _row_hash_sql(km: str = "km") -> str:
+    text = [f"coalesce('=' || cast({km if c == 'km' else c} as varchar), '-')" for c in sorted(_SERVING_COLS)]
+    return f"cast('0x' || substr(md5(concat_ws(chr(31), {', '.join(text)})), 1, 15) as hugeint)"
+
+
+@query("j_rerun_fingerprint", with_views(["listings"], f"""
+select 'first' as step, rows, cast(total as varchar) as fingerprint from t
+union all select 'again', rows, cast(total as varchar) from t
+union all select 'changed', rows, cast(total - old + new as varchar)
+from t, (select {_row_hash_sql()} as old, {_row_hash_sql("(coalesce(km, 0) + 1)")} as new from history order by cod limit 1)""",
+    [*_HISTORY_CTES, ("t", f"select count(*) as rows, sum({_row_hash_sql()}) as total from history")]))
+def j_rerun_fingerprint(spark, d):
+    """The stored table's rows and fingerprint after the load, after the same load again, and after
+    one row changed, as the versions carry them."""
+    _, _, steps = _history(spark, d)
+    return spark.createDataFrame(steps, "step string, rows long, fingerprint string")
+
+
+_RUN_PARAMS_SQL = ", ".join(f"('{k}', '{v}')" for k, v in mo.training_parameters(0, 0, "").items() if k not in ("train_size", "test_size", "gold_date"))
+
+
+@query("s_runs", with_views(["silver"], f"""
+select 'param' as kind, name, text, null::double as number from (values {_RUN_PARAMS_SQL}) t(name, text)
+union all select 'param', split || '_size', cast(n as varchar), null from m
+union all select 'param', 'gold_date', cast(max(scraped_day) as varchar), null from silver
+union all select 'metric', split || '_' || x.name, null, x.value from m, (select unnest(['mae', 'rmse', 'r2', 'mape']) as name, unnest([mae, rmse, r2, mape]) as value) x
+union all select 'metric', 'overfitting_gap_mae', null, round(max(mae) filter (where split = 'test') - max(mae) filter (where split = 'train'), 2) from m""",
+    [("m", _metrics_sql(_fitted_sql("marca, modelo"), "split"))]))
+def s_runs(spark, d):
+    """A run recorded in the run table and read back: the nine parameters, the metrics of both splits, the gap."""
+    root = scratch_path(spark, "runs")
+    found = {r.split: r.asDict() for r in m_metrics(spark, d).collect()}
+    day = V.silver(spark, d).agg(F.max("scraped_day")).first()[0]
+    pick = lambda s: {k: found[s][k] for k in ("mae", "rmse", "r2", "mape")}
+    record_run(spark, root, mo.training_parameters(found["train"]["n"], found["test"]["n"], day), pick("train"), pick("test"), day)
+    runs = read_runs(spark, root)
+    metric = F.when(F.col("name") == "overfitting_gap_mae", F.round("value", 2)).otherwise(F.col("value"))
+    return (runs.select(F.lit("param").alias("kind"), F.explode("params").alias("name", "text")).withColumn("number", F.lit(None).cast("double"))
+            .unionByName(runs.select(F.lit("metric").alias("kind"), F.explode("metrics").alias("name", "value"))
+                         .select("kind", "name", F.lit(None).cast("string").alias("text"), metric.alias("number"))))
+
+
+_GOOD_SQL = """try_cast(precio_ars as bigint) as precio_ars, try_cast(anio as int) as anio, try_cast(km as bigint) as km,
+       url, try_cast(segmento as tinyint) as segmento"""
+_FAULTS_SQL = """nullif(concat_ws('; ', case when anio is not null and try_cast(anio as int) is null then 'anio is not int' end,
+                                case when km is not null and try_cast(km as bigint) is null then 'km is not bigint' end), '')"""
+
+
+@query("c_typed_envelope", with_views(["raw_listings"], f"""
+select cod, marca, modelo, condicion, provincia, {_GOOD_SQL}, 'scraped/' || source as scraped_at, date '{RUN_DAY}' as fecha
+from raw_listings where {_FAULTS_SQL} is null"""))
+def c_typed_envelope(spark, d):
+    """S1-S3 + C1 + C2: the feed's records landed in envelopes, read back as text, typed, the good ones
+    with the envelope's scrape time."""
+    raw = fxt.raw_listings(V.listings(spark, d))
+    fields = [f for f in schemas.LISTING_RECORD.fieldNames() if f not in ("scraped_at", "source")]
+    parts = -(-max(raw.count(), 1) // 10_000)       # envelopes of about 10,000 records
+    env = (raw.groupBy("source", F.pmod(F.xxhash64("cod", "_ord"), F.lit(parts)).alias("_part"))
+              .agg(F.collect_list(F.struct(*fields)).alias("data"))
+              .select(F.concat(F.lit("scraped/"), "source").alias("scraped_at"), "source", "data", F.lit(RUN_DAY).cast("date").alias("fecha")))
+    root = scratch_path(spark, "envelopes")
+    bronze.land_envelopes(env, root, "fecha")
+    rows = bronze.read_envelopes_checked(spark, root, T.StructType([f for f in schemas.LISTING_ENVELOPE.fields if f.name in ("scraped_at", "source", "data")]),
+                                         ["scraped_at", "source"])
+    good, _ = clean.split_checked(clean.checked_projection(rows.drop("source"), day=RUN_DAY, scraped_at=F.col("scraped_at")))
+    return good.select(*[f for f in fields], "scraped_at", "fecha")
+
+
+_BROKEN_SQL = "segmento = '2' and km = '3000'"
+
+
+@query("c_quarantine", with_views(["raw_listings"], f"""
+select null as cod, 'record is not JSON' as reason, '{{"cod":"' || cod || '"' as head from raw_listings where {_BROKEN_SQL}
+union all
+select cod, {_FAULTS_SQL}, null from raw_listings where not ({_BROKEN_SQL}) and {_FAULTS_SQL} is not null"""))
+def c_quarantine(spark, d):
+    """S2 + C1: the day's records that do not fit, with their reasons; some lines of the feed break off."""
+    raw = fxt.raw_listings(V.listings(spark, d))
+    fields = [f for f in schemas.LISTING_RECORD.fieldNames() if f not in ("scraped_at", "source")]
+    broken = (F.col("segmento") == "2") & (F.col("km") == "3000")
+    line = F.when(broken, F.concat(F.lit('{"cod":"'), "cod", F.lit('"'))).otherwise(F.to_json(F.struct(*fields)))
+    root = scratch_path(spark, "feed")
+    raw.select(line.alias("value")).write.text(f"{root}/scraped_day={RUN_DAY}")
+    schema = T.StructType([f for f in schemas.LISTING_RECORD.fields if f.name in fields])
+    checked = clean.checked_projection(bronze.read_records_checked(spark, root, schema, "scraped_day"), day=RUN_DAY)
+    _, bad = clean.split_checked(checked)
+    lost = F.col("_reason") == "record is not JSON"
+    return bad.select("cod", F.col("_reason").alias("reason"), F.when(lost, F.col("_record")).alias("head"))
+
+
+@query("g_optional_source", with_views(["silver"], """
+select 'absent' as case_, 'a' as source, count(*) as rows, count(km) as with_km from silver where source = 'a'
+union all select 'empty', 'a', count(*), count(km) from silver where source = 'a'
+union all select 'present', source, count(*), count(km) from silver group by source
+union all select 'narrow', source, count(*), case when source = 'a' then count(km) else 0 end from silver group by source"""))
+def g_optional_source(spark, d):
+    """G1 + G2 + S7: source b absent, without data, present, and present without its km column."""
+    s, root, out = V.silver(spark, d), scratch_path(spark, "sources"), None
+    day = F.lit(RUN_DAY).cast("date").alias("fecha")
+    a, b = (s.where(F.col("source") == x).drop("source").select("*", day) for x in ("a", "b"))
+    for name, rows in (("a", a), ("present", b), ("narrow", b.drop("km"))):
+        partitions.write_day_partitions(rows, f"{root}/{name}", "fecha", ["cod"])
+    b.limit(0).write.partitionBy("fecha").parquet(f"{root}/empty")
+    for case in ("absent", "empty", "present", "narrow"):
+        rows = silver_of(spark, {"a": f"{root}/a", "b": f"{root}/{case}"}, RUN_DAY)
+        found = rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.count("km").alias("with_km"))
+        found = found.select(F.lit(case).alias("case_"), "source", "rows", "with_km")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 # ---------------------------------------------------------------- P: page extraction
 
 
@@ -724,6 +996,21 @@ def p_seen_links(spark, d):
     return seen
 
 
+@query("p_links_across_runs", with_views(["listings"], """
+select segmento, link, min(run) as run from (
+  select segmento, path as link, 1 as run from listings where source = 'b'
+  union all select segmento, path, 2 from listings) group by segmento, link"""))
+def p_links_across_runs(spark, d):
+    """P2 with the stored seen-set: two runs over overlapping pages give each link once, in the run that
+    met it first."""
+    links = pg.extract_links(fxt.index_pages(V.listings(spark, d)), keep=["segmento", "source"])
+    root, out = scratch_path(spark, "seen"), None
+    for run, page in ((1, links.where(F.col("source") == "b")), (2, links)):
+        new = pg.take_new(spark, root, page, ["segmento", "link"], str(run)).select("segmento", "link", F.lit(run).alias("run"))
+        out = new if out is None else out.unionByName(new)
+    return out
+
+
 @query("p_parse_path", with_views(["silver"], """
 select path, marca, modelo, condicion, provincia, split_part(path, '?cod=', 2) as cod from silver"""))
 def p_parse_path(spark, d):

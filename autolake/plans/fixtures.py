@@ -105,6 +105,17 @@ def model_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(key.alias("key")).distinct()
 
 
+def raw_listings(records: DataFrame) -> DataFrame:
+    """Listing records as a feed delivers them: every field as text, some of them no numbers (a
+    year 's/d' where it is a multiple of 11, a km 'consultar' where it is one of 21000)."""
+    text = {"cod": F.col("cod"), "marca": F.col("marca"), "modelo": F.col("modelo"), "condicion": F.col("condicion"),
+            "provincia": F.col("provincia"), "precio_ars": F.col("precio_ars").cast("string"),
+            "anio": F.when(F.col("anio") % 11 == 0, "s/d").otherwise(F.col("anio").cast("string")),
+            "km": F.when((F.col("km") > 0) & (F.col("km") % 21000 == 0), "consultar").otherwise(F.col("km").cast("string")),
+            "segmento": F.col("segmento").cast("string"), "url": F.col("path")}
+    return records.select(*[c.alias(n) for n, c in text.items()], "source", "_ord")
+
+
 # ---------------------------------------------------------------- pages built from listings
 # The driver's own pages hold no listing links; these builders render silver rows
 # as the two sites' HTML so the extraction jobs can parse them back.

@@ -33,6 +33,12 @@ join part on l_partkey = p_partkey
 join supplier on l_suppkey = s_suppkey
 join nation on s_nationkey = n_nationkey""")
 
+VIEWS["raw_listings"] = (["listings"], """
+select cod, marca, modelo, condicion, provincia, cast(precio_ars as varchar) as precio_ars,
+       case when anio % 11 = 0 then 's/d' else cast(anio as varchar) end as anio,
+       case when km > 0 and km % 21000 = 0 then 'consultar' else cast(km as varchar) end as km,
+       cast(segmento as varchar) as segmento, path as url, source from listings""")
+
 VIEWS["silver"] = (["listings"], """
 select cod, marca, modelo, condicion, provincia, path, segmento, source, scraped_day,
        nullif(precio_ars, 0) as precio_ars,

@@ -33,6 +33,15 @@ def compute_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TABLES: dict[tuple, str] = {}
 
 
+def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    return spark.sparkContext.applicationId, sf_dir, storage.state(spark, sf_dir), name
+
+
+def stored_name(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Where a layer that was built lies: a path, or ``table:`` and a catalog name."""
+    return _TABLES[_key(spark, sf_dir, name)]
+
+
 def stored(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str | None = None) -> DataFrame:
     """A layer as a stored table: built once per session and state of the input files into the
     shared work folder (a reliable write that also cuts the lineage), then read by
@@ -41,7 +50,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str |
     With ``bucket_by`` the table is written bucketed on that key (one bucket per
     shuffle partition) and registered in the catalog, so aggregates and joins on the
     key read co-located buckets instead of shuffling the table again."""
-    key = (spark.sparkContext.applicationId, sf_dir, storage.state(spark, sf_dir), name)
+    key = _key(spark, sf_dir, name)
     if key in _TABLES and _TABLES[key].startswith("table:") and not spark.catalog.tableExists(_TABLES[key][6:]):
         del _TABLES[key]          # the catalog lost it (e.g. a new session): build again
     if key not in _TABLES:

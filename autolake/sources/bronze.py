@@ -42,6 +42,35 @@ def read_records(spark: SparkSession, root: str, schema: T.StructType, day_col:
     return spark.read.schema(full).json(root)
 
 
+def as_text(schema: T.StructType) -> T.StructType:
+    """The same fields, all read as text: a value of another type than expected is kept to be looked at."""
+    def text(kind: T.DataType) -> T.DataType:
+        if isinstance(kind, T.ArrayType):
+            return T.ArrayType(text(kind.elementType))
+        return as_text(kind) if isinstance(kind, T.StructType) else kind if isinstance(kind, T.MapType) else T.StringType()
+    return T.StructType([T.StructField(f.name, text(f.dataType)) for f in schema.fields])
+
+
+def read_records_checked(spark: SparkSession, root: str, schema: T.StructType, day_col: str) -> DataFrame:
+    """S2 without trust in the records: fields as text, the text of a line that is no JSON in
+    ``_corrupt_record``, and the file. The day comes from the folder name."""
+    fields = [*as_text(schema).fields, T.StructField("_corrupt_record", T.StringType()), T.StructField(day_col, T.DateType())]
+    return (spark.read.schema(T.StructType(fields)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(root)
+            .withColumn("_file", F.col("_metadata.file_path")))
+
+
+def read_envelopes_checked(spark: SparkSession, path: str, schema: T.StructType, scalars: Sequence[str], data: str = "data") -> DataFrame:
+    """S2 + S3 without trust: the records of every envelope as text with the envelope's scalars,
+    position and file; a file that is no JSON document is one row with its text in ``_corrupt_record``."""
+    read = T.StructType([*as_text(schema).fields, T.StructField("_corrupt_record", T.StringType())])
+    env = (spark.read.schema(read).option("multiLine", True).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
+    fields = [f.name for f in read[data].dataType.elementType.fields]
+    rows = env.select(*scalars, "_corrupt_record", F.col("_metadata.file_path").alias("_file"), F.posexplode_outer(data).alias("pos", "_r"))
+    return (rows.where(F.col("pos").isNotNull() | F.col("_corrupt_record").isNotNull())
+                .select(*scalars, "_corrupt_record", "_file", "pos", *[F.col(f"_r.{f}").alias(f) for f in fields if f not in scalars]))
+
+
 def read_envelopes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """S2 for envelope files: each file is one JSON document (possibly pretty-printed)."""
     return spark.read.schema(schema).option("multiLine", True).json(path)

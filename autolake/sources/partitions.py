@@ -25,6 +25,12 @@ def write_day_partitions(df: DataFrame, root: str, day_col: str, spread_by: Sequ
        .partitionBy(day_col).parquet(root))
 
 
+def replace_day(df: DataFrame, root: str, day_col: str, day) -> None:
+    """S4 for a day that may have no rows: its partition is replaced, or goes."""
+    storage.delete(df.sparkSession, f"{root}/{day_col}={day}")
+    write_day_partitions(df, root, day_col)
+
+
 def read_table(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(root)
 

@@ -7,15 +7,15 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autolake.operators.model import model_date
+from autolake.operators.model import PriceModel, model_date
 
 
-def save_model(model, root: str, day) -> str:
-    """A fitted ``PipelineModel`` saved under ``root/fecha=<day>`` (re-saving a day
-    overwrites it), then registered as one row ``key, model_date`` in ``root/_registry``."""
+def save_model(model: PriceModel, root: str, day) -> str:
+    """A fitted model's tables under ``root/fecha=<day>`` (re-saving a day overwrites them),
+    then registered as one row ``key, model_date`` in ``root/_registry``."""
     path = f"{root}/fecha={day}"
-    model.write().overwrite().save(path)
-    spark = SparkSession.getActiveSession()
+    model.save(path)
+    spark = model.nodes.sparkSession
     (spark.createDataFrame([(path,)], "key string")
           .select("key", model_date(F.col("key")).alias("model_date"))
           .write.mode("append").parquet(f"{root}/_registry"))
@@ -34,23 +34,35 @@ def latest_model_key(registry: DataFrame) -> DataFrame:
                          F.max_by("key", "model_date").alias("key")))
 
 
-def load_latest_model(spark: SparkSession, root: str):
+def load_latest_model(spark: SparkSession, root: str) -> PriceModel:
     """Load the newest dated model of the registry table; none is an error."""
-    from pyspark.ml import PipelineModel
-
     latest = latest_model_key(spark.read.parquet(f"{root}/_registry")).first()
     if latest is None or latest["key"] is None:
         raise FileNotFoundError(f"no model under {root}")
-    return PipelineModel.load(latest["key"])
+    return PriceModel.load(spark, latest["key"])
+
+
+# A run's parameters and metrics are maps, so runs with other names need no other schema.
+RUNS = "fecha date, recorded_at string, params map<string,string>, metrics map<string,double>"
 
 
 def record_run(spark: SparkSession, root: str, params: dict, train: dict, test: dict, day) -> DataFrame:
-    """Append one row (params, train_*, test_*, overfit gap) to the ``runs`` table."""
-    row = {"fecha": str(day), "recorded_at": dt.datetime.now(dt.timezone.utc).isoformat()}
-    row.update({f"param_{k}": str(v) for k, v in params.items()})
-    row.update({f"train_{k}": float(v) for k, v in train.items() if v is not None})
-    row.update({f"test_{k}": float(v) for k, v in test.items() if v is not None})
-    row["overfitting_gap_mae"] = float(test["mae"] - train["mae"])
-    df = spark.createDataFrame([row])
-    df.write.mode("append").option("mergeSchema", "true").parquet(root)
+    """Append one row (params, train_* and test_* metrics, overfit gap) to the ``runs`` table."""
+    metrics = {f"{split}_{k}": float(v) for split, found in (("train", train), ("test", test)) for k, v in found.items() if v is not None}
+    if train.get("mae") is not None and test.get("mae") is not None:
+        metrics["overfitting_gap_mae"] = float(test["mae"] - train["mae"])
+    row = (dt.date.fromisoformat(str(day)), dt.datetime.now(dt.timezone.utc).isoformat(), {k: str(v) for k, v in params.items()}, metrics)
+    df = spark.createDataFrame([row], RUNS)
+    df.write.mode("append").parquet(root)
     return df
+
+
+def read_runs(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(RUNS).parquet(root)
+
+
+def run_values(runs: DataFrame) -> DataFrame:
+    """Long form of the run table: fecha, kind (param or metric), name, value as text."""
+    side = lambda kind, col, value: runs.select(
+        "fecha", F.lit(kind).alias("kind"), F.explode(col).alias("name", "value")).withColumn("value", value)
+    return side("param", "params", F.col("value")).unionAll(side("metric", "metrics", F.col("value").cast("string")))

@@ -24,9 +24,13 @@ def names(spark: SparkSession, path: str) -> list[str]:
 
 
 def state(spark: SparkSession, path: str) -> int:
-    """A number that changes when a file or folder directly under ``path`` is rewritten."""
+    """A number that changes when any file under ``path`` is added, removed or rewritten."""
     fs, p = _path(spark, path)
-    return hash(tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))))
+    files, found = fs.listFiles(p, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hash(tuple(sorted(found)))
 
 
 def has_entries(spark: SparkSession, path: str) -> bool:

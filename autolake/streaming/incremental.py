@@ -43,13 +43,13 @@ def _merge_batch(serving_root: str, source: str):
         rows = sinks.apply_defaults(clean.stamp_source(tidy, source), schemas.SERVING_LISTINGS["defaults"])
         rows = _by_key(rows.withColumn("_first_day", F.col("fecha")), ["pos", "_file"])
         enforce_contract(rows, schemas.SERVING_LISTINGS)   # a bad batch fails the trigger
-        base, _ = sinks.current_version(spark, serving_root)
-        if base:
+        age = lambda df, n: df.withColumn("pos", F.lit(n))
+
+        def combine(current: DataFrame, new: DataFrame) -> DataFrame:
             # a stored row stands before new ones of the same day
-            age = lambda df, n: df.withColumn("pos", F.lit(n))
-            current = sinks.read_current(spark, serving_root)
-            rows = _by_key(age(current, 0).unionByName(age(rows.select(*current.columns), 1)), ["pos"])
-        sinks.commit_version(rows, serving_root, base)
+            return _by_key(age(current, 0).unionByName(age(new.select(*current.columns), 1)), ["pos"])
+
+        sinks.merge(spark, serving_root, rows, ["cod"], combine=combine)
     return run
 
 

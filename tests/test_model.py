@@ -88,42 +88,125 @@ def test_model_date(spark):
     assert [r[0] for r in df.select(mo.model_date(F.col("k"))).collect()] == [dt.date(2026, 7, 2), None, None]
 
 
+GOLD = ("cod string, marca string, modelo string, provincia string, anio int, antiguedad int, km double, km_valido boolean, "
+        "km_por_anio double, dolar_blue_venta double, precio_ars long")
+
+
+def _gold(spark, n=200):
+    data = [(f"c{i}", f"B{i % 3}", f"M{i % 5}", None if i % 9 == 0 else f"P{i % 4}", 1995 + i % 7, 6 - i % 7, float(1000 * i),
+             i % 4 != 0, float(100 * i), 1000.0 if i % 2 else None, 100000 + 5000 * (i % 7) + 100 * i) for i in range(n)]
+    return spark.createDataFrame(data, GOLD)
+
+
 def test_train_save_load_score(spark, tmp_root):
-    data = [(f"c{i}", f"B{i % 3}", f"M{i % 5}", f"P{i % 4}", 1995 + i % 7, 6 - i % 7, float(1000 * i),
-             i % 4 != 0, float(100 * i), 1000.0 if i % 2 else None, 100000 + 5000 * (i % 7) + 100 * i)
-            for i in range(200)]
-    gold = spark.createDataFrame(data, "cod string, marca string, modelo string, provincia string, anio int, "
-                                       "antiguedad int, km double, km_valido boolean, km_por_anio double, "
-                                       "dolar_blue_venta double, precio_ars long")
+    gold = _gold(spark)
     model = mo.train_gbt(gold, max_iter=5)
-    registry.save_model(model, f"{tmp_root}/models", dt.date(2026, 7, 1))
-    registry.save_model(model, f"{tmp_root}/models", dt.date(2026, 7, 2))
+    for day in (dt.date(2026, 7, 1), dt.date(2026, 7, 2), dt.date(2026, 7, 2)):     # the last day is saved again
+        registry.save_model(model, f"{tmp_root}/models", day)
     loaded = registry.load_latest_model(spark, f"{tmp_root}/models")
-    scores = mo.model_scores(loaded, gold)
+    scores = mo.model_scores(loaded, gold, carry=("marca", "anio"))
+    assert scores.columns == ["cod", "precio_ars", "prediction", "precio_estimado", "oportunidad_score", "marca", "anio"]
     assert scores.count() == 200
     assert scores.where(F.col("precio_estimado").isNull()).count() == 0
-    req = spark.createDataFrame([(1, "B1", "M1", "P1", 2026, 1000), (2, "B1", "M9", "P1", 2026, -5)],
+    assert rows(scores, "cod", "anio") == rows(gold, "cod", "anio")
+    req = spark.createDataFrame([(1, "B1", "M1", "P1", 2026, 1000), (2, "B1", "M9", "P1", 2026, -5), (3, "new", "M9", "P1", 2020, 5)],
                                 "req_id int, marca string, modelo string, provincia string, anio int, km long")
     est = {r.req_id: r for r in mo.score_requests(loaded, req, 2026, F.lit(1200.0)).collect()}
     assert est[1].valid and est[1].precio_estimado_ars is not None and est[1].advertencia is not None
-    assert not est[2].valid and est[2].precio_estimado_ars is None   # unseen model is fine; km < 0 is not
-    m = mo.regression_metrics(scores, "precio_ars", "precio_estimado").first()
-    run = registry.record_run(spark, f"{tmp_root}/runs", {"maxIter": 5}, {"mae": m.mae}, {"mae": m.mae}, "2026-07-02")
-    assert run.first().overfitting_gap_mae == 0.0
-
-
-def test_categoricals_are_coded_alike_at_every_size(spark):
-    cols = ("cod string, marca string, modelo string, provincia string, anio int, antiguedad int, km double, "
-            "km_valido boolean, km_por_anio double, dolar_blue_venta double, precio_ars long")
-    data = [(f"c{i}", f"B{i % 3}", f"M{i}", None if i % 5 == 0 else "P", 2000, 1, 10.0, True, 10.0, None, 1000 + 10 * i)
-            for i in range(600)]
-    gold = spark.createDataFrame(data, cols)
-    codes = lambda g: {(r.marca, r.provincia): r.features[0] for r in
-                       mo.feature_pipeline().fit(g).transform(mo._training_frame(g)[0]).select("marca", "provincia", "features").collect()}
-    few, many = codes(gold.limit(50)), codes(gold)
-    assert few and all(many[k] == v for k, v in few.items())
-    m = mo.train_gbt(gold, max_iter=2)
-    assert mo.model_scores(m, gold).count() == 600        # wide and missing categories, unseen test values
+    assert not est[2].valid and est[2].precio_estimado_ars is None   # km < 0 is not valid
+    assert est[3].valid and est[3].precio_estimado_ars is not None and est[3].advertencia is None  # unseen brand and model are fine
+    m = mo.regression_metrics(scores, "precio_ars", "prediction").first()
+    registry.record_run(spark, f"{tmp_root}/runs", mo.training_parameters(160, 40, "2026-07-02", 5), {"mae": m.mae}, {"mae": m.mae}, "2026-07-02")
+    registry.record_run(spark, f"{tmp_root}/runs", {"other": True}, {"mae": 1.0}, {"mae": 4.0, "extra": 2.0}, "2026-07-03")
+    runs = {str(r.fecha): r for r in registry.read_runs(spark, f"{tmp_root}/runs").collect()}
+    assert runs["2026-07-02"].metrics["overfitting_gap_mae"] == 0.0 and len(runs["2026-07-02"].params) == 9
+    assert runs["2026-07-03"].params == {"other": "True"} and runs["2026-07-03"].metrics["overfitting_gap_mae"] == 3.0
+    assert registry.run_values(registry.read_runs(spark, f"{tmp_root}/runs")).where("name = 'test_extra'").count() == 1
+
+
+def test_estimates_from_the_node_table_in_another_engine(spark, tmp_root):
+    """The saved tables alone give every estimate: DuckDB walks each row through the trees; the
+    library's own model gives the same."""
+    import duckdb
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
+    gold = _gold(spark, 300)
+    for name, train, kind in (("gbt", lambda: mo.train_gbt(gold, max_iter=12), GBTRegressionModel),
+                              ("forest", lambda: mo.train_forest(gold, num_trees=7), RandomForestRegressionModel)):
+        model = train()
+        model.save(f"{tmp_root}/{name}")
+        feats = mo.feature_rows(gold, model.statistics)
+        feats.write.parquet(f"{tmp_root}/{name}-rows")
+        got = {r.cod: r.prediction for r in model.transform(feats).collect()}
+        data = VectorAssembler(inputCols=mo.FEATURES, outputCol="features").transform(feats)
+        library = {r.cod: r.library for r in kind.load(model.fitted).setPredictionCol("library").transform(data).collect()}
+        value = " ".join(f"when '{f}' then r.{f}" for f in mo.FEATURES)
+        want = dict(duckdb.sql(f"""
+            with recursive n as (from '{tmp_root}/{name}/nodes/*.parquet'), r as (from '{tmp_root}/{name}-rows/*.parquet'),
+            walk as (select cod, tree, 0 as node from r, (select distinct tree from n)
+                     union all select w.cod, w.tree, case when (case n.feature {value} end) <= n.threshold then n."left" else n."right" end
+                     from walk w join n using (tree, node) join r using (cod) where n.feature is not null)
+            select cod, sum(n.value) from walk join n using (tree, node) where n.feature is null group by cod""").fetchall())
+        assert got.keys() == want.keys() == library.keys()
+        assert all(abs(got[c] - want[c]) < 1e-6 * abs(want[c]) and abs(got[c] - library[c]) < 1e-6 * abs(want[c]) for c in got)
+
+
+def test_target_statistics_leave_the_own_fold_out(spark):
+    from autolake.operators import encode
+    gold = _gold(spark, 120)
+    stats = encode.statistics(gold, cols=["marca", "provincia"], folds=3, smoothing=2)
+    coded = encode.encode(gold, stats, encode.fold(F.col("cod"), 3), ["marca", "provincia"])
+    data = gold.withColumn("fold", encode.fold(F.col("cod"), 3)).collect()
+    outside = lambda f: [r for r in data if r.fold != f]
+    mean = lambda rs: sum(r.precio_ars for r in rs) / len(rs)
+    got = {r.cod: r for r in coded.collect()}
+    for r in data:
+        for c in ("marca", "provincia"):
+            same = [x for x in outside(r.fold) if x[c] == r[c]]
+            want = (sum(x.precio_ars for x in same) + 2 * mean(outside(r.fold))) / (len(same) + 2)
+            assert abs(got[r.cod][f"{c}_te"] - want) < 1e-6
+    # a row's own price changes nothing of its own code
+    first = data[0].cod
+    other = gold.withColumn("precio_ars", F.when(F.col("cod") == first, F.lit(10 ** 9)).otherwise(F.col("precio_ars")))
+    again = encode.encode(other, encode.statistics(other, cols=["marca"], folds=3, smoothing=2), encode.fold(F.col("cod"), 3), ["marca"])
+    assert again.where(F.col("cod") == first).first().marca_te == got[first].marca_te
+    # rows that were not trained on: all folds; an unknown value: the overall mean
+    new = spark.createDataFrame([("x", "B1"), ("y", "unknown")], "cod string, marca string")
+    est = {r.cod: r.marca_te for r in encode.encode(new, stats, cols=["marca"]).collect()}
+    own = [r for r in data if r.marca == "B1"]
+    assert abs(est["x"] - (sum(r.precio_ars for r in own) + 2 * mean(data)) / (len(own) + 2)) < 1e-6 and abs(est["y"] - mean(data)) < 1e-6
+
+
+def test_trees_beat_the_group_median_on_hold_out_rows(spark):
+    """Prices follow brand, model and km: the trees must use all of them."""
+    data = [(f"c{i}", f"B{i % 4}", f"M{i % 40}", f"P{i % 6}", 2000 + i % 5, 5 - i % 5, float(i * 7919 % 100_000), True, float(i % 1000), 900.0,
+             1_000_000 + 40_000 * (i % 40) + 8 * (100_000 - i * 7919 % 100_000)) for i in range(4000)]
+    gold = spark.createDataFrame(data, GOLD)
+    scored = mo.with_split(mo.model_scores(mo.train_gbt(gold, max_iter=60), gold)).where("split = 'test'")
+    mae = mo.regression_metrics(scored, "precio_ars", "prediction").first().mae
+    split = mo.with_split(gold)
+    base = mo.score_by_fitted_median(split.where("split = 'test'"), split.where("split = 'train'"), ["marca", "modelo"])
+    assert mae < 0.5 * mo.regression_metrics(base, "precio_ars", "precio_estimado").first().mae
+
+
+def test_requests_as_a_stream_equal_the_batch(spark, tmp_root):
+    import json
+    import os
+    from autolake.streaming.requests import score_stream
+    model = mo.train_gbt(_gold(spark), max_iter=3)
+    registry.save_model(model, f"{tmp_root}/models", dt.date(2026, 7, 1))
+    reqs = [{"req_id": i, "marca": f"B{i % 4}", "modelo": f"M{i % 6}", "provincia": "P1", "anio": 1985 + i, "km": 1000 * i - 2000} for i in range(45)]
+    os.makedirs(f"{tmp_root}/in")
+    for part in range(3):
+        with open(f"{tmp_root}/in/{part}.json", "w") as f:
+            f.writelines(json.dumps(r) + "\n" for r in reqs[part::3])
+        score_stream(spark, f"{tmp_root}/in", f"{tmp_root}/out", f"{tmp_root}/check", f"{tmp_root}/models", 2026, 1200.0)
+    batch = mo.score_requests(model, spark.createDataFrame(reqs, mo.REQUEST), 2026, F.lit(1200.0))
+    cols = ["req_id", "valid", "reasons", "precio_estimado_ars", "advertencia"]
+    key = lambda r: r[0]
+    assert sorted((tuple(r) for r in spark.read.parquet(f"{tmp_root}/out").select(*cols).collect()), key=key) == \
+        sorted((tuple(r) for r in batch.select(*cols).collect()), key=key)
+    assert spark.read.parquet(f"{tmp_root}/out").count() == 45
 
 
 def test_label_encode_rows(spark):

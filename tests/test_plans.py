@@ -20,8 +20,11 @@ def _executed(df) -> str:
     return plan
 
 
-def test_no_python_in_any_query_plan(spark):
-    from tests.test_zz_oracle import SLOW
+def test_no_python_in_any_query_plan(spark, monkeypatch):
+    from autolake.operators import model
+    from tests.test_zz_oracle import FEW_TREES, SLOW
+    train = model.train_gbt
+    monkeypatch.setattr(model, "train_gbt", lambda gold: train(gold, max_iter=FEW_TREES))
     for name, q in QUERIES.items():
         if name in SLOW:
             continue
@@ -62,7 +65,7 @@ def test_stored_unique_key_layers_are_bucketed(spark):
     V.silver(spark, SF001)
     V.scored_table(spark, SF001)
     for layer in ("silver", "scored"):
-        table = V._TABLES[(spark.sparkContext.applicationId, SF001, layer)][len("table:"):]
+        table = V.stored_name(spark, SF001, layer)[len("table:"):]
         info = {r.col_name: r.data_type for r in spark.sql(f"describe formatted {table}").collect()}
         assert info.get("Bucket Columns") == "[`cod`]", layer
         assert int(info.get("Num Buckets")) == int(spark.conf.get("spark.sql.shuffle.partitions")), layer

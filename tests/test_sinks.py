@@ -128,6 +128,100 @@ def test_failed_commit_is_never_seen_and_can_be_retried(spark, tmp_root):
     assert sinks.current_version(spark, root)[0] == 2 and sinks.read_current(spark, root).count() == 20
 
 
+def _files(root, version):
+    return {b: p.folder for b, p in version.parts.items()}
+
+
+def test_merge_rewrites_only_the_buckets_that_the_batch_hits(spark, tmp_root):
+    from pyspark.sql import functions as F
+
+    root = f"{tmp_root}/serving"
+    base = spark.range(0, 5000).select(F.col("id").cast("string").alias("cod"), F.lit("old").alias("marca"), F.col("id").alias("km"))
+    first = sinks.merge(spark, root, base, ["cod"], ["km"], buckets=32)
+    assert (first.version, len(first.rewritten), first.rows) == (1, 32, 5000)
+    before = sinks.table_version(spark, root)
+    batch = spark.createDataFrame([("17", "new", -1), ("4999", "new", -2), ("brand-new", "new", 3)], "cod string, marca string, km long")
+    files = {f: os.path.getmtime(f) for f in _parquet(root)}
+    done = sinks.merge(spark, root, batch, ["cod"], ["km"])
+    after = sinks.table_version(spark, root)
+    # the batch's 3 keys hit 3 buckets at most: the others' files are the same ones, untouched
+    assert len(done.rewritten) <= 3 and done.buckets == 32
+    assert {b: f for b, f in _files(root, after).items() if b not in done.rewritten} == \
+        {b: f for b, f in _files(root, before).items() if b not in done.rewritten}
+    new = [f for f in _parquet(root) if f not in files]
+    assert {int(f.split("_bucket=")[1].split("/")[0]) for f in new} == set(done.rewritten)
+    assert all(os.path.getmtime(f) == t for f, t in files.items() if os.path.exists(f))
+    # rows, and the totals that the version carries, are those of a whole upsert
+    whole = sinks.upsert(base, batch, ["cod"], ["km"])
+    now = sinks.read_current(spark, root)
+    assert rows(now, "cod", "marca", "km") == rows(whole, "cod", "marca", "km")
+    f = sinks.fingerprint(now).first()
+    assert (done.rows, done.fingerprint) == (f["rows"], int(f["fingerprint"])) == (5001, int(sinks.fingerprint(whole).first()["fingerprint"]))
+    # the same batch again changes nothing; a batch without rows rewrites nothing
+    again = sinks.merge(spark, root, batch, ["cod"], ["km"])
+    assert (again.rows, again.fingerprint) == (done.rows, done.fingerprint)
+    none = sinks.merge(spark, root, batch.limit(0), ["cod"], ["km"])
+    assert none.rewritten == [] and (none.rows, none.fingerprint) == (done.rows, done.fingerprint)
+    # update only: an unknown key stays out
+    only = sinks.merge(spark, root, spark.createDataFrame([("nobody", 7), ("17", 8)], "cod string, km long"), ["cod"], ["km"], insert=False)
+    assert only.rows == 5001 and sinks.read_current(spark, root).where("cod = '17'").first().km == 8
+
+
+def _parquet(root):
+    return [os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")]
+
+
+def test_two_writers_of_one_version_conflict(spark, tmp_root, monkeypatch):
+    root = f"{tmp_root}/serving"
+    sinks.merge(spark, root, spark.createDataFrame([("1", 1)], "cod string, km long"), ["cod"], buckets=4)
+    stale = sinks.table_version(spark, root)
+    sinks.merge(spark, root, spark.createDataFrame([("2", 2)], "cod string, km long"), ["cod"])
+    monkeypatch.setattr(sinks, "table_version", lambda *_: stale)
+    with pytest.raises(Exception, match="(?i)exists"):
+        sinks.merge(spark, root, spark.createDataFrame([("3", 3)], "cod string, km long"), ["cod"])
+    monkeypatch.undo()
+    assert rows(sinks.read_current(spark, root)) == [("1", 1), ("2", 2)]
+
+
+def test_versions_kept_and_folders_still_named_stay(spark, tmp_root):
+    root = f"{tmp_root}/serving"
+    cols = "cod string, km long"
+    sinks.merge(spark, root, spark.createDataFrame([(str(i), i) for i in range(50)], cols), ["cod"], buckets=8)
+    for n in range(8):
+        sinks.merge(spark, root, spark.createDataFrame([("7", 100 + n)], cols), ["cod"])
+    assert rows(sinks.read_current(spark, root)) == sorted([(str(i), i) for i in range(50) if i != 7] + [("7", 107)])
+    assert len(os.listdir(f"{root}/_log")) >= sinks.VERSIONS_KEPT
+    logs = [n for n in os.listdir(f"{root}/_log") if n.isdigit()]
+    assert len(logs) == sinks.VERSIONS_KEPT
+    # the first attempt's untouched buckets and the last versions' folders; nothing else
+    assert len([d for d in os.listdir(root) if d.startswith("attempt-")]) == 1 + sinks.VERSIONS_KEPT
+
+
+def test_new_columns_rewrite_all_buckets_and_whole_tables_can_be_merged(spark, tmp_root):
+    root = f"{tmp_root}/t"
+    sinks.commit_version(spark.createDataFrame([("1", 1), ("2", 2)], "cod string, km long"), root, 0)
+    done = sinks.merge(spark, root, spark.createDataFrame([("2", 5)], "cod string, km long"), ["cod"], buckets=4)
+    assert done.rows == 2 and done.buckets == 4
+    sinks.merge(spark, root, spark.createDataFrame([("1", 9, 0.5)], "cod string, km long, score double"), ["cod"], ["score"])
+    assert rows(sinks.read_current(spark, root)) == [("1", 1, 0.5), ("2", 5, None)]
+    with pytest.raises(ValueError, match="buckets"):
+        sinks.merge(spark, root, spark.createDataFrame([("1", 9)], "cod string, km long"), ["km"])
+    empty = f"{tmp_root}/empty"
+    sinks.merge(spark, empty, spark.createDataFrame([], "cod string, km long"), ["cod"])
+    assert sinks.read_current(spark, empty).columns == ["cod", "km"] and sinks.read_current(spark, empty).count() == 0
+
+
+def test_fingerprint_is_of_the_rows_alone(spark):
+    a = spark.createDataFrame([("x", None, 1), ("y", "z", 2), ("y", "z", 2)], "a string, b string, c int")
+    same = a.select("c", "b", "a").repartition(3).orderBy("c")
+    value = lambda df: tuple(sinks.fingerprint(df).first())
+    assert value(a) == value(same)
+    for other in ([("x", None, 1), ("y", "z", 2)], [("x", None, 1), ("y", "z", 2), ("y", "z", 3)], [(None, "x", 1), ("y", "z", 2), ("y", "z", 2)],
+                  [("x", "", 1), ("y", "z", 2), ("y", "z", 2)]):
+        assert value(a) != value(spark.createDataFrame(other, "a string, b string, c int"))
+    assert value(a.limit(0)) == (0, 0)
+
+
 def test_first_seen_and_first_and_last_with_a_hot_key(spark):
     from pyspark.sql import functions as F
 
