@@ -31,10 +31,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from autolake.llm import words
+from autolake.llm import key_filter, words
 from autolake.llm.stored import stored
 
 SHINGLE = 5
@@ -42,6 +42,7 @@ PERCENT = 80                # default similarity threshold
 SIGNATURE = 64
 MISS = 1e-8
 BLOCK = 2048                # signatures compared in one task
+ENTRY_BITS = 10             # of a key: at most so many entries of one signature
 GROUP = 512                 # shingle sets of one side compared in one task
 
 _SEEDS = words.mix(np.arange(1, SIGNATURE + 1, dtype=np.uint64)) | np.uint64(1)
@@ -69,17 +70,21 @@ def chunk_entries(size: int, distance: int) -> list[tuple[int, tuple[int, ...]]]
 
 
 def chunk_keys(signatures: np.ndarray, distance: int) -> np.ndarray:
-    """Keys of all index entries of each signature (rows)."""
+    """Keys of all index entries of each signature (rows); the low ENTRY_BITS bits are the entry's number."""
     wide = signatures.astype(np.uint64)
     out = []
-    for c, kept in chunk_entries(signatures.shape[1], distance):
-        key = np.full(len(wide), (c << 32) + sum(1 << (k % 32) for k in kept), np.uint64)
+    for n, (_, kept) in enumerate(chunk_entries(signatures.shape[1], distance)):
+        key = np.full(len(wide), n + 1, np.uint64)
         for k in kept:
             key = words.mix(key ^ wide[:, k])
-        out.append(key)
+        out.append(_numbered(key, n))
     return np.stack(out, 1) if out else np.zeros((len(wide), 0), np.uint64)
 
 
+def _numbered(key: np.ndarray, n) -> np.ndarray:
+    return key << np.uint64(ENTRY_BITS) | np.uint64(n)
+
+
 def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of the texts in a row (sorted within each), and each text's bounds.
 
@@ -142,8 +147,8 @@ def _signatures(column: pa.Array) -> np.ndarray:
 
 
 def _enter(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
-    """Index entries (key, used, node) of the signatures' values outside ``used``, a mask of places that
-    all members of the entry ``key`` share already."""
+    """Index entries (key, node, used) of the signatures' values outside ``used``, a mask of places that
+    all members of the entry ``key`` share already. ``_used_after`` tells the mask of a new entry."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -151,14 +156,37 @@ def _enter(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Reco
         parent, node = batch.column("key").to_numpy().view(np.uint64), batch.column("node").to_numpy()
         for mask in np.unique(used).tolist():
             rows = np.flatnonzero(used == mask)
-            free = np.array([k for k in range(SIGNATURE) if not mask >> k & 1])
+            free = _free(mask)
             if len(free) <= distance:       # all pairs are near: the smallest member has met them
                 continue
-            keys = words.mix(chunk_keys(signatures[rows][:, free], distance) ^ words.mix(parent[rows])[:, None])
-            after = np.array([mask | sum(1 << int(free[k]) for k in kept) for _, kept in chunk_entries(len(free), distance)], np.uint64)
+            keys = chunk_keys(signatures[rows][:, free], distance)
+            number = keys & np.uint64((1 << ENTRY_BITS) - 1)
+            keys = _numbered(words.mix(keys ^ words.mix(parent[rows])[:, None]), 0) | number
             yield pa.RecordBatch.from_pydict({
-                "key": pa.array(keys.ravel().view(np.int64)), "used": pa.array(np.tile(after, len(rows)).view(np.int64)),
-                "node": pa.array(np.repeat(node[rows], keys.shape[1]))})
+                "key": pa.array(keys.ravel().view(np.int64)), "node": pa.array(np.repeat(node[rows], keys.shape[1])),
+                "used": pa.array(np.full(keys.size, mask, np.uint64).view(np.int64))})
+
+
+def _free(mask: int) -> np.ndarray:
+    return np.array([k for k in range(SIGNATURE) if not mask >> k & 1], np.int64)
+
+
+def _used_after(mask: int, key: int, distance: int) -> int:
+    """The places that the members of an entry share: those of its parent, and the entry's own."""
+    free = _free(mask)
+    _, kept = chunk_entries(len(free), distance)[key & ((1 << ENTRY_BITS) - 1)]
+    return mask | sum(1 << int(free[k]) for k in kept)
+
+
+def _go_deeper(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
+    """Entries with ``used`` brought up to date."""
+    for batch in batches:
+        pairs = list(zip(batch.column("used").to_pylist(), batch.column("key").to_pylist()))
+        number = (1 << ENTRY_BITS) - 1
+        known = {(u, k & number): np.uint64(_used_after(u % (1 << 64), k, distance)) for u, k in pairs}
+        used = np.array([known[u, k & number] for u, k in pairs], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("node"), batch.column("signature"), pa.array(used)],
+                                         names=["key", "node", "signature", "used"])
 
 
 def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,24 +359,29 @@ def _clusters(nodes: DataFrame, distance: int, block: int) -> DataFrame:
     """(node, cluster) of the components of all pairs of (node, signature) within the distance."""
     edges: list[DataFrame] = []
     none = F.lit(0).cast("long")
-    entered = nodes.select(none.alias("key"), none.alias("used"), "node", "signature")
+    entered, top = nodes.select(none.alias("key"), none.alias("used"), "node", "signature"), True
+    by_key = Window.partitionBy("key").orderBy("node")
     while True:
-        entries = entered.mapInArrow(partial(_enter, distance=distance), "key long, used long, node long")
-        groups = (entries.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("top"), F.count("*").alias("size"))
-                  .where("top > leader").drop("top"))
-        members = stored(entries.join(groups, "key"), "near-members")
+        entries = entered.mapInArrow(partial(_enter, distance=distance), "key long, node long, used long")
+        if top:     # nothing is shared yet: a column less to shuffle
+            entries = entries.drop("used")
+        # entries with one member go; the smallest member stands before the others
+        found = (entries.withColumn("leader", F.first("node").over(by_key)).withColumn("next", F.lead("node").over(by_key))
+                 .where("node <> leader or next is not null").drop("next"))
+        members = stored(found.withColumn("used", none) if top else found, "near-members")
         pairs = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-        side = lambda n: nodes.select(F.col("node").alias(n), F.col("signature").alias(f"s{n}"))
+        side = lambda n: nodes.select(F.col("node").alias(n), F.col("signature").alias(f"s{n}")).hint("merge")
         apart = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_distances, "a long, b long, d int"), "near-pairs")
         edges.append(apart.where(F.col("d") <= distance))
         now = stored(components(_united(edges)), "near-first")
 
         own = F.coalesce("component", "node").alias("cluster")
-        placed = members.join(now, "node", "left").select("key", "used", "node", "leader", "size", own)
-        split = placed.groupBy("key").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo < hi").select("key")
-        open_ = stored(placed.join(split, "key"), "near-open")
+        placed = stored(members.join(now.hint("merge"), "node", "left").select("key", "used", "node", "leader", own), "near-placed")
+        split = stored(placed.groupBy("key").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi"), F.count("*").alias("size"))
+                       .where("lo < hi").select("key", "size"), "near-split")
+        open_ = stored(placed.join(split.hint("merge"), "key"), "near-open")
         near = lambda t: _near_in_entry(t, distance)
-        compared = lambda rows: (rows.select("key", "node", "cluster").join(nodes, "node")
+        compared = lambda rows: (rows.select("key", "node", "cluster").join(nodes.hint("merge"), "node")
                                  .groupBy("key").applyInArrow(near, "a long, b long"))
         edges.append(stored(compared(open_.where(F.col("size") <= block)), "near-found"))
         large = open_.where(F.col("size") > block)
@@ -368,7 +401,9 @@ def _clusters(nodes: DataFrame, distance: int, block: int) -> DataFrame:
         deeper = left.where(F.col("size") > block)
         if deeper.isEmpty():
             break
-        entered = stored(deeper.select("key", "used", "node").join(nodes, "node"), "near-deeper")
+        deeper = deeper.select("key", "used", "node").join(nodes, "node").select("key", "node", "signature", "used")
+        entered = stored(deeper.mapInArrow(partial(_go_deeper, distance=distance), deeper.schema), "near-deeper")
+        top = False
     return components(_united(edges)).withColumnRenamed("component", "cluster")
 
 
@@ -378,7 +413,14 @@ def _links(base: DataFrame, reps: DataFrame, clusters: DataFrame, percent: int,
     wanted = stored(reps.select("node", "least", "h1", "h2").join(clusters, "node").join(sizes, "cluster"), "near-wanted")
     kind = "node long, cluster long, members long, shingles binary"
     # a class is found again by its smallest id; of an id's several texts the one with the class's sets counts
-    full = lambda rows: (base.join(rows.withColumnRenamed("least", "id"), "id")
+    holds = base.sparkSession.sparkContext.broadcast(key_filter.build(wanted.select(F.xxhash64("least").alias("h")), "h"))
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:       # texts of no cluster stay where they are
+            yield batch.filter(pa.array(holds.value(batch.column("h").to_numpy().view(np.uint64)))).select(["id", "text"])
+
+    texts = base.withColumn("h", F.xxhash64("id")).mapInArrow(held, base.schema)
+    full = lambda rows: (texts.join(rows.withColumnRenamed("least", "id").hint("merge"), "id")
                          .mapInArrow(partial(_sets, size=size), kind))
     linked = lambda t: _links_in_group(t, percent)
     whole = full(wanted.where(F.col("members") <= group)).withColumn("side", F.lit(2))
