@@ -376,13 +376,22 @@ def _library_prediction(model, rows):
     return GBTRegressionModel.load(model.fitted).setPredictionCol("library").transform(data)
 
 
+def _predictions(spark, d):
+    """Every gold row scored once by the loaded model and, beside it, by Spark ML's own; stored."""
+    trained, loaded = _model(spark, d)
+
+    def score():
+        rows = mo.feature_rows(V.gold_table(spark, d), loaded.statistics)
+        return _library_prediction(trained, loaded.transform(rows)).select("cod", "precio_ars", "prediction", "library")
+    return V.stored(spark, d, "gbt_predictions", score)
+
+
 @query("m_gbt_score")
 def m_gbt_score(spark, d):
     """Estimates and scores of every gold row by the loaded model.
 
     No SQL states a fitted model's estimates; `m_gbt_quality` checks them."""
-    _, loaded = _model(spark, d)
-    return mo.with_split(mo.model_scores(loaded, V.gold_table(spark, d))).select(
+    return mo.with_split(mo.estimate_columns(_predictions(spark, d))).select(
         "cod", "precio_ars", "split", F.round("prediction", 4).alias("prediction"), "precio_estimado", "oportunidad_score")
 
 
@@ -393,12 +402,9 @@ def m_gbt_quality(spark, d):
     """M3, M9, M10 proved on every hold-out row that the brand-model median can estimate: the trees'
     mean absolute error is below the median's, every estimate from the saved node table is that of
     Spark ML's own model, and every score follows from its estimate."""
-    trained, loaded = _model(spark, d)
-    test = mo.with_split(V.gold_table(spark, d)).where("split = 'test'")
     base = _fitted(spark, d, ["marca", "modelo"]).where("split = 'test'")
     baseline = mo.regression_metrics(base, "precio_ars", "precio_estimado").select("n", F.col("mae").alias("baseline_mae"))
-    rows = mo.feature_rows(test, loaded.statistics)
-    both = mo.estimate_columns(_library_prediction(trained, loaded.transform(rows)))
+    both = mo.estimate_columns(mo.with_split(_predictions(spark, d)).where("split = 'test'"))
     other = F.abs(F.col("prediction") - F.col("library")) > 1e-6 * F.abs(F.col("library"))
     exact = F.bround((F.col("precio_estimado") - F.col("precio_ars")) / F.nullif(F.col("precio_estimado").cast("double"), F.lit(0.0)), 4)
     found = (both.join(base.select("cod"), "cod", "left_semi")
