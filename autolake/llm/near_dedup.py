@@ -31,7 +31,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from autolake.llm import key_filter, words
@@ -42,6 +42,7 @@ PERCENT = 80                # default similarity threshold
 SIGNATURE = 64
 MISS = 1e-8
 BLOCK = 2048                # signatures compared in one task
+EDGES = 1_000_000           # thinned out at once inside a task
 ENTRY_BITS = 10             # of a key: at most so many entries of one signature
 GROUP = 512                 # shingle sets of one side compared in one task
 
@@ -320,37 +321,62 @@ def _linked_with_leader(batches: Iterator[pa.RecordBatch], percent: int) -> Iter
         yield pa.RecordBatch.from_arrays([batch.column("cluster"), batch.column("node")], names=["a", "b"]).filter(pa.array(linked))
 
 
+def _spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of every ``EDGES`` edges (a, b), each node on the smallest node of its tree."""
+    held, n = [], 0
+
+    def forest() -> pa.RecordBatch:
+        ends = np.concatenate(held).reshape(2, -1) if len(held) == 1 else np.concatenate([h.reshape(2, -1) for h in held], 1)
+        nodes, code = np.unique(ends, return_inverse=True)
+        code = code.reshape(2, -1)
+        trees = Forest(len(nodes))
+        for i, j in zip(code[0].tolist(), code[1].tolist()):
+            trees.join(i, j)
+        root = np.array([trees.root(i) for i in range(len(nodes))], np.int64)
+        own = np.flatnonzero(root != np.arange(len(nodes)))
+        return pa.RecordBatch.from_pydict({"a": pa.array(nodes[own]), "b": pa.array(nodes[root[own]])})
+
+    for batch in batches:
+        held.append(np.concatenate([batch.column("a").to_numpy(), batch.column("b").to_numpy()]))
+        n += batch.num_rows
+        if n >= EDGES:
+            yield forest()
+            held, n = [], 0
+    if n:
+        yield forest()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of ``edges`` (a, b).
 
-    Alternating large-star and small-star steps until no edge changes; each step is stored.
+    Edges are thinned out to spanning forests inside the tasks; then large-star and small-star
+    steps alternate until no edge changes. Each step is stored, its edges summed in the same job.
     """
+    own = Window.partitionBy("u")       # one shuffle; a node's neighbours pass its task as a stream
+
     def star(pairs: DataFrame) -> DataFrame:
-        low = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        return pairs.join(low, "u")
+        return pairs.withColumn("m", F.least(F.min("v").over(own), F.col("u")))
+
+    def settled(pairs: DataFrame) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        now = stored(pairs.where("a != b").distinct().observe(
+            seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")), "near-edges")
+        return now, (seen.get["n"], seen.get["h"])
 
-    now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                       .where("a != b").distinct(), "near-edges")
-    mark = _mark(now)
+    now, mark = settled(edges.select("a", "b").mapInArrow(_spanning, "a long, b long"))
     while mark[0]:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(now.select(F.col("b"), F.col("a")))
-        large = (star(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u != v").distinct())
+        large = star(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         # every edge now points down; a node and its smaller neighbours hang on the smallest of them
         small = star(large).select(F.explode(F.array(F.col("u"), F.col("v"))).alias("a"), F.col("m").alias("b"))
-        now = stored(small.where("a != b").distinct(), "near-edges")
-        before, mark = mark, _mark(now)
+        before = mark
+        now, mark = settled(small)
         if mark == before:
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
         now.select("b", "b").distinct())
 
 
-def _mark(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")).first()
-    return r["n"], r["h"]
-
-
 def _united(edges: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, [e.select("a", "b") for e in edges])
 
@@ -374,6 +400,7 @@ def _clusters(nodes: DataFrame, distance: int, block: int) -> DataFrame:
         apart = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_distances, "a long, b long, d int"), "near-pairs")
         edges.append(apart.where(F.col("d") <= distance))
         now = stored(components(_united(edges)), "near-first")
+        edges = [now.select(F.col("node").alias("a"), F.col("component").alias("b"))]      # the same trees, as stars
 
         own = F.coalesce("component", "node").alias("cluster")
         placed = stored(members.join(now.hint("merge"), "node", "left").select("key", "used", "node", "leader", own), "near-placed")
@@ -386,6 +413,8 @@ def _clusters(nodes: DataFrame, distance: int, block: int) -> DataFrame:
         edges.append(stored(compared(open_.where(F.col("size") <= block)), "near-found"))
         large = open_.where(F.col("size") > block)
         if large.isEmpty():
+            if edges[-1].isEmpty():
+                return now.withColumnRenamed("component", "cluster")
             break
         # what a large entry's members that are not together with its smallest one can still be near to
         head = now.select(F.col("node").alias("leader"), F.col("component").alias("head"))
