@@ -63,7 +63,7 @@ def test_blocks_are_read_in_turn(spark, monkeypatch):
     texts, items = corpus()
     docs, bench = spark.createDataFrame(rows(texts), DOCS), spark.createDataFrame([(*i, "f") for i in items], ITEMS)
     read, at_store = [], []
-    collect, stored = type(bench).collect, decontaminate._stored
+    collect, stored = type(bench).collect, decontaminate.stored
 
     def counted(df):
         out = collect(df)
@@ -72,7 +72,7 @@ def test_blocks_are_read_in_turn(spark, monkeypatch):
         return out
 
     monkeypatch.setattr(type(bench), "collect", counted)
-    monkeypatch.setattr(decontaminate, "_stored", lambda *a: at_store.append(len(read)) or stored(*a))
+    monkeypatch.setattr(decontaminate, "stored", lambda *a: at_store.append(len(read)) or stored(*a))
     decontaminate.annotate(docs, bench)
     assert len(read) > 2 and at_store == list(range(2, len(read) + 1))
 
