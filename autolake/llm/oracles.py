@@ -1,7 +1,7 @@
 """DuckDB SQL of the training-data queries that SQL can express.
 
 Not here, because SQL has no tokenizers, fitted trees, EM weights or template alignment:
-op1, op3, op5, op6, op9 and the pipeline; tests/llm holds brute-force versions.
+op1, op3, op5, op6, op9, op13 and the pipeline; tests/llm holds brute-force versions or held-out rates (op5).
 """
 
 from __future__ import annotations
