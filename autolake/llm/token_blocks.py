@@ -34,6 +34,7 @@ from autolake.llm import tokens, words
 
 BLOCK = 256
 COVER = 0.9                 # share of a block's ids that its width holds
+BLOCKS_AT_ONCE = 256        # blocks whose ids are spread out to bits at a time: bounds a task's memory
 SEGMENTS_PER_FILE = 8       # bounds a file; one segment is SLICE_BYTES of text or one document
 MAGIC = b"PFB1"
 TRAILER = "\nPFB-END\n"
@@ -55,6 +56,12 @@ def _blocks(ids: np.ndarray) -> list[np.ndarray]:
     return [p for p in (ids[:whole].reshape(-1, BLOCK), ids[whole:].reshape(1, -1)) if p.size]
 
 
+def _runs(blocks: np.ndarray) -> Iterator[np.ndarray]:
+    """The blocks' places, at most BLOCKS_AT_ONCE at a time."""
+    for a in range(0, len(blocks), BLOCKS_AT_ONCE):
+        yield blocks[a:a + BLOCKS_AT_ONCE]
+
+
 def encode_segment(part: int, number: int, before: int, doc_ids: list, counts: np.ndarray, ids: np.ndarray) -> bytes:
     """The bytes of one segment (without trailer)."""
     minima, widths, sizes, payloads, where, high, excepted = [], [], [], [], [], [], []
@@ -72,11 +79,11 @@ def encode_segment(part: int, number: int, before: int, doc_ids: list, counts: n
         out = np.zeros(size.sum(), np.uint8)
         at = np.cumsum(size) - size
         for w in np.unique(width[width > 0]):
-            pick = np.flatnonzero(width == w)
-            shifts = np.arange(int(w) - 1, -1, -1, dtype=np.uint32)
-            bits = ((delta[pick][:, :, None] >> shifts) & np.uint32(1)).astype(np.uint8)
-            packed = np.packbits(bits.reshape(len(pick), -1), axis=1)
-            out[at[pick][:, None] + np.arange(packed.shape[1])] = packed
+            for pick in _runs(np.flatnonzero(width == w)):
+                # a value's bytes, most significant first, as bits: the last w are kept
+                bits = np.unpackbits(delta[pick].astype(">u4").view(np.uint8), axis=1).reshape(len(pick), -1, 32)[:, :, 32 - int(w):]
+                packed = np.packbits(bits.reshape(len(pick), -1), axis=1)
+                out[at[pick][:, None] + np.arange(packed.shape[1])] = packed
         minima.append(low.astype("<u4"))
         widths.append(width)
         sizes.append(size)
@@ -93,7 +100,7 @@ def encode_segment(part: int, number: int, before: int, doc_ids: list, counts: n
         join(where, "<u2").tobytes(), join(high, "<u4").tobytes(), payload))
 
 
-def decode_segments(data: bytes) -> Iterator[tuple[tuple[int, int, int], list, np.ndarray, np.ndarray]]:
+def decode_segments(data: bytes | memoryview) -> Iterator[tuple[tuple[int, int, int], list, np.ndarray, np.ndarray]]:
     """((partition, number, ids before), document ids, n_tokens, ids) of every segment of a file."""
     at, trailer = 0, TRAILER.encode()
     view = memoryview(data)
@@ -120,17 +127,17 @@ def decode_segments(data: bytes) -> Iterator[tuple[tuple[int, int, int], list, n
                 continue
             w_all = width[blocks]
             for w in np.unique(w_all):
-                pick = np.flatnonzero(w_all == w)
                 if not w:
-                    rows[pick] = 0
+                    rows[w_all == w] = 0
                     continue
                 size = (int(w) * rows.shape[1] + 7) // 8
-                bits = np.unpackbits(payload[first[blocks][pick][:, None] + np.arange(size)], axis=1)
-                bits = bits[:, :int(w) * rows.shape[1]].reshape(len(pick), rows.shape[1], int(w))
-                value = np.zeros(bits.shape[:2], np.uint32)
-                for b in range(int(w)):
-                    value = (value << np.uint32(1)) | bits[:, :, b]
-                rows[pick] = value
+                for pick in _runs(np.flatnonzero(w_all == w)):
+                    bits = np.unpackbits(payload[first[blocks][pick][:, None] + np.arange(size)], axis=1)
+                    bits = bits[:, :int(w) * rows.shape[1]].reshape(len(pick), rows.shape[1], int(w))
+                    value = np.zeros(bits.shape[:2], np.uint32)
+                    for b in range(int(w)):
+                        value = (value << np.uint32(1)) | bits[:, :, b]
+                    rows[pick] = value
         count = np.diff(np.r_[first_except, n_except].astype(np.int64))
         block = np.repeat(np.arange(n_blocks), count)
         ids[block * BLOCK + where] |= high << width[block].astype(np.uint32)
@@ -184,7 +191,7 @@ def read(spark: SparkSession, path: str, id_col: str = "doc_id", with_ids: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content"):
-                for (part, _, before), docs, counts, ids in decode_segments(content.as_py()):
+                for (part, _, before), docs, counts, ids in decode_segments(memoryview(content.as_buffer())):
                     bounds = np.r_[0, np.cumsum(counts)]
                     data = ids.astype("<u4", copy=False)
                     crc = [zlib.crc32(data[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
