@@ -589,7 +589,7 @@ def q_sort_positions(spark, d):
     """Q7 checked: every row's place under each of the five sort keys, over the whole table."""
     out = None
     for k in _SORT_KEYS:
-        one = with_position(mk.user_sort(V.serving_table(spark, d).select("cod", *_SORT_KEYS), k, ascending=False))
+        one = with_position(mk.user_sort(V.serving_table(spark, d).select("cod", k), k, ascending=False))
         one = one.select(F.lit(k).alias("key"), "cod", "position")
         out = one if out is None else out.unionByName(one)
     return out
