@@ -17,20 +17,20 @@ def land_records(records: DataFrame, root: str, day_col: str, spread_by: Sequenc
     day spreads over many tasks and a small one stays in one file. The default spread
     key is a hash of the whole record: deterministic (a retried task writes the same
     rows) and different for repeated keys, so even a key holding a third of the day's
-    records is cut over many tasks."""
+    records is cut over many tasks. Files are gzipped: text takes several times the room."""
     spread = [F.col(c) for c in spread_by] if spread_by else [F.xxhash64(*[F.col(c) for c in records.columns])]
     keys = [F.col(day_col), *spread]
     (records.repartitionByRange(*keys)
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(day_col).json(root))
+            .partitionBy(day_col).json(root, compression="gzip"))
 
 
 def land_envelopes(envelopes: DataFrame, root: str, day_col: str) -> None:
     """S1 for envelope-shaped feeds (one document per source and day, records in
     ``data``): every envelope is a file of its own, one document per file. Envelopes are
-    not shuffled: a day's envelopes are written by the tasks that hold them."""
+    not shuffled: a day's envelopes are written by the tasks that hold them, gzipped."""
     (envelopes.write.mode("overwrite").option("maxRecordsPerFile", 1).option("partitionOverwriteMode", "dynamic")
-     .partitionBy(day_col).json(root))
+     .partitionBy(day_col).json(root, compression="gzip"))
 
 
 def read_records(spark: SparkSession, root: str, schema: T.StructType, day_col: str,
