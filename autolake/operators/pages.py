@@ -117,16 +117,19 @@ def parse_cards(cards: DataFrame, base: str, card: str = "card", id_prefix: str
     character references in texts are decoded; numbers beyond their type read as absent.
 
     Each field is extracted from the card once: the fields leave a generator, below which
-    no filter on them is pushed. A missing subtitle reads as an empty one (no year, km 0)."""
+    no filter on them is pushed, and character references, which name their text several
+    times, are decoded above it. A missing subtitle reads as an empty one (no year, km 0)."""
     c = F.col(card)
-    text = lambda tag: F.trim(unescape_html(_strip_tags(F.regexp_extract(c, tag, 1), "")))
+    text = lambda tag: _strip_tags(F.regexp_extract(c, tag, 1), "")
     fields = F.struct(
-        unescape_html(F.regexp_extract(c, r"""href\s*=\s*["']([^"']*)["']""", 1)).alias("_href"),
+        F.regexp_extract(c, r"""href\s*=\s*["']([^"']*)["']""", 1).alias("_href"),
         text(r"(?s)<h3[^>]*>(.*?)</h3>").alias("_title"),
         text(r"(?s)<p[^>]*>(.*?)</p>").alias("_sub"),
         F.regexp_extract_all(_strip_tags(c), F.lit(AMOUNT), 0).alias("_amounts"),
         text(FOOTER_SPAN).alias("provincia"))
     raw = cards.select("*", F.inline(F.array(fields)))
+    raw = raw.select(*cards.columns, "_amounts", unescape_html(F.col("_href")).alias("_href"),
+                     *[F.trim(unescape_html(F.col(x))).alias(x) for x in ("_title", "_sub", "provincia")])
     amounts = F.transform("_amounts", lambda a: F.replace(a, F.lit("."), F.lit("")).try_cast("bigint"))
     step = raw.select("*", F.split("_title", TITLE_SEP).alias("_t"), F.split("_sub", TITLE_SEP).alias("_s"),
                       F.try_element_at(F.filter(amounts, lambda a: a >= MIN_PRICE), F.lit(-1)).alias("precio_ars"))
