@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from autolake.session import work_dir
@@ -47,19 +47,51 @@ def small_broadcast(stored: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) ->
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Column | str,
-               drop: Sequence[str] = ()) -> DataFrame:
+               drop: Sequence[str] = (), spread: bool = False, partitions: int | None = None) -> DataFrame:
     """One row per key: the row with the smallest ``order`` value (input order).
 
     Implemented as a ``min_by`` aggregate rather than ``row_number`` over a
     window: the aggregate combines map-side, so a key that holds a third of all
     rows is reduced to one row per input partition before the shuffle, instead
     of landing whole in one task.
+
+    Combining map-side sorts whole rows, an input split at a time, and spills where a split
+    is larger than a task's memory. With ``spread`` only the hot keys' rows (``key_counts``:
+    one more pass, over the keys) are combined map-side; the others are shuffled as
+    they are, to so many ``partitions`` that a task sorts few rows. Which keys count as hot changes
+    the plan and not the rows.
     """
     order_col = F.col(order) if isinstance(order, str) else order
     payload = [c for c in df.columns if c not in keys and c not in drop]
-    return (df.groupBy(*keys)
-              .agg(F.min_by(F.struct(*payload), order_col).alias("_first"))
-              .select(*keys, "_first.*"))
+    first = lambda rows: (rows.groupBy(*keys)
+                              .agg(F.min_by(F.struct(*payload), order_col).alias("_first"))
+                              .select(*keys, "_first.*"))
+    if not spread:
+        return first(df)
+    rows, hot = key_counts(df, keys)
+    n = partitions or partitions_for(df.sparkSession, rows)
+    if not hot:
+        return first(df.repartition(n, *keys))
+    is_hot = F.xxhash64(*keys).isin(hot)
+    return first(df.where(~is_hot).repartition(n, *keys)).unionByName(first(df.where(is_hot)))
+
+
+ROWS_PER_TASK = 250_000     # rows that a task sorts, where their number is known
+HOT_SHARE = 1000            # a key with more than one of so many rows is hot
+
+
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partitions of at most about ``ROWS_PER_TASK`` rows, the session's number of them at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+
+
+def key_counts(df: DataFrame, keys: Sequence[str]) -> tuple[int, list[int]]:
+    """Rows, and the hashes of the keys that hold more than one in ``HOT_SHARE`` of them (and a task's rows
+    in ``HOT_SHARE``), from one sketch: at most ``HOT_SHARE`` numbers come back."""
+    found = df.agg(F.count(F.lit(1)).alias("n"),
+                   F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {HOT_SHARE}, {HOT_SHARE * 10})").alias("top")).first()
+    least = max(found["n"], ROWS_PER_TASK) // HOT_SHARE
+    return found["n"], [t["item"] for t in found["top"] or [] if t["count"] > least]
 
 
 def dense_index(values: DataFrame, col: str, out: str = "code",

@@ -77,17 +77,17 @@ def null_suspicious_zero_km(df: DataFrame) -> DataFrame:
         "km", F.when((km == 0) & (F.col("condicion") != NEW_CONDITION), F.lit(None)).otherwise(km))
 
 
-def dedup_first(df: DataFrame, key: str = "cod", order: str = "_ord") -> DataFrame:
+def dedup_first(df: DataFrame, key: str = "cod", order: str = "_ord", partitions: int | None = None) -> DataFrame:
     """One row per ``key``, the first in input order (``order`` column), dropped after."""
-    return keep_first(df, [key], order, drop=[order])
+    return keep_first(df, [key], order, drop=[order], spread=True, partitions=partitions)
 
 
-def clean_listings(records: DataFrame, year_max: int, order: str = "_ord") -> DataFrame:
+def clean_listings(records: DataFrame, year_max: int, order: str = "_ord", partitions: int | None = None) -> DataFrame:
     """C3-C6 in the reference's order: per-row rules first, then keep-first by cod.
 
     Runs once per source (C8): the function has no source-specific branch."""
     cleaned = null_suspicious_zero_km(null_year_out_of_range(null_zero_price(records), year_max))
-    return dedup_first(cleaned, "cod", order)
+    return dedup_first(cleaned, "cod", order, partitions)
 
 
 def null_profile(raw: DataFrame, clean: DataFrame, by: str | None = None) -> DataFrame:

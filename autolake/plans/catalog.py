@@ -646,8 +646,9 @@ def _silver_by_day(spark, d):
         root = scratch_path(spark, "silver_by_day")
         s = V.silver(spark, d)
         rows = s.where((F.col("source") == "a") | (F.col("scraped_day") != F.lit(_PREFERRED_DAY).cast("date")))
-        (rows.repartitionByRange("source", "scraped_day", "cod")
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # so many ranges that the writer's sort by day holds few rows
+        (rows.repartitionByRange(V.keyed_buckets(spark, d), "source", "scraped_day", "cod")
+             .write.option("compression", "zstd").mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("source", "scraped_day").parquet(root))
         _WRITTEN[key] = root
     return _WRITTEN[key]

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from autolake.functions.joins import partitions_for
 from autolake.operators.clean import clean_listings
 from autolake.operators.features import build_features
 from autolake.operators.fx import normalize_fx
@@ -25,9 +26,14 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "records", lambda: fx_.listings(spark, sf_dir))
 
 
+def keyed_buckets(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets of the layers keyed by ``cod``: they share the number, so joins between them need no shuffle."""
+    return partitions_for(spark, listings(spark, sf_dir).count())
+
+
 def compute_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1-C6 over the listing records (both sources, cleaned by the same function)."""
-    return clean_listings(listings(spark, sf_dir), fx_.RUN_YEAR)
+    return clean_listings(listings(spark, sf_dir), fx_.RUN_YEAR, partitions=keyed_buckets(spark, sf_dir))
 
 
 _TABLES: dict[tuple, str] = {}
@@ -47,8 +53,8 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str |
     shared work folder (a reliable write that also cuts the lineage), then read by
     every downstream query — the medallion layout of the pipeline.
 
-    With ``bucket_by`` the table is written bucketed on that key (one bucket per
-    shuffle partition) and registered in the catalog, so aggregates and joins on the
+    With ``bucket_by`` the table is written bucketed on that key (``keyed_buckets``)
+    and registered in the catalog, so aggregates and joins on the
     key read co-located buckets instead of shuffling the table again."""
     key = _key(spark, sf_dir, name)
     if key in _TABLES and _TABLES[key].startswith("table:") and not spark.catalog.tableExists(_TABLES[key][6:]):
@@ -56,12 +62,12 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str |
     if key not in _TABLES:
         path = scratch_path(spark, name)
         if bucket_by is None:
-            build().write.parquet(path)
+            build().write.option("compression", "zstd").parquet(path)
             _TABLES[key] = path
         else:
             table = f"autolake_{name}_{uuid.uuid4().hex[:12]}"
-            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            build().write.bucketBy(n, bucket_by).option("path", path).format("parquet").saveAsTable(table)
+            n = keyed_buckets(spark, sf_dir)
+            build().write.bucketBy(n, bucket_by).option("compression", "zstd").option("path", path).format("parquet").saveAsTable(table)
             _TABLES[key] = "table:" + table
     ref = _TABLES[key]
     return spark.table(ref[6:]) if ref.startswith("table:") else spark.read.parquet(ref)
