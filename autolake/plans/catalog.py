@@ -840,9 +840,13 @@ def _history(spark, d):
         rows = V.listings(spark, d)
         year = F.year("scraped_day")
         batches = [rows.where(year <= 1994), rows.where((year > 1994) & (year <= 1996)), rows.where(year > 1996)]
-        merge = lambda batch: sinks.merge(spark, root, batch, ["cod"], _PARTIAL_UPDATE, buckets=_HISTORY_BUCKETS)
-        for n in (0, 1, 2, 2):
-            done = merge(clean.dedup_first(batches[n]).select(*_SERVING_COLS))
+        parts = V.keyed_buckets(spark, d)
+        merge = lambda batch, n=None: sinks.merge(spark, root, batch, ["cod"], _PARTIAL_UPDATE, buckets=_HISTORY_BUCKETS, partitions=n)
+        first = lambda batch: clean.dedup_first(batch, partitions=parts).select(*_SERVING_COLS)
+        # merged twice: stored in buckets by the key, which both merges read as they lie
+        last = V.stored(spark, d, "history_batch", lambda: first(batches[2]), bucket_by="cod")
+        for batch in (first(batches[0]), first(batches[1]), last, last):
+            done = merge(batch, parts)
             steps.append((("first" if len(steps) < 3 else "again"), done.rows, str(done.fingerprint)))
         at = f"{root}/{sinks.LOG}/{done.version:020d}"
         now = sinks.table_version(spark, root)

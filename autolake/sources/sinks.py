@@ -15,11 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from autolake.functions.joins import partitions_for
 from autolake.sources import storage
 
 LOG = "_log"            # one small file per committed version, named by its number
 VERSIONS_KEPT = 3
 BUCKETS = 64            # folders that a keyed table is dealt to, unless the caller says otherwise
+DEALT_BY = "hash:"      # the hash that deals rows to buckets, named in every version
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
@@ -148,6 +150,10 @@ def table_version(spark: SparkSession, root: str) -> Version | None:
 def _read_version(spark: SparkSession, root: str, name: str) -> Version:
     schema, head, *lines = storage.read_text(spark, f"{root}/{LOG}/{name}").split("\n")
     buckets, *keys = head.split("\t")
+    if buckets.startswith(DEALT_BY):
+        buckets = buckets.removeprefix(DEALT_BY)
+    else:
+        keys = []       # dealt by another hash: a table without buckets, which its next merge deals anew
     parts = {}
     for line in lines:
         bucket, folder, rows, total = line.split("\t")
@@ -165,7 +171,7 @@ def _commit(spark: SparkSession, root: str, version: Version, retain: int) -> No
     """Make a version current: its number must be free (else another writer has committed, an error).
 
     Folders that none of the last ``retain`` versions names are deleted after that."""
-    lines = [version.schema.json(), "\t".join([str(version.buckets), *version.keys])]
+    lines = [version.schema.json(), "\t".join([f"{DEALT_BY}{version.buckets}", *version.keys])]
     lines += ["\t".join(map(str, (b, *p))) for b, p in sorted(version.parts.items())]
     storage.create_once(spark, f"{root}/{LOG}/{version.number:020d}", "\n".join(lines))
     entries = [n for n in storage.names(spark, f"{root}/{LOG}") if n.isdigit()]
@@ -180,18 +186,26 @@ def _commit(spark: SparkSession, root: str, version: Version, retain: int) -> No
 
 
 def _bucket(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    """The hash that ``repartition`` deals rows by: a partition of a multiple of ``buckets`` lies in one bucket."""
+    return F.pmod(F.hash(*keys), F.lit(buckets)).cast("int")
+
+
+def _tasks(spark: SparkSession, buckets: int, rows: int) -> int:
+    """Partitions to write a table in: a multiple of its buckets, few rows each."""
+    return -(-partitions_for(spark, rows) // buckets) * buckets
 
 
 def _write_parts(df: DataFrame, root: str, attempt: str, keys: Sequence[str], buckets: int) -> dict[int, Part]:
-    """The rows as one folder per bucket under ``attempt``; rows and fingerprints from what was written."""
+    """The rows as one folder per bucket under ``attempt``; rows and fingerprints from what was written.
+
+    With ``keys`` the rows are partitioned by their hash already, so a task holds one bucket, or a few."""
     spark, folder = df.sparkSession, f"{root}/{attempt}"
     if not keys:
-        df.write.mode("errorifexists").parquet(folder)
+        df.write.option("compression", "zstd").mode("errorifexists").parquet(folder)
         r = fingerprint(spark.read.schema(df.schema).parquet(folder)).first()
         return {0: Part(attempt, r["rows"], int(r["fingerprint"]))}
-    dealt = df.withColumn("_bucket", _bucket(keys, buckets)).repartition("_bucket")
-    dealt.write.mode("errorifexists").partitionBy("_bucket").parquet(folder)
+    dealt = df.withColumn("_bucket", _bucket(keys, buckets))
+    dealt.write.option("compression", "zstd").mode("errorifexists").partitionBy("_bucket").parquet(folder)
     written = spark.read.schema(dealt.schema).parquet(folder)
     # at most one row per bucket
     return {r["_bucket"]: Part(f"{attempt}/_bucket={r['_bucket']}", r["rows"], int(r["fingerprint"]))
@@ -210,7 +224,8 @@ def commit_version(df: DataFrame, root: str, base: int, retain: int = VERSIONS_K
     of losing rows. The last ``retain`` versions stay for running readers."""
     spark, attempt = df.sparkSession, f"attempt-{uuid.uuid4().hex}"
     try:
-        parts = _write_parts(df, root, attempt, keys, buckets)
+        dealt = df.repartition(_tasks(spark, buckets, 0), *keys) if keys else df
+        parts = _write_parts(dealt, root, attempt, keys, buckets)
         _commit(spark, root, Version(base + 1, df.schema, tuple(keys), buckets if keys else 1, parts), retain)
     except Exception:
         storage.delete(spark, f"{root}/{attempt}")
@@ -231,7 +246,7 @@ def read_touched(spark: SparkSession, root: str, version: Version, updates: Data
 
 def merge(spark: SparkSession, root: str, updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None = None,
           insert: bool = True, buckets: int = BUCKETS, retain: int = VERSIONS_KEPT,
-          combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> Merged:
+          combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None, partitions: int | None = None) -> Merged:
     """S9-S11 on a stored table: ``upsert`` of ``updates``, rewriting only the buckets that they hit.
 
     Rows lie in buckets by a hash of ``keys``; a new version lists the new folders of the buckets
@@ -240,7 +255,9 @@ def merge(spark: SparkSession, root: str, updates: DataFrame, keys: Sequence[str
     of buckets is the table's from its first version on (``buckets``); a table whose last version
     was written whole is dealt to buckets by its first merge, and columns that the table lacks
     rewrite all buckets. Two writers from one version still conflict: the second one fails.
-    ``combine(current rows, updates)`` replaces the upsert; its result has the same columns."""
+    ``combine(current rows, updates)`` replaces the upsert; its result has the same columns.
+    Both sides are shuffled once, by the keys, and written as joined. ``partitions`` says that the
+    updates are partitioned by the keys already, into so many."""
     keys = list(keys)
     now = table_version(spark, root)
     attempt = f"attempt-{uuid.uuid4().hex}"
@@ -249,13 +266,18 @@ def merge(spark: SparkSession, root: str, updates: DataFrame, keys: Sequence[str
     count = now.buckets if now and now.keys else buckets
     whole = now is None or not now.keys or any(c not in now.schema.names for c in updates.columns)
     hit = set() if whole else _hit(updates, keys, count)
+    n = partitions or _tasks(spark, count, totals(now)[0] if now else 0)
+    dealt = updates if partitions or combine else updates.repartition(n, *keys)
     if now is None:
-        merged, old = (updates if insert else updates.limit(0)), {}
+        merged, old = (dealt.repartition(n, *keys) if combine else dealt if insert else dealt.limit(0)), {}
     else:
         old = {} if whole else {b: p for b, p in now.parts.items() if b not in hit}
         touched = now if whole else now._replace(parts={b: p for b, p in now.parts.items() if b in hit})
         current = read_version(spark, root, touched)
-        merged = combine(current, updates) if combine else upsert(current, updates, keys, update_cols, insert)
+        if combine:
+            merged = combine(current, updates).repartition(n, *keys)
+        else:
+            merged = upsert(current.repartition(n, *keys), dealt, keys, update_cols, insert)
         merged = merged.select(*now.schema.names, *[c for c in merged.columns if c not in now.schema.names])
     try:
         fresh = _write_parts(merged, root, attempt, keys, count)
