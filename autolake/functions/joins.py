@@ -26,18 +26,22 @@ def row_bytes(df: DataFrame) -> Column:
     return size.cast("long")
 
 
+def stored_size(dim: DataFrame) -> tuple[DataFrame, int]:
+    """A derived table written once (a reliable ``checkpoint`` to the shared work folder: it survives
+    executor loss and cuts its lineage) and its bytes, summed in the same job."""
+    work_dir(dim.sparkSession)
+    obs = Observation()
+    dim = dim.observe(obs, F.sum(row_bytes(dim)).alias("bytes")).checkpoint(eager=True)
+    return dim, obs.get["bytes"] or 0
+
+
 def bounded_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Materialise a derived dimension once and broadcast it only if it is small.
+    """Materialise a derived dimension once (``stored_size``) and broadcast it only if it is small.
 
-    The dimension is written with a reliable ``checkpoint`` to the shared work
-    folder (it survives executor loss and cuts its lineage), its bytes are summed in
-    the same job, and it is hinted for broadcast when they are at most ``max_bytes``.
     Beyond the bound the caller's join is a shuffle join: another plan, the same rows.
     """
-    work_dir(dim.sparkSession)
-    obs = Observation()
-    dim = dim.observe(obs, F.sum(row_bytes(dim)).alias("bytes")).checkpoint(eager=True)
-    return F.broadcast(dim) if (obs.get["bytes"] or 0) <= max_bytes else dim
+    dim, size = stored_size(dim)
+    return F.broadcast(dim) if size <= max_bytes else dim
 
 
 def small_broadcast(stored: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:

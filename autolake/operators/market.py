@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from autolake.functions.columns import (OPPORTUNITY_THRESHOLD, contains_ci, js_round,
                                         tenths_percent_label, thousands)
+from autolake.functions.joins import BROADCAST_MAX_BYTES, dense_index, stored_size
 
 # Fixed values of the serving queries.
 SEARCH_COLUMNS = ["cod", "marca", "modelo", "anio", "km", "precio_ars", "provincia",
@@ -34,6 +35,8 @@ DISCOUNT_SUFFIX = "% subvaluado"
 # the two listing sites (a: detail pages, b: cards); serving rows of site a have relative links
 BASE_URL = "https://www.example.com.ar"
 CARD_BASE_URL = "https://cards.example.com"
+# up to 128 ranges Spark compares a row with one bound after the other
+BISECTED_RANGES = 200
 
 
 @dataclass
@@ -174,14 +177,27 @@ def table_predicate(marca: str = "", provincia: str = "", anio_min: str = "", an
     return p
 
 
-def user_sort(df: DataFrame, key: str, ascending: bool = True, collation: str = "es") -> DataFrame:
+def user_sort(df: DataFrame, key: str, ascending: bool = True, collation: str = "es",
+              max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Q7: sort on one of five columns. Text uses the Spanish collation; numbers
-    treat null as 0. ``cod`` makes the order total."""
-    if key in ("marca", "modelo"):
-        k = F.expr(f"collate({key}, '{collation}')")
-    else:
-        k = F.coalesce(F.col(key), F.lit(0))
-    return df.orderBy(k.asc() if ascending else k.desc(), "cod")
+    treat null as 0. ``cod`` makes the order total.
+
+    Comparing two texts by a collation is slow, and a sort compares a row with bounds of the ranges and
+    then with other rows. Texts of at most ``max_bytes`` are therefore put in order once each, and the rows are
+    sorted by their text's place (equal texts of the collation share one; null has none and stays
+    first or last). Beyond the bound the rows are sorted by the collation, in so many ranges that Spark
+    finds a row's by bisection."""
+    order = lambda c: [c.asc() if ascending else c.desc(), F.col("cod").asc()]
+    if key not in ("marca", "modelo"):
+        return df.orderBy(*order(F.coalesce(F.col(key), F.lit(0))))
+    collated = F.collate(F.col(key), collation)
+    texts, size = stored_size(df.select(key).where(F.col(key).isNotNull()).distinct())
+    if size > max_bytes:
+        n = max(BISECTED_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        return df.repartitionByRange(n, *order(collated)).sortWithinPartitions(*order(collated))
+    ranked = dense_index(texts.select(collated.alias("_text")), "_text", "_place")
+    places = texts.join(F.broadcast(ranked), collated == F.col("_text")).select(key, "_place")
+    return df.join(F.broadcast(places), key, "left").orderBy(*order(F.col("_place"))).select(*df.columns)
 
 
 def relative_price(serving: DataFrame) -> DataFrame:
