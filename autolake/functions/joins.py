@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -70,14 +70,17 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Column | str,
     first = lambda rows: (rows.groupBy(*keys)
                               .agg(F.min_by(F.struct(*payload), order_col).alias("_first"))
                               .select(*keys, "_first.*"))
-    if not spread:
-        return first(df)
+    return _spread(df, keys, first, partitions) if spread else first(df)
+
+
+def _spread(df: DataFrame, keys: Sequence[str], reduced: Callable[[DataFrame], DataFrame], partitions: int | None) -> DataFrame:
+    """``reduced`` (an aggregate by ``keys``) of the rows, shuffled before it; hot keys' rows are combined map-side."""
     rows, hot = key_counts(df, keys)
     n = partitions or partitions_for(df.sparkSession, rows)
     if not hot:
-        return first(df.repartition(n, *keys))
+        return reduced(df.repartition(n, *keys))
     is_hot = F.xxhash64(*keys).isin(hot)
-    return first(df.where(~is_hot).repartition(n, *keys)).unionByName(first(df.where(is_hot)))
+    return reduced(df.where(~is_hot).repartition(n, *keys)).unionByName(reduced(df.where(is_hot)))
 
 
 ROWS_PER_TASK = 250_000     # rows that a task sorts, where their number is known
@@ -138,17 +141,20 @@ def dense_index_columns(values: DataFrame, cols: Sequence[str], partitions: int
                   .select("column", "value", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("code")))
 
 
-def first_and_last(df: DataFrame, keys: Sequence[str], order: str, drop: Sequence[str] = ()) -> DataFrame:
+def first_and_last(df: DataFrame, keys: Sequence[str], order: str, drop: Sequence[str] = (), spread: bool = False,
+                   partitions: int | None = None) -> DataFrame:
     """Per key the first and the last row in ``order`` as structs ``first`` and ``last``
     (``last`` is null when the key has one order value).
 
     One aggregate that combines map-side: a key holding a third of all rows is one row
-    per task before the shuffle."""
+    per task before the shuffle. ``spread`` and ``partitions`` as in ``keep_first``."""
     payload = [c for c in df.columns if c not in keys and c not in drop and c != order]
-    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), F.col(order)).alias("first"),
-                                F.max_by(F.struct(*payload), F.col(order)).alias("_last"),
-                                (F.min(order) < F.max(order)).alias("_two"))
-    return agg.select(*keys, "first", F.when(F.col("_two"), F.col("_last")).alias("last"))
+    both = lambda rows: (rows.groupBy(*keys)
+                             .agg(F.min_by(F.struct(*payload), F.col(order)).alias("first"),
+                                  F.max_by(F.struct(*payload), F.col(order)).alias("_last"),
+                                  (F.min(order) < F.max(order)).alias("_two"))
+                             .select(*keys, "first", F.when(F.col("_two"), F.col("_last")).alias("last")))
+    return _spread(df, keys, both, partitions) if spread else both(df)
 
 
 def with_position(ordered: DataFrame, out: str = "position") -> DataFrame:

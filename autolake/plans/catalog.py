@@ -27,7 +27,7 @@ from autolake.plans import views as V
 from autolake.plans.fixtures import REQUEST_RUN_YEAR, RUN_DAY, RUN_YEAR, fx_bronze, model_keys, table
 from autolake.plans.jobs import silver_of
 from autolake.plans.oracle_views import with_views
-from autolake.session import scratch_path, work_dir
+from autolake.session import scratch_path
 from autolake.sources import storage, bronze, partitions, sinks
 from autolake.sources.registry import latest_model_key, load_latest_model, model_registry, read_runs, record_run, save_model
 
@@ -745,14 +745,17 @@ def s_upsert_fx(spark, d):
 
 
 def _upsert_inputs(spark, d):
-    work_dir(spark)
-    # first and last record of each cod in one pass over all records, written once (used twice)
-    two = first_and_last(V.listings(spark, d), ["cod"], "_ord").checkpoint(eager=True)
-    first = two.select("cod", "first.*")
-    second = two.where(F.col("last").isNotNull()).select("cod", "last.*")
+    # first and last record of each cod in one pass over all records, stored in buckets by the key: both
+    # sides of the upsert read them as they lie
+    def both():
+        return first_and_last(V.listings(spark, d), ["cod"], "_ord", spread=True, partitions=V.keyed_buckets(spark, d))
+
+    two = V.stored(spark, d, "first_and_last", both, bucket_by="cod")
     seven = F.col("cod").endswith("-7")
-    target = first.where(~seven).select(*_SERVING_COLS)
-    updates = second.where(~seven).select(*_SERVING_COLS).unionByName(first.where(seven).select(*_SERVING_COLS))
+    target = two.where(~seven).select("cod", "first.*").select(*_SERVING_COLS)
+    # one reading of the stored rows, as a union would lose their buckets; a null cod is in neither side
+    newer = [F.when(seven, F.col(f"first.{c}")).otherwise(F.col(f"last.{c}")).alias(c) for c in _SERVING_COLS if c != "cod"]
+    updates = two.where(F.col("cod").isNotNull() & (seven | F.col("last").isNotNull())).select("cod", *newer)
     return target, updates
 
 
